@@ -98,15 +98,19 @@ DEFAULT_RULES: Mapping[str, float] = {
 }
 
 
-def gate(annotated: DataFrame, rules: Mapping[str, float] = DEFAULT_RULES) -> DataFrame:
+def gate(annotated: DataFrame, rules: Mapping[str, float] = DEFAULT_RULES,
+         raw_col: str = "raw_temperature") -> DataFrame:
     """Data-quality gate from row outcomes: (rule, violations, total, share, threshold, passed).
 
+    ``missing_temperature`` counts first arrivals whose reading had no
+    temperature before imputation (``raw_col``).
+
     One aggregate pass counts every rule; the long form comes from ``stack``.
     """
     measures = {
         "duplicate": F.col("outcome") == DUPLICATE,
         "bad_timestamp": F.col("outcome") == BAD_TIMESTAMP,
-        "missing_temperature": F.col("is_first") & F.col("temperature").isNull(),
+        "missing_temperature": F.col("is_first") & F.col(raw_col).isNull(),
         "no_history": F.col("outcome") == NO_HISTORY,
         "out_of_range": F.col("outcome") == OUT_OF_RANGE,
     }
