@@ -11,7 +11,8 @@ Planting rules (FIXTURES.md F8):
   humidity ``props.k``, status ``event_type``, timestamp ``ts`` as whole-second text
 * bucket 0-2: temperature NULL; 3-4: an out-of-range value picked by ``event_id % 4``
 * bucket 5-6: timestamp ``NOT_A_TIMESTAMP``
-* bucket 20, 40, 60: time moved back ``6 + batch_id % 10`` minutes (late row)
+* bucket 20, 40, 60: time moved back ``6 + batch_id % 10`` minutes (late row;
+  ``late_unit="days"`` for staged stream files, where one file spans days)
 * bucket 10, 11: a copy of the reading in bucket 9 just before
 """
 
@@ -27,7 +28,7 @@ TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
 def plant_faults(events: DataFrame, batch_rows: int = 20, late: bool = True,
-                 n_partitions: int = LOG_PARTITIONS) -> DataFrame:
+                 n_partitions: int = LOG_PARTITIONS, late_unit: str = "minutes") -> DataFrame:
     """events -> readings with planted faults, in arrival order ``event_id``.
 
     Columns: event_id, batch_id, sensor_id, timestamp, temperature, humidity,
@@ -45,7 +46,11 @@ def plant_faults(events: DataFrame, batch_rows: int = 20, late: bool = True,
         F.col("event_type").alias("status"),
     )
     b = F.col("bucket")
-    shifted = F.col("ts") - F.make_dt_interval(F.lit(0), F.lit(0), F.pmod(F.col("batch_id"), F.lit(10)) + 6, F.lit(0))
+    back = F.pmod(F.col("batch_id"), F.lit(10)) + 6
+    zero = F.lit(0)
+    shift = (F.make_dt_interval(zero, zero, back, zero) if late_unit == "minutes"
+             else F.make_dt_interval(back, zero, zero, zero))
+    shifted = F.col("ts") - shift
     ts_text = F.when(b.isin(5, 6), F.lit(BAD_TIMESTAMP_TEXT))
     if late:
         ts_text = ts_text.when(b.isin(20, 40, 60), F.date_format(shifted, TEXT_FORMAT))
@@ -69,10 +74,27 @@ def plant_faults(events: DataFrame, batch_rows: int = 20, late: bool = True,
     return rows.withColumn("partition", assign_partition(F.col("sensor_id"), n_partitions, F.col("event_id")))
 
 
-def planted_readings(spark: SparkSession, sf_dir: str, batch_rows: int = 20, late: bool = True) -> DataFrame:
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Round-robin an input that arrives in fewer splits than the cluster has cores.
+
+    A single-row-group file is read by one task, which would then run every
+    per-row expression (JSON encode/decode, hashing) alone. Large inputs are
+    split by the scan already and pass through untouched (no extra shuffle).
+    """
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            return df.repartition(cores)
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): keep the scan as is
+        pass
+    return df
+
+
+def planted_readings(spark: SparkSession, sf_dir: str, batch_rows: int = 20, late: bool = True,
+                     late_unit: str = "minutes") -> DataFrame:
     """Planted readings built from ``{sf_dir}/events.parquet``."""
-    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-    return plant_faults(events, batch_rows=batch_rows, late=late)
+    events = spread_small_input(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
+    return plant_faults(events, batch_rows=batch_rows, late=late, late_unit=late_unit)
 
 
 def stage_files(env: DataFrame, path: str, group_col: str, n_groups: int, files_per_group: int = 1,
