@@ -11,7 +11,10 @@ from __future__ import annotations
 TS_FMT = "%Y-%m-%d %H:%M:%S"
 
 
-def raw_ctes(late: bool = True, batch_rows: int = 20, late_unit: str = "minutes") -> list[str]:
+def raw_ctes(late: bool = True, batch_rows: int = 20, late_unit: str = "minutes",
+             batch_sql: str | None = None) -> list[str]:
+    """Planted readings; ``batch_sql`` re-defines ``batch_id`` of the result (e.g. staged file index)."""
+    batch_replace = f"* REPLACE (({batch_sql}) AS batch_id)" if batch_sql else "*"
     shift = "to_minutes" if late_unit == "minutes" else "to_days"
     late_case = (f"WHEN bucket IN (20, 40, 60) THEN strftime(ts - {shift}(CAST(6 + batch_id % 10 AS INTEGER)), "
                  f"'{TS_FMT}') ") if late else ""
@@ -41,7 +44,7 @@ def raw_ctes(late: bool = True, batch_rows: int = 20, late_unit: str = "minutes"
   FROM (SELECT event_id, batch_id, sensor_id, timestamp, temperature, humidity, status
         FROM faulted WHERE bucket NOT IN (10, 11)
         UNION ALL SELECT * FROM copies))""",
-        f"""parsed AS (SELECT *, try_strptime(timestamp, '{TS_FMT}') AS event_time FROM raw)""",
+        f"""parsed AS (SELECT {batch_replace}, try_strptime(timestamp, '{TS_FMT}') AS event_time FROM raw)""",
     ]
 
 

@@ -1,4 +1,174 @@
-"""Registered streaming queries (filled in below)."""
+"""Registered streaming queries.
 
-STREAM_QUERIES: dict = {}
-STREAM_ORACLE_SQL: dict = {}
+Each query stages the planted readings as ten successive sets of log files
+under the session's checkpoint root (one set per micro-batch), runs the
+stream with ``availableNow`` to the end, and returns what its sink holds.
+The oracle treats the file index ``event_id div ceil(rows/10)`` as the
+micro-batch id. ``late=False`` staging has no late rows, so stream = batch.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sensorlake.operators.windows import dedup_watermark, eligible, watermarked
+from sensorlake.plans import oracle as O
+from sensorlake.plans.queries import finish
+from sensorlake.session import configure, scratch_dir
+from sensorlake.sources.fixtures import planted_readings, stage_files
+from sensorlake.sources.log import SinkSpec, SourceSpec, decode_envelope, read_stream, to_envelope
+from sensorlake.streaming import clean as cs
+from sensorlake.streaming.metrics import batch_drops, performance, progress_frame, state_snapshot
+from sensorlake.streaming.runner import run_to_end, start
+from sensorlake.streaming.windowed import current_windows, start_windowed
+
+N_FILES = 10
+
+
+def stage(spark: SparkSession, sf_dir: str, late: bool) -> str:
+    """Stage planted envelope rows as N_FILES successive file sets; return the folder."""
+    configure(spark)
+    r = planted_readings(spark, sf_dir, late=late, late_unit="days")
+    per = (r.agg(F.max("event_id")).first()[0] + N_FILES) // N_FILES
+    env = to_envelope(r).withColumn("_file", F.expr(f"offset div {per}"))
+    path = scratch_dir(spark, "staged")
+    stage_files(env, path, "_file", N_FILES, files_per_group=1)
+    return path
+
+
+def parsed_stream(spark: SparkSession, path: str) -> DataFrame:
+    src = read_stream(spark, SourceSpec(format="json", path=path, max_files_per_trigger=1))
+    return decode_envelope(src, keep=("partition", "offset")).withColumnRenamed("offset", "event_id")
+
+
+def _windowed_run(spark, sf_dir, late):
+    staged = stage(spark, sf_dir, late)
+    out, ckpt = scratch_dir(spark, "windows"), scratch_dir(spark, "ckpt-windowed")
+    q = run_to_end(start_windowed(parsed_stream(spark, staged), out, ckpt))
+    return q, out
+
+
+def _windows_result(spark, out):
+    return finish(current_windows(spark, out), ts=["window_start", "window_end"], rnd=["avg_temperature"],
+                  longs=["record_count"])
+
+
+def q_window_avg_stream(spark, sf_dir):
+    _, out = _windowed_run(spark, sf_dir, late=False)
+    return _windows_result(spark, out)
+
+
+def q_window_avg_late(spark, sf_dir):
+    _, out = _windowed_run(spark, sf_dir, late=True)
+    return _windows_result(spark, out)
+
+
+def q_stream_late_drops(spark, sf_dir):
+    q, _ = _windowed_run(spark, sf_dir, late=True)
+    d = batch_drops(progress_frame(spark, [q])).where(F.col("input_rows") > 0)
+    return d.select(F.col("batchId").alias("batch_id"), "input_rows", "dropped")
+
+
+def q_dedup_watermark_stream(spark, sf_dir):
+    staged = stage(spark, sf_dir, late=False)
+    out, ckpt = scratch_dir(spark, "dedup"), scratch_dir(spark, "ckpt-dedup")
+    plan = dedup_watermark(watermarked(eligible(parsed_stream(spark, staged)))).select(
+        "sensor_id", "timestamp", "event_time")
+    run_to_end(start(plan, SinkSpec(name="dedup_query", checkpoint=ckpt, format="parquet", path=out)))
+    return finish(spark.read.parquet(out), ts=["event_time"])
+
+
+def _clean_run(spark, sf_dir):
+    staged = stage(spark, sf_dir, late=False)
+    root, ckpt = scratch_dir(spark, "clean"), scratch_dir(spark, "ckpt-clean")
+    q = run_to_end(cs.start_clean_stream(parsed_stream(spark, staged), root, ckpt))
+    return q, root
+
+
+def q_clean_stream(spark, sf_dir):
+    _, root = _clean_run(spark, sf_dir)
+    return finish(cs.cleaned_table(spark, root), ts=["event_time"], rnd=["temperature", "delay_s"],
+                  longs=["hour_of_day", "day_of_week", "is_weekend"])
+
+
+def q_clean_stream_log(spark, sf_dir):
+    _, root = _clean_run(spark, sf_dir)
+    return cs.batch_log_table(spark, root).drop("max_event_time")
+
+
+def q_stream_fan_out(spark, sf_dir):
+    """Two reader groups on one source, each with its own checkpoint: both see every record."""
+    staged = stage(spark, sf_dir, late=True)
+    counts = None
+    for group in ("group_alpha", "group_beta"):
+        out, ckpt = scratch_dir(spark, f"fan-{group}"), scratch_dir(spark, f"ckpt-{group}")
+        run_to_end(start(parsed_stream(spark, staged), SinkSpec(name=group, checkpoint=ckpt, format="parquet",
+                                                                path=out)))
+        c = spark.read.parquet(out).agg(F.count(F.lit(1)).alias("n")).select(F.lit(group).alias("consumer"), "n")
+        counts = c if counts is None else counts.unionByName(c)
+    return counts
+
+
+def q_progress_log(spark, sf_dir):
+    q, _ = _windowed_run(spark, sf_dir, late=True)
+    return progress_frame(spark, [q]).select("name", "batchId", "numInputRows", "inputRowsPerSecond",
+                                             "processedRowsPerSecond", "durationMs", "stateOperators")
+
+
+def q_state_snapshot(spark, sf_dir):
+    q, _ = _windowed_run(spark, sf_dir, late=True)
+    return state_snapshot(progress_frame(spark, [q]))
+
+
+def q_stream_performance(spark, sf_dir):
+    q, _ = _windowed_run(spark, sf_dir, late=True)
+    return performance(progress_frame(spark, [q]))
+
+
+STREAM_QUERIES = {
+    "window_avg_stream": q_window_avg_stream,
+    "window_avg_late": q_window_avg_late,
+    "stream_late_drops": q_stream_late_drops,
+    "dedup_watermark_stream": q_dedup_watermark_stream,
+    "clean_stream": q_clean_stream,
+    "clean_stream_log": q_clean_stream_log,
+    "stream_fan_out": q_stream_fan_out,
+    "progress_log": q_progress_log,
+    "state_snapshot": q_state_snapshot,
+    "stream_performance": q_stream_performance,
+}
+
+# --- oracle SQL: the file index is the micro-batch id ------------------------------------------
+FILE_BATCH = f"event_id // (SELECT (max(event_id) + {N_FILES}) // {N_FILES} FROM events)"
+_NOLATE = O.raw_ctes(late=False)
+_LATE_DAYS = O.raw_ctes(late=True, late_unit="days", batch_sql=FILE_BATCH)
+_NOLATE_FILES = O.raw_ctes(late=False, batch_sql=FILE_BATCH)
+
+_WINDOW_SELECT = """SELECT make_timestamp(epoch_us(event_time) // 300000000 * 300000000) AS window_start,
+  make_timestamp(epoch_us(event_time) // 300000000 * 300000000 + 300000000) AS window_end,
+  sensor_id, round(avg(temperature), 6) AS avg_temperature, CAST(count(*) AS BIGINT) AS record_count
+FROM edd GROUP BY 1, 2, 3"""
+_EDD = """edd AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sensor_id, timestamp ORDER BY event_id) AS rn FROM {src})
+  WHERE rn = 1)"""
+_KEEP_LATE = """survivors AS (
+  SELECT e.* FROM elig e LEFT JOIN wm ON e.batch_id = wm.batch_id
+  WHERE wm.watermark IS NULL OR e.event_time > wm.watermark)"""
+
+STREAM_ORACLE_SQL = {
+    "window_avg_stream": O._with(_NOLATE + O.ELIG_CTES + [_EDD.format(src="elig")], _WINDOW_SELECT),
+    "window_avg_late": O._with(_LATE_DAYS + O.ELIG_CTES + O.DROPS_CTES[:3] + [_KEEP_LATE, _EDD.format(src="survivors")],
+                               _WINDOW_SELECT),
+    "stream_late_drops": O._with(_LATE_DAYS + O.ELIG_CTES + O.DROPS_CTES, """SELECT d.batch_id,
+  CAST((SELECT count(*) FROM parsed p WHERE p.batch_id = d.batch_id) AS BIGINT) AS input_rows, d.dropped
+FROM drops d"""),
+    "dedup_watermark_stream": O._with(_NOLATE + O.ELIG_CTES,
+                                      "SELECT DISTINCT sensor_id, timestamp, event_time FROM elig"),
+    "clean_stream": O._with(_NOLATE_FILES + O.annot_ctes(300) + O.CLEAN_CTES,
+                            """SELECT event_id, batch_id, sensor_id, event_time, round(temperature, 6) AS temperature,
+  humidity, status, hour_of_day, day_of_week, is_weekend, temp_corrected, late_class, round(delay_s, 6) AS delay_s
+FROM clean"""),
+    "stream_fan_out": O._with(O.raw_ctes(), """SELECT 'group_alpha' AS consumer, count(*) AS n FROM raw
+UNION ALL SELECT 'group_beta', count(*) FROM raw"""),
+}
