@@ -25,12 +25,13 @@ from sensorlake.schema import HISTORY_SECONDS
 def trailing_mean(df: DataFrame, width_seconds: float = HISTORY_SECONDS, value_col: str = "temperature",
                   key_col: str = "sensor_id", time_col: str = "event_time", use_col: str | None = None,
                   need_col: str | None = None, id_col: str = "event_id", out_col: str = "imputed",
-                  bucket_seconds: float | None = None) -> DataFrame:
+                  bucket_seconds: float | None = None, exclude_current: bool = False) -> DataFrame:
     """Add ``out_col`` = trailing mean for rows flagged ``need_col`` (NULL when no history).
 
     ``use_col`` flags rows whose value may serve as history (default: value and
     time present); ``need_col`` flags rows to fill (default: value missing,
-    time present). ``id_col`` must be unique per row.
+    time present). ``id_col`` must be unique per row. ``exclude_current``
+    leaves the row's own instant out of its frame (``[t - width, t)``).
     """
     w_us = int(round(width_seconds * 1_000_000))
     b_us = int(round((bucket_seconds or max(12 * width_seconds, 3600)) * 1_000_000))
@@ -56,8 +57,51 @@ def trailing_mean(df: DataFrame, width_seconds: float = HISTORY_SECONDS, value_c
             .otherwise(F.array(F.col(id_col).cast("long")))
         ).alias("_tm_pb"),
     )
-    w = Window.partitionBy("_tm_part", key_col, "_tm_pb").orderBy("_tm_t").rangeBetween(-w_us, 0)
+    w = Window.partitionBy("_tm_part", key_col, "_tm_pb").orderBy("_tm_t").rangeBetween(-w_us, -1 if exclude_current else 0)
     mean = F.avg(F.when(F.col("_tm_use"), F.col(value_col))).over(w)
     out = staged.withColumn("_tm_mean", mean).where(~F.col("_tm_part") | (F.col("_tm_pb") == F.col("_tm_own")))
     return out.withColumn(out_col, F.when(F.col("_tm_need"), F.col("_tm_mean"))).drop(
         "_tm_t", "_tm_part", "_tm_use", "_tm_need", "_tm_own", "_tm_pb", "_tm_mean")
+
+
+def trailing_mean_feedback(df: DataFrame, width_seconds: float = HISTORY_SECONDS, value_col: str = "temperature",
+                           key_col: str = "sensor_id", time_col: str = "event_time", use_col: str | None = None,
+                           need_col: str | None = None, id_col: str = "event_id", out_col: str = "imputed",
+                           bucket_seconds: float | None = None, max_rounds: int = 1000) -> DataFrame:
+    """Trailing mean where filled values count as history for later rows (in time order).
+
+    The value filled at ``t`` depends on values filled before ``t``, so this is
+    a recursion. It is solved as a fixed point of the bucketed window: round
+    ``r`` recomputes every fill from the observed values plus the fills of
+    round ``r-1``; after round ``r`` every chain of ``r`` dependent fills is
+    exact, and iteration stops when a round changes nothing (each round is one
+    distributed pass; lineage is cut by a reliable checkpoint per round).
+    ``max_rounds`` only guards against a non-terminating loop and raises.
+    """
+    from pyspark.sql import functions as F  # noqa: F811 - local alias for clarity
+
+    from sensorlake.session import checkpoint_root
+
+    checkpoint_root(df.sparkSession)
+    use = F.col(use_col) if use_col else (F.col(value_col).isNotNull() & F.col(time_col).isNotNull())
+    need = F.col(need_col) if need_col else (F.col(value_col).isNull() & F.col(time_col).isNotNull())
+    base = df.select("*", use.alias("_fb_use"), need.alias("_fb_need"))
+    # round 0: observed history only
+    cur = trailing_mean(base, width_seconds, value_col, key_col, time_col, "_fb_use", "_fb_need", id_col,
+                        "_fb_prev", bucket_seconds, exclude_current=True).checkpoint()
+    for _ in range(max_rounds):
+        step = cur.select(
+            "*",
+            F.when(F.col("_fb_use"), F.col(value_col)).otherwise(F.col("_fb_prev")).alias("_fb_val"),
+            (F.col("_fb_use") | (F.col("_fb_need") & F.col("_fb_prev").isNotNull())).alias("_fb_hist"),
+        )
+        nxt = trailing_mean(step.drop(value_col).withColumnRenamed("_fb_val", value_col), width_seconds, value_col,
+                            key_col, time_col, "_fb_hist", "_fb_need", id_col, "_fb_next", bucket_seconds,
+                            exclude_current=True)
+        nxt = nxt.drop(value_col, "_fb_hist").join(cur.select(id_col, value_col), id_col).checkpoint()
+        changed = nxt.where(~F.col("_fb_next").eqNullSafe(F.col("_fb_prev"))).limit(1).count()
+        cur = nxt.drop("_fb_prev").withColumnRenamed("_fb_next", "_fb_prev")
+        if changed == 0:
+            return cur.withColumn(out_col, F.col("_fb_prev")).drop("_fb_prev", "_fb_use", "_fb_need").select(
+                *df.columns, out_col)
+    raise RuntimeError(f"feedback imputation did not converge in {max_rounds} rounds")

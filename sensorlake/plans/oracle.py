@@ -184,6 +184,31 @@ def _imputed_sql(width: int) -> str:
 FROM annot WHERE is_first AND event_time IS NOT NULL AND temperature IS NULL""")
 
 
+def batch_log_sql(clean_ctes: list[str]) -> str:
+    return _with(clean_ctes + ["""per AS (
+  SELECT a.batch_id, count(*) AS raw_rows,
+    count(*) FILTER (WHERE outcome = 'kept') AS cleaned_rows,
+    count(*) FILTER (WHERE outcome = 'kept' AND temp_corrected) AS missing_corrected,
+    count(*) FILTER (WHERE outcome = 'duplicate') AS duplicates_removed,
+    count(*) FILTER (WHERE outcome IN ('bad_timestamp', 'out_of_range')) AS invalid_removed,
+    count(*) FILTER (WHERE outcome = 'no_history') AS dropped_insufficient_history,
+    coalesce(max(l.n_late), 0) AS late_accepted
+  FROM annot a LEFT JOIN (SELECT batch_id, count(*) FILTER (WHERE late_class = 'late_accepted') AS n_late
+                          FROM clean GROUP BY batch_id) l ON a.batch_id = l.batch_id
+  GROUP BY a.batch_id)"""], """SELECT batch_id,
+  CAST(raw_rows AS BIGINT) AS raw_rows, CAST(cleaned_rows AS BIGINT) AS cleaned_rows,
+  CAST(missing_corrected AS BIGINT) AS missing_corrected, CAST(duplicates_removed AS BIGINT) AS duplicates_removed,
+  CAST(invalid_removed AS BIGINT) AS invalid_removed,
+  CAST(dropped_insufficient_history AS BIGINT) AS dropped_insufficient_history,
+  CAST(late_accepted AS BIGINT) AS late_accepted,
+  CAST(sum(missing_corrected) OVER w AS BIGINT) AS total_missing_corrected,
+  CAST(sum(duplicates_removed) OVER w AS BIGINT) AS total_duplicates_removed,
+  CAST(sum(invalid_removed) OVER w AS BIGINT) AS total_invalid_removed,
+  CAST(sum(dropped_insufficient_history) OVER w AS BIGINT) AS total_dropped_insufficient_history,
+  CAST(sum(late_accepted) OVER w AS BIGINT) AS total_late_accepted
+FROM per WINDOW w AS (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+
+
 RAW = raw_ctes()
 ANNOT = RAW + annot_ctes(300)
 CLEAN = ANNOT + CLEAN_CTES
@@ -224,28 +249,7 @@ HAVING (epoch_us((SELECT max(event_time) FROM clean)) - epoch_us(max(event_time)
   UNION ALL SELECT 'Raw Records', count(*) FROM annot
   UNION ALL SELECT 'Cleaned Records', count(*) FILTER (WHERE outcome = 'kept') FROM annot)"""),
     "late_arrivals": _with(CLEAN, "SELECT event_id, batch_id, round(delay_s, 6) AS delay_s, late_class FROM clean"),
-    "batch_log": _with(CLEAN + ["""per AS (
-  SELECT a.batch_id, count(*) AS raw_rows,
-    count(*) FILTER (WHERE outcome = 'kept') AS cleaned_rows,
-    count(*) FILTER (WHERE outcome = 'kept' AND temp_corrected) AS missing_corrected,
-    count(*) FILTER (WHERE outcome = 'duplicate') AS duplicates_removed,
-    count(*) FILTER (WHERE outcome IN ('bad_timestamp', 'out_of_range')) AS invalid_removed,
-    count(*) FILTER (WHERE outcome = 'no_history') AS dropped_insufficient_history,
-    coalesce(max(l.n_late), 0) AS late_accepted
-  FROM annot a LEFT JOIN (SELECT batch_id, count(*) FILTER (WHERE late_class = 'late_accepted') AS n_late
-                          FROM clean GROUP BY batch_id) l ON a.batch_id = l.batch_id
-  GROUP BY a.batch_id)"""], """SELECT batch_id,
-  CAST(raw_rows AS BIGINT) AS raw_rows, CAST(cleaned_rows AS BIGINT) AS cleaned_rows,
-  CAST(missing_corrected AS BIGINT) AS missing_corrected, CAST(duplicates_removed AS BIGINT) AS duplicates_removed,
-  CAST(invalid_removed AS BIGINT) AS invalid_removed,
-  CAST(dropped_insufficient_history AS BIGINT) AS dropped_insufficient_history,
-  CAST(late_accepted AS BIGINT) AS late_accepted,
-  CAST(sum(missing_corrected) OVER w AS BIGINT) AS total_missing_corrected,
-  CAST(sum(duplicates_removed) OVER w AS BIGINT) AS total_duplicates_removed,
-  CAST(sum(invalid_removed) OVER w AS BIGINT) AS total_invalid_removed,
-  CAST(sum(dropped_insufficient_history) OVER w AS BIGINT) AS total_dropped_insufficient_history,
-  CAST(sum(late_accepted) OVER w AS BIGINT) AS total_late_accepted
-FROM per WINDOW w AS (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""),
+    "batch_log": batch_log_sql(CLEAN),
     "window_avg": _with(RAW + ELIG_CTES + ["""edd AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sensor_id, timestamp ORDER BY event_id) AS rn FROM elig)
   WHERE rn = 1)"""], """SELECT make_timestamp(epoch_us(event_time) // 300000000 * 300000000) AS window_start,

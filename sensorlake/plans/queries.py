@@ -242,3 +242,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "analytics_output": q_analytics_output,
     "workflow_report": q_workflow_report,
 }
+
+
+def q_imputed_feedback(spark, sf_dir):
+    """Feedback imputation (filled values enter the history), 5-minute width."""
+    from sensorlake.operators.impute import trailing_mean_feedback
+    from sensorlake.operators.quality import first_flags, in_range
+
+    d = first_flags(parsed(spark, sf_dir), DEDUP_KEYS, "event_id")
+    first, t, temp = F.col("is_first"), F.col("event_time"), F.col("temperature")
+    d = d.withColumn("_use", first & t.isNotNull() & temp.isNotNull() & in_range(temp)).withColumn(
+        "_need", first & t.isNotNull() & temp.isNull())
+    out = trailing_mean_feedback(d, FIVE_MIN, use_col="_use", need_col="_need").where("_need")
+    return finish(out.select("event_id", "sensor_id", "event_time", "imputed"), ts=["event_time"], rnd=["imputed"])
+
+
+QUERIES["imputed_feedback"] = q_imputed_feedback

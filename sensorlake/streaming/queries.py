@@ -169,6 +169,7 @@ FROM drops d"""),
                             """SELECT event_id, batch_id, sensor_id, event_time, round(temperature, 6) AS temperature,
   humidity, status, hour_of_day, day_of_week, is_weekend, temp_corrected, late_class, round(delay_s, 6) AS delay_s
 FROM clean"""),
+    "clean_stream_log": O.batch_log_sql(_NOLATE_FILES + O.annot_ctes(300) + O.CLEAN_CTES),
     "stream_fan_out": O._with(O.raw_ctes(), """SELECT 'group_alpha' AS consumer, count(*) AS n FROM raw
 UNION ALL SELECT 'group_beta', count(*) FROM raw"""),
 }
