@@ -28,13 +28,18 @@ def _combine(op: str, a: Column, b: Column) -> Column:
 
 def exclusive_prefix(df: DataFrame, order_col: str, values: Mapping[str, str],
                      group_cols: Sequence[str] = (), fanout: int = 65536, levels: int = 2,
-                     prefix: str = "prev_") -> DataFrame:
+                     prefix: str = "prev_", materialized: bool = True) -> DataFrame:
     """Add ``prev_<col>``: ``op(col)`` over rows of the same group with a smaller order value.
 
     ``values`` maps column -> ``max`` | ``min`` | ``sum``. Order values must be
     non-negative integers, unique within a group (one row per batch, say).
-    Rows with no predecessor get NULL.
+    Rows with no predecessor get NULL. The input is read by every level, so it
+    is stored once first (``materialized``; it is small - one row per batch).
     """
+    if materialized:
+        from sensorlake.session import materialize
+
+        df = materialize(df)
     groups = list(group_cols)
     cols = list(values)
     blk = [f"_blk{i}" for i in range(levels + 1)]

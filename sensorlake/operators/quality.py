@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sensorlake.functions.scalar import safe_rate, seconds_between
 from sensorlake.operators.prefix import exclusive_prefix
+from sensorlake.session import materialize
 from sensorlake.schema import (
     BAD_TIMESTAMP,
     DUPLICATE,
@@ -27,16 +28,21 @@ DEDUP_KEYS = ("sensor_id", "timestamp")
 
 
 def first_flags(df: DataFrame, keys: Sequence[str] = DEDUP_KEYS, order: str = "event_id",
-                flag: str = "is_first") -> DataFrame:
+                flag: str = "is_first", materialized: bool = True) -> DataFrame:
     """Mark the first arrival of every key (NULL-safe keys; ``order`` must be unique).
 
-    The first arrival per key comes from a grouped ``min`` (partially
-    aggregated before the shuffle, so a key with billions of copies costs one
-    row per task), and is joined back on the unique arrival id, which spreads
-    evenly - no task ever receives all copies of a hot key.
+    The rows are hash-partitioned by the unique arrival id once and stored
+    (``materialized``). From there the first arrival per key is found by a
+    grouped ``min`` (partially aggregated before its shuffle, so a key with
+    billions of copies costs one row per task) and joined back on the arrival
+    id without moving the wide rows again. The input is computed once, and no
+    task ever receives all copies of a hot key.
     """
-    firsts = df.groupBy(*keys).agg(F.min(order).alias(order)).select(order, F.lit(True).alias("_first"))
-    return (df.join(firsts, order, "left")
+    spread = df.repartition(order)
+    if materialized:
+        spread = materialize(spread)
+    firsts = spread.groupBy(*keys).agg(F.min(order).alias(order)).select(order, F.lit(True).alias("_first"))
+    return (spread.join(firsts, order, "left")
             .withColumn(flag, F.coalesce(F.col("_first"), F.lit(False))).drop("_first"))
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from sensorlake.functions.features import add_time_features
 from sensorlake.operators.impute import trailing_mean
 from sensorlake.operators.quality import DEDUP_KEYS, first_flags, in_range, late_arrivals, outcome_expr
+from sensorlake.session import materialize
 from sensorlake.schema import BAD_TIMESTAMP, DUPLICATE, HISTORY_SECONDS, KEPT, LATE_ACCEPTED, NO_HISTORY, OUT_OF_RANGE
 
 CLEAN_COLUMNS = ("event_id", "batch_id", "sensor_id", "event_time", "temperature", "humidity", "status",
@@ -23,21 +24,27 @@ CLEAN_COLUMNS = ("event_id", "batch_id", "sensor_id", "event_time", "temperature
 
 
 def annotate(parsed: DataFrame, width_seconds: float = HISTORY_SECONDS, order: str = "event_id",
-             bucket_seconds: float | None = None) -> DataFrame:
+             bucket_seconds: float | None = None, materialized: bool = True) -> DataFrame:
     """Every input row with ``is_first``, ``imputed``, ``outcome``, ``temp_corrected`` and the
-    filled ``temperature`` (the raw value stays in ``raw_temperature``)."""
+    filled ``temperature`` (the raw value stays in ``raw_temperature``).
+
+    The result feeds several consumers (late classes, counters, reports), so it
+    is stored once (``materialized``) instead of re-running the window per consumer.
+    """
     d = first_flags(parsed, DEDUP_KEYS, order)
     first, t, temp = F.col("is_first"), F.col("event_time"), F.col("temperature")
     d = d.withColumn("_use", first & t.isNotNull() & temp.isNotNull() & in_range(temp)).withColumn(
         "_need", first & t.isNotNull() & temp.isNull())
     d = trailing_mean(d, width_seconds, "temperature", use_col="_use", need_col="_need", id_col=order,
                       out_col="imputed", bucket_seconds=bucket_seconds).drop("_use", "_need")
-    return (
-        d.withColumn("outcome", outcome_expr(first, t, temp, F.col("imputed")))
-        .withColumn("temp_corrected", temp.isNull() & F.col("imputed").isNotNull())
-        .withColumnRenamed("temperature", "raw_temperature")
-        .withColumn("temperature", F.coalesce(F.col("raw_temperature"), F.col("imputed")))
+    out = d.select(
+        *[c for c in d.columns if c != "temperature"],
+        temp.alias("raw_temperature"),
+        outcome_expr(first, t, temp, F.col("imputed")).alias("outcome"),
+        (temp.isNull() & F.col("imputed").isNotNull()).alias("temp_corrected"),
+        F.coalesce(temp, F.col("imputed")).alias("temperature"),
     )
+    return materialize(out) if materialized else out
 
 
 def clean_from_annotated(annotated: DataFrame, batch_col: str = "batch_id") -> DataFrame:

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the semantics depend on (timestamps are wall-clock UTC text) or that
 # keep the plans adaptive (AQE coalesces tiny shuffles, splits skewed joins and
@@ -39,6 +39,9 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str
         .config("spark.driver.memory", os.environ.get("SENSORLAKE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        # small local inputs: keep enough post-shuffle tasks for the CPU-heavy per-row work
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
     )
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)
@@ -70,3 +73,14 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder below the shared checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once for several consumers and cut its lineage.
+
+    A reliable checkpoint into the shared checkpoint folder: every consumer
+    reads the stored rows (with the partitioning they were written in), and a
+    lost executor costs a re-read, not a recomputation of the upstream plan.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -18,7 +18,7 @@ Planting rules (FIXTURES.md F8):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sensorlake.operators.partitions import assign_partition
@@ -32,7 +32,7 @@ def plant_faults(events: DataFrame, batch_rows: int = 20, late: bool = True,
     """events -> readings with planted faults, in arrival order ``event_id``.
 
     Columns: event_id, batch_id, sensor_id, timestamp, temperature, humidity,
-    status, partition. Copies come from an equi-join on ids (no global lag).
+    status, partition. Copies come from a window over blocks of 100 ids (no global lag).
     """
     bucket = F.pmod(F.col("event_id"), F.lit(100))
     base = events.select(
@@ -66,11 +66,15 @@ def plant_faults(events: DataFrame, batch_rows: int = 20, late: bool = True,
         ts_text.alias("timestamp"), temperature.alias("temperature"), "humidity", "status",
     )
     reading = list(READING_FIELDS)
-    source = faulted.where(b == 9).select(F.col("event_id").alias("src_id"), *reading)
-    targets = faulted.where(b.isin(10, 11)).select(
-        "event_id", "batch_id", (F.col("event_id") - (F.col("bucket") - 9)).alias("src_id"))
-    copies = targets.join(source, "src_id").select("event_id", "batch_id", *reading)
-    rows = faulted.where(~b.isin(10, 11)).select("event_id", "batch_id", *reading).unionByName(copies)
+    # bucket 10/11 copy the reading of bucket 9 of the same hundred ids: a window over groups of at
+    # most 100 consecutive ids (bounded group size, one pass, no self-join)
+    century = Window.partitionBy(F.expr("event_id div 100"))
+    src = F.first(F.when(b == 9, F.struct(*[F.col(c) for c in reading])), ignorenulls=True).over(century)
+    copy = b.isin(10, 11)
+    rows = (faulted.withColumn("_src", F.when(copy, src))
+            .where(~copy | F.col("_src").isNotNull())
+            .select("event_id", "batch_id",
+                    *[F.when(copy, F.col(f"_src.{c}")).otherwise(F.col(c)).alias(c) for c in reading]))
     return rows.withColumn("partition", assign_partition(F.col("sensor_id"), n_partitions, F.col("event_id")))
 
 
