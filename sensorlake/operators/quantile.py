@@ -8,9 +8,10 @@ single task, so a group holding a third of the data breaks it. Here:
    equal-width bins, counts per bin (at most ``bins`` rows per group), picks
    the bin holding the wanted rank with a running count, and narrows the range
    to that bin's own min/max;
-3. after ``rounds`` rounds the remaining distinct values of the chosen bin are
-   ordered directly (each round shrinks the range by ``bins``, so only values
-   within range/bins**rounds of the answer remain).
+3. refinement stops once every chosen bin holds a single value (checked on the
+   few-row target table), else after ``rounds`` rounds; the distinct values left
+   in the chosen bin are then ordered directly (each round shrinks the range by
+   ``bins``, so only values within range/bins**rounds of the answer remain).
 
 The median of ``n`` values is the mean of the values at ranks
 ``floor((n+1)/2)`` and ``floor(n/2)+1`` (interpolated, as SQL ``median``).
@@ -27,7 +28,9 @@ def exact_median(long_df: DataFrame, group_col: str, value_col: str, out_col: st
     """(group, median) over non-NULL values of ``value_col``."""
     vals = long_df.where(F.col(value_col).isNotNull()).select(
         F.col(group_col).alias("_g"), F.col(value_col).cast("double").alias("_v"))
-    distinct = vals.groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    from sensorlake.session import materialize
+
+    distinct = materialize(vals.groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_c")))
     stats = distinct.groupBy("_g").agg(F.sum("_c").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     # two rank targets per group (equal when n is odd); params stay one row per target
     params = stats.select(
@@ -42,7 +45,10 @@ def exact_median(long_df: DataFrame, group_col: str, value_col: str, out_col: st
         # params are bounded by 2 x number of groups; the join keys spread by group
         return distinct.join(F.broadcast(p), "_g").where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
 
+    params = materialize(params)
     for _ in range(rounds):
+        if params.where(F.col("_lo") < F.col("_hi")).isEmpty():
+            break
         cand = in_range(params)
         width = F.col("_hi") - F.col("_lo")
         bin_ = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / width * bins),
@@ -54,6 +60,7 @@ def exact_median(long_df: DataFrame, group_col: str, value_col: str, out_col: st
         params = per_bin.where((F.col("_cum") - F.col("_bc") < F.col("_k")) & (F.col("_k") <= F.col("_cum"))).select(
             "_g", F.col("_blo").alias("_lo"), F.col("_bhi").alias("_hi"), "_tid",
             (F.col("_k") - (F.col("_cum") - F.col("_bc"))).alias("_k"))
+        params = materialize(params)
 
     cand = in_range(params)
     w = Window.partitionBy("_g", "_tid").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)

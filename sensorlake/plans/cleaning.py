@@ -47,9 +47,15 @@ def annotate(parsed: DataFrame, width_seconds: float = HISTORY_SECONDS, order: s
     return materialize(out) if materialized else out
 
 
-def clean_from_annotated(annotated: DataFrame, batch_col: str = "batch_id") -> DataFrame:
-    """Kept rows with late class and time features."""
+ANALYTIC_COLUMNS = tuple(c for c in CLEAN_COLUMNS if c not in ("late_class", "delay_s"))
+
+
+def clean_from_annotated(annotated: DataFrame, batch_col: str = "batch_id", late: bool = True) -> DataFrame:
+    """Kept rows with time features, and with the late class unless ``late=False``
+    (analytics do not need it, which spares the running maximum over batches)."""
     kept = annotated.where(F.col("outcome") == KEPT)
+    if not late:
+        return add_time_features(kept).select(*ANALYTIC_COLUMNS)
     return add_time_features(late_arrivals(kept, batch_col)).select(*CLEAN_COLUMNS)
 
 

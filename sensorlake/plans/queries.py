@@ -17,7 +17,7 @@ from sensorlake.functions.features import add_time_features, legacy_types
 from sensorlake.operators import analytics, partitions, quality, windows
 from sensorlake.operators.quality import DEDUP_KEYS
 from sensorlake.plans import cleaning, report
-from sensorlake.session import configure, scratch_dir
+from sensorlake.session import configure, materialize, scratch_dir
 from sensorlake.sources.fixtures import planted_readings
 from sensorlake.sources.log import SourceSpec, decode_envelope, read_bounded, to_envelope, write_log
 
@@ -49,14 +49,21 @@ def parsed(spark: SparkSession, sf_dir: str, late: bool = True, batch_rows: int
         "batch_id", F.expr(f"event_id div {int(batch_rows)}"))
 
 
-def annotated(spark, sf_dir, width=FIVE_MIN):
-    return cleaning.annotate(parsed(spark, sf_dir), width)
+def annotated(spark, sf_dir, width=FIVE_MIN, materialized=True):
+    return cleaning.annotate(parsed(spark, sf_dir), width, materialized=materialized)
 
 
 def clean(spark, sf_dir, width=FIVE_MIN):
+    """Cleaned rows with late classes (annotated rows are stored: two consumers)."""
     return cleaning.clean_from_annotated(annotated(spark, sf_dir, width))
 
 
+def analytic_rows(spark, sf_dir, width=FIVE_MIN, materialized=False):
+    """Cleaned rows without late classes; stored when the caller reads them more than once."""
+    rows = cleaning.clean_from_annotated(annotated(spark, sf_dir, width, materialized=False), late=False)
+    return materialize(rows) if materialized else rows
+
+
 def q_raw_readings(spark, sf_dir):
     return raw(spark, sf_dir).select("event_id", "batch_id", "sensor_id", "timestamp", "temperature",
                                      "humidity", "status", "partition")
@@ -119,15 +126,15 @@ def q_legacy_cleaned(spark, sf_dir):
 
 
 def q_sensor_stats(spark, sf_dir):
-    return finish(analytics.sensor_stats(clean(spark, sf_dir)), rnd=["avg_temperature"], longs=["readings"])
+    return finish(analytics.sensor_stats(analytic_rows(spark, sf_dir)), rnd=["avg_temperature"], longs=["readings"])
 
 
 def q_status_distribution(spark, sf_dir):
-    return finish(analytics.status_distribution(clean(spark, sf_dir)), longs=["n"])
+    return finish(analytics.status_distribution(analytic_rows(spark, sf_dir)), longs=["n"])
 
 
 def q_active_sensors(spark, sf_dir):
-    return finish(analytics.active_sensors(clean(spark, sf_dir)), ts=["last_event_time"])
+    return finish(analytics.active_sensors(analytic_rows(spark, sf_dir)), ts=["last_event_time"])
 
 
 def _late_drops(spark, sf_dir):
@@ -195,20 +202,21 @@ def q_quality_gate(spark, sf_dir):
 
 
 def q_summary_stats(spark, sf_dir):
-    return finish(analytics.summary_stats(clean(spark, sf_dir)), rnd=["mean", "median", "std"])
+    return finish(analytics.summary_stats(analytic_rows(spark, sf_dir, materialized=True)), rnd=["mean", "median", "std"])
 
 
 def q_correlation_matrix(spark, sf_dir):
-    return finish(analytics.correlation_matrix(clean(spark, sf_dir)), rnd=["r"])
+    return finish(analytics.correlation_matrix(analytic_rows(spark, sf_dir)), rnd=["r"])
 
 
 def q_analytics_output(spark, sf_dir):
-    return finish(report.analytics_output(clean(spark, sf_dir)), rnd=["value"])
+    return finish(report.analytics_output(analytic_rows(spark, sf_dir, materialized=True)), rnd=["value"])
 
 
 def q_workflow_report(spark, sf_dir):
     a = annotated(spark, sf_dir)
-    return finish(report.workflow_report(a, cleaning.clean_from_annotated(a)), rnd=["value"])
+    rows = materialize(cleaning.clean_from_annotated(a, late=False))
+    return finish(report.workflow_report(a, rows), rnd=["value"])
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
