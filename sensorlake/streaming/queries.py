@@ -26,6 +26,14 @@ from sensorlake.streaming.windowed import current_windows, start_windowed
 N_FILES = 10
 
 
+def _cores(spark: SparkSession) -> int:
+    """State partitions for the fixture streams: one per core of the cluster."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect)
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def stage(spark: SparkSession, sf_dir: str, late: bool) -> str:
     """Stage planted envelope rows as N_FILES successive file sets; return the folder."""
     configure(spark)
@@ -45,7 +53,7 @@ def parsed_stream(spark: SparkSession, path: str) -> DataFrame:
 def _windowed_run(spark, sf_dir, late):
     staged = stage(spark, sf_dir, late)
     out, ckpt = scratch_dir(spark, "windows"), scratch_dir(spark, "ckpt-windowed")
-    q = run_to_end(start_windowed(parsed_stream(spark, staged), out, ckpt))
+    q = run_to_end(start_windowed(parsed_stream(spark, staged), out, ckpt, state_partitions=_cores(spark)))
     return q, out
 
 
@@ -75,7 +83,8 @@ def q_dedup_watermark_stream(spark, sf_dir):
     out, ckpt = scratch_dir(spark, "dedup"), scratch_dir(spark, "ckpt-dedup")
     plan = dedup_watermark(watermarked(eligible(parsed_stream(spark, staged)))).select(
         "sensor_id", "timestamp", "event_time")
-    run_to_end(start(plan, SinkSpec(name="dedup_query", checkpoint=ckpt, format="parquet", path=out)))
+    run_to_end(start(plan, SinkSpec(name="dedup_query", checkpoint=ckpt, format="parquet", path=out),
+                     state_partitions=_cores(spark)))
     return finish(spark.read.parquet(out), ts=["event_time"])
 
 

@@ -10,13 +10,29 @@ from pyspark.sql.streaming import StreamingQuery
 from sensorlake.sources.log import SinkSpec
 
 
-def start(df: DataFrame, sink: SinkSpec, batch_fn: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
+def start(df: DataFrame, sink: SinkSpec, batch_fn: Callable[[DataFrame, int], None] | None = None,
+          state_partitions: int | None = None) -> StreamingQuery:
     """Start ``df`` as a named query with its own checkpoint.
 
     ``sink.format == "foreachBatch"`` hands every micro-batch to ``batch_fn``
     (which must be idempotent per batch id). ``processing_time=None`` runs
-    everything available now and stops.
+    everything available now and stops. ``state_partitions`` sets the number of
+    shuffle/state-store partitions of a new query (Spark fixes it in the
+    checkpoint at the first start); ``None`` keeps the session's value.
     """
+    spark = df.sparkSession
+    if state_partitions is None:
+        return _start(df, sink, batch_fn)
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(int(state_partitions)))
+    try:
+        return _start(df, sink, batch_fn)   # the stream snapshots the session conf when it starts
+    finally:
+        spark.conf.set(key, before)
+
+
+def _start(df: DataFrame, sink: SinkSpec, batch_fn) -> StreamingQuery:
     w = df.writeStream.queryName(sink.name).outputMode(sink.mode).option("checkpointLocation", sink.checkpoint)
     for k, v in sink.options.items():
         w = w.option(k, str(v))

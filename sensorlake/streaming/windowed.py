@@ -37,11 +37,12 @@ def upsert_log_writer(path: str):
 
 def start_windowed(parsed_stream: DataFrame, path: str, checkpoint: str, name: str = "windowed_query",
                    mode: str = "update", processing_time: str | None = None,
-                   width: str = WINDOW_WIDTH, delay: str = WATERMARK_DELAY) -> StreamingQuery:
+                   width: str = WINDOW_WIDTH, delay: str = WATERMARK_DELAY,
+                   state_partitions: int | None = None) -> StreamingQuery:
     """Start the windowed query writing an upsert log to ``path``."""
     sink = SinkSpec(name=name, checkpoint=checkpoint, mode=mode, format="foreachBatch",
                     processing_time=processing_time)
-    return start(windowed_plan(parsed_stream, width, delay), sink, upsert_log_writer(path))
+    return start(windowed_plan(parsed_stream, width, delay), sink, upsert_log_writer(path), state_partitions)
 
 
 def current_windows(spark: SparkSession, path: str) -> DataFrame:
