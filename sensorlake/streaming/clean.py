@@ -28,6 +28,7 @@ from sensorlake.operators.impute import trailing_mean
 from sensorlake.operators.prefix import inclusive_prefix
 from sensorlake.operators.quality import DEDUP_KEYS, first_flags, in_range, outcome_expr
 from sensorlake.plans.cleaning import CLEAN_COLUMNS
+from sensorlake.session import materialize
 from sensorlake.schema import (
     BAD_TIMESTAMP,
     DUPLICATE,
@@ -124,10 +125,11 @@ class CleanStream:
             current = current.unionByName(hist)
         imputed = trailing_mean(current, self.width_seconds, "temperature", use_col="_use", need_col="_need",
                                 id_col=self.order, out_col="imputed")
-        annotated = (imputed.where(~F.col("_hist")).drop("_hist", "_use", "_need")
-                     .withColumn("outcome", outcome_expr(first, t, temp, F.col("imputed")))
-                     .withColumn("temp_corrected", temp.isNull() & F.col("imputed").isNotNull())
-                     .withColumn("temperature", F.coalesce(temp, F.col("imputed"))))
+        # stored once: the three writes below all read it
+        annotated = materialize(imputed.where(~F.col("_hist")).drop("_hist", "_use", "_need")
+                                .withColumn("outcome", outcome_expr(first, t, temp, F.col("imputed")))
+                                .withColumn("temp_corrected", temp.isNull() & F.col("imputed").isNotNull())
+                                .withColumn("temperature", F.coalesce(temp, F.col("imputed"))))
 
         # 3. late class against earlier batches' running maximum (one value)
         if _exists(spark, self.log_path):
@@ -157,9 +159,8 @@ class CleanStream:
             F.count_if(o.isin(BAD_TIMESTAMP, OUT_OF_RANGE)).cast("long").alias("invalid_removed"),
             F.count_if(o == NO_HISTORY).cast("long").alias("dropped_insufficient_history"),
             F.max(F.when(o == KEPT, t)).alias("max_event_time"),
-        ).withColumn("late_accepted", spark.read.parquet(self.cleaned_path)
-                     .where((F.col("batch_id") == n) & (F.col("late_class") == LATE_ACCEPTED))
-                     .agg(F.count(F.lit(1)).cast("long")).scalar())
+        ).withColumn("late_accepted", clean.agg(
+            F.count_if(F.col("late_class") == LATE_ACCEPTED).cast("long")).scalar())
          .withColumn("batch_id", F.lit(n).cast("long"))
          .write.mode("overwrite").partitionBy("batch_id").parquet(self.log_path))
 
