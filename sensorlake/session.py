@@ -40,6 +40,7 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config("spark.checkpoint.compress", "true")
         # small local inputs: keep enough post-shuffle tasks for the CPU-heavy per-row work
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
     )
