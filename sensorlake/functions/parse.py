@@ -29,8 +29,12 @@ def parse_readings(df: DataFrame, schema: StructType = READING, value_col: str =
 
     A malformed message yields all-NULL fields, a wrongly typed field yields
     NULL for that field only. ``keep`` lists envelope columns to carry along
-    (e.g. ``partition``, ``offset``). The struct is expanded in a single
-    projection so the JSON is parsed once per row.
+    (e.g. ``partition``, ``offset``).
+
+    The struct is expanded by a generator (``inline`` of a one-element array):
+    later filters on the reading's fields cannot be pushed below a generator,
+    so the JSON is parsed exactly once per row instead of once per predicate
+    plus once for the projection.
     """
     parsed = F.from_json(F.col(value_col).cast("string"), schema)
-    return df.select(*keep, parsed.alias("_reading")).select(*keep, "_reading.*")
+    return df.select(*keep, F.inline(F.array(parsed)))

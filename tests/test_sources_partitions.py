@@ -9,9 +9,10 @@ from sensorlake.sources.log import SourceSpec, decode_envelope, read_partitions,
 
 def test_permissive_json(spark):
     df = spark.createDataFrame([("{bad",), ('{"sensor_id": 7, "temperature": "12.5"}',),
-                                ('{"temperature": NaN, "extra": 1}',)], "value string")
-    r = parse_readings(df).collect()
-    assert all(v is None for v in r[0])
+                                ('{"temperature": NaN, "extra": 1}',), (None,)], "value string")
+    r = parse_readings(df, keep=("value",)).collect()
+    assert len(r) == 4                                  # a NULL message is kept as a row of NULLs
+    assert all(v is None for v in r[0][1:]) and all(v is None for v in r[3])
     assert r[1].sensor_id == "7" and r[1].temperature is None
     assert r[2].temperature != r[2].temperature   # NaN
 
