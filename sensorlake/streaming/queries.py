@@ -19,6 +19,7 @@ from sensorlake.session import configure, scratch_dir
 from sensorlake.sources.fixtures import planted_readings, stage_files
 from sensorlake.sources.log import SinkSpec, SourceSpec, decode_envelope, read_stream, to_envelope
 from sensorlake.streaming import clean as cs
+from sensorlake.streaming.fanout import fan_out
 from sensorlake.streaming.metrics import batch_drops, performance, progress_frame, state_snapshot
 from sensorlake.streaming.runner import run_to_end, start
 from sensorlake.streaming.windowed import current_windows, start_windowed
@@ -109,14 +110,14 @@ def q_clean_stream_log(spark, sf_dir):
 def q_stream_fan_out(spark, sf_dir):
     """Two reader groups on one source, each with its own checkpoint: both see every record."""
     staged = stage(spark, sf_dir, late=True)
-    counts = None
-    for group in ("group_alpha", "group_beta"):
-        out, ckpt = scratch_dir(spark, f"fan-{group}"), scratch_dir(spark, f"ckpt-{group}")
-        run_to_end(start(parsed_stream(spark, staged), SinkSpec(name=group, checkpoint=ckpt, format="parquet",
-                                                                path=out)))
-        c = spark.read.parquet(out).agg(F.count(F.lit(1)).alias("n")).select(F.lit(group).alias("consumer"), "n")
-        counts = c if counts is None else counts.unionByName(c)
-    return counts
+    groups = ("group_alpha", "group_beta")
+    sinks = {g: SinkSpec(name=g, checkpoint=scratch_dir(spark, f"ckpt-{g}"), format="parquet",
+                         path=scratch_dir(spark, f"fan-{g}")) for g in groups}
+    for q in fan_out(parsed_stream(spark, staged), sinks).values():
+        run_to_end(q)
+    counts = [spark.read.parquet(sinks[g].path).agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit(g).alias("consumer"), "n") for g in groups]
+    return counts[0].unionByName(counts[1])
 
 
 def q_progress_log(spark, sf_dir):
