@@ -117,7 +117,8 @@ class CleanStream:
         if _exists(spark, self.cleaned_path) and span["tmin"] is not None:
             lo = F.lit(span["tmin"]) - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(self.width_seconds))
             hist = (spark.read.parquet(self.cleaned_path)
-                    .where(F.col("event_day").isin(hist_dates) & (F.col("batch_id") < n) & (F.col("event_time") >= lo))
+                    .where(F.col("event_day").isin(hist_dates) & (F.col("batch_id") < n) & (F.col("event_time") >= lo)
+                           & ~F.col("temp_corrected"))      # observed readings only, never earlier fills
                     .select("event_id", "sensor_id", "event_time", "temperature"))
             hist = hist.select(*[F.col(c) if c in hist.columns else F.lit(None).cast(current.schema[c].dataType).alias(c)
                                  for c in flagged.columns],

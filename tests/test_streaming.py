@@ -52,3 +52,26 @@ def test_replayed_batch_is_idempotent(spark):
     fn(parsed.where((F.col("event_id") >= per) & (F.col("event_id") < 2 * per)), 1)   # replay batch 1
     assert cs.cleaned_table(spark, root).count() == first
     assert cs.batch_log_table(spark, root).orderBy("batch_id").collect() == log1
+
+
+def test_history_across_batches_uses_observed_readings_only(spark):
+    rows = [
+        (0, "s1", "2024-01-01 10:00:00", 20.0),
+        (1, "s1", "2024-01-01 10:01:00", None),     # batch 0: filled with 20
+        (2, "s1", "2024-01-01 10:02:00", None),     # batch 1: history is {20} only, not the fill of row 1
+        (3, "s1", "2024-01-01 10:02:30", 40.0),
+        (4, "s1", "2024-01-01 10:03:00", None),     # batch 1: mean{20, 40}
+    ]
+    df = spark.createDataFrame([(i, k, t, v, 50.0, "active") for i, k, t, v in rows],
+                               "event_id long, sensor_id string, timestamp string, temperature double, "
+                               "humidity double, status string")
+    from sensorlake.functions.parse import with_event_time
+
+    parsed = with_event_time(df)
+    root = scratch_dir(spark, "t-hist")
+    fn = cs.CleanStream(root)
+    fn(parsed.where("event_id < 2"), 0)
+    fn(parsed.where("event_id >= 2"), 1)
+    got = {r.event_id: r.temperature for r in cs.cleaned_table(spark, root).collect()}
+    assert got[1] == 20.0 and got[2] == 20.0
+    assert got[4] == 30.0                           # 26.67 if the earlier fill leaked into the history
