@@ -35,34 +35,29 @@ def trailing_mean(df: DataFrame, width_seconds: float = HISTORY_SECONDS, value_c
     """
     w_us = int(round(width_seconds * 1_000_000))
     b_us = int(round((bucket_seconds or max(12 * width_seconds, 3600)) * 1_000_000))
-    t = F.unix_micros(F.col(time_col))
-    use = F.col(use_col) if use_col else (F.col(value_col).isNotNull() & F.col(time_col).isNotNull())
-    need = F.col(need_col) if need_col else (F.col(value_col).isNull() & F.col(time_col).isNotNull())
-
-    def bucket_of(us):
-        return (us - F.pmod(us, F.lit(b_us))).cast("long") / F.lit(b_us)
-
-    own = bucket_of(t).cast("long")
-    last = bucket_of(t + F.lit(w_us)).cast("long")
-    staged = df.select(
+    # column logic as SQL expressions (one JVM call each while the plan is built)
+    use = f"`{use_col}`" if use_col else f"(`{value_col}` IS NOT NULL AND `{time_col}` IS NOT NULL)"
+    need = f"`{need_col}`" if need_col else f"(`{value_col}` IS NULL AND `{time_col}` IS NOT NULL)"
+    t = f"unix_micros(`{time_col}`)"
+    own = f"(({t} - pmod({t}, {b_us})) div {b_us})"
+    last = f"((({t} + {w_us}) - pmod({t} + {w_us}, {b_us})) div {b_us})"
+    staged = df.selectExpr(
         "*",
-        t.alias("_tm_t"),
-        (use | need).alias("_tm_part"),
-        use.alias("_tm_use"),
-        need.alias("_tm_need"),
-        own.alias("_tm_own"),
-        F.explode(
-            F.when(use, F.sequence(own, last))
-            .when(need, F.array(own))
-            .otherwise(F.array(F.col(id_col).cast("long")))
-        ).alias("_tm_pb"),
+        f"{t} AS _tm_t",
+        f"({use} OR {need}) AS _tm_part",
+        f"{use} AS _tm_use",
+        f"{need} AS _tm_need",
+        f"{own} AS _tm_own",
+        f"explode(CASE WHEN {use} THEN sequence({own}, {last}) WHEN {need} THEN array({own}) "
+        f"ELSE array(CAST(`{id_col}` AS BIGINT)) END) AS _tm_pb",
     )
-    w = Window.partitionBy("_tm_part", key_col, "_tm_pb").orderBy("_tm_t").rangeBetween(-w_us, -1 if exclude_current else 0)
-    mean = F.avg(F.when(F.col("_tm_use"), F.col(value_col))).over(w)
-    out = staged.withColumn("_tm_mean", mean).where(~F.col("_tm_part") | (F.col("_tm_pb") == F.col("_tm_own")))
-    return out.withColumn(out_col, F.when(F.col("_tm_need"), F.col("_tm_mean"))).drop(
-        "_tm_t", "_tm_part", "_tm_use", "_tm_need", "_tm_own", "_tm_pb", "_tm_mean")
-
+    upper = -1 if exclude_current else 0
+    frame = (f"PARTITION BY _tm_part, `{key_col}`, _tm_pb ORDER BY _tm_t "
+             f"RANGE BETWEEN {w_us} PRECEDING AND {'1 PRECEDING' if upper else 'CURRENT ROW'}")
+    out = staged.selectExpr("*", f"avg(CASE WHEN _tm_use THEN `{value_col}` END) OVER ({frame}) AS _tm_mean")
+    out = out.where("NOT _tm_part OR _tm_pb = _tm_own")
+    keep = [f"`{c}`" for c in df.columns if c != out_col]
+    return out.selectExpr(*keep, f"CASE WHEN _tm_need THEN _tm_mean END AS `{out_col}`")
 
 def trailing_mean_feedback(df: DataFrame, width_seconds: float = HISTORY_SECONDS, value_col: str = "temperature",
                            key_col: str = "sensor_id", time_col: str = "event_time", use_col: str | None = None,

@@ -17,6 +17,13 @@ from sensorlake.functions.scalar import safe_rate
 from sensorlake.schema import LOG_PARTITIONS, READER_COUNTS
 
 
+def partition_sql(key: str, n: int = LOG_PARTITIONS, fallback: str | None = None) -> str:
+    """SQL text of ``assign_partition`` for column names (same hash, same result)."""
+    h = f"pmod(CAST(conv(substring(md5(CAST({key} AS STRING)), 1, 8), 16, 10) AS BIGINT), {int(n)})"
+    other = f"pmod(CAST({fallback} AS BIGINT), {int(n)})" if fallback else "0"
+    return f"CAST(coalesce({h}, {other}) AS INT)"
+
+
 def assign_partition(key: Column, n: int = LOG_PARTITIONS, fallback: Column | None = None) -> Column:
     """Partition number in [0, n) of a key; NULL keys spread by ``fallback`` (arrival id)."""
     h = F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("long")

@@ -12,18 +12,19 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_AGG = {"max": F.max, "sum": F.sum, "min": F.min}
+_OPS = ("max", "min", "sum")
 
 
-def _combine(op: str, a: Column, b: Column) -> Column:
+def _combine(op: str, a: str, b: str) -> str:
+    """SQL for combining two partial aggregates (NULL = nothing seen)."""
     if op == "max":
-        return F.greatest(a, b)
+        return f"greatest({a}, {b})"
     if op == "min":
-        return F.least(a, b)
-    return F.when(a.isNull() & b.isNull(), F.lit(None)).otherwise(F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)))
+        return f"least({a}, {b})"
+    return f"CASE WHEN {a} IS NULL AND {b} IS NULL THEN NULL ELSE coalesce({a}, 0) + coalesce({b}, 0) END"
 
 
 def exclusive_prefix(df: DataFrame, order_col: str, values: Mapping[str, str],
@@ -40,36 +41,40 @@ def exclusive_prefix(df: DataFrame, order_col: str, values: Mapping[str, str],
         from sensorlake.session import materialize
 
         df = materialize(df)
-    groups = list(group_cols)
+    groups = [f"`{g}`" for g in group_cols]
     cols = list(values)
+    if any(values[c] not in _OPS for c in cols):
+        raise ValueError(f"ops must be one of {_OPS}")
     blk = [f"_blk{i}" for i in range(levels + 1)]
-    base = df.withColumn(blk[0], F.col(order_col).cast("long"))
-    for i in range(1, levels + 1):
-        base = base.withColumn(blk[i], F.expr(f"{blk[i - 1]} div {int(fanout)}"))
+    orig = [f"`{c}`" for c in df.columns]
+    base = df.selectExpr("*", f"CAST(`{order_col}` AS BIGINT) AS {blk[0]}",
+                         *[f"CAST(`{order_col}` AS BIGINT) div {int(fanout) ** i} AS {blk[i]}"
+                           for i in range(1, levels + 1)])
 
-    def running(frame: DataFrame, within: list[str], order: str) -> DataFrame:
-        w = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        return frame.select(*frame.columns, *[_AGG[values[c]](c).over(w).alias(f"_p_{c}") for c in cols])
+    def running(within: list[str], order: str, c: str) -> str:
+        part = f"PARTITION BY {', '.join(within)} " if within else ""
+        return (f"{values[c]}(`{c}`) OVER ({part}ORDER BY {order} "
+                "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
 
     # level 0: inside blocks of `fanout` consecutive order values
-    out = running(base, groups + [blk[1]], blk[0])
-    out = out.select(*base.columns, *[F.col(f"_p_{c}").alias(f"_acc_{c}") for c in cols])
-    totals = base.groupBy(*groups, *blk[1:]).agg(*[_AGG[values[c]](c).alias(c) for c in cols])
+    keep = orig + blk
+    out = base.selectExpr(*keep, *[f"{running(groups + [blk[1]], blk[0], c)} AS _acc_{i}" for i, c in enumerate(cols)])
+    totals = base.groupBy(*[F.col(g.strip("`")) for g in groups], *blk[1:]).agg(
+        *[F.expr(f"{values[c]}(`{c}`)").alias(c) for c in cols])
     for lvl in range(1, levels + 1):
         within = groups + ([blk[lvl + 1]] if lvl < levels else [])
-        level = running(totals, within, blk[lvl]).select(
-            *groups, blk[lvl], *[F.col(f"_p_{c}").alias(f"_l_{c}") for c in cols])
-        out = out.join(level, groups + [blk[lvl]], "left")
-        out = out.select(*base.columns, *[
-            _combine(values[c], F.col(f"_acc_{c}"), F.col(f"_l_{c}")).alias(f"_acc_{c}") for c in cols])
+        level = totals.selectExpr(*groups, blk[lvl],
+                                  *[f"{running(within, blk[lvl], c)} AS _l_{i}" for i, c in enumerate(cols)])
+        out = out.join(level, [g.strip("`") for g in groups] + [blk[lvl]], "left").selectExpr(
+            *keep, *[f"{_combine(values[c], f'_acc_{i}', f'_l_{i}')} AS _acc_{i}" for i, c in enumerate(cols)])
         if lvl < levels:
-            totals = totals.groupBy(*groups, *blk[lvl + 1:]).agg(*[_AGG[values[c]](c).alias(c) for c in cols])
-    return out.select(*df.columns, *[F.col(f"_acc_{c}").alias(f"{prefix}{c}") for c in cols])
-
+            totals = totals.groupBy(*[F.col(g.strip("`")) for g in groups], *blk[lvl + 1:]).agg(
+                *[F.expr(f"{values[c]}(`{c}`)").alias(c) for c in cols])
+    return out.selectExpr(*orig, *[f"_acc_{i} AS `{prefix}{c}`" for i, c in enumerate(cols)])
 
 def inclusive_prefix(df: DataFrame, order_col: str, values: Mapping[str, str],
                      group_cols: Sequence[str] = (), prefix: str = "cum_", **kw) -> DataFrame:
     """Running aggregate including the row itself (``cum_<col>``)."""
     out = exclusive_prefix(df, order_col, values, group_cols, prefix="_ex_", **kw)
-    return out.select(*df.columns, *[
-        _combine(op, F.col(f"_ex_{c}"), F.col(c)).alias(f"{prefix}{c}") for c, op in values.items()])
+    return out.selectExpr(*[f"`{c}`" for c in df.columns], *[
+        f"{_combine(op, f'`_ex_{c}`', f'`{c}`')} AS `{prefix}{c}`" for c, op in values.items()])

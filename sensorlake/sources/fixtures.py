@@ -18,10 +18,10 @@ Planting rules (FIXTURES.md F8):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlake.operators.partitions import assign_partition
+from sensorlake.operators.partitions import partition_sql
 from sensorlake.schema import BAD_TIMESTAMP_TEXT, LOG_PARTITIONS, NUM_SENSORS, OUT_OF_RANGE_VALUES, READING_FIELDS
 
 TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -34,48 +34,45 @@ def plant_faults(events: DataFrame, batch_rows: int = 20, late: bool = True,
     Columns: event_id, batch_id, sensor_id, timestamp, temperature, humidity,
     status, partition. Copies come from a window over blocks of 100 ids (no global lag).
     """
-    bucket = F.pmod(F.col("event_id"), F.lit(100))
-    base = events.select(
+    # column logic as SQL expressions: one JVM call per expression when the plan is built
+    back = "pmod(batch_id, 10) + 6"
+    shift = f"make_dt_interval(0, 0, {back}, 0)" if late_unit == "minutes" else f"make_dt_interval({back}, 0, 0, 0)"
+    late_case = f"WHEN bucket IN (20, 40, 60) THEN date_format(ts - {shift}, '{TEXT_FORMAT}')" if late else ""
+    bad_values = ", ".join(f"CAST({v!r} AS DOUBLE)" for v in OUT_OF_RANGE_VALUES)
+    base = events.selectExpr(
         "event_id",
-        F.expr(f"event_id div {int(batch_rows)}").alias("batch_id"),
-        bucket.alias("bucket"),
+        f"event_id div {int(batch_rows)} AS batch_id",
+        "pmod(event_id, 100) AS bucket",
         "ts",
-        F.concat(F.lit("sensor_"), (F.pmod(F.col("user_id"), F.lit(NUM_SENSORS)) + 1).cast("string")).alias("sensor_id"),
-        (F.col("value") / 5).alias("temperature0"),
-        F.get_json_object("props", "$.k").cast("double").alias("humidity"),
-        F.col("event_type").alias("status"),
+        f"concat('sensor_', CAST(pmod(user_id, {NUM_SENSORS}) + 1 AS STRING)) AS sensor_id",
+        "value / 5 AS temperature0",
+        "CAST(get_json_object(props, '$.k') AS DOUBLE) AS humidity",
+        "event_type AS status",
     )
-    b = F.col("bucket")
-    back = F.pmod(F.col("batch_id"), F.lit(10)) + 6
-    zero = F.lit(0)
-    shift = (F.make_dt_interval(zero, zero, back, zero) if late_unit == "minutes"
-             else F.make_dt_interval(back, zero, zero, zero))
-    shifted = F.col("ts") - shift
-    ts_text = F.when(b.isin(5, 6), F.lit(BAD_TIMESTAMP_TEXT))
-    if late:
-        ts_text = ts_text.when(b.isin(20, 40, 60), F.date_format(shifted, TEXT_FORMAT))
-    ts_text = ts_text.otherwise(F.date_format(F.col("ts"), TEXT_FORMAT))
-    bad_values = F.array(*[F.lit(v).cast("double") for v in OUT_OF_RANGE_VALUES])
-    temperature = (
-        F.when(b.isin(0, 1, 2), F.lit(None).cast("double"))
-        .when(b.isin(3, 4), F.element_at(bad_values, (F.pmod(F.col("event_id"), F.lit(4)) + 1).cast("int")))
-        .otherwise(F.col("temperature0"))
-    )
-    faulted = base.select(
+    faulted = base.selectExpr(
         "event_id", "batch_id", "bucket", "sensor_id",
-        ts_text.alias("timestamp"), temperature.alias("temperature"), "humidity", "status",
+        f"CASE WHEN bucket IN (5, 6) THEN '{BAD_TIMESTAMP_TEXT}' {late_case} "
+        f"ELSE date_format(ts, '{TEXT_FORMAT}') END AS `timestamp`",
+        "CASE WHEN bucket IN (0, 1, 2) THEN CAST(NULL AS DOUBLE) "
+        f"WHEN bucket IN (3, 4) THEN element_at(array({bad_values}), CAST(pmod(event_id, 4) + 1 AS INT)) "
+        "ELSE temperature0 END AS temperature",
+        "humidity", "status",
     )
-    reading = list(READING_FIELDS)
     # bucket 10/11 copy the reading of bucket 9 of the same hundred ids: a window over groups of at
     # most 100 consecutive ids (bounded group size, one pass, no self-join)
-    century = Window.partitionBy(F.expr("event_id div 100"))
-    src = F.first(F.when(b == 9, F.struct(*[F.col(c) for c in reading])), ignorenulls=True).over(century)
-    copy = b.isin(10, 11)
-    rows = (faulted.withColumn("_src", F.when(copy, src))
-            .where(~copy | F.col("_src").isNotNull())
-            .select("event_id", "batch_id",
-                    *[F.when(copy, F.col(f"_src.{c}")).otherwise(F.col(c)).alias(c) for c in reading]))
-    return rows.withColumn("partition", assign_partition(F.col("sensor_id"), n_partitions, F.col("event_id")))
+    fields = ", ".join(f"`{c}`" for c in READING_FIELDS)
+    rows = (
+        faulted.selectExpr(
+            "*",
+            f"CASE WHEN bucket IN (10, 11) THEN first(CASE WHEN bucket = 9 THEN struct({fields}) END, true) "
+            "OVER (PARTITION BY event_id div 100) END AS _src")
+        .where("bucket NOT IN (10, 11) OR _src IS NOT NULL")
+        .selectExpr(
+            "event_id", "batch_id",
+            *[f"CASE WHEN bucket IN (10, 11) THEN _src.`{c}` ELSE `{c}` END AS `{c}`" for c in READING_FIELDS])
+        .selectExpr("*", f"{partition_sql('sensor_id', n_partitions, 'event_id')} AS partition")
+    )
+    return rows
 
 
 def spread_small_input(df: DataFrame) -> DataFrame:

@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlake.functions.parse import event_time_expr, parse_readings
-from sensorlake.operators.partitions import assign_partition
-from sensorlake.schema import ENVELOPE_FILE, LOG_PARTITIONS, READING, READING_FIELDS
+from sensorlake.operators.partitions import partition_sql
+from sensorlake.schema import ENVELOPE_FILE, LOG_PARTITIONS, READING, READING_FIELDS, TIMESTAMP_PATTERN
 
 
 @dataclass(frozen=True)
@@ -115,18 +115,17 @@ def to_envelope(df: DataFrame, key: str = "sensor_id", topic: str = "readings",
     hash of the key so one sensor's records stay in one partition, in order.
     ``offset`` is the arrival id (monotone within a partition).
     """
-    k = F.col(key).cast("string")
-    return df.select(
-        F.when(k.isNull() | (k == ""), F.lit(None)).otherwise(k).cast("binary").alias("key"),
-        F.to_json(F.struct(*[F.col(c) for c in fields]), {"ignoreNullFields": "false"})
-        .cast("binary").alias("value"),
-        F.lit(topic).alias("topic"),
-        assign_partition(F.col(key), n_partitions, F.col(offset_col) if offset_col else None).alias("partition"),
-        (F.col(offset_col).cast("long") if offset_col else F.lit(None).cast("long")).alias("offset"),
-        event_time_expr(F.col("timestamp")).alias("timestamp"),
+    fields_sql = ", ".join(f"`{c}`" for c in fields)
+    offset = f"CAST(`{offset_col}` AS BIGINT)" if offset_col else "CAST(NULL AS BIGINT)"
+    return df.selectExpr(
+        f"CAST(nullif(CAST(`{key}` AS STRING), '') AS BINARY) AS key",
+        f"CAST(to_json(struct({fields_sql}), map('ignoreNullFields', 'false')) AS BINARY) AS value",
+        f"'{topic}' AS topic",
+        f"{partition_sql(f'`{key}`', n_partitions, f'`{offset_col}`' if offset_col else None)} AS partition",
+        f"{offset} AS offset",
+        f"try_to_timestamp(`timestamp`, '{TIMESTAMP_PATTERN}') AS `timestamp`",
     )
 
-
 def decode_envelope(env: DataFrame, keep: Sequence[str] = ("partition", "offset")) -> DataFrame:
     """Envelope -> readings with ``event_time`` (parse once, expand once)."""
     parsed = parse_readings(env, READING, "value", keep=keep)
