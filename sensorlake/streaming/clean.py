@@ -3,8 +3,9 @@
 Per batch ``N`` (inside ``foreachBatch``):
 
 1. first arrival per (sensor_id, timestamp) inside the batch, then a NULL-safe
-   anti-match against the key ledger (keys of batches < N, only the event
-   dates this batch touches are read);
+   anti-match against the key ledger (keys of batches < N; only the event
+   days this batch touches are read, and within them only the timestamp
+   range it spans, pruned by Parquet statistics);
 2. the trailing-mean history is the batch itself plus the slice of the cleaned
    table within ``width`` before the batch's earliest event time;
 3. late class against the greatest kept event time of batches < N (one value
@@ -89,6 +90,8 @@ class CleanStream:
             F.collect_set(_day(F.col("event_time") - F.make_dt_interval(
                 F.lit(0), F.lit(0), F.lit(0), F.lit(self.width_seconds)))).alias("hist_dates"),
             F.min("event_time").alias("tmin"),
+            F.min(F.when(F.col("event_time").isNotNull(), F.col("timestamp"))).alias("ts_lo"),
+            F.max(F.when(F.col("event_time").isNotNull(), F.col("timestamp"))).alias("ts_hi"),
             F.count(F.lit(1)).alias("n"),
         ).first()
         if span is None or span["n"] == 0:
@@ -99,8 +102,12 @@ class CleanStream:
         # 1. dedup: in-batch first arrival, then not seen in any earlier batch
         flagged = first_flags(rows, DEDUP_KEYS, self.order, "_in_batch_first")
         if _exists(spark, self.ledger_path):
+            # the timestamp text sorts like the time, and a batch's keys span a narrow range: the range
+            # filter reaches the Parquet scan, whose min/max statistics skip older ledger files
+            in_range_keys = (F.col("event_day") == NO_DAY) | F.col("timestamp").between(
+                F.lit(span["ts_lo"]), F.lit(span["ts_hi"]))
             seen = (spark.read.parquet(self.ledger_path)
-                    .where(F.col("event_day").isin(dates) & (F.col("batch_id") < n))
+                    .where(F.col("event_day").isin(dates) & (F.col("batch_id") < n) & in_range_keys)
                     .select(*[F.col(k).alias(f"_seen_{k}") for k in DEDUP_KEYS]).withColumn("_seen", F.lit(True)))
             cond = [F.col(k).eqNullSafe(F.col(f"_seen_{k}")) for k in DEDUP_KEYS]
             flagged = flagged.join(seen, cond, "left").drop(*[f"_seen_{k}" for k in DEDUP_KEYS])
