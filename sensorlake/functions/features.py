@@ -8,14 +8,9 @@ from pyspark.sql import functions as F
 
 def add_time_features(df: DataFrame, time_col: str = "event_time") -> DataFrame:
     """hour_of_day 0-23, day_of_week Monday=0..Sunday=6, is_weekend 1 if Saturday/Sunday."""
-    t = F.col(time_col)
-    dow = F.weekday(t)
-    return (
-        df.withColumn("hour_of_day", F.hour(t))
-        .withColumn("day_of_week", dow)
-        .withColumn("is_weekend", F.when(dow >= 5, F.lit(1)).otherwise(F.lit(0)))
-    )
-
+    t = f"`{time_col}`"
+    return df.selectExpr("*", f"hour({t}) AS hour_of_day", f"weekday({t}) AS day_of_week",
+                         f"CASE WHEN weekday({t}) >= 5 THEN 1 ELSE 0 END AS is_weekend")
 
 def legacy_types(df: DataFrame) -> DataFrame:
     """The reference's on-disk cleaned form: nine columns, features as DOUBLE,

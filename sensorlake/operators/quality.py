@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorlake.functions.scalar import safe_rate, seconds_between
+from sensorlake.functions.scalar import safe_rate
 from sensorlake.operators.prefix import exclusive_prefix
 from sensorlake.session import materialize
 from sensorlake.schema import (
@@ -56,6 +56,20 @@ def in_range(temp: Column, lo: float = TEMP_MIN, hi: float = TEMP_MAX) -> Column
     return temp.between(F.lit(lo), F.lit(hi)) & ~F.isnan(temp)
 
 
+def in_range_sql(col: str, lo: float = TEMP_MIN, hi: float = TEMP_MAX) -> str:
+    """SQL text of ``in_range``."""
+    return f"({col} BETWEEN {lo!r} AND {hi!r} AND NOT isnan({col}))"
+
+
+def outcome_sql(is_first: str = "is_first", event_time: str = "event_time", temperature: str = "temperature",
+                imputed: str = "imputed") -> str:
+    """SQL text of ``outcome_expr`` (same rules, same order)."""
+    filled = f"coalesce({temperature}, {imputed})"
+    return (f"CASE WHEN NOT {is_first} THEN '{DUPLICATE}' WHEN {event_time} IS NULL THEN '{BAD_TIMESTAMP}' "
+            f"WHEN {filled} IS NULL THEN '{NO_HISTORY}' WHEN NOT {in_range_sql(filled)} THEN '{OUT_OF_RANGE}' "
+            f"ELSE '{KEPT}' END")
+
+
 def outcome_expr(is_first: Column, event_time: Column, temperature: Column, imputed: Column) -> Column:
     """First rule wins: duplicate -> bad_timestamp -> no_history -> out_of_range -> kept."""
     filled = F.coalesce(temperature, imputed)
@@ -79,18 +93,17 @@ def late_arrivals(kept: DataFrame, batch_col: str = "batch_id", time_col: str =
     blocked prefix over the one-row-per-batch table, never a single-task window.
     """
     per_batch = kept.groupBy(batch_col).agg(F.max(time_col).alias("_bmax"))
-    prev = exclusive_prefix(per_batch, batch_col, {"_bmax": "max"}).select(
-        batch_col, F.col("prev__bmax").alias("_prev_max"))
-    t, m = F.col(time_col), F.col("_prev_max")
-    late = m.isNotNull() & (t < m)
-    delay = F.when(late, seconds_between(m, t)).otherwise(F.lit(0.0))
-    return (
-        kept.join(prev, batch_col, "left")
-        .withColumn("delay_s", delay)
-        .withColumn("late_class", F.when(~late, F.lit(ON_TIME))
-                    .when(F.col("delay_s") <= accept_seconds, F.lit(LATE_ACCEPTED))
-                    .otherwise(F.lit(TOO_LATE)))
-        .drop("_prev_max")
+    prev = exclusive_prefix(per_batch, batch_col, {"_bmax": "max"}).selectExpr(
+        f"`{batch_col}`", "prev__bmax AS _prev_max")
+    t = f"`{time_col}`"
+    late = f"(_prev_max IS NOT NULL AND {t} < _prev_max)"
+    delay = f"CASE WHEN {late} THEN (unix_micros(_prev_max) - unix_micros({t})) / 1e6 ELSE 0.0 END"
+    cols = [f"`{c}`" for c in kept.columns]
+    return kept.join(prev, batch_col, "left").selectExpr(
+        *cols,
+        f"{delay} AS delay_s",
+        f"CASE WHEN NOT {late} THEN '{ON_TIME}' WHEN {delay} <= {float(accept_seconds)!r} THEN '{LATE_ACCEPTED}' "
+        f"ELSE '{TOO_LATE}' END AS late_class",
     )
 
 

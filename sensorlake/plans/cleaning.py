@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from sensorlake.functions.features import add_time_features
 from sensorlake.operators.impute import trailing_mean
-from sensorlake.operators.quality import DEDUP_KEYS, first_flags, in_range, late_arrivals, outcome_expr
+from sensorlake.operators.quality import DEDUP_KEYS, first_flags, in_range_sql, late_arrivals, outcome_sql
 from sensorlake.session import materialize
 from sensorlake.schema import BAD_TIMESTAMP, DUPLICATE, HISTORY_SECONDS, KEPT, LATE_ACCEPTED, NO_HISTORY, OUT_OF_RANGE
 
@@ -32,21 +32,20 @@ def annotate(parsed: DataFrame, width_seconds: float = HISTORY_SECONDS, order: s
     is stored once (``materialized``) instead of re-running the window per consumer.
     """
     d = first_flags(parsed, DEDUP_KEYS, order)
-    first, t, temp = F.col("is_first"), F.col("event_time"), F.col("temperature")
-    d = d.withColumn("_use", first & t.isNotNull() & temp.isNotNull() & in_range(temp)).withColumn(
-        "_need", first & t.isNotNull() & temp.isNull())
+    valid_time = "is_first AND event_time IS NOT NULL"
+    d = d.selectExpr("*", f"{valid_time} AND temperature IS NOT NULL AND {in_range_sql('temperature')} AS _use",
+                     f"{valid_time} AND temperature IS NULL AS _need")
     d = trailing_mean(d, width_seconds, "temperature", use_col="_use", need_col="_need", id_col=order,
-                      out_col="imputed", bucket_seconds=bucket_seconds).drop("_use", "_need")
-    out = d.select(
-        *[c for c in d.columns if c != "temperature"],
-        temp.alias("raw_temperature"),
-        outcome_expr(first, t, temp, F.col("imputed")).alias("outcome"),
-        (temp.isNull() & F.col("imputed").isNotNull()).alias("temp_corrected"),
-        F.coalesce(temp, F.col("imputed")).alias("temperature"),
+                      out_col="imputed", bucket_seconds=bucket_seconds)
+    out = d.selectExpr(
+        *[f"`{c}`" for c in d.columns if c not in ("temperature", "_use", "_need")],
+        "temperature AS raw_temperature",
+        f"{outcome_sql()} AS outcome",
+        "temperature IS NULL AND imputed IS NOT NULL AS temp_corrected",
+        "coalesce(temperature, imputed) AS temperature",
     )
     return materialize(out) if materialized else out
 
-
 ANALYTIC_COLUMNS = tuple(c for c in CLEAN_COLUMNS if c not in ("late_class", "delay_s"))
 
 
