@@ -23,8 +23,16 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_store(spark, store)
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents linked by 4-word shingle sets of similarity 0.8 or more."""
+    from sensorlake.llm.chosen_path import near_duplicates
+
+    return near_duplicates(documents(spark, sf_dir), k=4)
+
+
 LLM_QUERIES = {
     "op1_token_store": op1_token_store,
+    "op9_near_duplicates": op9_near_duplicates,
 }
 
 LLM_ORACLE_SQL: dict[str, str] = {}
