@@ -21,11 +21,15 @@ an empty table gives an empty manifest; columns other than doc_id and text are i
 from __future__ import annotations
 
 import hashlib
+import os
+import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,20 +45,30 @@ HEAD = len(MAGIC) + 32 + 1
 ENTRY = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("offset", "<u8"), ("size", "<u4"), ("n", "<u4")])
 FOOTER = "<QQ"
 MANIFEST = "part long, path string, n_docs long, n_tokens long, bytes long, min_id long, max_id long"
-#: white space that every tokenizer here drops between words; texts are cut only there
-CUT = str.maketrans({"\n": " ", "\t": " ", "\r": " "})
+#: a word of Latin letters with marks after it: word-level tokenizers encode the two parts apart
+LETTERS_MARKS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-;=?@\[-`{}~]*)")
+
+
+def byte_letters() -> dict[int, str]:
+    """Code point -> the letters that byte-level models use for its UTF-8 bytes (Latin range).
+
+    A byte that prints stands for itself; the others take the code points from 256 on, in byte order.
+    """
+    prints = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(prints)]
+    letter = {b: chr(b) for b in prints} | {b: chr(256 + i) for i, b in enumerate(others)}
+    return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
 
 
 class WordEncoder:
     """ids of a text, word by word, for tokenizers that never join or see across white space.
 
-    Each distinct word is tokenized once per process; the table of known words
-    is emptied when it holds ``keep`` entries, so memory stays bounded.
+    Each distinct word is tokenized once; words of letters and marks share the
+    ids of their parts if the tokenizer keeps those apart (tried on a probe when it is loaded). The tables of known words
+    and parts are emptied when they hold ``keep`` entries, so memory stays bounded.
     """
 
-    def __init__(self, path: str, end_id: int, keep: int = 300_000):
-        import os
-
+    def __init__(self, path: str, end_id: int, keep: int = 250_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -62,25 +76,58 @@ class WordEncoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.end = np.array([end_id], self.dtype).tobytes()
         self.keep = keep
+        self.code = {2: "H", 4: "I"}[self.dtype.itemsize]
         self.known: dict[str, bytes] = {"": b""}
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        known, out = self.known, []
-        for text in texts:
-            parts = (text or "").translate(CUT).split(" ") if text else []
-            try:
-                out.append(b"".join([known[w] for w in parts]) + self.end)
-                continue
-            except KeyError:
-                pass
-            if len(known) > self.keep:
-                known.clear()
-                known[""] = b""
-            new = [w for w in dict.fromkeys(parts) if w not in known]
-            for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, self.dtype).tobytes()
-            out.append(b"".join([known[w] for w in parts]) + self.end)
-        return out
+        self.parts: dict[str, bytes] = {"": b""}
+        self.letters = byte_letters()
+        probes = ("Thing", ""), ("thing", ","), ("Één", "##&"), ("großÜber", "!!"), ("a", ".")
+        self.by_parts = all(self._plain(a + b) == self._letters(a.lower()) + self._plain(b) for a, b in probes)
+
+    def _plain(self, word: str) -> bytes:
+        return array(self.code, self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+
+    def _letters(self, word: str) -> bytes:
+        if not word.isascii():
+            word = word.translate(self.letters)
+        return array(self.code, [t.id for t in self.tokenizer.model.tokenize(word)]).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        m = self.by_parts and LETTERS_MARKS.fullmatch(word)
+        if not m:
+            return self._plain(word)
+        letters, marks = m[1].lower(), m[2]
+        a = self.parts.get(letters)
+        if a is None:
+            a = self.parts[letters] = self._letters(letters)
+        b = self.parts.get(marks)
+        if b is None:
+            b = self.parts[marks] = self._plain(marks)
+        return a + b
+
+    def encode(self, text: str | None) -> bytes:
+        if not text:
+            return self.end
+        known, parts = self.known, text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        try:
+            return b"".join([known[w] for w in parts]) + self.end
+        except KeyError:
+            pass
+        if len(known) > self.keep:
+            known.clear()
+            known[""] = b""
+        if len(self.parts) > self.keep:
+            self.parts.clear()
+            self.parts[""] = b""
+        for w in parts:
+            if w not in known:
+                known[w] = self._word(w)
+        return b"".join([known[w] for w in parts]) + self.end
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str, end_id: int) -> WordEncoder:
+    """One per process: workers are reused by many tasks."""
+    return WordEncoder(path, end_id)
 
 
 @dataclass(frozen=True)
@@ -115,10 +162,10 @@ def train_dictionary(docs: DataFrame, tokenizer_path: str, end_id: int, sample_d
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        enc, arrays, left = WordEncoder(tokenizer_path, end_id), [], 64 * dict_bytes
+        enc, arrays, left = encoder(tokenizer_path, end_id), [], 64 * dict_bytes
         for b in batches:
-            for ids in enc.encode(b.column(0).to_pylist()):
-                arrays.append(ids[:dict_bytes])
+            for text in b.column(0):
+                arrays.append(enc.encode(text.as_py())[:dict_bytes])
                 left -= len(arrays[-1])
                 if left < 0:
                     break
@@ -149,7 +196,7 @@ def write_store(docs: DataFrame, tokenizer_path: str, end_id: int, root: str | N
         import zstandard
         from pyspark import TaskContext
 
-        enc = WordEncoder(tokenizer_path, end_id)
+        enc = encoder(tokenizer_path, end_id)
         packer = zstandard.ZstdCompressor(
             level=level, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None)
         part, out, index, at, path = TaskContext.get().partitionId(), None, [], HEAD, ""
@@ -160,8 +207,8 @@ def write_store(docs: DataFrame, tokenizer_path: str, end_id: int, root: str | N
                 path = f"{root}/shards/part-{part:06d}-{uuid.uuid4().hex}.tok"
                 out = open_file(path, "w")
                 out.write(MAGIC + digest + bytes([enc.dtype.itemsize]))
-            ids = b.column(0).to_pylist()
-            for i, raw in zip(ids, enc.encode(b.column(1).to_pylist()), strict=True):
+            for i, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                raw = enc.encode(text.as_py())
                 frame = packer.compress(raw)
                 out.write(frame)
                 index.append((i or 0, i is None, at, len(frame), len(raw) // enc.dtype.itemsize))
@@ -182,7 +229,7 @@ def write_store(docs: DataFrame, tokenizer_path: str, end_id: int, root: str | N
     keyed = docs.withColumn("h", F.xxhash64("text"))
     (keyed.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
      .mapInArrow(write, MANIFEST).write.parquet(f"{root}/manifest"))
-    width = WordEncoder(tokenizer_path, end_id).dtype.itemsize
+    width = encoder(tokenizer_path, end_id).dtype.itemsize
     return TokenStore(root, dictionary, width)
 
 
