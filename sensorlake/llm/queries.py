@@ -23,6 +23,13 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_store(spark, store)
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base statistics of all documents and the verdict of the learned decision list."""
+    from sensorlake.llm.quality_rules import quality
+
+    return quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents linked by 4-word shingle sets of similarity 0.8 or more."""
     from sensorlake.llm.chosen_path import near_duplicates
@@ -32,6 +39,7 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op1_token_store": op1_token_store,
+    "op4_quality_rules": op4_quality_rules,
     "op9_near_duplicates": op9_near_duplicates,
 }
 
