@@ -37,10 +37,18 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), k=4)
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the item and the measured overlaps."""
+    from sensorlake.llm.decontaminate import contaminated
+
+    return contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 LLM_QUERIES = {
     "op1_token_store": op1_token_store,
     "op4_quality_rules": op4_quality_rules,
     "op9_near_duplicates": op9_near_duplicates,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 LLM_ORACLE_SQL: dict[str, str] = {}

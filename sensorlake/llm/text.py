@@ -66,10 +66,10 @@ def slices(offsets: np.ndarray, limit: int = 1 << 18) -> Iterator[tuple[int, int
         i = min(j, n)
 
 
-def words(data: np.ndarray, offsets: np.ndarray, i: int, j: int):
+def words(data: np.ndarray, offsets: np.ndarray, i: int, j: int, space: np.ndarray = SPACE):
     """Words ``[^\\x20\\x09-\\x0D]+`` of rows [i, j), A-Z lower-cased for the hash.
 
-    Returns (starts, ends, row, hashes): byte positions within the slice that
+    ``space`` marks the bytes that separate words. Returns (starts, ends, row, hashes): byte positions within the slice that
     begins at ``offsets[i]``, the row of each word, and a 64-bit hash of it.
     """
     base = int(offsets[i])
@@ -77,7 +77,7 @@ def words(data: np.ndarray, offsets: np.ndarray, i: int, j: int):
     if not len(b):
         none = np.zeros(0, np.int64)
         return none, none, none, np.zeros(0, np.uint64)
-    word = ~SPACE[b]
+    word = ~space[b]
     first = np.zeros(len(b) + 1, bool)
     first[offsets[i:j] - base] = True  # a row starts here
     begins = word.copy()
