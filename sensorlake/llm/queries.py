@@ -23,6 +23,13 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_store(spark, store)
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data spans of all documents."""
+    from sensorlake.llm.pii import find
+
+    return find(documents(spark, sf_dir))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base statistics of all documents and the verdict of the learned decision list."""
     from sensorlake.llm.quality_rules import quality
@@ -46,6 +53,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op1_token_store": op1_token_store,
+    "op3_pii": op3_pii,
     "op4_quality_rules": op4_quality_rules,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_decontaminate": op10_decontaminate,
