@@ -60,7 +60,7 @@ def set_key(u: np.ndarray) -> bytes:
 
 
 def features(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n_shingles, sid (128-bit set key; null for the empty set), sig (minwise signature)."""
+    """doc_id, key (hash of doc_id and text), n_shingles, sid (128-bit set key; null for the empty set), sig (minwise signature)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -79,11 +79,11 @@ def features(docs: DataFrame, k: int) -> DataFrame:
                     keys[i + r] = set_key(u)
             empty = n == 0
             sigs = [None if e else s for e, s in zip(empty, map(np.ndarray.tobytes, sig), strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())],
-                                             names=["doc_id", "n_shingles", "sid", "sig"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(n), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())],
+                                             names=["doc_id", "key", "n_shingles", "sid", "sig"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, n_shingles long, sid binary, sig binary")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64("doc_id", "text").alias("key")).mapInArrow(
+        run, "doc_id long, key long, n_shingles long, sid binary, sig binary")
 
 
 def _children(rows: DataFrame, seeds: str) -> DataFrame:
@@ -262,9 +262,11 @@ def _large_links(big: DataFrame, vertices: DataFrame, docs: DataFrame, k: int, p
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, trees: int = 6, picks: int = 2, leaf: int = 64,
-                    depth: int = 4, task_shingles: int = 1_000_000) -> DataFrame:
+                    depth: int = 4, task_shingles: int = 1_000_000, with_key: bool = False) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable), kept (doc_id = component_id).
 
+    ``with_key`` adds key (hash of doc_id and text) and root (one value for each component, also for rows
+    whose doc_id is null), which tell rows with a null or repeated doc_id apart.
     ``percent``: sets link when 100 * intersection >= percent * union. ``task_shingles`` bounds the
     shingles that one confirming task holds.
     """
@@ -274,10 +276,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, trees: int =
     near = components(candidate_links(vertices, percent / 100, trees, picks, leaf, depth))
     clusters = near.selectExpr("u AS sid", "v AS c").unionAll(near.select(F.col("v").alias("sid"), F.col("v").alias("c")).distinct())
     links = components(confirmed_links(clusters, vertices, docs, k, percent, task_shingles))
-    roots = feats.select("doc_id", "n_shingles", "sid").join(links.selectExpr("u AS sid", "v AS root"), "sid", "left").withColumn(
-        "root", F.coalesce("root", "sid"))
+    roots = feats.select("doc_id", "key", "n_shingles", "sid").join(links.selectExpr("u AS sid", "v AS root"), "sid", "left").withColumn(
+        "root", F.expr("coalesce(root, sid, to_binary(CAST(key AS STRING), 'utf-8'))"))
     smallest = vertices.select("sid", F.col("doc_id").alias("least")).join(links.selectExpr("u AS sid", "v AS root"), "sid", "left").groupBy(
         F.coalesce("root", "sid").alias("root")).agg(F.min("least").alias("component_id"))
     return roots.join(smallest, "root", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")).withColumn(
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), *(["key", "root"] if with_key else [])).withColumn(
         "kept", F.expr("doc_id <=> component_id"))

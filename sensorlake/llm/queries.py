@@ -37,6 +37,13 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Length bucket, batch and slot of every document."""
+    from sensorlake.llm.packing import pack
+
+    return pack(documents(spark, sf_dir))
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents linked by 4-word shingle sets of similarity 0.8 or more."""
     from sensorlake.llm.chosen_path import near_duplicates
@@ -55,6 +62,7 @@ LLM_QUERIES = {
     "op1_token_store": op1_token_store,
     "op3_pii": op3_pii,
     "op4_quality_rules": op4_quality_rules,
+    "op7_packing": op7_packing,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_decontaminate": op10_decontaminate,
 }
