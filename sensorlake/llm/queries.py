@@ -23,6 +23,13 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_store(spark, store)
 
 
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned from the ones that are not held out."""
+    from sensorlake.llm.langid import identify
+
+    return identify(documents(spark, sf_dir))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data spans of all documents."""
     from sensorlake.llm.pii import find
@@ -60,6 +67,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op1_token_store": op1_token_store,
+    "op2_langid": op2_langid,
     "op3_pii": op3_pii,
     "op4_quality_rules": op4_quality_rules,
     "op7_packing": op7_packing,
