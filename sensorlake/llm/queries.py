@@ -44,6 +44,13 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and recurrent-network log10 probability of every whole text."""
+    from sensorlake.llm.gru_lm import score_documents
+
+    return score_documents(documents(spark, sf_dir))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Length bucket, batch and slot of every document."""
     from sensorlake.llm.packing import pack
@@ -70,6 +77,7 @@ LLM_QUERIES = {
     "op2_langid": op2_langid,
     "op3_pii": op3_pii,
     "op4_quality_rules": op4_quality_rules,
+    "op5_lm_score": op5_lm_score,
     "op7_packing": op7_packing,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_decontaminate": op10_decontaminate,
