@@ -6,8 +6,9 @@
 2. ``trees`` independent trees branch the vertices: a node picks ``picks``
    signature coordinates by its own hash, and a vertex goes to the children
    named by its minwise tokens there. Nodes of one vertex end; nodes of up to
-   ``leaf`` vertices are compared exhaustively on signatures; larger ones branch again. Nodes still large at
-   ``depth`` (vertices that agree in ``depth`` tokens) are linked to their first vertex unseen.
+   ``leaf`` vertices are compared exhaustively on signatures; larger ones branch again, unless half
+   of their vertices are alike to the first: such a dense node, and a node still large at ``depth``, is linked to
+   its first vertex as a whole (a superset of its similar pairs, one link per vertex).
    A pair of similarity s survives a level of one tree unless none of its
    picks agree, (1-s)**picks, so a tree loses it with q = ((1-s) + s*q)**picks
    at most (0.0625 at 0.8 with two picks) and all trees with q**trees.
@@ -102,6 +103,13 @@ def candidate_links(vertices: DataFrame, threshold: float, trees: int, picks: in
     pick_seeds = "array(" + ",".join(map(str, range(picks))) + ")"
     rows = stored(_children(vertices.select("sid", "sig", F.lit(None).cast("long").alias("node")), tree_seeds), "paths")
     leaves, links = [], []
+
+    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                near = (matrix(b.column(0), "<u4", COORDS) == matrix(b.column(1), "<u4", COORDS)).mean(axis=1) >= slack
+                yield pa.RecordBatch.from_arrays([b.column(0), *b.columns[2:], pa.array(near)], names=["sig", "node", "sid", "near"])
+
     for level in range(depth):
         sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
         sized = stored(rows.join(sizes, "node"), "nodes")
@@ -113,7 +121,13 @@ def candidate_links(vertices: DataFrame, threshold: float, trees: int, picks: in
             first = large.groupBy("node").agg(F.min("sid").alias("v"))
             links.append(large.join(first, "node").selectExpr("sid AS u", "v"))
         else:
-            rows = stored(_children(large.select("node", "sid").join(vertices.select("sid", "sig"), "sid"), pick_seeds), "paths")
+            full = large.select("node", "sid").join(vertices.select("sid", "sig"), "sid")
+            firsts = full.groupBy("node").agg(F.min_by("sig", "sid").alias("first_sig"))
+            marked = stored(full.join(firsts, "node").select("sig", "first_sig", "node", "sid").mapInArrow(
+                agree, "sig binary, node long, sid binary, near boolean"), "marked")
+            dense = marked.groupBy("node").agg(F.avg(F.col("near").cast("int")).alias("share"), F.min("sid").alias("v")).filter("share >= 0.5")
+            links.append(marked.join(dense, "node").selectExpr("sid AS u", "v"))
+            rows = stored(_children(marked.join(dense, "node", "left_anti"), pick_seeds), "paths")
     small = leaves[0]
     for more in leaves[1:]:
         small = small.unionAll(more)
@@ -190,7 +204,8 @@ def _with_sets(members: DataFrame, docs: DataFrame, k: int, extra: str) -> DataF
 
     names = [c.split()[0] for c in extra.split(", ")]
     text = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return members.join(text, "doc_id").select("text", *names).mapInArrow(run, f"{extra}, set binary")
+    # the same plan at every size: texts are dealt by doc_id, the narrow members are the hashed side
+    return text.join(members.hint("shuffle_hash"), "doc_id").select("text", *names).mapInArrow(run, f"{extra}, set binary")
 
 
 def _arrays(column: pa.ChunkedArray) -> list[np.ndarray]:
