@@ -51,6 +51,13 @@ def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(documents(spark, sf_dir))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the 200-byte strings that start more than once."""
+    from sensorlake.llm.suffix_dedup import remove_repeats
+
+    return remove_repeats(documents(spark, sf_dir))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Length bucket, batch and slot of every document."""
     from sensorlake.llm.packing import pack
@@ -78,6 +85,7 @@ LLM_QUERIES = {
     "op3_pii": op3_pii,
     "op4_quality_rules": op4_quality_rules,
     "op5_lm_score": op5_lm_score,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_packing": op7_packing,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_decontaminate": op10_decontaminate,

@@ -142,8 +142,17 @@ class TokenStore:
         return spark.read.schema(MANIFEST).parquet(f"{self.root}/manifest")
 
 
+def _at(path: str):
+    return pafs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+
+
+def remove_file(path: str) -> None:
+    fs, inner = _at(path)
+    fs.delete_file(inner)
+
+
 def open_file(path: str, mode: str):
-    fs, inner = pafs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+    fs, inner = _at(path)
     if mode == "w":
         fs.create_dir(inner.rsplit("/", 1)[0], recursive=True)
         return fs.open_output_stream(inner)
