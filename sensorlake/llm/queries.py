@@ -65,6 +65,13 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
 
 
+def op8_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations as tool exchanges: calls linked, ordered, validated and serialised."""
+    from sensorlake.llm.tool_calls import EXCHANGE, as_tool_messages, link_tool_calls
+
+    return link_tool_calls(as_tool_messages(spark.read.parquet(f"{sf_dir}/conversations.parquet")), EXCHANGE)
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents linked by 4-word shingle sets of similarity 0.8 or more."""
     from sensorlake.llm.chosen_path import near_duplicates
@@ -87,8 +94,35 @@ LLM_QUERIES = {
     "op5_lm_score": op5_lm_score,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_packing": op7_packing,
+    "op8_tool_calls": op8_tool_calls,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_decontaminate": op10_decontaminate,
 }
 
-LLM_ORACLE_SQL: dict[str, str] = {}
+LLM_ORACLE_SQL: dict[str, str] = {
+    "op8_tool_calls": """
+        WITH m AS (SELECT conv_id::BIGINT AS conv_id, turn::BIGINT AS turn, role, coalesce(text, '') AS text FROM conversations),
+        calls AS (
+            SELECT conv_id, turn, conv_id || ':' || turn AS call_id, text,
+                   CASE role WHEN 'user' THEN 'reply' ELSE 'configure' END AS name,
+                   role = 'user' AND EXISTS (SELECT 1 FROM m s WHERE s.conv_id = m.conv_id AND s.role = 'system' AND s.turn = 0) AS waits
+            FROM m WHERE role IN ('user', 'system')),
+        results AS (
+            SELECT conv_id, turn, conv_id || ':' || (turn - 1) AS call_id, text FROM m WHERE role = 'assistant'),
+        answers AS (
+            SELECT call_id, count(*) AS n_results, arg_min(text, turn) AS content FROM results GROUP BY call_id),
+        linked AS (
+            SELECT c.*, a.n_results, a.content,
+                   CASE WHEN name = 'reply' AND (length(text) = 0 OR length(text) > 1200) THEN 'invalid_arguments'
+                        WHEN a.n_results IS NULL THEN 'missing_result' ELSE 'ok' END AS status
+            FROM calls c LEFT JOIN answers a USING (call_id))
+        SELECT conv_id, call_id, turn, name, status, (CASE WHEN waits THEN 1 ELSE 0 END)::BIGINT AS level,
+               coalesce(n_results, 0)::BIGINT AS n_results,
+               '{"arguments":{"text":' || to_json(text)::VARCHAR || CASE WHEN name = 'reply' THEN ',"turn":' || turn ELSE '' END || '},"id":"' || call_id
+                   || '","name":"' || name || '","result":' || coalesce(to_json(content)::VARCHAR, 'null') || ',"status":"' || status || '"}' AS record
+        FROM linked
+        UNION ALL
+        SELECT r.conv_id, r.call_id, r.turn, NULL, 'orphan_result', NULL, 1,
+               '{"arguments":null,"id":"' || r.call_id || '","name":null,"result":' || to_json(r.text)::VARCHAR || ',"status":"orphan_result"}'
+        FROM results r WHERE NOT EXISTS (SELECT 1 FROM calls c WHERE c.call_id = r.call_id)""",
+}
