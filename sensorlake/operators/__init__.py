@@ -8,14 +8,13 @@ from sensorlake.operators.analytics import (  # noqa: F401
     summary_stats,
 )
 from sensorlake.operators.impute import trailing_mean  # noqa: F401
-from sensorlake.operators.partitions import assign_partition, counts, delivery_check, reader_load, skew  # noqa: F401
+from sensorlake.operators.partitions import counts, delivery_check, reader_load, skew  # noqa: F401
 from sensorlake.operators.prefix import exclusive_prefix, inclusive_prefix  # noqa: F401
-from sensorlake.operators.quality import dedup_first, first_flags, gate, late_arrivals, outcome_expr  # noqa: F401
+from sensorlake.operators.quality import dedup_first, first_flags, gate, late_arrivals, outcome_sql  # noqa: F401
 from sensorlake.operators.quantile import exact_median  # noqa: F401
 from sensorlake.operators.windows import (  # noqa: F401
     dedup_watermark,
     eligible,
-    expected_late_drops,
     tumbling_avg,
     watermarked,
     window_avg_batch,

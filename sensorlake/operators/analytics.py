@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import product
+from itertools import combinations_with_replacement, product
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,7 +61,7 @@ def summary_stats(clean: DataFrame, cols: Sequence[str] = FEATURES) -> DataFrame
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in cols])).alias("_x")
     ).select("_x.feature", "_x.v")
     med = exact_median(long_vals, "feature", "v", "median")
-    return stats.join(F.broadcast(med), "feature", "left").select(
+    return stats.join(med, "feature", "left").select(
         "feature", "mean", "median", "std", F.col("n").cast("long").alias("n"))
 
 
@@ -71,7 +71,7 @@ def correlation_matrix(clean: DataFrame, cols: Sequence[str] = FEATURES) -> Data
     NULLs are dropped pairwise; a constant feature gives NULL.
     """
     cols = list(cols)
-    pairs = list(product(cols, cols))
-    wide = clean.agg(*[F.corr(F.col(x).cast("double"), F.col(y).cast("double")).alias(f"r_{i}")
-                       for i, (x, y) in enumerate(pairs)])
-    return _stack(wide, len(pairs), [f"'{x}', '{y}', r_{i}" for i, (x, y) in enumerate(pairs)], "x, y, r")
+    pairs = list(combinations_with_replacement(range(len(cols)), 2))   # the other half is the mirror image
+    wide = clean.agg(*[F.corr(F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")).alias(f"r_{i}_{j}") for i, j in pairs])
+    entries = [f"'{cols[i]}', '{cols[j]}', r_{min(i, j)}_{max(i, j)}" for i, j in product(range(len(cols)), repeat=2)]
+    return _stack(wide, len(entries), entries, "x, y, r")

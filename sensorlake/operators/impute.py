@@ -16,6 +16,9 @@ bucket group is bounded by the bucket's length in seconds.
 
 from __future__ import annotations
 
+import math
+from collections import deque
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,43 +62,75 @@ def trailing_mean(df: DataFrame, width_seconds: float = HISTORY_SECONDS, value_c
     keep = [f"`{c}`" for c in df.columns if c != out_col]
     return out.selectExpr(*keep, f"CASE WHEN _tm_need THEN _tm_mean END AS `{out_col}`")
 
+
+def _trailing(df: DataFrame, measures: dict[str, str], width_seconds: float, key_col: str, time_col: str, use: str, need: str,
+              id_sql: str, bucket_seconds: float | None) -> DataFrame:
+    """Adds each SQL aggregate in ``measures`` over the rows flagged ``use`` in ``[t - width, t)`` to the rows flagged ``need``."""
+    w_us = int(round(width_seconds * 1_000_000))
+    b_us = int(round((bucket_seconds or max(12 * width_seconds, 3600)) * 1_000_000))
+    t = f"unix_micros(`{time_col}`)"
+    own, last = f"(({t} - pmod({t}, {b_us})) div {b_us})", f"((({t} + {w_us}) - pmod({t} + {w_us}, {b_us})) div {b_us})"
+    staged = df.selectExpr("*", f"{t} AS _t", f"{own} AS _own", f"({use} OR {need}) AS _part", f"explode(CASE WHEN {use} THEN sequence({own}, {last}) "
+                           f"WHEN {need} THEN array({own}) ELSE array({id_sql}) END) AS _bucket")
+    frame = f"(PARTITION BY _part, `{key_col}`, _bucket ORDER BY _t RANGE BETWEEN {w_us} PRECEDING AND 1 PRECEDING)"
+    out = staged.selectExpr("*", *[f"{sql} OVER {frame} AS `{name}`" for name, sql in measures.items()])
+    return out.where("NOT _part OR _bucket = _own").drop("_t", "_own", "_part", "_bucket")
+
+
 def trailing_mean_feedback(df: DataFrame, width_seconds: float = HISTORY_SECONDS, value_col: str = "temperature",
                            key_col: str = "sensor_id", time_col: str = "event_time", use_col: str | None = None,
                            need_col: str | None = None, id_col: str = "event_id", out_col: str = "imputed",
-                           bucket_seconds: float | None = None, max_rounds: int = 1000) -> DataFrame:
-    """Trailing mean where filled values count as history for later rows (in time order).
-
-    The value filled at ``t`` depends on values filled before ``t``, so this is
-    a recursion. It is solved as a fixed point of the bucketed window: round
-    ``r`` recomputes every fill from the observed values plus the fills of
-    round ``r-1``; after round ``r`` every chain of ``r`` dependent fills is
-    exact, and iteration stops when a round changes nothing (each round is one
-    distributed pass; lineage is cut by a reliable checkpoint per round).
-    ``max_rounds`` only guards against a non-terminating loop and raises.
+                           bucket_seconds: float | None = None) -> DataFrame:
+    """Trailing mean where filled values count as history for later rows (in time order, ``[t - width, t)``).
+
+    A fill depends on the observed values of its window, a sum and a count that
+    the bucketed windows give, and on the fills in it. Missing rows of a key that lie within
+    ``width`` of each other form an island; no fill reaches beyond its island,
+    so each island is solved in one pass over its missing rows (time, sum, count), however long
+    its chain of dependent fills; an island of one row needs no pass. Islands are numbered by their first time, a running maximum in blocks.
     """
+    from sensorlake.operators.prefix import inclusive_prefix
+    from sensorlake.operators.quality import arrival
+    from sensorlake.session import materialize
+
+    use = f"`{use_col}`" if use_col else f"(`{value_col}` IS NOT NULL AND `{time_col}` IS NOT NULL)"
+    need = f"`{need_col}`" if need_col else f"(`{value_col}` IS NULL AND `{time_col}` IS NOT NULL)"
+    ids = arrival(df, id_col)
+    spread = f"xxhash64({', '.join(f'`{c}`' for c in ids)})"
+    slim = df.selectExpr(*[f"`{c}`" for c in ids], f"`{key_col}` AS _k", f"`{time_col}` AS _time", f"CASE WHEN {use} THEN `{value_col}` END AS _v",
+                         f"{use} AS _use", f"{need} AS _need").where("_use OR _need")
+    seen = _trailing(slim, {"_sum": "sum(_v)", "_n": "count(CASE WHEN _use THEN _v END)"}, width_seconds, "_k", "_time", "_use", "_need", spread, bucket_seconds)
+    gaps = _trailing(seen.where("_need").withColumn("_all", F.lit(True)), {"_before": "count(1)"}, width_seconds, "_k", "_time", "_all", "_all", spread, bucket_seconds)
+    missing = materialize(gaps.selectExpr(*[f"`{c}`" for c in ids], "_k", "unix_micros(_time) AS _us", "coalesce(_sum, 0D) AS _sum", "_n", "_before = 0 AS _starts"))
+    # an island is named by its first time; rows of a key and second share the running maximum
+    keyed = missing.selectExpr("*", "concat(CASE WHEN _k IS NULL THEN 'n' ELSE 's' END, coalesce(CAST(_k AS STRING), '')) AS _key", "_us div 1000000 AS _sec")
+    least = keyed.agg(F.coalesce(F.min("_sec"), F.lit(0)).alias("m")).first()["m"]
+    starts = keyed.where("_starts").groupBy("_key", "_sec").agg(F.max("_us").alias("_island"))
+    marks = keyed.select("_key", "_sec").distinct().join(starts, ["_key", "_sec"], "left").withColumn("_at", F.col("_sec") - F.lit(least))
+    islands = inclusive_prefix(marks, "_at", {"_island": "max"}, group_cols=["_key"]).select("_key", "_sec", F.col("cum__island").alias("_island"))
+    width_us = int(round(width_seconds * 1_000_000))
+
+    def solve(pdf):
+        pdf = pdf.sort_values("_us", kind="stable")
+        window, total, out = deque(), 0.0, []
+        for t, s, n in zip(pdf["_us"].tolist(), pdf["_sum"].tolist(), pdf["_n"].tolist(), strict=True):
+            while window and window[0][0] < t - width_us:
+                window.popleft()
+            total = math.fsum(v for u, v in window if u < t)
+            k = n + sum(u < t for u, _ in window)
+            value = (s + total) / k if k else None
+            if value is not None:
+                window.append((t, value))
+            out.append(value)
+        return pdf.assign(_fill=out)[[*ids, "_fill"]]
 
-    from sensorlake.session import checkpoint_root
-
-    checkpoint_root(df.sparkSession)
-    use = F.col(use_col) if use_col else (F.col(value_col).isNotNull() & F.col(time_col).isNotNull())
-    need = F.col(need_col) if need_col else (F.col(value_col).isNull() & F.col(time_col).isNotNull())
-    base = df.select("*", use.alias("_fb_use"), need.alias("_fb_need"))
-    # round 0: observed history only
-    cur = trailing_mean(base, width_seconds, value_col, key_col, time_col, "_fb_use", "_fb_need", id_col,
-                        "_fb_prev", bucket_seconds, exclude_current=True).checkpoint()
-    for _ in range(max_rounds):
-        step = cur.select(
-            "*",
-            F.when(F.col("_fb_use"), F.col(value_col)).otherwise(F.col("_fb_prev")).alias("_fb_val"),
-            (F.col("_fb_use") | (F.col("_fb_need") & F.col("_fb_prev").isNotNull())).alias("_fb_hist"),
-        )
-        nxt = trailing_mean(step.drop(value_col).withColumnRenamed("_fb_val", value_col), width_seconds, value_col,
-                            key_col, time_col, "_fb_hist", "_fb_need", id_col, "_fb_next", bucket_seconds,
-                            exclude_current=True)
-        nxt = nxt.drop(value_col, "_fb_hist").join(cur.select(id_col, value_col), id_col).checkpoint()
-        changed = nxt.where(~F.col("_fb_next").eqNullSafe(F.col("_fb_prev"))).limit(1).count()
-        cur = nxt.drop("_fb_prev").withColumnRenamed("_fb_next", "_fb_prev")
-        if changed == 0:
-            return cur.withColumn(out_col, F.col("_fb_prev")).drop("_fb_prev", "_fb_use", "_fb_need").select(
-                *df.columns, out_col)
-    raise RuntimeError(f"feedback imputation did not converge in {max_rounds} rounds")
+    kinds = dict(df.dtypes)
+    placed = keyed.join(islands, ["_key", "_sec"]).select(*ids, "_key", "_island", "_us", "_sum", "_n")
+    sizes = placed.groupBy("_key", "_island").agg(F.count(F.lit(1)).alias("_rows"))
+    placed = materialize(placed.join(sizes, ["_key", "_island"]))
+    chains = placed.where("_rows > 1").groupBy("_key", "_island").applyInPandas(
+        solve, ", ".join([*[f"`{c}` {kinds[c]}" for c in ids], "_fill double"]))
+    alone = placed.where("_rows = 1").select(*ids, F.expr("CASE WHEN _n > 0 THEN _sum / _n END").alias("_fill"))
+    solved = chains.unionByName(alone)
+    keep = [c for c in df.columns if c != out_col]
+    return df.join(solved, ids, "left").select(*keep, F.col("_fill").alias(out_col))

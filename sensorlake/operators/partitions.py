@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorlake.functions.scalar import safe_rate
@@ -18,54 +18,40 @@ from sensorlake.schema import LOG_PARTITIONS, READER_COUNTS
 
 
 def partition_sql(key: str, n: int = LOG_PARTITIONS, fallback: str | None = None) -> str:
-    """SQL text of ``assign_partition`` for column names (same hash, same result)."""
+    """SQL: partition number in [0, n) of a key; NULL keys spread by ``fallback`` (arrival id)."""
     h = f"pmod(CAST(conv(substring(md5(CAST({key} AS STRING)), 1, 8), 16, 10) AS BIGINT), {int(n)})"
     other = f"pmod(CAST({fallback} AS BIGINT), {int(n)})" if fallback else "0"
     return f"CAST(coalesce({h}, {other}) AS INT)"
 
 
-def assign_partition(key: Column, n: int = LOG_PARTITIONS, fallback: Column | None = None) -> Column:
-    """Partition number in [0, n) of a key; NULL keys spread by ``fallback`` (arrival id)."""
-    h = F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("long")
-    by_key = F.pmod(h, F.lit(n))
-    if fallback is None:
-        return F.coalesce(by_key, F.lit(0)).cast("int")
-    return F.coalesce(by_key, F.pmod(fallback.cast("long"), F.lit(n))).cast("int")
-
-
-def _all_partitions(spark: SparkSession, n: int) -> DataFrame:
-    return spark.range(n).select(F.col("id").cast("int").alias("partition"))
-
-
 def counts(df: DataFrame, n: int = LOG_PARTITIONS, partition_col: str = "partition") -> DataFrame:
-    """Records per log partition, empty partitions included with 0.
+    """Records per log partition: every partition that has records, and the known ``0..n-1`` with 0 if they have none.
 
-    The grouped count is pre-aggregated per task; the ``range(n)`` side is
-    bounded by the partition count, so joining it is cheap at any data size.
+    The grouped count is pre-aggregated per task; the known ids are bounded by
+    configuration, so adding them is cheap at any data size.
     """
+    known = df.sparkSession.range(n).select(F.col("id").cast("int").alias("partition"), F.lit(0).cast("long").alias("n"))
     per = df.groupBy(F.col(partition_col).cast("int").alias("partition")).agg(F.count(F.lit(1)).alias("n"))
-    full = _all_partitions(df.sparkSession, n)
-    return full.join(per, "partition", "left").select("partition", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+    return known.unionByName(per).groupBy("partition").agg(F.sum("n").cast("long").alias("n"))
 
 
 def reader_load(partition_counts: DataFrame, n: int = LOG_PARTITIONS,
                 readers: Sequence[int] = READER_COUNTS) -> DataFrame:
-    """Per-reader load when ``r`` readers share ``n`` partitions round-robin.
+    """Per-reader load when ``r`` readers share the counted partitions (and the known ``0..n-1``) round-robin.
 
     Partition ``p`` goes to reader ``p % r``; surplus readers are listed idle
-    with 0 records. Output: readers, reader, partitions (text, ascending), n.
+    with 0 records. Output: readers, reader, partitions (text, in ascending order of number), n.
     """
     spark = partition_counts.sparkSession
     rs = spark.createDataFrame([(int(r),) for r in readers], "readers int")
     slots = rs.select("readers", F.explode(F.sequence(F.lit(0), F.col("readers") - 1)).alias("reader"))
-    # every partition of every configuration: readers x n rows, bounded by config only
-    per_cfg = rs.select("readers", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("partition"))
-    per_cfg = per_cfg.join(partition_counts, "partition", "left").withColumn(
-        "reader", F.pmod(F.col("partition"), F.col("readers")))
-    load = per_cfg.groupBy("readers", "reader").agg(
-        F.concat_ws(",", F.sort_array(F.collect_list(F.col("partition").cast("string")))).alias("partitions"),
-        F.sum(F.coalesce("n", F.lit(0))).cast("long").alias("n"),
-    )
+    # every partition of every configuration: readers x partitions rows
+    known = spark.range(n).select(F.col("id").cast("int").alias("partition"), F.lit(0).cast("long").alias("n"))
+    every = partition_counts.select("partition", "n").unionByName(known).groupBy("partition").agg(F.sum("n").alias("n"))
+    share = every.select("partition", "n", F.explode(F.array(*[F.lit(int(r)) for r in readers])).alias("readers"))
+    load = share.groupBy("readers", F.pmod(F.col("partition"), F.col("readers")).alias("reader")).agg(
+        F.concat_ws(",", F.transform(F.sort_array(F.collect_list("partition")), lambda p: p.cast("string"))).alias("partitions"),
+        F.sum("n").cast("long").alias("n"))
     return slots.join(load, ["readers", "reader"], "left").select(
         F.col("readers").cast("int").alias("readers"),
         F.col("reader").cast("int").alias("reader"),

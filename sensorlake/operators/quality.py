@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from sensorlake.functions.scalar import safe_rate
 from sensorlake.operators.prefix import exclusive_prefix
-from sensorlake.session import materialize
 from sensorlake.schema import (
     BAD_TIMESTAMP,
     DUPLICATE,
@@ -27,59 +26,60 @@ from sensorlake.schema import (
 DEDUP_KEYS = ("sensor_id", "timestamp")
 
 
-def first_flags(df: DataFrame, keys: Sequence[str] = DEDUP_KEYS, order: str = "event_id",
-                flag: str = "is_first", materialized: bool = True) -> DataFrame:
-    """Mark the first arrival of every key (NULL-safe keys; ``order`` must be unique).
+def arrival(df: DataFrame, order: str | Sequence[str] = "event_id") -> list[str]:
+    """Columns that identify a row and order arrivals: a log offset is unique only inside its partition."""
+    cols = [order] if isinstance(order, str) else list(order)
+    return cols if "partition" in cols or "partition" not in df.columns else ["partition", *cols]
 
-    The rows are hash-partitioned by the unique arrival id once and stored
-    (``materialized``). From there the first arrival per key is found by a
-    grouped ``min`` (partially aggregated before its shuffle, so a key with
-    billions of copies costs one row per task) and joined back on the arrival
-    id without moving the wide rows again. The input is computed once, and no
-    task ever receives all copies of a hot key.
+
+def first_flags(df: DataFrame, keys: Sequence[str] = DEDUP_KEYS, order: str | Sequence[str] = "event_id",
+                flag: str = "is_first") -> DataFrame:
+    """Mark the first arrival of every key (NULL-safe keys; ``arrival(df, order)`` must be unique per row).
+
+    The first arrival per key is a grouped ``min`` of the arrival id (partially
+    aggregated before its shuffle, so a key with billions of copies costs one
+    row per task) joined back on that unique id: wide rows are shuffled once, by
+    an id that is never hot, and nothing is stored.
     """
-    spread = df.repartition(order)
-    if materialized:
-        spread = materialize(spread)
-    firsts = spread.groupBy(*keys).agg(F.min(order).alias(order)).select(order, F.lit(True).alias("_first"))
-    return (spread.join(firsts, order, "left")
+    ids = arrival(df, order)
+    firsts = df.groupBy(*keys).agg(F.min(F.struct(*ids)).alias("_a")).select(
+        *[F.col(f"_a.{c}").alias(c) for c in ids], F.lit(True).alias("_first"))
+    return (df.join(firsts, ids, "left").select(*df.columns, "_first")
             .withColumn(flag, F.coalesce(F.col("_first"), F.lit(False))).drop("_first"))
 
 
-def dedup_first(df: DataFrame, keys: Sequence[str] = DEDUP_KEYS, order: str = "event_id") -> DataFrame:
-    """Keep the first arrival per key, drop later ones (other columns are ignored)."""
-    return first_flags(df, keys, order, "_is_first").where("_is_first").drop("_is_first")
+def dedup_first(df: DataFrame, keys: Sequence[str] = DEDUP_KEYS, order: str | Sequence[str] = "event_id") -> DataFrame:
+    """Keep the first arrival per key, drop later ones: one aggregate that combines before its shuffle."""
+    rest = [c for c in df.columns if c not in keys]
+    firsts = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*arrival(df, order))).alias("_r"))
+    return firsts.select(*[F.col(c) if c in keys else F.col(f"_r.{c}").alias(c) for c in df.columns])
 
 
-def in_range(temp: Column, lo: float = TEMP_MIN, hi: float = TEMP_MAX) -> Column:
-    """lo <= t <= hi, both inclusive; NaN is out of range."""
-    return temp.between(F.lit(lo), F.lit(hi)) & ~F.isnan(temp)
+def in_range(temp: Column) -> Column:
+    """``in_range_sql`` for a column expression."""
+    return temp.between(F.lit(TEMP_MIN), F.lit(TEMP_MAX)) & ~F.isnan(temp)
 
 
 def in_range_sql(col: str, lo: float = TEMP_MIN, hi: float = TEMP_MAX) -> str:
-    """SQL text of ``in_range``."""
+    """SQL: lo <= t <= hi, both inclusive; NaN is out of range."""
     return f"({col} BETWEEN {lo!r} AND {hi!r} AND NOT isnan({col}))"
 
 
 def outcome_sql(is_first: str = "is_first", event_time: str = "event_time", temperature: str = "temperature",
                 imputed: str = "imputed") -> str:
-    """SQL text of ``outcome_expr`` (same rules, same order)."""
+    """SQL: first rule wins: duplicate -> bad_timestamp -> no_history -> out_of_range -> kept."""
     filled = f"coalesce({temperature}, {imputed})"
     return (f"CASE WHEN NOT {is_first} THEN '{DUPLICATE}' WHEN {event_time} IS NULL THEN '{BAD_TIMESTAMP}' "
             f"WHEN {filled} IS NULL THEN '{NO_HISTORY}' WHEN NOT {in_range_sql(filled)} THEN '{OUT_OF_RANGE}' "
             f"ELSE '{KEPT}' END")
 
 
-def outcome_expr(is_first: Column, event_time: Column, temperature: Column, imputed: Column) -> Column:
-    """First rule wins: duplicate -> bad_timestamp -> no_history -> out_of_range -> kept."""
-    filled = F.coalesce(temperature, imputed)
-    return (
-        F.when(~is_first, F.lit(DUPLICATE))
-        .when(event_time.isNull(), F.lit(BAD_TIMESTAMP))
-        .when(filled.isNull(), F.lit(NO_HISTORY))
-        .when(~in_range(filled), F.lit(OUT_OF_RANGE))
-        .otherwise(F.lit(KEPT))
-    )
+def late_sql(t: str, prev: str, accept_seconds: float = LATE_ACCEPT_SECONDS) -> tuple[str, str]:
+    """SQL of (delay in seconds, late class) of a kept row against the earlier batches' greatest event time."""
+    late = f"({prev} IS NOT NULL AND {t} < {prev})"
+    delay = f"CASE WHEN {late} THEN (unix_micros({prev}) - unix_micros({t})) / 1e6 ELSE 0.0D END"
+    return delay, (f"CASE WHEN NOT {late} THEN '{ON_TIME}' WHEN {delay} <= {float(accept_seconds)!r} "
+                   f"THEN '{LATE_ACCEPTED}' ELSE '{TOO_LATE}' END")
 
 
 def late_arrivals(kept: DataFrame, batch_col: str = "batch_id", time_col: str = "event_time",
@@ -95,16 +95,9 @@ def late_arrivals(kept: DataFrame, batch_col: str = "batch_id", time_col: str =
     per_batch = kept.groupBy(batch_col).agg(F.max(time_col).alias("_bmax"))
     prev = exclusive_prefix(per_batch, batch_col, {"_bmax": "max"}).selectExpr(
         f"`{batch_col}`", "prev__bmax AS _prev_max")
-    t = f"`{time_col}`"
-    late = f"(_prev_max IS NOT NULL AND {t} < _prev_max)"
-    delay = f"CASE WHEN {late} THEN (unix_micros(_prev_max) - unix_micros({t})) / 1e6 ELSE 0.0 END"
-    cols = [f"`{c}`" for c in kept.columns]
+    delay, late_class = late_sql(f"`{time_col}`", "_prev_max", accept_seconds)
     return kept.join(prev, batch_col, "left").selectExpr(
-        *cols,
-        f"{delay} AS delay_s",
-        f"CASE WHEN NOT {late} THEN '{ON_TIME}' WHEN {delay} <= {float(accept_seconds)!r} THEN '{LATE_ACCEPTED}' "
-        f"ELSE '{TOO_LATE}' END AS late_class",
-    )
+        *[f"`{c}`" for c in kept.columns], f"{delay} AS delay_s", f"{late_class} AS late_class")
 
 
 # Default quality rules: share of rows allowed per violation kind.

@@ -31,34 +31,37 @@ def exact_median(long_df: DataFrame, group_col: str, value_col: str, out_col: st
     from sensorlake.session import materialize
 
     distinct = materialize(vals.groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_c")))
-    stats = distinct.groupBy("_g").agg(F.sum("_c").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    finite = F.expr("CASE WHEN abs(_v) < double('Infinity') THEN _v END")
+    stats = distinct.groupBy("_g").agg(F.sum("_c").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"),
+                                       F.min(finite).alias("_flo"), F.max(finite).alias("_fhi"))
     # two rank targets per group (equal when n is odd); params stay one row per target
     params = stats.select(
-        "_g", "_lo", "_hi",
+        "_g", "_lo", "_hi", "_flo", "_fhi",
         F.explode(F.array(
             F.struct(F.lit(0).alias("_tid"), F.expr("(_n + 1) div 2").alias("_k")),
             F.struct(F.lit(1).alias("_tid"), F.expr("_n div 2 + 1").alias("_k")),
         )).alias("_t"),
-    ).select("_g", "_lo", "_hi", "_t._tid", "_t._k")
+    ).select("_g", "_lo", "_hi", "_flo", "_fhi", "_t._tid", "_t._k")
 
     def in_range(p: DataFrame) -> DataFrame:
-        # params are bounded by 2 x number of groups; the join keys spread by group
-        return distinct.join(F.broadcast(p), "_g").where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+        # two rows of params for each group: the join is left to the size that is measured
+        return distinct.join(p, "_g").where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
 
     params = materialize(params)
     for _ in range(rounds):
         if params.where(F.col("_lo") < F.col("_hi")).isEmpty():
             break
         cand = in_range(params)
-        width = F.col("_hi") - F.col("_lo")
-        bin_ = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / width * bins),
-                                         F.lit(bins - 1))).otherwise(F.lit(0)).cast("long")
+        # infinities and NaN (the greatest value) are bins of their own; halves keep the width finite
+        bin_ = F.expr(
+            f"CASE WHEN _v = double('-Infinity') THEN -1L WHEN isnan(_v) THEN {bins + 1}L WHEN _v = double('Infinity') THEN {bins}L "
+            f"WHEN _fhi > _flo THEN least(CAST(floor((_v / 2 - _flo / 2) / (_fhi / 2 - _flo / 2) * {bins}) AS BIGINT), {bins - 1}L) ELSE 0L END")
         per_bin = cand.groupBy("_g", "_tid", "_k", bin_.alias("_b")).agg(
             F.sum("_c").alias("_bc"), F.min("_v").alias("_blo"), F.max("_v").alias("_bhi"))
         w = Window.partitionBy("_g", "_tid").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
         per_bin = per_bin.withColumn("_cum", F.sum("_bc").over(w))
         params = per_bin.where((F.col("_cum") - F.col("_bc") < F.col("_k")) & (F.col("_k") <= F.col("_cum"))).select(
-            "_g", F.col("_blo").alias("_lo"), F.col("_bhi").alias("_hi"), "_tid",
+            "_g", F.col("_blo").alias("_lo"), F.col("_bhi").alias("_hi"), F.col("_blo").alias("_flo"), F.col("_bhi").alias("_fhi"), "_tid",
             (F.col("_k") - (F.col("_cum") - F.col("_bc"))).alias("_k"))
         params = materialize(params)
 

@@ -1,26 +1,17 @@
-"""Event-time windows, watermarks and the batch model of watermark drops."""
+"""Event-time windows and watermarks."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorlake.operators.prefix import exclusive_prefix
-from sensorlake.operators.quality import DEDUP_KEYS, dedup_first, in_range
+from sensorlake.operators.quality import DEDUP_KEYS, dedup_first, in_range_sql
 from sensorlake.schema import WATERMARK_DELAY, WINDOW_WIDTH
 
 
-def interval_seconds(text: str) -> float:
-    """'5 minutes' -> 300.0 (seconds/minutes/hours/days)."""
-    n, unit = text.split()
-    scale = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s").lower()]
-    return float(n) * scale
-
-
 def eligible(parsed: DataFrame) -> DataFrame:
     """Rows the windowed query aggregates: parsed time, temperature present and in range."""
-    return parsed.where(F.col("event_time").isNotNull() & F.col("temperature").isNotNull()
-                        & in_range(F.col("temperature")))
+    return parsed.where(f"event_time IS NOT NULL AND temperature IS NOT NULL AND {in_range_sql('temperature')}")
 
 
 def watermarked(df: DataFrame, delay: str = WATERMARK_DELAY, time_col: str = "event_time") -> DataFrame:
@@ -43,27 +34,3 @@ def tumbling_avg(df: DataFrame, width: str = WINDOW_WIDTH, key: str = "sensor_id
 def window_avg_batch(parsed: DataFrame, width: str = WINDOW_WIDTH, order: str = "event_id") -> DataFrame:
     """Batch form of the windowed query: filters -> first arrival per key -> window aggregate."""
     return tumbling_avg(dedup_first(eligible(parsed), DEDUP_KEYS, order), width)
-
-
-def expected_late_drops(rows: DataFrame, batch_col: str = "batch_id", delay: str = WATERMARK_DELAY,
-                        time_col: str = "event_time") -> DataFrame:
-    """Batch model of the watermark's late-row drops, per micro-batch.
-
-    Spark filters late rows in batch ``N`` against the watermark of the
-    previous batch: ``max(event_time of batches <= N-2) - delay``; a row is
-    dropped when its event time is at or below it. ``rows`` are the rows that
-    reach the watermark (after the validity filters); batch ids are dense.
-    Output: batch_id, rows, watermark (NULL before the first), dropped.
-    """
-    d_us = int(interval_seconds(delay) * 1_000_000)
-    per_batch = rows.groupBy(batch_col).agg(F.max(time_col).alias("_bmax"), F.count(F.lit(1)).alias("rows"))
-    prev = exclusive_prefix(per_batch.select(batch_col, "_bmax"), batch_col, {"_bmax": "max"})
-    # the watermark used in batch N is the exclusive prefix seen by batch N-1
-    wm = prev.select((F.col(batch_col) + 1).alias(batch_col),
-                     F.timestamp_micros(F.unix_micros("prev__bmax") - F.lit(d_us)).alias("watermark"))
-    tagged = rows.select(batch_col, time_col).join(wm, batch_col, "left")
-    dropped = tagged.groupBy(batch_col).agg(
-        F.count_if(F.col("watermark").isNotNull() & (F.col(time_col) <= F.col("watermark"))).alias("dropped"),
-        F.max("watermark").alias("watermark"))
-    return per_batch.join(dropped, batch_col).select(
-        batch_col, F.col("rows").cast("long").alias("rows"), "watermark", F.col("dropped").cast("long").alias("dropped"))

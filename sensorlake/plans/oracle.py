@@ -48,10 +48,41 @@ def raw_ctes(late: bool = True, batch_rows: int = 20, late_unit: str = "minutes"
     ]
 
 
-def annot_ctes(width: int = 300) -> list[str]:
+def annot_ctes(width: int = 300, arrival: str = "event_id", by_batch: bool = False, feedback: bool = False) -> list[str]:
+    """Outcome per row. ``by_batch``: history holds what had arrived (batches up to the row's own); ``feedback``: and fills."""
+    imp = f"""imp AS (
+  SELECT *, CASE WHEN need_ THEN avg(CASE WHEN use_ THEN temperature END) OVER (
+      PARTITION BY sensor_id ORDER BY event_time
+      RANGE BETWEEN INTERVAL {int(width)} SECOND PRECEDING AND CURRENT ROW) END AS imputed
+  FROM flags)"""
+    if by_batch:
+        imp = f"""imp AS (
+  SELECT f.*, h.mean AS imputed FROM flags f LEFT JOIN (
+    SELECT n.event_id, avg(u.temperature) AS mean FROM flags n JOIN flags u ON u.use_ AND u.sensor_id = n.sensor_id AND u.batch_id <= n.batch_id
+      AND u.event_time BETWEEN n.event_time - INTERVAL {int(width)} SECOND AND n.event_time
+    WHERE n.need_ GROUP BY n.event_id) h ON f.event_id = h.event_id)"""
+    if feedback:
+        # one missing row of each sensor per step, in time order; its window holds observed values and earlier fills
+        imp = f"""needs AS (
+  SELECT event_id, sensor_id, event_time, row_number() OVER (PARTITION BY sensor_id ORDER BY event_time) AS k FROM flags WHERE need_),
+seen AS (
+  SELECT n.*, coalesce(s.total, 0) AS total, coalesce(s.n, 0) AS n FROM needs n LEFT JOIN (
+    SELECT n.event_id, sum(u.temperature) AS total, count(*) AS n FROM needs n JOIN flags u ON u.use_ AND u.sensor_id = n.sensor_id
+      AND u.event_time >= n.event_time - INTERVAL {int(width)} SECOND AND u.event_time < n.event_time GROUP BY n.event_id) s ON n.event_id = s.event_id),
+fills AS (
+  SELECT sensor_id, k, event_id, CASE WHEN n > 0 THEN total / n END AS value,
+    CASE WHEN n > 0 THEN [{{'t': event_time, 'v': total / n}}] ELSE [] END AS past FROM seen WHERE k = 1
+  UNION ALL
+  SELECT sensor_id, k, event_id, value, CASE WHEN value IS NULL THEN past ELSE list_append(past, {{'t': event_time, 'v': value}}) END FROM (
+    SELECT s.sensor_id, s.k, s.event_id, s.event_time, [x for x in f.past if x.t >= s.event_time - INTERVAL {int(width)} SECOND] AS past,
+      CASE WHEN s.n + len([x for x in f.past if x.t >= s.event_time - INTERVAL {int(width)} SECOND]) > 0
+        THEN (s.total + coalesce(list_sum([x.v for x in f.past if x.t >= s.event_time - INTERVAL {int(width)} SECOND]), 0))
+          / (s.n + len([x for x in f.past if x.t >= s.event_time - INTERVAL {int(width)} SECOND])) END AS value
+    FROM fills f JOIN seen s ON s.sensor_id = f.sensor_id AND s.k = f.k + 1)),
+imp AS (SELECT g.*, f.value AS imputed FROM flags g LEFT JOIN fills f ON g.event_id = f.event_id)"""
     return [
-        """firsts AS (
-  SELECT *, row_number() OVER (PARTITION BY sensor_id, timestamp ORDER BY event_id) = 1 AS is_first
+        f"""firsts AS (
+  SELECT *, row_number() OVER (PARTITION BY sensor_id, timestamp ORDER BY {arrival}) = 1 AS is_first
   FROM parsed)""",
         """flags AS (
   SELECT *,
@@ -59,11 +90,7 @@ def annot_ctes(width: int = 300) -> list[str]:
       AND temperature BETWEEN -20 AND 100 AND NOT isnan(temperature) AS use_,
     is_first AND event_time IS NOT NULL AND temperature IS NULL AS need_
   FROM firsts)""",
-        f"""imp AS (
-  SELECT *, CASE WHEN need_ THEN avg(CASE WHEN use_ THEN temperature END) OVER (
-      PARTITION BY sensor_id ORDER BY event_time
-      RANGE BETWEEN INTERVAL {int(width)} SECOND PRECEDING AND CURRENT ROW) END AS imputed
-  FROM flags)""",
+        imp,
         """annot AS (
   SELECT *,
     CASE WHEN NOT is_first THEN 'duplicate'
@@ -108,7 +135,9 @@ ELIG_CTES = [
 ]
 
 DROPS_CTES = [
-    "pb AS (SELECT batch_id, max(event_time) AS bmax, count(*) AS n_rows FROM elig GROUP BY batch_id)",
+    """pb AS (
+  SELECT b.batch_id, max(e.event_time) AS bmax, count(e.event_id) AS n_rows
+  FROM (SELECT DISTINCT batch_id FROM parsed) b LEFT JOIN elig e ON b.batch_id = e.batch_id GROUP BY b.batch_id)""",
     """pm AS (
   SELECT batch_id, max(bmax) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev
   FROM pb)""",
@@ -123,7 +152,7 @@ DROPS_CTES = [
 PART_CTES = [
     """pcounts AS (
   SELECT p.partition, CAST(coalesce(c.n, 0) AS BIGINT) AS n
-  FROM (SELECT CAST(range AS INTEGER) AS partition FROM range(3)) p
+  FROM (SELECT CAST(range AS INTEGER) AS partition FROM range(3) UNION SELECT partition FROM parsed) p
   LEFT JOIN (SELECT partition, count(*) AS n FROM parsed GROUP BY partition) c ON p.partition = c.partition)""",
 ]
 
@@ -168,12 +197,26 @@ GATE_CTES = [
 ]
 
 
+SUMMARY_SELECT = """SELECT metric, CAST(value AS BIGINT) AS value FROM (
+  SELECT 'Missing Values Corrected' AS metric, count(*) FILTER (WHERE outcome = 'kept' AND temp_corrected) AS value FROM annot
+  UNION ALL SELECT 'Duplicate Records Removed', count(*) FILTER (WHERE outcome = 'duplicate') FROM annot
+  UNION ALL SELECT 'Invalid Records Removed', count(*) FILTER (WHERE outcome IN ('bad_timestamp', 'out_of_range')) FROM annot
+  UNION ALL SELECT 'Dropped (Insufficient History for Imputation)', count(*) FILTER (WHERE outcome = 'no_history') FROM annot
+  UNION ALL SELECT 'Late Records Accepted', count(*) FILTER (WHERE late_class = 'late_accepted') FROM clean
+  UNION ALL SELECT 'Records Discarded by Watermarking', coalesce(sum(dropped), 0) FROM drops
+  UNION ALL SELECT 'Raw Records', count(*) FROM annot
+  UNION ALL SELECT 'Cleaned Records', count(*) FILTER (WHERE outcome = 'kept') FROM annot)"""
+
+
 def _with(ctes: list[str], final: str) -> str:
-    return "WITH " + ",\n".join(ctes) + "\n" + final
+    return "WITH RECURSIVE " + ",\n".join(ctes) + "\n" + final
+
 
+GATE_FAILED_CTES = [c.replace("'out_of_range', v_out_of_range, total, 0.05", "'out_of_range', v_out_of_range, total, 0.001") for c in GATE_CTES]
 
-def _clean_sql(width: int) -> str:
-    return _with(raw_ctes() + annot_ctes(width) + CLEAN_CTES,
+
+def _clean_sql(width: int, feedback: bool = False) -> str:
+    return _with(raw_ctes() + annot_ctes(width, feedback=feedback) + CLEAN_CTES,
                  """SELECT event_id, batch_id, sensor_id, event_time, round(temperature, 6) AS temperature, humidity,
   status, hour_of_day, day_of_week, is_weekend, temp_corrected, late_class, round(delay_s, 6) AS delay_s
 FROM clean""")
@@ -226,6 +269,9 @@ ORACLE_SQL: dict[str, str] = {
     "imputed_1h": _imputed_sql(3600),
     "clean_readings": _clean_sql(300),
     "clean_readings_1h": _clean_sql(3600),
+    "clean_readings_feedback": _clean_sql(300, feedback=True),
+    "imputed_feedback": _with(raw_ctes() + annot_ctes(300, feedback=True), """SELECT event_id, sensor_id, event_time, round(imputed, 6) AS imputed
+FROM annot WHERE is_first AND event_time IS NOT NULL AND temperature IS NULL"""),
     "time_features": _with(RAW, """SELECT event_id, CAST(hour(event_time) AS BIGINT) AS hour_of_day,
   CAST(isodow(event_time) - 1 AS BIGINT) AS day_of_week,
   CAST(CASE WHEN isodow(event_time) - 1 >= 5 THEN 1 ELSE 0 END AS BIGINT) AS is_weekend
@@ -239,15 +285,6 @@ FROM clean"""),
     "status_distribution": _with(CLEAN, "SELECT status, CAST(count(*) AS BIGINT) AS n FROM clean GROUP BY status"),
     "active_sensors": _with(CLEAN, """SELECT sensor_id, max(event_time) AS last_event_time FROM clean GROUP BY sensor_id
 HAVING (epoch_us((SELECT max(event_time) FROM clean)) - epoch_us(max(event_time))) / 1000000.0 <= 300"""),
-    "summary_table": _with(CLEAN + ELIG_CTES + DROPS_CTES, """SELECT metric, CAST(value AS BIGINT) AS value FROM (
-  SELECT 'Missing Values Corrected' AS metric, count(*) FILTER (WHERE outcome = 'kept' AND temp_corrected) AS value FROM annot
-  UNION ALL SELECT 'Duplicate Records Removed', count(*) FILTER (WHERE outcome = 'duplicate') FROM annot
-  UNION ALL SELECT 'Invalid Records Removed', count(*) FILTER (WHERE outcome IN ('bad_timestamp', 'out_of_range')) FROM annot
-  UNION ALL SELECT 'Dropped (Insufficient History for Imputation)', count(*) FILTER (WHERE outcome = 'no_history') FROM annot
-  UNION ALL SELECT 'Late Records Accepted', count(*) FILTER (WHERE late_class = 'late_accepted') FROM clean
-  UNION ALL SELECT 'Records Discarded by Watermarking', coalesce(sum(dropped), 0) FROM drops
-  UNION ALL SELECT 'Raw Records', count(*) FROM annot
-  UNION ALL SELECT 'Cleaned Records', count(*) FILTER (WHERE outcome = 'kept') FROM annot)"""),
     "late_arrivals": _with(CLEAN, "SELECT event_id, batch_id, round(delay_s, 6) AS delay_s, late_class FROM clean"),
     "batch_log": batch_log_sql(CLEAN),
     "window_avg": _with(RAW + ELIG_CTES + ["""edd AS (
@@ -256,7 +293,6 @@ HAVING (epoch_us((SELECT max(event_time) FROM clean)) - epoch_us(max(event_time)
   make_timestamp(epoch_us(event_time) // 300000000 * 300000000 + 300000000) AS window_end,
   sensor_id, round(avg(temperature), 6) AS avg_temperature, CAST(count(*) AS BIGINT) AS record_count
 FROM edd GROUP BY 1, 2, 3"""),
-    "late_drops_model": _with(RAW + ELIG_CTES + DROPS_CTES, "SELECT batch_id, rows, watermark, dropped FROM drops"),
     "partition_counts": _with(RAW + PART_CTES, "SELECT CAST(partition AS BIGINT) AS partition, n FROM pcounts"),
     "reader_load": _with(RAW + PART_CTES + ["""cfg AS (SELECT CAST(r AS INTEGER) AS readers FROM (VALUES (1), (2), (4)) v(r))""",
                                             """slots AS (SELECT readers, CAST(reader AS INTEGER) AS reader
@@ -287,6 +323,14 @@ FROM slots s LEFT JOIN load l ON s.readers = l.readers AND s.reader = l.reader""
   SELECT 'gate' AS section, rule AS name_a, CAST(NULL AS VARCHAR) AS name_b,
     CASE WHEN passed THEN 'share_ok' ELSE 'share_failed' END AS metric, share AS value FROM gate
   UNION ALL SELECT section, name_a, name_b, metric, value FROM aout WHERE (SELECT passed FROM ok)
+  UNION ALL SELECT 'failure', 'validation', NULL, 'failed_rules',
+    CAST((SELECT count(*) FILTER (WHERE NOT passed) FROM gate) AS DOUBLE) WHERE NOT (SELECT passed FROM ok))"""),
+    "workflow_report_failed": _with(CLEAN + STATS_CTES + GATE_FAILED_CTES + [
+        "ok AS (SELECT bool_and(passed) AS passed FROM gate)"], """SELECT CASE WHEN (SELECT passed FROM ok) THEN 'report' ELSE 'failed' END AS status,
+  section, name_a, name_b, metric, round(value, 6) AS value FROM (
+  SELECT 'gate' AS section, rule AS name_a, CAST(NULL AS VARCHAR) AS name_b,
+    CASE WHEN passed THEN 'share_ok' ELSE 'share_failed' END AS metric, share AS value FROM gate
+  UNION ALL SELECT section, name_a, name_b, metric, value FROM aout WHERE (SELECT passed FROM ok)
   UNION ALL SELECT 'failure', 'validation', NULL, 'failed_rules',
     CAST((SELECT count(*) FILTER (WHERE NOT passed) FROM gate) AS DOUBLE) WHERE NOT (SELECT passed FROM ok))"""),
 }

@@ -17,6 +17,7 @@ from sensorlake.functions.features import add_time_features, legacy_types
 from sensorlake.operators import analytics, partitions, quality, windows
 from sensorlake.operators.quality import DEDUP_KEYS
 from sensorlake.plans import cleaning, report
+from sensorlake.schema import KEPT
 from sensorlake.session import configure, materialize, scratch_dir
 from sensorlake.sources.fixtures import planted_readings
 from sensorlake.sources.log import SourceSpec, decode_envelope, read_bounded, to_envelope, write_log
@@ -49,19 +50,19 @@ def parsed(spark: SparkSession, sf_dir: str, late: bool = True, batch_rows: int
         "batch_id", F.expr(f"event_id div {int(batch_rows)}"))
 
 
-def annotated(spark, sf_dir, width=FIVE_MIN, materialized=True):
-    return cleaning.annotate(parsed(spark, sf_dir), width, materialized=materialized)
+def annotated(spark, sf_dir, width=FIVE_MIN):
+    return cleaning.annotate(parsed(spark, sf_dir), width)
 
 
-def clean(spark, sf_dir, width=FIVE_MIN):
-    """Cleaned rows with late classes (annotated rows are stored: two consumers)."""
-    return cleaning.clean_from_annotated(annotated(spark, sf_dir, width))
+def clean(spark, sf_dir, width=FIVE_MIN, feedback=False):
+    """Cleaned rows with late classes."""
+    return cleaning.clean_readings(parsed(spark, sf_dir), width, feedback=feedback)
 
 
 def analytic_rows(spark, sf_dir, width=FIVE_MIN, materialized=False):
     """Cleaned rows without late classes; stored when the caller reads them more than once."""
-    rows = cleaning.clean_from_annotated(annotated(spark, sf_dir, width, materialized=False), late=False)
-    return materialize(rows) if materialized else rows
+    rows = cleaning.clean_from_annotated(cleaning.annotate(parsed(spark, sf_dir), width, firsts_only=True), late=False)
+    return materialize(rows.select(*analytics.FEATURES)) if materialized else rows
 
 
 def q_raw_readings(spark, sf_dir):
@@ -108,9 +109,9 @@ def _imputed(width):
     return q
 
 
-def _clean(width):
+def _clean(width, feedback=False):
     def q(spark, sf_dir):
-        return finish(clean(spark, sf_dir, width), ts=["event_time"], rnd=["temperature", "delay_s"],
+        return finish(clean(spark, sf_dir, width, feedback), ts=["event_time"], rnd=["temperature", "delay_s"],
                       longs=["hour_of_day", "day_of_week", "is_weekend"])
     return q
 
@@ -137,25 +138,15 @@ def q_active_sensors(spark, sf_dir):
     return finish(analytics.active_sensors(analytic_rows(spark, sf_dir)), ts=["last_event_time"])
 
 
-def _late_drops(spark, sf_dir):
-    return windows.expected_late_drops(windows.eligible(parsed(spark, sf_dir)), "batch_id")
-
-
-def q_summary_table(spark, sf_dir):
-    a = annotated(spark, sf_dir)
-    # rows reaching the windowed query's watermark, taken from the stored annotated rows (no second parse)
-    reaching = windows.eligible(a.drop("temperature").withColumnRenamed("raw_temperature", "temperature"))
-    drops = windows.expected_late_drops(reaching, "batch_id")
-    return report.summary_table(a, cleaning.clean_from_annotated(a), drops)
-
-
 def q_late_arrivals(spark, sf_dir):
     return finish(clean(spark, sf_dir).select("event_id", "batch_id", "delay_s", "late_class"), rnd=["delay_s"])
 
 
 def q_batch_log(spark, sf_dir):
-    a = annotated(spark, sf_dir)
-    return cleaning.batch_log(a, cleaning.clean_from_annotated(a))
+    # the log and the late classes read four columns of the annotated rows
+    a = materialize(annotated(spark, sf_dir).select("batch_id", "event_time", "outcome", "temp_corrected"))
+    kept = a.where(F.col("outcome") == KEPT).select("batch_id", "event_time")
+    return cleaning.batch_log(a, quality.late_arrivals(kept))
 
 
 def q_window_avg(spark, sf_dir):
@@ -165,10 +156,6 @@ def q_window_avg(spark, sf_dir):
                   ts=["window_start", "window_end"], rnd=["avg_temperature"], longs=["record_count"])
 
 
-def q_late_drops_model(spark, sf_dir):
-    return finish(_late_drops(spark, sf_dir), ts=["watermark"])
-
-
 def q_partition_counts(spark, sf_dir):
     return finish(partitions.counts(parsed(spark, sf_dir)), longs=["partition"])
 
@@ -217,9 +204,16 @@ def q_analytics_output(spark, sf_dir):
 
 
 def q_workflow_report(spark, sf_dir):
-    a = annotated(spark, sf_dir)
-    rows = materialize(cleaning.clean_from_annotated(a, late=False))
-    return finish(report.workflow_report(a, rows), rnd=["value"])
+    return _workflow(spark, sf_dir, quality.DEFAULT_RULES)
+
+
+def q_workflow_report_failed(spark, sf_dir):
+    """The same report under a rule that the planted rows break: the failure branch."""
+    return _workflow(spark, sf_dir, {**quality.DEFAULT_RULES, "out_of_range": 0.001})
+
+
+def _workflow(spark, sf_dir, rules):
+    return finish(report.workflow_report(annotated(spark, sf_dir), lambda: analytic_rows(spark, sf_dir, materialized=True), rules), rnd=["value"])
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -232,16 +226,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "imputed_1h": _imputed(HOUR),
     "clean_readings": _clean(FIVE_MIN),
     "clean_readings_1h": _clean(HOUR),
+    "clean_readings_feedback": _clean(FIVE_MIN, feedback=True),
     "time_features": q_time_features,
     "legacy_cleaned": q_legacy_cleaned,
     "sensor_stats": q_sensor_stats,
     "status_distribution": q_status_distribution,
     "active_sensors": q_active_sensors,
-    "summary_table": q_summary_table,
     "late_arrivals": q_late_arrivals,
     "batch_log": q_batch_log,
     "window_avg": q_window_avg,
-    "late_drops_model": q_late_drops_model,
     "partition_counts": q_partition_counts,
     "reader_load": q_reader_load,
     "partition_skew": q_partition_skew,
@@ -252,19 +245,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "correlation_matrix": q_correlation_matrix,
     "analytics_output": q_analytics_output,
     "workflow_report": q_workflow_report,
+    "workflow_report_failed": q_workflow_report_failed,
 }
 
 
 def q_imputed_feedback(spark, sf_dir):
     """Feedback imputation (filled values enter the history), 5-minute width."""
-    from sensorlake.operators.impute import trailing_mean_feedback
-    from sensorlake.operators.quality import first_flags, in_range
-
-    d = first_flags(parsed(spark, sf_dir), DEDUP_KEYS, "event_id")
-    first, t, temp = F.col("is_first"), F.col("event_time"), F.col("temperature")
-    d = d.withColumn("_use", first & t.isNotNull() & temp.isNotNull() & in_range(temp)).withColumn(
-        "_need", first & t.isNotNull() & temp.isNull())
-    out = trailing_mean_feedback(d, FIVE_MIN, use_col="_use", need_col="_need").where("_need")
+    a = cleaning.annotate(parsed(spark, sf_dir), FIVE_MIN, feedback=True, firsts_only=True)
+    out = a.where("event_time IS NOT NULL AND raw_temperature IS NULL")
     return finish(out.select("event_id", "sensor_id", "event_time", "imputed"), ts=["event_time"], rnd=["imputed"])
 
 

@@ -2,40 +2,37 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorlake.operators.analytics import FEATURES, correlation_matrix, summary_stats
 from sensorlake.operators.quality import DEFAULT_RULES, gate
-from sensorlake.schema import BAD_TIMESTAMP, DUPLICATE, KEPT, LATE_ACCEPTED, NO_HISTORY, OUT_OF_RANGE, SUMMARY_LABELS
+from sensorlake.schema import SUMMARY_LABELS
+from sensorlake.streaming.metrics import dropped_by_watermark
 
 
-def summary_table(annotated: DataFrame, clean: DataFrame, late_drops: DataFrame) -> DataFrame:
-    """The run's outcome counters in long form (metric, value), plus raw/cleaned totals.
+def summary_table(batch_log: DataFrame, progress: DataFrame) -> DataFrame:
+    """The run's outcome counters in long form (metric, value), plus raw and cleaned totals.
 
-    Late rows accepted come from the cleaning query; rows discarded by
-    watermarking from the windowed query's drop model, so each counter names
-    the query it belongs to.
+    ``batch_log`` is the cleaning query's log, one row per batch; rows discarded
+    by watermarking are Spark's own counter in the windowed query's ``progress``.
     """
-    o = F.col("outcome")
-    late_accepted = clean.agg(F.count_if(F.col("late_class") == LATE_ACCEPTED)).scalar()
-    discarded = late_drops.agg(F.coalesce(F.sum("dropped"), F.lit(0))).scalar()
-    wide = annotated.agg(
-        F.count_if((o == KEPT) & F.col("temp_corrected")).alias("c0"),
-        F.count_if(o == DUPLICATE).alias("c1"),
-        F.count_if(o.isin(BAD_TIMESTAMP, OUT_OF_RANGE)).alias("c2"),
-        F.count_if(o == NO_HISTORY).alias("c3"),
-        F.count(F.lit(1)).alias("raw"),
-        F.count_if(o == KEPT).alias("cleaned"),
-    ).select("*", late_accepted.alias("c4"), discarded.alias("c5"))
+    discarded = dropped_by_watermark(progress).agg(F.coalesce(F.sum("dropped_by_watermark"), F.lit(0))).scalar()
+    cols = ["missing_corrected", "duplicates_removed", "invalid_removed", "dropped_insufficient_history", "late_accepted",
+            "discarded", "raw_rows", "cleaned_rows"]
+    wide = batch_log.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in cols if c != "discarded"]).withColumn("discarded", discarded)
     labels = list(SUMMARY_LABELS) + ["Raw Records", "Cleaned Records"]
-    cols = ["c0", "c1", "c2", "c3", "c4", "c5", "raw", "cleaned"]
     entries = ", ".join(f"'{label}', cast({c} as bigint)" for label, c in zip(labels, cols))
     return wide.selectExpr(f"stack({len(cols)}, {entries}) as (metric, value)")
 
 
+def rounded(df: DataFrame, places: int = 3) -> DataFrame:
+    """Reports show doubles with ``places`` decimals."""
+    return df.select(*[F.round(c, places).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
 REPORT_COLUMNS = ("section", "name_a", "name_b", "metric", "value")
 
 
@@ -52,28 +49,31 @@ def analytics_output(clean: DataFrame, cols: Sequence[str] = FEATURES) -> DataFr
     return stats.unionByName(corr)
 
 
-def workflow_report(annotated: DataFrame, clean: DataFrame, rules: Mapping[str, float] = DEFAULT_RULES,
+def workflow_report(annotated: DataFrame, clean: Callable[[], DataFrame], rules: Mapping[str, float] = DEFAULT_RULES,
                     cols: Sequence[str] = FEATURES) -> DataFrame:
     """Validate -> branch -> analytics or failure notice, as one table.
 
     Gate rows are always listed; when every rule passes the analytics rows
-    follow, otherwise a single failure notice does.
+    follow, otherwise a single failure notice does. ``clean`` gives the cleaned
+    rows and is called only in the first case.
     """
     g = gate(annotated, rules)
-    passed = g.agg(F.bool_and("passed")).scalar()
+    failed = g.agg(F.count_if(~F.col("passed"))).first()[0]   # one value: the branch is chosen before anything else is planned
     gate_rows = g.select(F.lit("gate").alias("section"), F.col("rule").alias("name_a"),
                          F.lit(None).cast("string").alias("name_b"),
                          F.when(F.col("passed"), F.lit("share_ok")).otherwise(F.lit("share_failed")).alias("metric"),
                          F.col("share").alias("value"))
-    body = analytics_output(clean, cols).where(passed)
-    notice = g.agg(F.count_if(~F.col("passed")).cast("double").alias("value")).where(~passed).select(
-        F.lit("failure").alias("section"), F.lit("validation").alias("name_a"),
-        F.lit(None).cast("string").alias("name_b"), F.lit("failed_rules").alias("metric"), "value")
-    out = gate_rows.unionByName(body).unionByName(notice)
-    return out.select(F.when(passed, F.lit("report")).otherwise(F.lit("failed")).alias("status"), *REPORT_COLUMNS)
+    if failed:
+        notice = annotated.sparkSession.range(1).select(
+            F.lit("failure").alias("section"), F.lit("validation").alias("name_a"), F.lit(None).cast("string").alias("name_b"),
+            F.lit("failed_rules").alias("metric"), F.lit(float(failed)).alias("value"))
+        out = gate_rows.unionByName(notice)
+    else:
+        out = gate_rows.unionByName(analytics_output(clean(), cols))
+    return out.select(F.lit("failed" if failed else "report").alias("status"), *REPORT_COLUMNS)
 
 
 def write_json(frames: Mapping[str, DataFrame], out_dir: str) -> None:
-    """Write each (small, aggregated) frame as JSON under ``out_dir/<name>``."""
+    """Write each (small, aggregated) frame as JSON under ``out_dir/<name>``, doubles to 3 places."""
     for name, df in frames.items():
-        df.write.mode("overwrite").json(f"{out_dir.rstrip('/')}/{name}")
+        rounded(df).write.mode("overwrite").json(f"{out_dir.rstrip('/')}/{name}")

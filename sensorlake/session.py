@@ -54,19 +54,17 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment and points at shared storage.
-    Only when it is unset (local runs, tests) a fresh local folder is created
-    and recorded in the session so every later caller agrees on it.
+    On a cluster this is set by the deployment and points at shared storage; a
+    folder given to ``SparkContext.setCheckpointDir`` counts as well, and having neither
+    is an error. Only in local mode, where the driver is the one executor, a
+    fresh local folder is made and recorded, so that every later caller agrees on it.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="sensorlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    try:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(root)
-    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
-        pass
     return root
 
 
@@ -79,9 +77,16 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once for several consumers and cut its lineage.
 
-    A reliable checkpoint into the shared checkpoint folder: every consumer
-    reads the stored rows (with the partitioning they were written in), and a
-    lost executor costs a re-read, not a recomputation of the upstream plan.
+    A Parquet table in the shared folder: every consumer reads only the columns
+    it needs, and a lost executor costs a re-read, not a recomputation of the
+    upstream plan.
     """
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_dir(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder below the shared root (through the Hadoop file system that holds it)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)  # noqa: SLF001

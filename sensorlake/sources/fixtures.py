@@ -75,40 +75,27 @@ def plant_faults(events: DataFrame, batch_rows: int = 20, late: bool = True,
     return rows
 
 
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Round-robin an input that arrives in fewer splits than the cluster has cores.
-
-    A single-row-group file is read by one task, which would then run every
-    per-row expression (JSON encode/decode, hashing) alone. Large inputs are
-    split by the scan already and pass through untouched (no extra shuffle).
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            return df.repartition(cores)
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): keep the scan as is
-        pass
-    return df
-
-
 def planted_readings(spark: SparkSession, sf_dir: str, batch_rows: int = 20, late: bool = True,
                      late_unit: str = "minutes") -> DataFrame:
     """Planted readings built from ``{sf_dir}/events.parquet``."""
-    events = spread_small_input(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
+    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
     return plant_faults(events, batch_rows=batch_rows, late=late, late_unit=late_unit)
 
 
 def stage_files(env: DataFrame, path: str, group_col: str, n_groups: int, files_per_group: int = 1,
                 fmt: str = "json") -> None:
-    """Write envelope rows as ``n_groups`` successive sets of log files.
+    """Write envelope rows as ``n_groups`` successive sets of ``files_per_group`` log files.
 
-    Group ``g`` (rows with ``group_col == g``) is written by its own job after
-    group ``g-1`` finished, so file modification times follow group order and a
+    The rows are stored once, by group; then each group is written from its own
+    folder after the group before, so file modification times follow group order and a
     file stream with ``maxFilesPerTrigger = files_per_group`` reads exactly one
     group per micro-batch. This is a test/bench fixture for stream runs.
     """
+    from sensorlake.session import scratch_dir
     from sensorlake.sources.log import write_log
 
+    spark, held = env.sparkSession, scratch_dir(env.sparkSession, "groups")
+    env.write.partitionBy(group_col).parquet(held)
     for g in range(n_groups):
-        part = env.where(F.col(group_col) == g).drop(group_col).repartition(files_per_group)
-        write_log(part, path, fmt=fmt, mode="append")
+        rows = spark.read.schema(env.schema).parquet(held).where(F.col(group_col) == g).drop(group_col)
+        write_log(rows.repartition(files_per_group), path, fmt=fmt, mode="append")

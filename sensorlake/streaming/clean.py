@@ -3,20 +3,23 @@
 Per batch ``N`` (inside ``foreachBatch``):
 
 1. first arrival per (sensor_id, timestamp) inside the batch, then a NULL-safe
-   anti-match against the key ledger (keys of batches < N; only the event
-   days this batch touches are read, and within them only the timestamp
-   range it spans, pruned by Parquet statistics);
-2. the trailing-mean history is the batch itself plus the slice of the cleaned
-   table within ``width`` before the batch's earliest event time;
-3. late class against the greatest kept event time of batches < N (one value
-   from the batch log);
-4. writes - cleaned rows, new ledger keys, then the batch-log row - each into
-   partitions keyed by ``batch_id`` with dynamic overwrite, so a replayed batch
-   replaces its own output and reads of "batches < N" see the same past.
+   anti-match against the key ledger (keys of batches < N; only the event days
+   between the batch's first and last are listed and read, and within them only
+   the range of timestamp texts it spans, pruned by Parquet statistics);
+2. the trailing-mean history is the batch itself plus the rows of the cleaned
+   table within ``width`` before the batch's earliest event time, whatever days those are;
+3. late class against the greatest kept event time of batches < N, which the
+   log row of batch N-1 carries;
+4. writes - cleaned rows, new ledger keys, the batch's analytics, then the
+   batch-log row - each into partitions keyed by ``batch_id``, replaced by the writer's own dynamic
+   overwrite, so a replayed batch replaces its own output and reads of "batches < N" see the same past.
+
+A batch without rows writes its log row too, so the log has every batch.
 """
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,28 +27,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sensorlake.functions.features import add_time_features
-from sensorlake.functions.scalar import seconds_between
-from sensorlake.operators.impute import trailing_mean
+from sensorlake.operators.analytics import sensor_stats, status_distribution
 from sensorlake.operators.prefix import inclusive_prefix
-from sensorlake.operators.quality import DEDUP_KEYS, first_flags, in_range, outcome_expr
-from sensorlake.plans.cleaning import CLEAN_COLUMNS
-from sensorlake.session import materialize
-from sensorlake.schema import (
-    BAD_TIMESTAMP,
-    DUPLICATE,
-    HISTORY_SECONDS,
-    KEPT,
-    LATE_ACCEPT_SECONDS,
-    LATE_ACCEPTED,
-    NO_HISTORY,
-    ON_TIME,
-    OUT_OF_RANGE,
-    TOO_LATE,
-)
+from sensorlake.operators.quality import DEDUP_KEYS, first_flags, late_sql
+from sensorlake.plans.cleaning import CLEAN_COLUMNS, fill, outcome_counts
+from sensorlake.schema import HISTORY_SECONDS, KEPT, LATE_ACCEPTED
+from sensorlake.session import remove_folder, scratch_dir
 from sensorlake.sources.log import SinkSpec
 from sensorlake.streaming.runner import start
 
-NO_DAY = -1   # ledger partition of keys whose time does not parse
+#: ledger day of keys whose time does not parse: before any day that does
+NO_DAY = -10_000_000
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -60,13 +52,22 @@ def _day(col):
     return F.coalesce(F.unix_date(F.to_date(col)), F.lit(NO_DAY))
 
 
+def replace_partitions(df: DataFrame, path: str, *by: str) -> None:
+    """Write ``df`` and replace only the partitions it has rows for, whatever the session's overwrite mode is."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+
+
 @dataclass
 class CleanStream:
-    """foreachBatch state holder: folder layout and parameters (no row state in Python)."""
+    """foreachBatch state holder: folder layout and parameters (no row state in Python).
+
+    With ``feedback`` filled values of earlier rows are history too.
+    """
 
     root: str
     width_seconds: float = HISTORY_SECONDS
     order: str = "event_id"
+    feedback: bool = False
 
     @property
     def cleaned_path(self) -> str:
@@ -80,105 +81,129 @@ class CleanStream:
     def log_path(self) -> str:
         return f"{self.root}/batch_log"
 
+    def _days(self, spark: SparkSession, path: str, lo: int, hi: int, n: int) -> DataFrame | None:
+        """Rows of the days lo..hi of a table, batches before n: only those days' folders are listed."""
+        days = [f"{path}/event_day={d}" for d in self._listed(spark, path) if lo <= d <= hi]
+        if not days:
+            return None
+        return spark.read.option("basePath", path).parquet(*days).where(F.col("batch_id") < n)
+
+    @staticmethod
+    def _listed(spark: SparkSession, path: str) -> list[int]:
+        if not _exists(spark, path):
+            return []
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+        found = p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)  # noqa: SLF001
+        names = [f.getPath().getName() for f in found]
+        return sorted(int(x.partition("=")[2]) for x in names if x.startswith("event_day="))
+
+    def _seen(self, spark: SparkSession, n: int, span) -> DataFrame | None:
+        """Ledger keys that rows of the batch may repeat: by day and timestamp text, parsed and unparsed ones apart."""
+        parts = []
+        if span["day_lo"] is not None:
+            got = self._days(spark, self.ledger_path, span["day_lo"], span["day_hi"], n)
+            if got is not None:
+                parts.append(got.where(F.col("timestamp").between(F.lit(span["ts_lo"]), F.lit(span["ts_hi"]))))
+        if span["n_bad"]:
+            got = self._days(spark, self.ledger_path, NO_DAY, NO_DAY, n)
+            if got is not None:
+                bad = F.col("timestamp").between(F.lit(span["bad_lo"]), F.lit(span["bad_hi"])) if span["bad_lo"] is not None else F.lit(False)
+                parts.append(got.where(bad | F.col("timestamp").isNull()) if span["bad_null"] else got.where(bad))
+        seen = None
+        for part in parts:
+            part = part.select(*DEDUP_KEYS)
+            seen = part if seen is None else seen.unionByName(part)
+        return seen
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        n = int(batch_id)
+        spark, began, n = batch.sparkSession, time.monotonic(), int(batch_id)
         rows = batch.withColumn("batch_id", F.lit(n).cast("long"))
-        # the event dates this batch touches (and the history it may need): a handful of values
+        parsed_text, bad_text = (F.when(F.col("event_time").isNotNull() == ok, F.col("timestamp")) for ok in (True, False))
         span = rows.agg(
-            F.collect_set(_day(F.col("event_time"))).alias("dates"),
-            F.collect_set(_day(F.col("event_time") - F.make_dt_interval(
-                F.lit(0), F.lit(0), F.lit(0), F.lit(self.width_seconds)))).alias("hist_dates"),
-            F.min("event_time").alias("tmin"),
-            F.min(F.when(F.col("event_time").isNotNull(), F.col("timestamp"))).alias("ts_lo"),
-            F.max(F.when(F.col("event_time").isNotNull(), F.col("timestamp"))).alias("ts_hi"),
+            F.min(F.unix_date(F.to_date("event_time"))).alias("day_lo"), F.max(F.unix_date(F.to_date("event_time"))).alias("day_hi"),
+            F.min("event_time").alias("tmin"), F.min(parsed_text).alias("ts_lo"), F.max(parsed_text).alias("ts_hi"),
+            F.count_if(F.col("event_time").isNull()).alias("n_bad"), F.min(bad_text).alias("bad_lo"), F.max(bad_text).alias("bad_hi"),
+            F.count_if(F.col("event_time").isNull() & F.col("timestamp").isNull()).alias("bad_null"),
             F.count(F.lit(1)).alias("n"),
         ).first()
-        if span is None or span["n"] == 0:
+        running = self._running_max(spark, n)
+        if not span["n"]:
+            counters = {c: 0 for c in ("raw_rows", "cleaned_rows", "missing_corrected", "duplicates_removed", "invalid_removed",
+                                       "dropped_insufficient_history", "late_accepted")}
+            log = spark.range(1).select(*[F.lit(v).cast("long").alias(k) for k, v in counters.items()], F.lit(None).cast("timestamp").alias("max_event_time"))
+            self._write_log(log, n, running, began)
             return
-        dates = sorted(set(span["dates"]))
-        hist_dates = sorted(set(span["dates"]) | set(span["hist_dates"]) - {NO_DAY})
 
         # 1. dedup: in-batch first arrival, then not seen in any earlier batch
-        flagged = first_flags(rows, DEDUP_KEYS, self.order, "_in_batch_first")
-        if _exists(spark, self.ledger_path):
-            # the timestamp text sorts like the time, and a batch's keys span a narrow range: the range
-            # filter reaches the Parquet scan, whose min/max statistics skip older ledger files
-            in_range_keys = (F.col("event_day") == NO_DAY) | F.col("timestamp").between(
-                F.lit(span["ts_lo"]), F.lit(span["ts_hi"]))
-            seen = (spark.read.parquet(self.ledger_path)
-                    .where(F.col("event_day").isin(dates) & (F.col("batch_id") < n) & in_range_keys)
-                    .select(*[F.col(k).alias(f"_seen_{k}") for k in DEDUP_KEYS]).withColumn("_seen", F.lit(True)))
+        flagged = first_flags(rows, DEDUP_KEYS, self.order, "is_first")
+        seen = self._seen(spark, n, span)
+        if seen is not None:
+            seen = seen.select(*[F.col(k).alias(f"_seen_{k}") for k in DEDUP_KEYS]).withColumn("_seen", F.lit(True))
             cond = [F.col(k).eqNullSafe(F.col(f"_seen_{k}")) for k in DEDUP_KEYS]
-            flagged = flagged.join(seen, cond, "left").drop(*[f"_seen_{k}" for k in DEDUP_KEYS])
-        else:
-            flagged = flagged.withColumn("_seen", F.lit(None).cast("boolean"))
-        flagged = flagged.withColumn("is_first", F.col("_in_batch_first") & F.col("_seen").isNull()).drop(
-            "_in_batch_first", "_seen")
-
-        # 2. imputation over the batch plus the recent history slice of the cleaned table
-        first, t, temp = F.col("is_first"), F.col("event_time"), F.col("temperature")
-        current = flagged.select("*", F.lit(False).alias("_hist"),
-                                 (first & t.isNotNull() & temp.isNotNull() & in_range(temp)).alias("_use"),
-                                 (first & t.isNotNull() & temp.isNull()).alias("_need"))
-        if _exists(spark, self.cleaned_path) and span["tmin"] is not None:
-            lo = F.lit(span["tmin"]) - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(self.width_seconds))
-            hist = (spark.read.parquet(self.cleaned_path)
-                    .where(F.col("event_day").isin(hist_dates) & (F.col("batch_id") < n) & (F.col("event_time") >= lo)
-                           & ~F.col("temp_corrected"))      # observed readings only, never earlier fills
-                    .select("event_id", "sensor_id", "event_time", "temperature"))
-            hist = hist.select(*[F.col(c) if c in hist.columns else F.lit(None).cast(current.schema[c].dataType).alias(c)
-                                 for c in flagged.columns],
-                               F.lit(True).alias("_hist"), F.lit(True).alias("_use"), F.lit(False).alias("_need"))
-            current = current.unionByName(hist)
-        imputed = trailing_mean(current, self.width_seconds, "temperature", use_col="_use", need_col="_need",
-                                id_col=self.order, out_col="imputed")
-        # stored once: the three writes below all read it
-        annotated = materialize(imputed.where(~F.col("_hist")).drop("_hist", "_use", "_need")
-                                .withColumn("outcome", outcome_expr(first, t, temp, F.col("imputed")))
-                                .withColumn("temp_corrected", temp.isNull() & F.col("imputed").isNotNull())
-                                .withColumn("temperature", F.coalesce(temp, F.col("imputed"))))
-
-        # 3. late class against earlier batches' running maximum (one value)
-        if _exists(spark, self.log_path):
-            prev_max = spark.read.parquet(self.log_path).where(F.col("batch_id") < n).agg(
-                F.max("max_event_time")).scalar()
-        else:
-            prev_max = F.lit(None).cast("timestamp")
-        late = prev_max.isNotNull() & (t < prev_max)
-        kept = (annotated.where(F.col("outcome") == KEPT)
-                .withColumn("delay_s", F.when(late, seconds_between(prev_max, t)).otherwise(F.lit(0.0)))
-                .withColumn("late_class", F.when(~late, F.lit(ON_TIME))
-                            .when(F.col("delay_s") <= LATE_ACCEPT_SECONDS, F.lit(LATE_ACCEPTED))
-                            .otherwise(F.lit(TOO_LATE))))
-        clean = add_time_features(kept).select(*CLEAN_COLUMNS).withColumn("event_day", _day(t))
+            flagged = flagged.join(seen, cond, "left").withColumn("is_first", F.expr("is_first AND _seen IS NULL")).select(*flagged.columns)
+
+        # 2. imputation over the batch plus the history rows of the cleaned table
+        current = flagged.withColumn("_hist", F.lit(False))
+        if span["tmin"] is not None:
+            back = F.lit(span["tmin"]) - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(float(self.width_seconds)))
+            day = span["day_lo"] - int(self.width_seconds // 86400) - 1
+            past = self._days(spark, self.cleaned_path, day, span["day_hi"], n)
+            if past is not None:
+                past = past.where(F.col("event_time") >= back)
+                if not self.feedback:
+                    past = past.where(~F.col("temp_corrected"))      # observed readings only, never earlier fills
+                past = past.select("sensor_id", "event_time", "temperature", "event_id", *(["partition"] if "partition" in flagged.columns else []))
+                have = {c: F.col(c) for c in past.columns}
+                current = current.unionByName(past.select(
+                    *[have.get(c, F.lit(None)).cast(current.schema[c].dataType).alias(c) for c in flagged.columns], F.lit(True).alias("_hist")))
+        filled = fill(current, self.width_seconds, self.order, feedback=self.feedback, history="_hist")
+        filled = filled.where(~F.col("_hist")).drop("_hist", "raw_temperature", "imputed")
+        # stored once for the writes below, deleted when the batch is done
+        folder = scratch_dir(spark, "batch")
+        filled.write.parquet(folder)
+        annotated = spark.read.schema(filled.schema).parquet(folder)
+
+        # 3. late class against the greatest event time of earlier batches
+        delay, late_class = late_sql("event_time", "_prev")
+        kept = annotated.where(F.col("outcome") == KEPT).withColumn("_prev", F.lit(running).cast("timestamp")).selectExpr(
+            "*", f"{delay} AS delay_s", f"{late_class} AS late_class")
+        columns = [*CLEAN_COLUMNS, *(["partition"] if "partition" in annotated.columns else [])]
+        clean = add_time_features(kept).select(*columns).withColumn("event_day", _day(F.col("event_time")))
 
         # 4. idempotent writes, batch log last
-        clean.write.mode("overwrite").partitionBy("event_day", "batch_id").parquet(self.cleaned_path)
-        (annotated.where(F.col("is_first"))
-         .select(*DEDUP_KEYS, F.lit(n).cast("long").alias("batch_id"), _day(t).alias("event_day"))
-         .write.mode("overwrite").partitionBy("event_day", "batch_id").parquet(self.ledger_path))
-        o = F.col("outcome")
-        (annotated.agg(
-            F.count(F.lit(1)).cast("long").alias("raw_rows"),
-            F.count_if(o == KEPT).cast("long").alias("cleaned_rows"),
-            F.count_if((o == KEPT) & F.col("temp_corrected")).cast("long").alias("missing_corrected"),
-            F.count_if(o == DUPLICATE).cast("long").alias("duplicates_removed"),
-            F.count_if(o.isin(BAD_TIMESTAMP, OUT_OF_RANGE)).cast("long").alias("invalid_removed"),
-            F.count_if(o == NO_HISTORY).cast("long").alias("dropped_insufficient_history"),
-            F.max(F.when(o == KEPT, t)).alias("max_event_time"),
-        ).withColumn("late_accepted", clean.agg(
-            F.count_if(F.col("late_class") == LATE_ACCEPTED).cast("long")).scalar())
-         .withColumn("batch_id", F.lit(n).cast("long"))
-         .write.mode("overwrite").partitionBy("batch_id").parquet(self.log_path))
+        replace_partitions(clean, self.cleaned_path, "event_day", "batch_id")
+        replace_partitions(annotated.where(F.col("is_first")).select(
+            *DEDUP_KEYS, F.lit(n).cast("long").alias("batch_id"), _day(F.col("event_time")).alias("event_day")), self.ledger_path, "event_day", "batch_id")
+        this = F.lit(n).cast("long").alias("batch_id")
+        replace_partitions(sensor_stats(kept).select("*", this), f"{self.root}/sensor_stats", "batch_id")
+        replace_partitions(status_distribution(kept).select("*", this), f"{self.root}/status_distribution", "batch_id")
+        late = kept.agg(F.count_if(F.col("late_class") == LATE_ACCEPTED)).scalar()
+        log = annotated.agg(F.count(F.lit(1)).alias("raw_rows"), *outcome_counts(), F.max(F.when(F.col("outcome") == KEPT, F.col("event_time"))).alias("max_event_time"))
+        self._write_log(log.withColumn("late_accepted", late), n, running, began)
+        remove_folder(spark, folder)
+
+    def _running_max(self, spark: SparkSession, n: int):
+        """Greatest kept event time of batches before n: one value, from the log row of the batch before."""
+        before = f"{self.log_path}/batch_id={n - 1}"
+        if n and _exists(spark, before):
+            return spark.read.parquet(before).select("running_max").first()[0]
+        return None
+
+    def _write_log(self, log: DataFrame, n: int, running, began: float) -> None:
+        longs = [c for c in log.columns if c != "max_event_time"]
+        replace_partitions(log.select(
+            *[F.col(c).cast("long").alias(c) for c in longs], "max_event_time",
+            F.greatest("max_event_time", F.lit(running).cast("timestamp")).alias("running_max"),
+            F.lit(int(1000 * (time.monotonic() - began))).cast("long").alias("duration_ms"), F.lit(n).cast("long").alias("batch_id")), self.log_path, "batch_id")
 
 
 def start_clean_stream(parsed_stream: DataFrame, root: str, checkpoint: str, name: str = "cleaning_query",
-                       processing_time: str | None = None, width_seconds: float = HISTORY_SECONDS) -> StreamingQuery:
+                       processing_time: str | None = None, width_seconds: float = HISTORY_SECONDS,
+                       feedback: bool = False) -> StreamingQuery:
     """Start the cleaning stream; its tables live under ``root``."""
     sink = SinkSpec(name=name, checkpoint=checkpoint, mode="append", format="foreachBatch",
                     processing_time=processing_time)
-    return start(parsed_stream, sink, CleanStream(root, width_seconds))
+    return start(parsed_stream, sink, CleanStream(root, width_seconds, feedback=feedback))
 
 
 def cleaned_table(spark: SparkSession, root: str) -> DataFrame:
@@ -187,24 +212,17 @@ def cleaned_table(spark: SparkSession, root: str) -> DataFrame:
 
 def batch_log_table(spark: SparkSession, root: str) -> DataFrame:
     """Per-batch counters with running totals (blocked prefix sums over batch ids)."""
-    log = spark.read.parquet(f"{root}/batch_log")
+    log = spark.read.parquet(f"{root}/batch_log").drop("running_max", "duration_ms")
     counters = ["missing_corrected", "duplicates_removed", "invalid_removed", "dropped_insufficient_history",
                 "late_accepted"]
     return inclusive_prefix(log, "batch_id", {c: "sum" for c in counters}, prefix="total_")
 
 
-def write_cleaned(df: DataFrame, batch_id: int, path: str) -> None:
-    """Idempotent append of one batch: replaces partition ``batch_id`` only."""
-    df.withColumn("batch_id", F.lit(int(batch_id)).cast("long")).write.mode("overwrite").partitionBy(
-        "batch_id").parquet(path)
+def batch_durations(spark: SparkSession, root: str) -> DataFrame:
+    """(batch_id, duration_ms): how long each batch's cleaning took, empty batches included."""
+    return spark.read.parquet(f"{root}/batch_log").select("batch_id", "duration_ms")
 
 
-def dedup_ledger(batch: DataFrame, ledger_path: str, batch_id: int, keys=DEDUP_KEYS, order: str = "event_id") -> DataFrame:
-    """Rows of a batch whose key is new: in-batch first arrival and absent from earlier batches' ledger."""
-    spark = batch.sparkSession
-    firsts = first_flags(batch, keys, order, "_f").where("_f").drop("_f")
-    if not _exists(spark, ledger_path):
-        return firsts
-    seen = spark.read.parquet(ledger_path).where(F.col("batch_id") < int(batch_id)).select(*keys)
-    cond = [firsts[k].eqNullSafe(seen[k]) for k in keys]
-    return firsts.join(seen, cond, "left_anti")
+def batch_analytics(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """Per micro-batch: (sensor statistics, status distribution) of the rows it kept."""
+    return spark.read.parquet(f"{root}/sensor_stats"), spark.read.parquet(f"{root}/status_distribution")

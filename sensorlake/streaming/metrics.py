@@ -1,20 +1,21 @@
 """Query progress as DataFrames: rates, durations, state operators, watermark drops.
 
-Progress comes from ``StreamingQuery.recentProgress`` (kept by the JVM; raise
-``spark.sql.streaming.numRecentProgressUpdates`` for long runs) or from a
-``ProgressLog`` listener registered on ``spark.streams``. Either way it is a
-short list of small records per trigger, turned into a DataFrame once.
+Progress comes from a ``ProgressLog`` listener registered on ``spark.streams``, which
+gets every trigger's record. Records wait in a short list and are appended to a
+table in a given folder, so a stream of any length keeps all of its batches.
 """
 
 from __future__ import annotations
 
 import json
 import threading
-from collections.abc import Iterable
+import time
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 PROGRESS_SCHEMA = (
     "name string, timestamp string, batchId bigint, inputRowsPerSecond double, processedRowsPerSecond double, "
@@ -47,13 +48,33 @@ def _record(p: dict, name: str | None = None) -> dict:
 
 
 class ProgressLog(StreamingQueryListener):
-    """Listener keeping one record per progress event, per query name."""
+    """Listener keeping one record per progress event, per query name, in a table in ``folder``.
 
-    def __init__(self) -> None:
+    At most ``waiting`` records are held; ``to_df`` writes what is left and reads
+    the table. Without a folder (short runs) all records stay in the list.
+    """
+
+    def __init__(self, spark: SparkSession | None = None, folder: str | None = None, waiting: int = 200) -> None:
         self._lock = threading.Lock()
+        self.spark, self.folder, self.waiting = spark, folder, waiting
         self.records: list[dict] = []
         self.terminated: set[str] = set()
 
+    def flush(self) -> None:
+        if self.folder is None:
+            return
+        with self._lock:
+            rows, self.records = self.records, []
+        if rows:
+            self.spark.createDataFrame(rows, PROGRESS_SCHEMA).coalesce(1).write.mode("append").parquet(self.folder)
+
+    def follow(self, *queries: StreamingQuery, poll_s: float = 0.1) -> None:
+        """Wait until the queries have ended and their last events (which come later) are here."""
+        for q in queries:
+            q.awaitTermination()
+        while not {str(q.id) for q in queries} <= self.terminated:
+            time.sleep(poll_s)
+
     def onQueryStarted(self, event) -> None:  # noqa: N802 - listener API
         pass
 
@@ -61,6 +82,9 @@ class ProgressLog(StreamingQueryListener):
         rec = _record(json.loads(event.progress.json))
         with self._lock:
             self.records.append(rec)
+            full = len(self.records) >= self.waiting
+        if full:
+            self.flush()
 
     def onQueryIdle(self, event) -> None:  # noqa: N802
         pass
@@ -69,19 +93,23 @@ class ProgressLog(StreamingQueryListener):
         with self._lock:
             self.terminated.add(str(event.id))
 
-    def to_df(self, spark: SparkSession) -> DataFrame:
+    def to_df(self, spark: SparkSession | None = None) -> DataFrame:
+        spark = spark or self.spark
+        self.flush()
         with self._lock:
-            rows = list(self.records)
-        return spark.createDataFrame(rows, PROGRESS_SCHEMA)
+            waiting = spark.createDataFrame(list(self.records), PROGRESS_SCHEMA)
+        return waiting if self.folder is None else waiting.unionAll(spark.read.schema(PROGRESS_SCHEMA).parquet(self.folder))
 
 
-def progress_frame(spark: SparkSession, queries: Iterable) -> DataFrame:
-    """Progress records of finished/running queries from their ``recentProgress``."""
-    rows = []
-    for q in queries:
-        for p in q.recentProgress:
-            rows.append(_record(json.loads(p.json) if hasattr(p, "json") else dict(p), q.name))
-    return spark.createDataFrame(rows, PROGRESS_SCHEMA)
+@contextmanager
+def recorded(spark: SparkSession, folder: str) -> Iterator[ProgressLog]:
+    """A ``ProgressLog`` that listens inside the block."""
+    log = ProgressLog(spark, folder)
+    spark.streams.addListener(log)
+    try:
+        yield log
+    finally:
+        spark.streams.removeListener(log)
 
 
 def dropped_by_watermark(progress: DataFrame) -> DataFrame:
@@ -108,8 +136,8 @@ def state_snapshot(progress: DataFrame) -> DataFrame:
 
 
 def performance(progress: DataFrame) -> DataFrame:
-    """Per query: batches, rows, median/min/max processed rate and trigger time (first batch apart)."""
-    p = progress.where(F.col("batchId") > 0).withColumn("trigger_ms", F.col("durationMs")["triggerExecution"])
+    """Per query: batches, rows, median/min/max processed rate and trigger time, over every batch."""
+    p = progress.withColumn("trigger_ms", F.col("durationMs")["triggerExecution"])
     return p.groupBy("name").agg(
         F.count(F.lit(1)).alias("batches"),
         F.sum("numInputRows").alias("rows"),

@@ -3,8 +3,9 @@
 Each query stages the planted readings as ten successive sets of log files
 under the session's checkpoint root (one set per micro-batch), runs the
 stream with ``availableNow`` to the end, and returns what its sink holds.
-The oracle treats the file index ``event_id div ceil(rows/10)`` as the
-micro-batch id. ``late=False`` staging has no late rows, so stream = batch.
+The oracle treats the index of an arrival's set as the micro-batch id.
+``late=False`` staging has no late rows, so stream = batch; the cleaning stream
+runs on rows whose times are days back and on rows delivered one set late.
 """
 
 from __future__ import annotations
@@ -12,19 +13,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sensorlake.operators.analytics import sensor_stats, status_distribution
 from sensorlake.operators.windows import dedup_watermark, eligible, watermarked
 from sensorlake.plans import oracle as O
 from sensorlake.plans.queries import finish
+from sensorlake.plans.report import summary_table, write_json
 from sensorlake.session import configure, scratch_dir
 from sensorlake.sources.fixtures import planted_readings, stage_files
 from sensorlake.sources.log import SinkSpec, SourceSpec, decode_envelope, read_stream, to_envelope
 from sensorlake.streaming import clean as cs
 from sensorlake.streaming.fanout import fan_out
-from sensorlake.streaming.metrics import batch_drops, performance, progress_frame, state_snapshot
+from sensorlake.streaming.metrics import batch_drops, performance, recorded, state_snapshot
 from sensorlake.streaming.runner import run_to_end, start
 from sensorlake.streaming.windowed import current_windows, start_windowed
 
 N_FILES = 10
+FILES_PER_SET = 4
 
 
 def _cores(spark: SparkSession) -> int:
@@ -35,27 +39,44 @@ def _cores(spark: SparkSession) -> int:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def stage(spark: SparkSession, sf_dir: str, late: bool) -> str:
-    """Stage planted envelope rows as N_FILES successive file sets; return the folder."""
+def file_of(per: int) -> str:
+    """SQL: the file set of an arrival. The last but one arrival of each set is delivered with the next set: late, by little."""
+    return f"CAST(least(event_id div {per} + CASE WHEN event_id % {per} = {per - 2} THEN 1 ELSE 0 END, {N_FILES - 1}) AS INT)"
+
+
+def stage(spark: SparkSession, sf_dir: str, late: bool, delayed: bool = False, files: int = FILES_PER_SET) -> str:
+    """Stage planted envelope rows as N_FILES successive file sets; return the folder.
+
+    ``late`` moves some event times back by days; ``delayed`` delivers some rows one set later.
+    """
     configure(spark)
     r = planted_readings(spark, sf_dir, late=late, late_unit="days")
-    per = (r.agg(F.max("event_id")).first()[0] + N_FILES) // N_FILES
-    env = to_envelope(r).withColumn("_file", F.expr(f"offset div {per}"))
+    per = (spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").agg(F.max("event_id")).first()[0] + N_FILES) // N_FILES
+    env = to_envelope(r).withColumn("_file", F.expr(file_of(per).replace("event_id", "offset") if delayed else f"CAST(offset div {per} AS INT)"))
     path = scratch_dir(spark, "staged")
-    stage_files(env, path, "_file", N_FILES, files_per_group=1)
+    stage_files(env, path, "_file", N_FILES, files_per_group=files)
     return path
 
 
-def parsed_stream(spark: SparkSession, path: str) -> DataFrame:
-    src = read_stream(spark, SourceSpec(format="json", path=path, max_files_per_trigger=1))
+def parsed_stream(spark: SparkSession, path: str, files: int = FILES_PER_SET) -> DataFrame:
+    src = read_stream(spark, SourceSpec(format="json", path=path, max_files_per_trigger=files))
     return decode_envelope(src, keep=("partition", "offset")).withColumnRenamed("offset", "event_id")
 
 
 def _windowed_run(spark, sf_dir, late):
     staged = stage(spark, sf_dir, late)
     out, ckpt = scratch_dir(spark, "windows"), scratch_dir(spark, "ckpt-windowed")
-    q = run_to_end(start_windowed(parsed_stream(spark, staged), out, ckpt, state_partitions=_cores(spark)))
-    return q, out
+    run_to_end(start_windowed(parsed_stream(spark, staged), out, ckpt, state_partitions=_cores(spark)))
+    return out
+
+
+def _windowed_progress(spark, sf_dir):
+    """Every progress record of the windowed query over the staged rows."""
+    staged = stage(spark, sf_dir, late=True)
+    with recorded(spark, scratch_dir(spark, "progress")) as log:
+        log.follow(start_windowed(parsed_stream(spark, staged), scratch_dir(spark, "windows"), scratch_dir(spark, "ckpt-windowed"),
+                                  state_partitions=_cores(spark)))
+    return log.to_df()
 
 
 def _windows_result(spark, out):
@@ -64,18 +85,15 @@ def _windows_result(spark, out):
 
 
 def q_window_avg_stream(spark, sf_dir):
-    _, out = _windowed_run(spark, sf_dir, late=False)
-    return _windows_result(spark, out)
+    return _windows_result(spark, _windowed_run(spark, sf_dir, late=False))
 
 
 def q_window_avg_late(spark, sf_dir):
-    _, out = _windowed_run(spark, sf_dir, late=True)
-    return _windows_result(spark, out)
+    return _windows_result(spark, _windowed_run(spark, sf_dir, late=True))
 
 
 def q_stream_late_drops(spark, sf_dir):
-    q, _ = _windowed_run(spark, sf_dir, late=True)
-    d = batch_drops(progress_frame(spark, [q])).where(F.col("input_rows") > 0)
+    d = batch_drops(_windowed_progress(spark, sf_dir)).where(F.col("input_rows") > 0)
     return d.select(F.col("batchId").alias("batch_id"), "input_rows", "dropped")
 
 
@@ -90,21 +108,60 @@ def q_dedup_watermark_stream(spark, sf_dir):
 
 
 def _clean_run(spark, sf_dir):
-    staged = stage(spark, sf_dir, late=False)
+    staged = stage(spark, sf_dir, late=True, delayed=True)
     root, ckpt = scratch_dir(spark, "clean"), scratch_dir(spark, "ckpt-clean")
-    q = run_to_end(cs.start_clean_stream(parsed_stream(spark, staged), root, ckpt))
-    return q, root
+    run_to_end(cs.start_clean_stream(parsed_stream(spark, staged), root, ckpt))
+    return root
 
 
 def q_clean_stream(spark, sf_dir):
-    _, root = _clean_run(spark, sf_dir)
-    return finish(cs.cleaned_table(spark, root), ts=["event_time"], rnd=["temperature", "delay_s"],
+    return finish(cs.cleaned_table(spark, _clean_run(spark, sf_dir)), ts=["event_time"], rnd=["temperature", "delay_s"],
                   longs=["hour_of_day", "day_of_week", "is_weekend"])
 
 
 def q_clean_stream_log(spark, sf_dir):
-    _, root = _clean_run(spark, sf_dir)
-    return cs.batch_log_table(spark, root).drop("max_event_time")
+    return cs.batch_log_table(spark, _clean_run(spark, sf_dir)).drop("max_event_time")
+
+
+def q_clean_stream_analytics(spark, sf_dir):
+    """Per micro-batch and sensor: readings, average and maximum of the rows it kept."""
+    stats, _ = cs.batch_analytics(spark, _clean_run(spark, sf_dir))
+    return finish(stats.select("batch_id", "sensor_id", "avg_temperature", "max_temperature", "readings"), rnd=["avg_temperature", "max_temperature"],
+                  longs=["batch_id", "readings"])
+
+
+def _both_runs(spark, sf_dir):
+    """Cleaning and windowed query side by side over one source: (folder of the cleaning tables, windowed progress)."""
+    staged = stage(spark, sf_dir, late=True, delayed=True)
+    root = scratch_dir(spark, "clean")
+    with recorded(spark, scratch_dir(spark, "progress")) as log:
+        cleaning = cs.start_clean_stream(parsed_stream(spark, staged), root, scratch_dir(spark, "ckpt-clean"))
+        windowed = start_windowed(parsed_stream(spark, staged), scratch_dir(spark, "windows"), scratch_dir(spark, "ckpt-windowed"),
+                                  state_partitions=_cores(spark))
+        log.follow(cleaning, windowed)
+    for q in (cleaning, windowed):
+        run_to_end(q)   # raises what a query failed with
+    return root, log.to_df()
+
+
+def q_summary_table(spark, sf_dir):
+    root, progress = _both_runs(spark, sf_dir)
+    return summary_table(cs.batch_log_table(spark, root), progress)
+
+
+def q_run_reports(spark, sf_dir):
+    """The JSON reports of a run, read back: report, key, metric, value (3 places)."""
+    root, progress = _both_runs(spark, sf_dir)
+    cleaned, out = cs.cleaned_table(spark, root), scratch_dir(spark, "reports")
+    write_json({"summary": summary_table(cs.batch_log_table(spark, root), progress), "sensors": sensor_stats(cleaned),
+                "status": status_distribution(cleaned), "performance": performance(progress)}, out)
+    spark.read.json(f"{out}/performance").select("name", "batches", "rows")   # timings differ from run to run: written, not returned
+    summary = spark.read.json(f"{out}/summary").selectExpr("'summary' AS report", "metric AS key", "'count' AS metric", "CAST(value AS DOUBLE) AS value")
+    sensors = spark.read.json(f"{out}/sensors").selectExpr(
+        "'sensors' AS report", "sensor_id AS key", "stack(3, 'avg_temperature', avg_temperature, 'max_temperature', max_temperature, "
+        "'readings', CAST(readings AS DOUBLE)) AS (metric, value)")
+    status = spark.read.json(f"{out}/status").selectExpr("'status' AS report", "status AS key", "'rows' AS metric", "CAST(n AS DOUBLE) AS value")
+    return summary.unionAll(sensors).unionAll(status)
 
 
 def q_stream_fan_out(spark, sf_dir):
@@ -121,19 +178,16 @@ def q_stream_fan_out(spark, sf_dir):
 
 
 def q_progress_log(spark, sf_dir):
-    q, _ = _windowed_run(spark, sf_dir, late=True)
-    return progress_frame(spark, [q]).select("name", "batchId", "numInputRows", "inputRowsPerSecond",
-                                             "processedRowsPerSecond", "durationMs", "stateOperators")
+    return _windowed_progress(spark, sf_dir).select("name", "batchId", "numInputRows", "inputRowsPerSecond",
+                                                    "processedRowsPerSecond", "durationMs", "stateOperators")
 
 
 def q_state_snapshot(spark, sf_dir):
-    q, _ = _windowed_run(spark, sf_dir, late=True)
-    return state_snapshot(progress_frame(spark, [q]))
+    return state_snapshot(_windowed_progress(spark, sf_dir))
 
 
 def q_stream_performance(spark, sf_dir):
-    q, _ = _windowed_run(spark, sf_dir, late=True)
-    return performance(progress_frame(spark, [q]))
+    return performance(_windowed_progress(spark, sf_dir))
 
 
 STREAM_QUERIES = {
@@ -143,6 +197,9 @@ STREAM_QUERIES = {
     "dedup_watermark_stream": q_dedup_watermark_stream,
     "clean_stream": q_clean_stream,
     "clean_stream_log": q_clean_stream_log,
+    "clean_stream_analytics": q_clean_stream_analytics,
+    "summary_table": q_summary_table,
+    "run_reports": q_run_reports,
     "stream_fan_out": q_stream_fan_out,
     "progress_log": q_progress_log,
     "state_snapshot": q_state_snapshot,
@@ -153,7 +210,9 @@ STREAM_QUERIES = {
 FILE_BATCH = f"event_id // (SELECT (max(event_id) + {N_FILES}) // {N_FILES} FROM events)"
 _NOLATE = O.raw_ctes(late=False)
 _LATE_DAYS = O.raw_ctes(late=True, late_unit="days", batch_sql=FILE_BATCH)
-_NOLATE_FILES = O.raw_ctes(late=False, batch_sql=FILE_BATCH)
+_PER = f"(SELECT (max(event_id) + {N_FILES}) // {N_FILES} FROM events)"
+_DELAYED = f"least(event_id // {_PER} + CASE WHEN event_id % {_PER} = {_PER} - 2 THEN 1 ELSE 0 END, {N_FILES - 1})"
+_STREAM = O.raw_ctes(late=True, late_unit="days", batch_sql=_DELAYED) + O.annot_ctes(300, arrival="batch_id, event_id", by_batch=True) + O.CLEAN_CTES
 
 _WINDOW_SELECT = """SELECT make_timestamp(epoch_us(event_time) // 300000000 * 300000000) AS window_start,
   make_timestamp(epoch_us(event_time) // 300000000 * 300000000 + 300000000) AS window_end,
@@ -175,11 +234,20 @@ STREAM_ORACLE_SQL = {
 FROM drops d"""),
     "dedup_watermark_stream": O._with(_NOLATE + O.ELIG_CTES,
                                       "SELECT DISTINCT sensor_id, timestamp, event_time FROM elig"),
-    "clean_stream": O._with(_NOLATE_FILES + O.annot_ctes(300) + O.CLEAN_CTES,
-                            """SELECT event_id, batch_id, sensor_id, event_time, round(temperature, 6) AS temperature,
+    "clean_stream": O._with(_STREAM, """SELECT event_id, batch_id, sensor_id, event_time, round(temperature, 6) AS temperature,
   humidity, status, hour_of_day, day_of_week, is_weekend, temp_corrected, late_class, round(delay_s, 6) AS delay_s
 FROM clean"""),
-    "clean_stream_log": O.batch_log_sql(_NOLATE_FILES + O.annot_ctes(300) + O.CLEAN_CTES),
+    "clean_stream_log": O.batch_log_sql(_STREAM),
+    "clean_stream_analytics": O._with(_STREAM, """SELECT CAST(batch_id AS BIGINT) AS batch_id, sensor_id,
+  round(avg(temperature), 6) AS avg_temperature, round(max(temperature), 6) AS max_temperature, CAST(count(*) AS BIGINT) AS readings
+FROM clean GROUP BY batch_id, sensor_id"""),
+    "summary_table": O._with(_STREAM + O.ELIG_CTES + O.DROPS_CTES, O.SUMMARY_SELECT),
+    "run_reports": O._with(_STREAM + O.ELIG_CTES + O.DROPS_CTES, f"""SELECT 'summary' AS report, metric AS key, 'count' AS metric, CAST(value AS DOUBLE) AS value
+FROM ({O.SUMMARY_SELECT})
+UNION ALL SELECT 'sensors', sensor_id, 'avg_temperature', round(avg(temperature), 3) FROM clean GROUP BY sensor_id
+UNION ALL SELECT 'sensors', sensor_id, 'max_temperature', round(max(temperature), 3) FROM clean GROUP BY sensor_id
+UNION ALL SELECT 'sensors', sensor_id, 'readings', CAST(count(*) AS DOUBLE) FROM clean GROUP BY sensor_id
+UNION ALL SELECT 'status', status, 'rows', CAST(count(*) AS DOUBLE) FROM clean GROUP BY status"""),
     "stream_fan_out": O._with(O.raw_ctes(), """SELECT 'group_alpha' AS consumer, count(*) AS n FROM raw
 UNION ALL SELECT 'group_beta', count(*) FROM raw"""),
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -10,6 +11,9 @@ from pyspark.sql.streaming import StreamingQuery
 from sensorlake.sources.log import SinkSpec
 
 
+_STARTING = threading.Lock()
+
+
 def start(df: DataFrame, sink: SinkSpec, batch_fn: Callable[[DataFrame, int], None] | None = None,
           state_partitions: int | None = None) -> StreamingQuery:
     """Start ``df`` as a named query with its own checkpoint.
@@ -24,12 +28,13 @@ def start(df: DataFrame, sink: SinkSpec, batch_fn: Callable[[DataFrame, int], No
     if state_partitions is None:
         return _start(df, sink, batch_fn)
     key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(int(state_partitions)))
-    try:
-        return _start(df, sink, batch_fn)   # the stream snapshots the session conf when it starts
-    finally:
-        spark.conf.set(key, before)
+    with _STARTING:   # two threads that start streams don't see each other's setting
+        before = spark.conf.get(key)
+        spark.conf.set(key, str(int(state_partitions)))
+        try:
+            return _start(df, sink, batch_fn)   # the stream snapshots the session conf when it starts
+        finally:
+            spark.conf.set(key, before)
 
 
 def _start(df: DataFrame, sink: SinkSpec, batch_fn) -> StreamingQuery:
@@ -48,10 +53,11 @@ def _start(df: DataFrame, sink: SinkSpec, batch_fn) -> StreamingQuery:
     return w.format(sink.format).start(sink.path)
 
 
-def run_to_end(query: StreamingQuery, timeout_s: float = 600.0) -> StreamingQuery:
-    """Wait for an availableNow query to finish; re-raise its failure."""
-    finished = query.awaitTermination(timeout_s)
-    if not finished:
+def run_to_end(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
+    """Wait for an availableNow query to finish; re-raise its failure. ``timeout_s`` (default none) stops a longer run."""
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
         query.stop()
         raise TimeoutError(f"stream {query.name} did not finish within {timeout_s}s")
     if query.exception() is not None:

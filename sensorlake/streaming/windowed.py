@@ -30,7 +30,7 @@ def upsert_log_writer(path: str):
         (batch.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
                       "sensor_id", "avg_temperature", "record_count")
          .withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-         .write.mode("overwrite").partitionBy("batch_id").parquet(path))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
 
     return write
 
