@@ -100,6 +100,34 @@ LLM_QUERIES = {
 }
 
 LLM_ORACLE_SQL: dict[str, str] = {
+    "op6_suffix_dedup": r"""
+        WITH h AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        win AS (SELECT doc_id, i, md5_number(substr(h, 2 * i + 1, 400)) AS s FROM (
+          SELECT doc_id, h, unnest(range(0, greatest(len(h) // 2 - 199, 0))) AS i FROM h)),
+        hit AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY s) AS c FROM win) WHERE c > 1),
+        runs AS (
+          SELECT doc_id, min(i) AS lo, max(i) + 200 AS hi FROM (
+            SELECT doc_id, i, sum(CASE WHEN i > p + 200 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM (
+              SELECT doc_id, i, lag(i, 1, -1000000) OVER (PARTITION BY doc_id ORDER BY i) AS p FROM hit))
+          GROUP BY doc_id, g),
+        gone AS (SELECT doc_id, sum(hi - lo) AS removed, count(*) AS spans, list(lo ORDER BY lo) AS lo, list(hi ORDER BY lo) AS hi FROM runs GROUP BY doc_id)
+        SELECT h.doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+          sha256(unhex(CASE WHEN spans IS NULL THEN h ELSE array_to_string([substr(h, 2 * k[1] + 1, 2 * (k[2] - k[1])) for k in list_zip([0] || hi, lo || [len(h) // 2])], '') END)) AS kept_sha256
+        FROM h LEFT JOIN gone g ON g.doc_id = h.doc_id""",
+    "op9_near_duplicates": r"""
+        WITH RECURSIVE w AS (
+          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        sh AS (
+          SELECT DISTINCT doc_id, CASE WHEN len(w) < 4 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 3], ' ') END AS s
+          FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+        links AS (
+          SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id != y.doc_id GROUP BY ALL) p
+          JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * shared >= 80 * (na.n + nb.n - shared)),
+        reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+        comp AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+        SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+        FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN comp c ON c.doc_id = d.doc_id""",
     "op8_tool_calls": """
         WITH m AS (SELECT conv_id::BIGINT AS conv_id, turn::BIGINT AS turn, role, coalesce(text, '') AS text FROM conversations),
         calls AS (
