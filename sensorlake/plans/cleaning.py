@@ -17,7 +17,7 @@ from sensorlake.functions.features import add_time_features
 from sensorlake.operators.impute import trailing_mean, trailing_mean_feedback
 from sensorlake.operators.quality import DEDUP_KEYS, dedup_first, first_flags, in_range_sql, late_arrivals, outcome_sql
 from sensorlake.session import materialize
-from sensorlake.schema import BAD_TIMESTAMP, DUPLICATE, HISTORY_SECONDS, KEPT, LATE_ACCEPTED, NO_HISTORY, OUT_OF_RANGE
+from sensorlake.schema import BAD_TIMESTAMP, DUPLICATE, HISTORY_SECONDS, KEPT, LATE_ACCEPTED, NO_HISTORY, OUT_OF_RANGE, TOO_LATE
 
 CLEAN_COLUMNS = ("event_id", "batch_id", "sensor_id", "event_time", "temperature", "humidity", "status",
                  "hour_of_day", "day_of_week", "is_weekend", "temp_corrected", "late_class", "delay_s")
@@ -62,21 +62,24 @@ def annotate(parsed: DataFrame, width_seconds: float = HISTORY_SECONDS, order: s
 ANALYTIC_COLUMNS = tuple(c for c in CLEAN_COLUMNS if c not in ("late_class", "delay_s"))
 
 
-def clean_from_annotated(annotated: DataFrame, batch_col: str = "batch_id", late: bool = True) -> DataFrame:
+def clean_from_annotated(annotated: DataFrame, batch_col: str = "batch_id", late: bool = True,
+                         drop_too_late: bool = False) -> DataFrame:
     """Kept rows with time features, and with the late class unless ``late=False``
-    (analytics do not need it, which spares the running maximum over batches)."""
+    (analytics do not need it, which spares the running maximum over batches).
+    ``drop_too_late`` leaves out rows that are later than accepted."""
     kept = annotated.where(F.col("outcome") == KEPT)
     if not late:
         return add_time_features(kept).select(*ANALYTIC_COLUMNS)
-    return add_time_features(late_arrivals(kept, batch_col)).select(*CLEAN_COLUMNS)
+    classed = late_arrivals(kept, batch_col)
+    return add_time_features(classed.where(F.col("late_class") != TOO_LATE) if drop_too_late else classed).select(*CLEAN_COLUMNS)
 
 
 def clean_readings(parsed: DataFrame, width_seconds: float = HISTORY_SECONDS, order: str = "event_id",
-                   batch_col: str = "batch_id", feedback: bool = False) -> DataFrame:
+                   batch_col: str = "batch_id", feedback: bool = False, drop_too_late: bool = False) -> DataFrame:
     """The cleaned readings table (flagship plan); the kept rows are stored once, as the late class reads them twice."""
     kept = annotate(parsed, width_seconds, order, feedback=feedback, firsts_only=True).where(F.col("outcome") == KEPT)
     columns = [c for c in CLEAN_COLUMNS if c in kept.columns] + ["outcome"]
-    return clean_from_annotated(materialize(kept.select(*columns)), batch_col)
+    return clean_from_annotated(materialize(kept.select(*columns)), batch_col, drop_too_late=drop_too_late)
 
 
 def outcome_counts() -> list[Column]:

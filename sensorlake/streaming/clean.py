@@ -31,7 +31,7 @@ from sensorlake.operators.analytics import sensor_stats, status_distribution
 from sensorlake.operators.prefix import inclusive_prefix
 from sensorlake.operators.quality import DEDUP_KEYS, first_flags, late_sql
 from sensorlake.plans.cleaning import CLEAN_COLUMNS, fill, outcome_counts
-from sensorlake.schema import HISTORY_SECONDS, KEPT, LATE_ACCEPTED
+from sensorlake.schema import HISTORY_SECONDS, KEPT, LATE_ACCEPTED, TOO_LATE
 from sensorlake.session import remove_folder, scratch_dir
 from sensorlake.sources.log import SinkSpec
 from sensorlake.streaming.runner import start
@@ -61,13 +61,17 @@ def replace_partitions(df: DataFrame, path: str, *by: str) -> None:
 class CleanStream:
     """foreachBatch state holder: folder layout and parameters (no row state in Python).
 
-    With ``feedback`` filled values of earlier rows are history too.
+    With ``feedback`` filled values of earlier rows are history too. ``drop_too_late``
+    writes no rows that are later than accepted. ``dedup_days`` lets a key come back
+    after so many days of event time (default: never), which bounds the ledger that is read.
     """
 
     root: str
     width_seconds: float = HISTORY_SECONDS
     order: str = "event_id"
     feedback: bool = False
+    drop_too_late: bool = False
+    dedup_days: int | None = None
 
     @property
     def cleaned_path(self) -> str:
@@ -101,7 +105,8 @@ class CleanStream:
         """Ledger keys that rows of the batch may repeat: by day and timestamp text, parsed and unparsed ones apart."""
         parts = []
         if span["day_lo"] is not None:
-            got = self._days(spark, self.ledger_path, span["day_lo"], span["day_hi"], n)
+            lo = span["day_lo"] if self.dedup_days is None else max(span["day_lo"], span["day_hi"] - self.dedup_days)
+            got = self._days(spark, self.ledger_path, lo, span["day_hi"], n)
             if got is not None:
                 parts.append(got.where(F.col("timestamp").between(F.lit(span["ts_lo"]), F.lit(span["ts_hi"]))))
         if span["n_bad"]:
@@ -167,6 +172,10 @@ class CleanStream:
         delay, late_class = late_sql("event_time", "_prev")
         kept = annotated.where(F.col("outcome") == KEPT).withColumn("_prev", F.lit(running).cast("timestamp")).selectExpr(
             "*", f"{delay} AS delay_s", f"{late_class} AS late_class")
+        late = kept.agg(F.count_if(F.col("late_class") == LATE_ACCEPTED)).scalar()
+        dropped = kept.agg(F.count_if((F.col("late_class") == TOO_LATE) & F.lit(self.drop_too_late))).scalar()
+        if self.drop_too_late:
+            kept = kept.where(F.col("late_class") != TOO_LATE)
         columns = [*CLEAN_COLUMNS, *(["partition"] if "partition" in annotated.columns else [])]
         clean = add_time_features(kept).select(*columns).withColumn("event_day", _day(F.col("event_time")))
 
@@ -177,9 +186,8 @@ class CleanStream:
         this = F.lit(n).cast("long").alias("batch_id")
         replace_partitions(sensor_stats(kept).select("*", this), f"{self.root}/sensor_stats", "batch_id")
         replace_partitions(status_distribution(kept).select("*", this), f"{self.root}/status_distribution", "batch_id")
-        late = kept.agg(F.count_if(F.col("late_class") == LATE_ACCEPTED)).scalar()
         log = annotated.agg(F.count(F.lit(1)).alias("raw_rows"), *outcome_counts(), F.max(F.when(F.col("outcome") == KEPT, F.col("event_time"))).alias("max_event_time"))
-        self._write_log(log.withColumn("late_accepted", late), n, running, began)
+        self._write_log(log.withColumn("cleaned_rows", F.col("cleaned_rows") - dropped).withColumn("late_accepted", late), n, running, began)
         remove_folder(spark, folder)
 
     def _running_max(self, spark: SparkSession, n: int):
@@ -198,12 +206,11 @@ class CleanStream:
 
 
 def start_clean_stream(parsed_stream: DataFrame, root: str, checkpoint: str, name: str = "cleaning_query",
-                       processing_time: str | None = None, width_seconds: float = HISTORY_SECONDS,
-                       feedback: bool = False) -> StreamingQuery:
-    """Start the cleaning stream; its tables live under ``root``."""
+                       processing_time: str | None = None, width_seconds: float = HISTORY_SECONDS, **options) -> StreamingQuery:
+    """Start the cleaning stream; its tables live under ``root``; ``options`` are ``CleanStream`` fields."""
     sink = SinkSpec(name=name, checkpoint=checkpoint, mode="append", format="foreachBatch",
                     processing_time=processing_time)
-    return start(parsed_stream, sink, CleanStream(root, width_seconds, feedback=feedback))
+    return start(parsed_stream, sink, CleanStream(root, width_seconds, **options))
 
 
 def cleaned_table(spark: SparkSession, root: str) -> DataFrame:

@@ -152,3 +152,34 @@ def test_shared_folder_is_required_off_local_mode(spark, monkeypatch):
         checkpoint_root(Session)
     Context.getCheckpointDir = staticmethod(lambda: "hdfs://shared")
     assert checkpoint_root(Session) == "hdfs://shared"
+
+
+def test_too_late_rows_and_dedup_horizon(spark):
+    rows = [(0, 0, "s", "2024-01-05 10:00:00", 20.0), (1, 0, "s", "2024-01-05 09:58:00", 21.0), (2, 0, "s", "2024-01-01 10:00:00", 22.0),
+            (3, 0, "s", "2024-01-09 10:00:00", 23.0), (4, 0, "s", "2024-01-05 10:00:00", 24.0)]
+    df = readings(spark, rows).withColumn("batch_id", F.expr("CASE WHEN event_id = 0 THEN 0L WHEN event_id < 3 THEN 1L ELSE 2L END"))
+    kept = {r.event_id: r.late_class for r in clean_readings(df).collect()}
+    assert kept == {0: "on_time", 1: "late_accepted", 2: "too_late", 3: "on_time"}
+    assert {r.event_id for r in clean_readings(df, drop_too_late=True).collect()} == {0, 1, 3}
+    for options, want, cleaned in (({}, {0, 1, 2, 3}, 2), ({"drop_too_late": True}, {0, 1, 3}, 1), ({"dedup_days": 2}, {0, 1, 2, 3, 4}, 2)):
+        root = scratch_dir(spark, "t-late")
+        fn = cs.CleanStream(root, **options)
+        for n in range(3):
+            fn(df.where(f"batch_id = {n}").drop("batch_id"), n)
+        assert {r.event_id for r in cs.cleaned_table(spark, root).collect()} == want
+        log = {r.batch_id: r for r in cs.batch_log_table(spark, root).collect()}
+        assert log[1].cleaned_rows == cleaned and log[1].late_accepted == 1
+
+
+def test_console_sink_and_processing_time(spark, tmp_path):
+    from sensorlake.sources.log import SinkSpec
+    from sensorlake.streaming.runner import run_to_end, start
+
+    src = str(tmp_path / "in")
+    spark.range(5).write.json(src)
+    stream = spark.readStream.schema("id long").json(src)
+    run_to_end(start(stream, SinkSpec(name="t_console", checkpoint=str(tmp_path / "c1"), format="console")))
+    q = start(stream, SinkSpec(name="t_timed", checkpoint=str(tmp_path / "c2"), format="memory", processing_time="1 second"))
+    q.processAllAvailable()
+    q.stop()
+    assert spark.table("t_timed").count() == 5
