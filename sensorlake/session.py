@@ -28,6 +28,15 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def workers_find_package(spark: SparkSession) -> SparkSession:
+    """Python workers look for this package where the driver found it (a path that they lack does no harm)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
+    return spark
+
+
 def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "sensorlake") -> SparkSession:
     """Build (or reuse) a session for local runs and tests; clusters pass their own."""
     builder = SparkSession.builder.appName(app)
