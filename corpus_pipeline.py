@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from sensorlake.llm import chosen_path, decontaminate, packing, pii, quality_rules
 from sensorlake.llm.tables import stored
+from sensorlake.session import workers_find_package
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -75,7 +76,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = workers_find_package(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

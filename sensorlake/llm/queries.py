@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sensorlake.session import workers_find_package
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
+    return workers_find_package(spark).read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +71,7 @@ def op8_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations as tool exchanges: calls linked, ordered, validated and serialised."""
     from sensorlake.llm.tool_calls import EXCHANGE, as_tool_messages, link_tool_calls
 
-    return link_tool_calls(as_tool_messages(spark.read.parquet(f"{sf_dir}/conversations.parquet")), EXCHANGE)
+    return link_tool_calls(as_tool_messages(documents(spark, sf_dir, "conversations")), EXCHANGE)
 
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
