@@ -242,8 +242,8 @@ def common_words(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
     return w[order], c[order]
 
 
-def score_documents(docs: DataFrame, vocabulary: int = 1022, classes: int = 32, frequent: int = 300_000, sample_docs: int = 600,
-                    hidden: int = 16) -> DataFrame:
+def score_documents(docs: DataFrame, vocabulary: int = 4094, classes: int = 64, frequent: int = 300_000, sample_docs: int = 1500,
+                    hidden: int = 32) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (both log10 of the whole text)."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
