@@ -138,7 +138,7 @@ def _as_runs(starts: np.ndarray) -> bytes:
     return np.stack((starts[first], np.diff(np.append(first, len(starts)))), axis=1).astype("<u2").tobytes()
 
 
-def remove_repeats(docs: DataFrame, length: int = 200, gram: int = 32, shard_bytes: int = 4 << 20,
+def remove_repeats(docs: DataFrame, length: int = 200, gram: int = 64, shard_bytes: int = 1 << 20,
                    queue_entries: int = 1 << 22, with_kept: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256; ``with_kept`` adds the kept bytes."""
     if gram & (gram - 1) or not gram < length < 1 << 15:
@@ -176,21 +176,15 @@ def remove_repeats(docs: DataFrame, length: int = 200, gram: int = 32, shard_byt
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // shard_bytes))
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches)) if batches else None
-        if table is None or not table.num_rows:
+        shard = [b for b in batches if b.num_rows]
+        if not shard:
             return
-        parts = table.column("part").to_pylist()
-        weights = table.column("weight").to_numpy()
-        hits = [_as_runs(x) for x in repeated_windows(parts, weights, length, folder, queue_entries)]
-        yield pa.RecordBatch.from_arrays([table.column("anchor").combine_chunks(), table.column("string").combine_chunks(), pa.array(hits, pa.binary())],
-                                         names=["anchor", "string", "runs"])
-
-    def sort_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [b for b in batches if b.num_rows]
-        if got:
-            yield from sort(got)
-
-    sorted_ = texts.repartition(shards, "anchor").mapInArrow(sort_all, "anchor long, string long, runs binary")
+        table = pa.Table.from_batches(shard).combine_chunks()
+        found = repeated_windows(table.column("part").to_pylist(), table.column("weight").to_numpy(), length, folder, queue_entries)
+        yield pa.table({"anchor": table.column("anchor"), "string": table.column("string"),
+                        "runs": pa.array([_as_runs(x) for x in found], pa.binary())}).combine_chunks().to_batches()[0]
+
+    sorted_ = texts.repartition(shards, "anchor").mapInArrow(sort, "anchor long, string long, runs binary")
     whole = strings.filter("variants = 1 AND weight > 1").select("anchor", "string", F.lit(None).cast("binary").alias("runs"))
     verdicts = stored(sorted_.filter("octet_length(runs) > 0").unionAll(whole), "verdicts")
     hits = rows.join(verdicts, ["anchor", "string"]).select("rid", "f", "n", "runs").distinct()
