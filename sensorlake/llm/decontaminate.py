@@ -35,7 +35,7 @@ from sensorlake.llm import text as tx
 
 K1, B = 1.2, 0.75
 SHINGLE = 5
-BLOCK = 64
+BLOCK = 4
 PUNCT = tx.SPACE.copy()
 PUNCT[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
 SENTENCE = re.compile(r"(?<=[.!?\n])\s+")
@@ -61,7 +61,8 @@ class Index:
 
     def __init__(self, ids: list, texts: list[str], share: float):
         hashes = [_of(t) for t in texts]
-        order = sorted((k for k in range(len(ids)) if len(hashes[k])), key=lambda k: (len(hashes[k]), k))
+        # items of like length, and so of like thresholds, share a block
+        order = sorted((k for k in range(len(ids)) if len(hashes[k])), key=lambda k: (len(np.unique(hashes[k])), k))
         self.ids = [ids[k] for k in order]
         hashes, texts = [hashes[k] for k in order], [texts[k] for k in order]
         self.window = max(map(len, hashes), default=1)
@@ -109,7 +110,7 @@ class Index:
         """Items of a block whose score for the distinct ``terms`` reaches their threshold."""
         low, high, theta = block * BLOCK, (block + 1) * BLOCK, float(self.block_theta[block])
         lists = []
-        for t in terms:
+        for t in terms[self.block_max[terms, block] > 0]:
             a, b = int(self.begin[t]), int(self.begin[t + 1])
             items = self.item[a:b]
             x, y = np.searchsorted(items, (low, high))
@@ -153,20 +154,21 @@ class Index:
         known = term >= 0
         if not known.any():
             return
-        key = np.unique(seg[known] * len(self.terms) + term[known])
-        s, t = key // len(self.terms), key % len(self.terms)
-        starts = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
-        bound = np.zeros((int(seg[-1]) + 2, self.block_max.shape[1]), np.float32)
-        bound[s[starts]] = np.add.reduceat(self.block_max[t], starts, axis=0)
         begin = np.concatenate((np.searchsorted(seg, np.arange(int(seg[-1]) + 2)), [len(seg)]))
         seg_row = row[begin[:-2]]
         follows = np.concatenate((seg_row[1:] == seg_row[:-1], [False]))
-        total = bound[:-1] + np.where(follows[:, None], bound[1:], 0)
-        for p, block in zip(*np.nonzero(total * np.float32(1.0001) >= self.block_theta), strict=True):
+        # passage p is window p and, in the same row, window p + 1: its distinct terms
+        own, t = seg[known], term[known]
+        back = (own > 0) & follows[own - 1]
+        key = np.unique(np.concatenate((own, own[back] - 1)) * len(self.terms) + np.concatenate((t, t[back])))
+        s, t = key // len(self.terms), key % len(self.terms)
+        starts = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
+        total = np.add.reduceat(self.block_max[t], starts, axis=0)
+        for g, block in zip(*np.nonzero(total * np.float32(1.0001) >= self.block_theta), strict=True):
+            p = int(s[starts[g]])
             lo, hi = begin[p], begin[p + 2] if follows[p] else begin[p + 1]
-            here = term[lo:hi]
             grams = words = None
-            for item, score in self.wand(np.unique(here[here >= 0]), int(block)):
+            for item, score in self.wand(t[starts[g]: starts[g + 1] if g + 1 < len(starts) else len(t)], int(block)):
                 if grams is None:
                     words, grams = h[lo:hi], _grams(h[lo:hi])
                 q, a = self.question[item], self.answer[item]
@@ -206,18 +208,19 @@ def build_indexes(items: DataFrame, id_col: str, share: float, chunk_items: int,
             for b in batches:
                 ids += b.column(0).to_pylist()
                 texts += b.column(1).to_pylist()
-            yield pa.record_batch([pa.array([pickle.dumps(Index(ids, texts, share))], pa.binary())], names=["index"])
+            if ids:
+                yield pa.record_batch([pa.array([pickle.dumps(Index(ids, texts, share))], pa.binary())], names=["index"])
 
         for c in range(chunks):
             some = rows.filter(F.col("class") == size["class"]).filter(F.expr(f"pmod(xxhash64(id, text), {chunks}) = {c}"))
-            row = some.select("id", "text").coalesce(1).mapInArrow(build, "index binary").first()
+            row = some.select("id", "text").repartition(1).mapInArrow(build, "index binary").first()
             if row:
                 out.append(bytes(row["index"]))
     return out
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "item_id", share: float = 0.5, overlap: float = 0.8,
-                 answer_overlap: float = 0.5, chunk_items: int = 4000, chunk_words: int = 400_000,
+                 answer_overlap: float = 0.5, chunk_items: int = 1000, chunk_words: int = 100_000,
                  max_broadcast: int = 64 << 20) -> DataFrame:
     """doc_id, item_id, score (BM25), question_overlap, answer_overlap: every verified pair, once."""
     spark, hits = docs.sparkSession, None
