@@ -293,7 +293,7 @@ def score_documents(docs: DataFrame, vocabulary: int = 4094, classes: int = 64,
 
     share = 1_000_000 if ends <= sample_docs else max(1, 1_000_000 * sample_docs // ends)
     sample = train.filter(F.expr(f"pmod(xxhash64(doc_id, 5), 1000000) < {share}")).select("text", "doc_id")
-    row = sample.coalesce(1).mapInArrow(learn, "net binary").first()
+    row = sample.repartition(1).mapInArrow(learn, "net binary").first()
     net_bytes = bytes(row["net"]) if row else Network(bounds, hidden).dump()
     net_held = spark.sparkContext.broadcast(net_bytes)
 

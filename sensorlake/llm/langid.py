@@ -148,7 +148,7 @@ def fit(docs: DataFrame, per_lang: int = 600, max_langs: int = 256) -> dict | No
         np.savez(out, names=np.array(names), w=w.astype(np.float32), bias=bias, t=t)
         yield pa.record_batch([pa.array([out.getvalue()], pa.binary())], names=["model"])
 
-    row = some.select("text", "lang", "doc_id").coalesce(1).mapInArrow(learn, "model binary").first()
+    row = some.select("text", "lang", "doc_id").repartition(1).mapInArrow(learn, "model binary").first()
     if row is None:
         return None
     got = np.load(io.BytesIO(bytes(row["model"])))

@@ -184,7 +184,7 @@ def train_dictionary(docs: DataFrame, tokenizer_path: str, end_id: int, sample_d
             data = b""
         yield pa.record_batch([pa.array([data], pa.binary())], names=["data"])
 
-    row = some.coalesce(1).mapInArrow(train, "data binary").first()
+    row = some.repartition(1).mapInArrow(train, "data binary").first()
     return bytes(row["data"]) if row else b""
 
 
