@@ -3,7 +3,7 @@
 1. Every window of ``length`` bytes has an anchor: the least hash of its grams of
    ``gram`` bytes, the first one at ties. Equal windows have equal anchors, so windows can be compared anchor by
    anchor. Windows that share an anchor in place form a segment (their bytes
-   overlap); its row has the anchor's hash, a hash of its bytes, and where it stands.
+   overlap); its row has the anchor's hash, a hash of its bytes, and its places in the text.
 2. Anchors that occur once in the corpus are dropped by a count. Equal segments
    are one string with a weight, however many copies there are. An anchor with one string only needs no sorting.
 3. The strings of the other anchors are dealt by anchor into shards and suffix-sorted
@@ -11,7 +11,9 @@
    one group, repeated if its strings' weights add up to two or more.
 4. Repeated windows go back to the texts, whose covered bytes are removed.
 
-Shards stay near ``shard_bytes``; queues beyond ``queue_entries`` go to files in the shared folder.
+Shards stay near ``shard_bytes``. An anchor whose strings exceed ``anchor_bytes`` (very many
+texts that differ around one place) would not fit a shard: its windows are counted by their
+content, one row each. Queues beyond ``queue_entries`` go to files in the shared folder.
 
 Rows: a null or empty text has no bytes; texts shorter than ``length`` lose nothing;
 equal rows are separate documents, so each loses what it shares with the other; null and
@@ -85,12 +87,20 @@ def _segment_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
             for i, j in slices(at):
                 lo = int(at[i])
                 row, f, n, anchor, string = segments(data[lo: int(at[j])], at[i: j + 1] - lo, length, gram)
-                out.append((rid[row + i], f - (at[row + i] - lo), n, anchor, string))
-            cols = [np.concatenate([x[c] for x in out]) if out else np.zeros(0, np.int64) for c in range(5)]
-            yield pa.record_batch([pa.array(cols[0].astype(np.int64)), pa.array(cols[1].astype(np.int32)), pa.array(cols[2].astype(np.int32)),
-                                   pa.array(cols[3].view(np.int64)), pa.array(cols[4].view(np.int64))], names=["rid", "f", "n", "anchor", "string"])
+                # a text that repeats itself has a segment many times: one row with all its places
+                by = np.lexsort((f, string, row))
+                row, f, n, anchor, string = row[by], f[by], n[by], anchor[by], string[by]
+                first = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (string[1:] != string[:-1]) | (anchor[1:] != anchor[:-1])))) if len(f) else f
+                times = np.diff(np.append(first, len(f)))
+                out.append((rid[row + i][first], (f - (at[row + i] - lo)).astype(np.int32), n[first], anchor[first], string[first], times))
+            if not out:
+                continue
+            ids, places, n, anchor, string, times = (np.concatenate([x[c] for x in out]) for c in range(6))
+            offsets = pa.array(np.concatenate(([0], np.cumsum(times))).astype(np.int32))
+            yield pa.record_batch([pa.array(ids.astype(np.int64)), pa.ListArray.from_arrays(offsets, pa.array(places)), pa.array(n.astype(np.int32)),
+                                   pa.array(anchor.view(np.int64)), pa.array(string.view(np.int64))], names=["rid", "f", "n", "anchor", "string"])
 
-    return docs.select("rid", "text").mapInArrow(run, "rid long, f int, n int, anchor long, string long")
+    return docs.select("rid", "text").mapInArrow(run, "rid long, f array<int>, n int, anchor long, string long")
 
 
 def repeated_windows(parts: list[bytes], weights: np.ndarray, length: int, folder: str | None = None,
@@ -130,6 +140,32 @@ def repeated_windows(parts: list[bytes], weights: np.ndarray, length: int, folde
     return [hits[edge[k]: edge[k + 1]] - begin[k] for k in range(len(parts))]
 
 
+def _count_windows(strings: DataFrame, length: int) -> DataFrame:
+    """(anchor, string, runs) for anchors with very many strings: every window is a row (128-bit hash of its bytes, weight),
+    so that no task holds the strings of an anchor; windows whose weights add up to two or more are repeated."""
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(0, b.num_rows, 512):
+                some = b.slice(i, 512)
+                out = [(k, j, hashlib.blake2b(part[j: j + length], digest_size=16).digest())
+                       for k, part in enumerate(some.column(3).to_pylist()) for j in range(len(part) - length + 1)]
+                row = pa.array([x[0] for x in out], pa.int64())
+                yield pa.record_batch([*[some.column(c).take(row) for c in range(3)], pa.array([x[1] for x in out], pa.int32()),
+                                       pa.array([x[2] for x in out], pa.binary())], names=["anchor", "string", "weight", "at", "w"])
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.record_batch([b.column(0), b.column(1), pa.array([_as_runs(np.array(x)) for x in b.column(2).to_pylist()], pa.binary())],
+                                  names=["anchor", "string", "runs"])
+
+    rows = stored(strings.select("anchor", "string", "weight", "part").mapInArrow(
+        windows, "anchor long, string long, weight long, at int, w binary"), "windows")
+    again = rows.groupBy("w").agg(F.sum("weight").alias("total")).filter("total > 1").select("w")
+    return rows.join(again, "w").groupBy("anchor", "string").agg(F.sort_array(F.collect_list("at")).alias("at")).mapInArrow(
+        runs, "anchor long, string long, runs binary")
+
+
 def _as_runs(starts: np.ndarray) -> bytes:
     """Ascending starts as (start, count) pairs of 16-bit numbers."""
     if not len(starts):
@@ -139,7 +175,7 @@ def _as_runs(starts: np.ndarray) -> bytes:
 
 
 def remove_repeats(docs: DataFrame, length: int = 200, gram: int = 64, shard_bytes: int = 1 << 20,
-                   queue_entries: int = 1 << 22, with_kept: bool = False) -> DataFrame:
+                   anchor_bytes: int = 16 << 20, queue_entries: int = 1 << 22, with_kept: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256; ``with_kept`` adds the kept bytes."""
     if gram & (gram - 1) or not gram < length < 1 << 15:
         raise ValueError("gram must be a power of two below length, length below 32768")
@@ -147,9 +183,9 @@ def remove_repeats(docs: DataFrame, length: int = 200, gram: int = 64, shard_byt
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn(
         "rid", F.xxhash64("doc_id", "text"))
     rows = stored(_segment_rows(docs.filter("text IS NOT NULL"), length, gram), "segments")
-    often = rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("total")).filter("total > 1").select("anchor")
+    often = rows.groupBy("anchor").agg(F.sum(F.size("f")).alias("total")).filter("total > 1").select("anchor")
     rows = stored(rows.join(often, "anchor"), "repeated")
-    strings = rows.groupBy("anchor", "string", "n").agg(F.count(F.lit(1)).alias("weight"), F.min(F.struct("rid", "f")).alias("at"))
+    strings = rows.groupBy("anchor", "string", "n").agg(F.sum(F.size("f")).alias("weight"), F.min(F.struct("rid", F.expr("f[0] AS f"))).alias("at"))
     variants = strings.groupBy("anchor").agg(F.count(F.lit(1)).alias("variants"))
     strings = stored(strings.join(variants, "anchor"), "strings")
     # bytes of the strings to sort, from one text that has each
@@ -171,6 +207,13 @@ def remove_repeats(docs: DataFrame, length: int = 200, gram: int = 64, shard_byt
     # equal rows give a string twice: one is enough
     texts = docs.select("rid", "text").join(wanted.hint("shuffle_hash"), "rid").select("text", "w").mapInArrow(
         cut, "anchor long, string long, weight long, part binary").groupBy("anchor", "string", "weight").agg(F.any_value("part").alias("part"))
+    # anchors whose strings are too many for a shard: their windows are counted by content instead
+    hot = stored(many.groupBy("anchor").agg(F.sum(F.col("n") + length).alias("b")).filter(f"b > {int(anchor_bytes)}").select("anchor"), "hot")
+    crowded = None
+    if not hot.isEmpty():
+        texts = stored(texts, "texts")
+        crowded = _count_windows(texts.join(hot, "anchor", "left_semi"), length)
+        texts = texts.join(hot, "anchor", "left_anti")
     folder = scratch_dir(spark, "induced")
     size = many.agg(F.coalesce(F.sum(F.col("n") + length), F.lit(0))).first()[0]
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // shard_bytes))
@@ -186,6 +229,8 @@ def remove_repeats(docs: DataFrame, length: int = 200, gram: int = 64, shard_byt
 
     sorted_ = texts.repartition(shards, "anchor").mapInArrow(sort, "anchor long, string long, runs binary")
     whole = strings.filter("variants = 1 AND weight > 1").select("anchor", "string", F.lit(None).cast("binary").alias("runs"))
+    if crowded is not None:
+        whole = whole.unionAll(crowded)
     verdicts = stored(sorted_.filter("octet_length(runs) > 0").unionAll(whole), "verdicts")
     hits = rows.join(verdicts, ["anchor", "string"]).select("rid", "f", "n", "runs").distinct()
     per_row = hits.groupBy("rid").agg(F.collect_list(F.struct("f", "n", "runs")).alias("hits"))
@@ -195,16 +240,24 @@ def remove_repeats(docs: DataFrame, length: int = 200, gram: int = 64, shard_byt
             data, at = utf8(b.column(1))
             lists = b.column(2)
             offsets, w = lists.offsets.to_numpy(), lists.values
-            f, n, runs = w.field("f").to_numpy(), w.field("n").to_numpy(), w.field("runs").to_pylist()
+            f, n, runs = w.field("f"), w.field("n").to_numpy(), w.field("runs")
+            places, at_places = f.values.to_numpy(), f.offsets.to_numpy()
+            times, whole = np.diff(at_places), runs.is_null().to_numpy(zero_copy_only=False)
             out = []
             for k in range(b.num_rows):
                 text = data[at[k]: at[k + 1]]
                 edge = np.zeros(len(text) + 1, np.int32)
-                for x in range(offsets[k], offsets[k + 1]) if lists[k].is_valid else ():
-                    pairs = [(0, int(n[x]))] if runs[x] is None else np.frombuffer(runs[x], "<u2").reshape(-1, 2).astype(int)
-                    for s, m in pairs:
-                        edge[f[x] + s] += 1
-                        edge[f[x] + s + m - 1 + length] -= 1
+                lo, hi = (int(offsets[k]), int(offsets[k + 1])) if lists[k].is_valid else (0, 0)
+                if lo < hi:
+                    all_of = np.repeat(whole[lo:hi], times[lo:hi])
+                    starts = places[at_places[lo]: at_places[hi]][all_of]
+                    np.add.at(edge, starts, 1)
+                    np.add.at(edge, starts + np.repeat(n[lo:hi], times[lo:hi])[all_of] - 1 + length, -1)
+                for x in lo + np.flatnonzero(~whole[lo:hi]):
+                    starts = places[at_places[x]: at_places[x + 1]]
+                    for s, m in np.frombuffer(runs[int(x)].as_py(), "<u2").reshape(-1, 2).astype(int):
+                        np.add.at(edge, starts + s, 1)
+                        np.add.at(edge, starts + (s + m - 1 + length), -1)
                 gone = np.cumsum(edge[:-1]) > 0
                 kept = text[~gone].tobytes()
                 spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()) if len(gone) else 0

@@ -51,6 +51,9 @@ def test_random_corpora(spark):
         want = brute(rows, 20)
         assert any(r[2] for r in want) and run(spark, rows, length=20, gram=8) == want
     assert run(spark, rows, length=20, gram=8, shard_bytes=500, queue_entries=16) == want
+    # anchors with more than a few strings are counted window by window
+    for anchor_bytes in (0, 60, 200):
+        assert run(spark, rows, length=20, gram=8, anchor_bytes=anchor_bytes) == want
 
 
 def test_awkward_rows(spark):
