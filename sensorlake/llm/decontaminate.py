@@ -12,7 +12,7 @@ shingles (five words) and half of its answer's words.
 
 An item's answer is its last sentence, its question all before; where that would leave a question of
 fewer than five words, the whole item is the question. Words are runs without white space and ASCII
-punctuation, A-Z lower-cased. A question of fewer than five words is one shingle.
+punctuation of the lower-cased text. A question of fewer than five words is one shingle.
 
 Rows: null or empty texts and items match nothing; equal rows and repeated ids
 are searched each, and a pair (doc_id, item_id) is returned once with its best
@@ -194,7 +194,7 @@ class Index:
 
 def build_indexes(items: DataFrame, id_col: str, share: float, chunk_items: int, chunk_words: int) -> list[bytes]:
     """One pickled index for each chunk; a chunk's items and words are bounded by the parameters on average."""
-    rows = items.select(F.col(id_col).alias("id"), F.col("text").cast("string").alias("text")).filter("text IS NOT NULL").withColumn(
+    rows = items.select(F.col(id_col).alias("id"), F.lower(F.col("text").cast("string")).alias("text")).filter("text IS NOT NULL").withColumn(
         "n", F.size(F.split("text", r"\s+")))
     # items of like length share a chunk, so that one long item doesn't widen the passages of all
     rows = rows.withColumn("class", F.expr("CASE WHEN n <= 512 THEN 0 ELSE CAST(log2(n) AS INT) END"))
@@ -243,7 +243,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "item_id", sha
                         *[pa.array([float(x[c]) for x in found]) for c in (2, 3, 4)]],
                         names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
 
-        part = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+        part = docs.select(F.col("doc_id").cast("long"), F.lower(F.col("text").cast("string")).alias("text")).mapInArrow(
             search, f"doc_id long, item_id {kind}, score double, question_overlap double, answer_overlap double")
         hits = part if hits is None else hits.unionAll(part)
     if hits is None:
