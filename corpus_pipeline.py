@@ -46,8 +46,9 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Documents that hold no benchmark item."""
     key = F.xxhash64("doc_id", "text")
     hits = decontaminate.contaminated(docs.select(key.alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.withColumn("_key", key).join(hits.select(F.col("doc_id").alias("_key")).distinct(), "_key", "left_anti").select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    # stored, so that the join is planned from the measured size of the hits
+    found = stored(hits.select(F.col("doc_id").alias("_key")).distinct(), "contaminated")
+    return docs.withColumn("_key", key).join(found, "_key", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -145,6 +145,9 @@ def candidate_links(vertices: DataFrame, threshold: float, trees: int, picks: in
                     out += [(sid[lo + x], sid[lo + x + 1 + y]) for y in np.flatnonzero(alike) if seen.join(x, int(x + 1 + y))]
             yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.binary()), pa.array([b for _, b in out], pa.binary())], names=["u", "v"])
 
+    # most leaves of near-copies hold the same vertices in many trees: each set of vertices is compared once
+    groups = small.groupBy("node").agg(F.sort_array(F.collect_list("sid")).alias("members")).select("members").distinct()
+    small = groups.selectExpr("xxhash64(members) AS node", "explode(members) AS sid")
     found = small.join(vertices.selectExpr("sid", "n_shingles AS n", "sig"), "sid").repartition("node").sortWithinPartitions(
         "node").select("node", "sid", "n", "sig").mapInArrow(compare, "u binary, v binary")
     for more in links:
