@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sensorlake.operators.analytics import FEATURES, correlation_matrix, summary_stats
 from sensorlake.operators.quality import DEFAULT_RULES, gate
 from sensorlake.schema import SUMMARY_LABELS
+from sensorlake.session import materialize
 from sensorlake.streaming.metrics import dropped_by_watermark
 
 
@@ -57,7 +58,7 @@ def workflow_report(annotated: DataFrame, clean: Callable[[], DataFrame], rules:
     follow, otherwise a single failure notice does. ``clean`` gives the cleaned
     rows and is called only in the first case.
     """
-    g = gate(annotated, rules)
+    g = materialize(gate(annotated, rules))   # a row per rule, read twice
     failed = g.agg(F.count_if(~F.col("passed"))).first()[0]   # one value: the branch is chosen before anything else is planned
     gate_rows = g.select(F.lit("gate").alias("section"), F.col("rule").alias("name_a"),
                          F.lit(None).cast("string").alias("name_b"),
