@@ -35,7 +35,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     groups = chosen_path.near_duplicates(docs, with_key=True)
     first = stored(groups.filter("kept").groupBy("root").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("n")), "keepers")
     keyed = docs.withColumn("_key", key)
-    single = keyed.join(first.filter("n = 1").select(F.col("key").alias("_key")), "_key", "left_semi")
+    # the same plan at every size: the keys grow with the documents
+    single = keyed.join(first.filter("n = 1").select(F.col("key").alias("_key")).hint("shuffle_hash"), "_key", "left_semi")
     repeated = first.filter("n > 1").select(F.col("key").alias("_key"))
     if not repeated.isEmpty():
         single = single.unionByName(keyed.join(repeated, "_key", "left_semi").dropDuplicates(["_key"]))
