@@ -142,8 +142,10 @@ def candidate_links(vertices: DataFrame, threshold: float, trees: int, picks: in
                 for x in range(hi - lo - 1):
                     alike = ((s[x + 1:] == s[x]).mean(axis=1) >= slack) & (
                         np.minimum(size[x + 1:], size[x]) >= (threshold - 1e-9) * np.maximum(size[x + 1:], size[x]))
-                    out += [(sid[lo + x], sid[lo + x + 1 + y]) for y in np.flatnonzero(alike) if seen.join(x, int(x + 1 + y))]
-            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.binary()), pa.array([b for _, b in out], pa.binary())], names=["u", "v"])
+                    for y in np.flatnonzero(alike):
+                        seen.join(x, int(x + 1 + y))
+                out += _stars(sid[lo:hi], seen)
+            yield _pairs(out)
 
     # most leaves of near-copies hold the same vertices in many trees: each set of vertices is compared once
     groups = small.groupBy("node").agg(F.sort_array(F.collect_list("sid")).alias("members")).select("members").distinct()
@@ -155,6 +157,15 @@ def candidate_links(vertices: DataFrame, threshold: float, trees: int, picks: in
     return found
 
 
+def _stars(sid: list[bytes], sets: Union) -> list[tuple[bytes, bytes]]:
+    """(vertex, its set's first vertex) for every vertex that is not the first."""
+    return [(sid[x], sid[r]) for x in range(len(sid)) if (r := sets.find(x)) != x]
+
+
+def _pairs(out: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.binary()), pa.array([b for _, b in out], pa.binary())], names=["u", "v"])
+
+
 def _linked(inter: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     return 100 * inter >= percent * (a + b - inter)
 
@@ -215,9 +226,12 @@ def _arrays(column: pa.ChunkedArray) -> list[np.ndarray]:
     return [np.frombuffer(x, "<u8") for x in column.to_pylist()]
 
 
-def confirmed_links(clusters: DataFrame, vertices: DataFrame, docs: DataFrame, k: int, percent: int,
-                    task_shingles: int) -> DataFrame:
-    """clusters (sid, c) -> exact links (u, v) that span the true components inside each cluster."""
+def confirmed_components(clusters: DataFrame, vertices: DataFrame, docs: DataFrame, k: int, percent: int,
+                         task_shingles: int) -> DataFrame:
+    """clusters (sid, c) -> (u, v): every vertex of a true component that is not its first, with the first.
+
+    A cluster that fits a task is solved there; the links of larger ones are joined into components.
+    """
     sized = clusters.join(vertices.select("sid", "n_shingles", "doc_id"), "sid")
     weights = sized.groupBy("c").agg(F.sum("n_shingles").alias("w"))
     sized = stored(sized.join(weights, "c"), "clusters")
@@ -227,15 +241,19 @@ def confirmed_links(clusters: DataFrame, vertices: DataFrame, docs: DataFrame, k
         for table, bounds in key_groups(batches, "c"):
             sid, sets, out = table.column("sid").to_pylist(), _arrays(table.column("set")), []
             for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
-                out += [(sid[lo + x], sid[lo + y]) for x, y in link_sets(sets[lo:hi], percent)]
-            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.binary()), pa.array([b for _, b in out], pa.binary())], names=["u", "v"])
+                seen = Union(int(hi - lo))
+                for x, y in link_sets(sets[lo:hi], percent):
+                    seen.join(x, y)
+                out += _stars(sid[lo:hi], seen)
+            yield _pairs(out)
 
     found = _with_sets(small, docs, k, "sid binary, c long").repartition("c").sortWithinPartitions("c").mapInArrow(
         confirm, "u binary, v binary")
     big = sized.filter(F.col("w") > task_shingles)
     if not big.isEmpty():
-        found = found.unionAll(_large_links(big, vertices, docs, k, percent, task_shingles))
-    return found
+        found = found.unionAll(components(_large_links(big, vertices, docs, k, percent, task_shingles)))
+    # a vertex may come from several equal rows
+    return stored(found.filter("u != v").distinct(), "components")
 
 
 def _large_links(big: DataFrame, vertices: DataFrame, docs: DataFrame, k: int, percent: int, task_shingles: int) -> DataFrame:
@@ -274,7 +292,7 @@ def _large_links(big: DataFrame, vertices: DataFrame, docs: DataFrame, k: int, p
             sid, sets_, mask, out = table.column("sid").to_pylist(), _arrays(table.column("set")), table.column("is_left").to_numpy(), []
             for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
                 out += [(sid[lo + x], sid[lo + y]) for x, y in link_sets(sets_[lo:hi], percent, mask[lo:hi])]
-            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.binary()), pa.array([b for _, b in out], pa.binary())], names=["u", "v"])
+            yield _pairs(out)
 
     return found.unionAll(dealt.repartition("task").sortWithinPartitions("task").mapInArrow(confirm, "u binary, v binary"))
 
@@ -293,7 +311,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, trees: int =
         F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.any_value("sig").alias("sig")), "vertices")
     near = components(candidate_links(vertices, percent / 100, trees, picks, leaf, depth))
     clusters = near.selectExpr("u AS sid", "v AS c").unionAll(near.select(F.col("v").alias("sid"), F.col("v").alias("c")).distinct())
-    links = components(confirmed_links(clusters, vertices, docs, k, percent, task_shingles))
+    links = confirmed_components(clusters, vertices, docs, k, percent, task_shingles)
     roots = feats.select("doc_id", "key", "n_shingles", "sid").join(links.selectExpr("u AS sid", "v AS root"), "sid", "left").withColumn(
         "root", F.expr("coalesce(root, sid, to_binary(CAST(key AS STRING), 'utf-8'))"))
     smallest = vertices.select("sid", F.col("doc_id").alias("least")).join(links.selectExpr("u AS sid", "v AS root"), "sid", "left").groupBy(

@@ -25,7 +25,7 @@ def components(edges: DataFrame) -> DataFrame:
     while before[0]:
         both = edges.union(edges.selectExpr("v AS u", "u AS v"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").filter("v > u").selectExpr("v AS u", "m AS v").distinct()
+        large = both.join(least, "u").filter("v > u").selectExpr("v AS u", "m AS v")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v != m").selectExpr("v AS u", "m AS v").union(
             least.selectExpr("u", "m AS v"))

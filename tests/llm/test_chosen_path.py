@@ -84,6 +84,14 @@ def test_random_near_copies_small_leaves_and_blocks(spark):
     assert run(spark, rows, leaf=4, depth=2, task_shingles=400) == want
 
 
+def test_equal_rows_inside_a_group(spark):
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join([*words[:i], f"x{i}", *words[i + 1:]]) if i else " ".join(words) for i in (5, 0, 40)]
+    rows = [(7, texts[0]), (7, texts[0]), (7, texts[0]), (3, texts[1]), (3, texts[1]), (9, texts[2]), (9, texts[2])]
+    got = run(spark, rows)
+    assert got == brute(rows, 5) and len(got) == 7 and {c for _, _, c in got} == {3}
+
+
 def test_hot_group_of_copies(spark):
     rows = [(i, "the same words in every copy of this text") for i in range(400)] + [(1000 + i, f"text {i} apart from all the others {i * 7}") for i in range(50)]
     assert run(spark, rows) == brute(rows, 5)
