@@ -1,10 +1,12 @@
 """Language-model scoring: a gated recurrent network with class-factored output, and a unigram base score.
 
-Word counts of all training texts are one aggregation. The ``vocabulary`` most
-frequent words (fewer than that where counts tie at the edge), the end mark and "other" are the network's
-tokens, in ``classes`` classes of like probability mass: p(word) = p(class) * p(word in class). It is trained in
-numpy by truncated backpropagation on about ``sample_docs`` texts (chosen by a hash of
-doc_id), with the state carried from window to window, and scores whole texts the same
+Word counts of all training texts are one aggregation. Words that occur ``often`` times or more, and at least the
+``vocabulary`` most frequent ones (of those that are broadcast), the end mark and "other" are the network's
+tokens, in classes of like probability mass: p(word) = p(class) * p(word in class). The network starts from the
+words' shares and is trained on every training text: texts are dealt into ``rounds`` by a hash of doc_id, and in a round
+each partition runs truncated backpropagation over its texts from the broadcast weights, with the state carried from
+window to window, and gives its changes; their means, weighted by how often a partition met a
+token, are added up on Spark. It scores whole texts the same
 way, many texts side by side. A word outside the vocabulary has the probability
 of "other" times its add-one share among all such words, so the score is a
 proper probability of the whole text.
@@ -35,6 +37,7 @@ from sensorlake.llm.tables import stored
 from sensorlake.llm.text import slices, utf8, words
 
 END, OTHER = 0, 1
+BLOCK = 32
 HELD = "crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 7"
 
 
@@ -62,6 +65,9 @@ class Network:
         self.cls = np.repeat(np.arange(c), np.diff(bounds))
         self.p = {"x": draw(n, 3 * hidden), "u": draw(hidden, 3 * hidden), "c": draw(hidden, c), "cb": np.zeros(c, np.float32),
                   "w": draw(n, hidden), "wb": np.zeros(n, np.float32)}
+        # sums of squared gradients (one a row for the tables by token), and how often training met a token and a class
+        self.seen = {name: np.zeros(v.shape[:1] if name in ("x", "w") else v.shape, np.float32) for name, v in self.p.items()}
+        self.met, self.met_class = np.zeros(n, np.int64), np.zeros(c, np.int64)
 
     def step(self, x: np.ndarray, h: np.ndarray, u: np.ndarray):
         """One step for all lanes: x is the token's input row, h the state."""
@@ -109,10 +115,13 @@ class Network:
                 dh[rows] += d @ p["w"][lo:hi]
         return out, dh
 
-    def window(self, x: np.ndarray, y: np.ndarray, reset: np.ndarray, h: np.ndarray):
-        """(loss, gradients, state after) of one truncated window: inputs, targets and state resets are (steps, lanes)."""
+    def window(self, x: np.ndarray, y: np.ndarray, reset: np.ndarray, h: np.ndarray, grads: dict | None = None):
+        """(loss, gradients, state after) of one truncated window: inputs, targets and state resets are (steps, lanes).
+
+        ``grads`` are arrays of zeros to add to; without them new ones are made.
+        """
         k, p = self.hidden, self.p
-        grads = {name: np.zeros_like(v) for name, v in p.items()}
+        grads = {name: np.zeros_like(v) for name, v in p.items()} if grads is None else grads
         held, states = [], []
         for t in range(len(x)):
             before = np.where(reset[t][:, None], np.float32(0), h)
@@ -122,42 +131,66 @@ class Network:
         out, dh_out = self.log_probs(np.concatenate(states), y.reshape(-1), grads)
         dh_out = dh_out.reshape(len(x), -1, k)
         carry = np.zeros_like(h)
+        inputs = np.empty((*x.shape, 3 * k), h.dtype)
         for t in range(len(x) - 1, -1, -1):
             before, z, r, new, hn = held[t]
             dh = dh_out[t] + carry
             dz, dn = dh * (before - new), dh * (1 - z)
             dpre_n = dn * (1 - new * new)
             dr = dpre_n * hn
-            dpre = np.concatenate((dz * z * (1 - z), dr * r * (1 - r), dpre_n), axis=1)
-            np.add.at(grads["x"], x[t], dpre)
+            dpre = inputs[t]
+            dpre[:, :k], dpre[:, k:2 * k], dpre[:, 2 * k:] = dz * z * (1 - z), dr * r * (1 - r), dpre_n
             dhu = np.concatenate((dpre[:, :2 * k], dpre_n * r), axis=1)
             grads["u"] += before.T @ dhu
             carry = (dh * z + dhu @ p["u"].T) * ~reset[t][:, None]
+        order = np.argsort(x.reshape(-1), kind="stable")
+        rows, first = np.unique(x.reshape(-1)[order], return_index=True)
+        grads["x"][rows] += np.add.reduceat(inputs.reshape(-1, 3 * k)[order], first)
         return -float(out.sum()), grads, h
 
-    def train(self, docs: list[np.ndarray], lanes: int = 32, steps: int = 16, epochs: int = 2, rate: float = 0.01, clip: float = 5.0) -> Network:
-        """Adam over windows of a stream of documents (each ends with the end mark, which also starts the next)."""
+    def start(self, mass: np.ndarray) -> Network:
+        """Biases that give each token its share of ``mass`` before anything is learned."""
+        mass = mass + 1.0
+        each = np.add.reduceat(mass, self.bounds[:-1])
+        self.p["cb"] = np.log(each / each.sum()).astype(np.float32)
+        self.p["wb"] = np.log(mass / each[self.cls]).astype(np.float32)
+        return self
+
+    def train(self, docs: list[np.ndarray], lanes: int = 32, steps: int = 16, epochs: int = 2, rate: float = 0.05, clip: float = 5.0) -> Network:
+        """Adagrad over windows of a stream of documents (each ends with the end mark, which also starts the next).
+
+        Tables by token have one step size a row, and only rows that a window meets are changed.
+        """
         if not docs:
             return self
         stream = np.concatenate([[END], *docs])
-        size = max(1, (len(stream) - 1) // lanes)
         lanes = min(lanes, len(stream) - 1)
-        x = np.stack([stream[i * size: (i + 1) * size] for i in range(lanes)], axis=1)
-        y = np.stack([stream[i * size + 1: (i + 1) * size + 1] for i in range(lanes)], axis=1)
-        m, v, n = {k: np.zeros_like(a) for k, a in self.p.items()}, {k: np.zeros_like(a) for k, a in self.p.items()}, 0
+        size = -(-(len(stream) - 1) // lanes)
+        # the last lane is filled up from the start: no token is left out
+        at = (np.arange(lanes) * size)[None, :] + np.arange(size)[:, None]
+        x, y = stream[at % (len(stream) - 1)], stream[at % (len(stream) - 1) + 1]
+        grads = {name: np.zeros_like(v) for name, v in self.p.items()}
         for _ in range(epochs):
             h = np.zeros((lanes, self.hidden), np.float32)
             for t in range(0, size, steps):
-                _, grads, h = self.window(x[t: t + steps], y[t: t + steps], x[t: t + steps] == END, h)
-                n += 1
-                scale = 1.0 / y[t: t + steps].size
-                norm = scale * float(sum((g * g).sum() for g in grads.values())) ** 0.5
+                xs, ys = x[t: t + steps], y[t: t + steps]
+                _, _, h = self.window(xs, ys, xs == END, h, grads)
+                inputs, hit = np.unique(xs), np.unique(self.cls[ys])
+                words = np.concatenate([np.arange(self.bounds[c], self.bounds[c + 1]) for c in hit])
+                rows = {"x": inputs, "w": words, "wb": words}
+                part = {name: g[rows[name]] if name in rows else g for name, g in grads.items()}
+                scale = 1.0 / ys.size
+                norm = scale * float(sum((g * g).sum() for g in part.values())) ** 0.5
                 scale *= min(1.0, clip / (norm + 1e-9))
-                for name, g in grads.items():
-                    g *= scale
-                    m[name] += 0.1 * (g - m[name])
-                    v[name] += 0.001 * (g * g - v[name])
-                    self.p[name] -= rate * (m[name] / (1 - 0.9**n)) / (np.sqrt(v[name] / (1 - 0.999**n)) + 1e-8)
+                for name, g in part.items():
+                    at_rows, g = rows.get(name, slice(None)), g * np.float32(scale)
+                    square = (g * g).mean(axis=1) if name in ("x", "w") else g * g
+                    self.seen[name][at_rows] += square
+                    size_of = np.sqrt(self.seen[name][at_rows]) + np.float32(1e-8)
+                    self.p[name][at_rows] -= np.float32(rate) * g / (size_of[:, None] if name in ("x", "w") else size_of)
+                    grads[name][at_rows] = 0
+                self.met += np.bincount(xs.reshape(-1), minlength=len(self.met))
+                self.met_class += np.bincount(self.cls[ys].reshape(-1), minlength=len(self.met_class))
         return self
 
     def score(self, docs: list[np.ndarray], lanes: int = 512, steps: int = 32) -> np.ndarray:
@@ -192,7 +225,7 @@ class Network:
 
     def dump(self) -> bytes:
         out = io.BytesIO()
-        np.savez(out, bounds=self.bounds, hidden=self.hidden, **self.p)
+        np.savez(out, bounds=self.bounds, hidden=self.hidden, **self.p, **{f"seen_{k}": v for k, v in self.seen.items()})
         return out.getvalue()
 
     @classmethod
@@ -200,8 +233,50 @@ class Network:
         got = np.load(io.BytesIO(data))
         net = cls(got["bounds"], int(got["hidden"]))
         net.p = {k: got[k] for k in net.p}
+        net.seen = {k: got[f"seen_{k}"] for k in net.seen}
         return net
 
+    # what a partition learned travels in blocks of ``BLOCK`` tokens and one (-1) for the rest
+
+    def _parts(self) -> list[np.ndarray]:
+        """Views, one row a token: input table, then output table with bias; each with its sums of squares."""
+        p, s = self.p, self.seen
+        return [p["x"], s["x"][:, None], p["w"], s["w"][:, None], p["wb"][:, None], s["wb"][:, None]]
+
+    def _rest(self) -> list[np.ndarray]:
+        return [a[name] for a in (self.p, self.seen) for name in ("u", "c", "cb")]
+
+    def changes(self, before: Network) -> Iterator[tuple[int, bytes]]:
+        """(block, weighted differences to ``before`` with their weights) after training; rows weigh as often as they were met."""
+        met, out = self.met.astype(np.float64), self.met_class[self.cls].astype(np.float64)
+        total = float(self.met.sum())
+        yield -1, np.concatenate([*(total * (a - b).ravel() for a, b in zip(self._rest(), before._rest(), strict=True)), [total]]).tobytes()
+        for lo in range(0, len(met), BLOCK):
+            rows = slice(lo, lo + BLOCK)
+            if not met[rows].any() and not out[rows].any():
+                continue
+            cols = [w[rows, None] * (a[rows] - b[rows]).astype(np.float64) for a, b, w in zip(
+                self._parts(), before._parts(), (met, met, out, out, out, out), strict=True)]
+            yield lo // BLOCK, np.hstack([*cols, met[rows, None], out[rows, None]]).tobytes()
+
+    def apply(self, sums: Iterator[tuple[int, bytes]]) -> Network:
+        """Adds the weighted means of all partitions' changes, given their sums by block."""
+        for block, data in sums:
+            got = np.frombuffer(data)
+            if block < 0:
+                at, total = 0, max(1.0, got[-1])
+                for a in self._rest():
+                    a += (got[at: at + a.size].reshape(a.shape) / total).astype(np.float32)
+                    at += a.size
+                continue
+            rows = slice(block * BLOCK, min((block + 1) * BLOCK, len(self.met)))
+            got = got.reshape(rows.stop - rows.start, -1)
+            met, out, at = np.maximum(got[:, -2:-1], 1), np.maximum(got[:, -1:], 1), 0
+            for a, w in zip(self._parts(), (met, met, out, out, out, out), strict=True):
+                a[rows] += (got[:, at: at + a.shape[1]] / w).astype(np.float32)
+                at += a.shape[1]
+        return self
+
 
 # --- the corpus ----------------------------------------------------------------------------------------------------
 
@@ -242,8 +317,8 @@ def common_words(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
     return w[order], c[order]
 
 
-def score_documents(docs: DataFrame, vocabulary: int = 4094, classes: int = 64, frequent: int = 300_000, sample_docs: int = 1500,
-                    hidden: int = 32) -> DataFrame:
+def score_documents(docs: DataFrame, vocabulary: int = 4094, classes: int = 64, frequent: int = 300_000, hidden: int = 32,
+                    often: int = 1000, rounds: int = 4, shard_tokens: int = 1_000_000) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (both log10 of the whole text)."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
@@ -254,13 +329,13 @@ def score_documents(docs: DataFrame, vocabulary: int = 4094, classes: int = 64,
     totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     n_all, v_all = totals["n"] + ends, totals["v"] + (ends > 0)
     known, c_known = common_words(counts, frequent)
-    top = np.sort(np.lexsort((known, -c_known))[:vocabulary])
+    top = np.sort(np.lexsort((known, -c_known))[:max(vocabulary, int((c_known >= often).sum()))])
     by_count = top[np.lexsort((known[top], -c_known[top]))]
     token = np.full(len(known), OTHER, np.int64)
     token[by_count] = np.arange(2, 2 + len(by_count))
     n_other, v_other = n_all - ends - int(c_known[top].sum()), totals["v"] - len(top)
     mass = np.concatenate(([ends, n_other], c_known[by_count])).astype(float)
-    bounds = class_bounds(mass, min(classes, len(mass)))
+    bounds = class_bounds(mass, min(max(classes, int(len(mass) ** 0.5)), len(mass)))
     least_common = int(c_known.min()) if len(c_known) else 0
     table = spark.sparkContext.broadcast((known, np.log10(c_known + 1.0), token))
 
@@ -283,18 +358,50 @@ def score_documents(docs: DataFrame, vocabulary: int = 4094, classes: int = 64,
             out += [np.append(x, END) for x in np.split(ids, np.searchsorted(row, np.arange(i + 1, j)))]
         return out
 
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = []
-        for b in batches:
-            seen += list(zip(b.column(1).to_pylist(), documents_of(b.column(0)), strict=True))
-        seen.sort(key=lambda x: (x[0], len(x[1])))
-        net = Network(bounds, hidden).train([d for _, d in seen])
-        yield pa.record_batch([pa.array([net.dump()], pa.binary())], names=["net"])
-
-    share = 1_000_000 if ends <= sample_docs else max(1, 1_000_000 * sample_docs // ends)
-    sample = train.filter(F.expr(f"pmod(xxhash64(doc_id, 5), 1000000) < {share}")).select("text", "doc_id")
-    row = sample.repartition(1).mapInArrow(learn, "net binary").first()
-    net_bytes = bytes(row["net"]) if row else Network(bounds, hidden).dump()
+    net = Network(bounds, hidden).start(mass)
+    shard = max(shard_tokens, 200 * len(mass))  # a partition's changes stay small beside its texts
+    for r in range(rounds):
+        held = spark.sparkContext.broadcast(net.dump())
+
+        def learn(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            from pyspark import TaskContext
+
+            before, now = Network.load(held.value), Network.load(held.value)
+            seen, waiting = [], 0
+            for b in batches:
+                for i in range(0, b.num_rows, 256):
+                    more = documents_of(b.column(0).slice(i, 256))
+                    seen += more
+                    waiting += sum(map(len, more))
+                    if waiting >= 1_000_000:
+                        now.train(seen, lanes=256, epochs=1)
+                        seen, waiting = [], 0
+            now.train(seen, lanes=min(256, max(32, waiting // 1024)), epochs=1)
+            if now.met.any():
+                part = TaskContext.get().partitionId()
+                for block, data in now.changes(before):
+                    yield pa.record_batch([pa.array([block]), pa.array([part]), pa.array([data], pa.binary())], names=["block", "part", "data"])
+
+        def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            at, total = None, None
+            row = lambda: pa.record_batch([pa.array([at]), pa.array([total.tobytes()], pa.binary())], names=["block", "data"])
+            for b in batches:
+                for block, data in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                    if block != at and at is not None:
+                        yield row()
+                    more = np.frombuffer(data.as_buffer())
+                    at, total = block, more.copy() if block != at else total + more
+            if at is not None:
+                yield row()
+
+        # every training text takes part in one round; dealt without a key, so copies do not meet in one task
+        some = train.filter(F.expr(f"pmod(xxhash64(doc_id, 5), {rounds}) = {r}")).select("text")
+        changes = some.repartition(max(1, -(-n_all // (rounds * shard)))).mapInArrow(learn, "block long, part long, data binary")
+        sums = changes.repartition("block").sortWithinPartitions("block", "part").select("block", "data").mapInArrow(
+            add_up, "block long, data binary")
+        net.apply((x["block"], x["data"]) for x in sums.toLocalIterator())  # one row a block of the vocabulary
+        held.destroy()
+    net_bytes = net.dump()
     net_held = spark.sparkContext.broadcast(net_bytes)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -94,3 +94,32 @@ def test_query_on_documents(spark):
     check(rows, got)
     held = [r for r in got if r["held_out"]]
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)  # better than unigrams on unseen texts
+
+
+def test_every_training_text_reaches_the_network(spark):
+    """One source of 40 texts among 3,000 has an order of its own, which only training on those texts can teach."""
+    rng = np.random.default_rng(8)
+    common = [(i, " ".join(f"c{k}" for k in rng.integers(0, 30, 12))) for i in range(3000)]
+    rare = [(10**6 + i, " ".join(["ra rb rc rd re rf"] * 40)) for i in range(40)]
+    df = spark.createDataFrame(common + rare, "doc_id long, text string").repartition(4)
+    got = [r for r in lm.score_documents(df, shard_tokens=5000).collect() if r["held_out"] and r["doc_id"] >= 10**6]
+    assert got and sum(r["score"] for r in got) > 0.6 * sum(r["base_score"] for r in got)
+
+
+def test_vocabulary_and_changes(spark, monkeypatch):
+    sizes, trained = [], []
+    start, apply = lm.Network.start, lm.Network.apply
+
+    def applied(self, sums):
+        sums = list(sums)
+        trained.extend(np.frombuffer(d)[-1] for b, d in sums if b < 0)
+        return apply(self, sums)
+
+    monkeypatch.setattr(lm.Network, "start", lambda self, mass: sizes.append(len(mass)) or start(self, mass))
+    monkeypatch.setattr(lm.Network, "apply", applied)
+    rows = [(i, "a b c d e f g h") for i in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    train = sum(zlib.crc32(str(i).encode()) % 7 != 2 for i, _ in rows)
+    lm.score_documents(df, vocabulary=3, shard_tokens=1000).collect()
+    assert sizes == [2 + 8]  # each word occurs ``often`` times or more
+    assert sum(trained) >= 9 * train  # every token of every training text
