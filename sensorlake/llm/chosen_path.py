@@ -20,9 +20,8 @@
 
 Rows: null or empty text and text of white space only have the empty set: they
 link with nothing. Equal rows and repeated doc_ids are separate documents of one
-vertex; a null doc_id counts for no smallest id (a text that only rows without an
-id have links with nothing but its equals). An empty table gives an empty
-result. Columns other than doc_id and text are ignored.
+vertex; a null doc_id counts for no smallest id, but its text links like any other.
+An empty table gives an empty result. Columns other than doc_id and text are ignored.
 """
 
 from __future__ import annotations
@@ -199,9 +198,10 @@ def link_sets(sets: list[np.ndarray], percent: int, left: np.ndarray | None = No
 
 
 def _with_sets(members: DataFrame, docs: DataFrame, k: int, extra: str) -> DataFrame:
-    """members (doc_id, sid, more) -> sid, more and ``set``, the sorted distinct shingles as bytes.
+    """members (key, sid, more) -> sid, more and ``set``, the sorted distinct shingles as bytes.
 
-    A doc_id may come with several texts; only the one whose set has the member's key is taken.
+    ``key`` is the hash of doc_id and text of one row of the vertex; of the texts with that hash only those
+    whose set has the member's key are taken.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,9 +217,12 @@ def _with_sets(members: DataFrame, docs: DataFrame, k: int, extra: str) -> DataF
             yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(out, pa.binary())], names=[*rest.schema.names, "set"])
 
     names = [c.split()[0] for c in extra.split(", ")]
-    text = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    # the same plan at every size: texts are dealt by doc_id, the narrow members are the hashed side
-    return text.join(members.hint("shuffle_hash"), "doc_id").select("text", *names).mapInArrow(run, f"{extra}, set binary")
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.xxhash64("doc_id", "text").alias("key"))
+    # without an id all copies of a text have one key: one row of each map task is dealt
+    nameless = rows.filter("doc_id IS NULL").groupBy("key", "text").agg(F.count(F.lit(1)).alias("n"))
+    text = rows.filter("doc_id IS NOT NULL").select("key", "text").unionAll(nameless.select("key", "text"))
+    # the same plan at every size: texts are dealt by key, the narrow members are the hashed side
+    return text.join(members.hint("shuffle_hash"), "key").select("text", *names).mapInArrow(run, f"{extra}, set binary")
 
 
 def _arrays(column: pa.ChunkedArray) -> list[np.ndarray]:
@@ -232,7 +235,7 @@ def confirmed_components(clusters: DataFrame, vertices: DataFrame, docs: DataFra
 
     A cluster that fits a task is solved there; the links of larger ones are joined into components.
     """
-    sized = clusters.join(vertices.select("sid", "n_shingles", "doc_id"), "sid")
+    sized = clusters.join(vertices.select("sid", "n_shingles", "key"), "sid")
     weights = sized.groupBy("c").agg(F.sum("n_shingles").alias("w"))
     sized = stored(sized.join(weights, "c"), "clusters")
     small = sized.filter(F.col("w") <= task_shingles).withColumn("c", F.xxhash64("c"))
@@ -308,7 +311,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, trees: int =
     """
     feats = stored(features(docs, k), "features")
     vertices = stored(feats.filter("sid IS NOT NULL").groupBy("sid").agg(
-        F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.any_value("sig").alias("sig")), "vertices")
+        F.min("doc_id").alias("doc_id"), F.coalesce(F.min_by("key", "doc_id"), F.min("key")).alias("key"), F.max("n_shingles").alias("n_shingles"), F.any_value("sig").alias("sig")), "vertices")
     near = components(candidate_links(vertices, percent / 100, trees, picks, leaf, depth))
     clusters = near.selectExpr("u AS sid", "v AS c").unionAll(near.select(F.col("v").alias("sid"), F.col("v").alias("c")).distinct())
     links = confirmed_components(clusters, vertices, docs, k, percent, task_shingles)

@@ -120,3 +120,22 @@ def test_query_on_documents(spark):
         rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
         got = sorted([(r["doc_id"], r["n_shingles"], r["component_id"]) for r in op9_near_duplicates(spark, sf).collect()], key=str)
         assert got == brute(rows, 4)
+
+
+def test_rows_without_id_link_and_lead(spark):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(60)]
+    change = lambda *at: " ".join(f"x{i}" if i in at else w for i, w in enumerate(words))
+    # the texts at the ends are only alike to the bridge, which no row with an id has
+    ends = [change(4, 5, 6), change(40, 41, 42)]
+    rows = [(30, ends[0]), (None, " ".join(words)), (None, " ".join(words)), (20, ends[1])]
+    want = brute(rows, 3)
+    assert {c for _, _, c in want} == {20}
+    assert run(spark, rows, k=3) == want
+    # the most typical text of a cluster too large for a task has no id
+    words = [f"v{i}" for i in range(60)]
+    large = [(None, " ".join(words))] * 3 + [(100 + i, change(i)) for i in range(0, 60, 2)]
+    large += [(500 + i, " ".join(f"u{rng.randrange(10**6)}" for _ in range(50))) for i in range(20)]
+    want = brute(large, 5)
+    assert sum(c == 100 for _, _, c in want) == 33
+    assert run(spark, large, task_shingles=200) == want
