@@ -399,7 +399,8 @@ def score_documents(docs: DataFrame, vocabulary: int = 4094, classes: int = 64,
         changes = some.repartition(max(1, -(-n_all // (rounds * shard)))).mapInArrow(learn, "block long, part long, data binary")
         sums = changes.repartition("block").sortWithinPartitions("block", "part").select("block", "data").mapInArrow(
             add_up, "block long, data binary")
-        net.apply((x["block"], x["data"]) for x in sums.toLocalIterator())  # one row a block of the vocabulary
+        blocks = 1 + -(-len(net.met) // BLOCK)  # one row a block of the vocabulary, one for the rest
+        net.apply((x["block"], x["data"]) for x in sums.take(blocks))
         held.destroy()
     net_bytes = net.dump()
     net_held = spark.sparkContext.broadcast(net_bytes)

@@ -88,6 +88,13 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings projected on the leading components of their distinct integer vectors, to unit variance."""
+    from sensorlake.llm.whitening import whiten
+
+    return whiten(documents(spark, sf_dir, "embeddings"))
+
+
 LLM_QUERIES = {
     "op1_token_store": op1_token_store,
     "op2_langid": op2_langid,
@@ -99,6 +106,7 @@ LLM_QUERIES = {
     "op8_tool_calls": op8_tool_calls,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_decontaminate": op10_decontaminate,
+    "op11_whitening": op11_whitening,
 }
 
 LLM_ORACLE_SQL: dict[str, str] = {
