@@ -95,6 +95,13 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(documents(spark, sf_dir, "embeddings"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every shared prefix of all rebuilt conversations, with members, leaves and savings."""
+    from sensorlake.llm.prefix_trie import prefix_trie
+
+    return prefix_trie(documents(spark, sf_dir, "conversations"))
+
+
 LLM_QUERIES = {
     "op1_token_store": op1_token_store,
     "op2_langid": op2_langid,
@@ -107,6 +114,7 @@ LLM_QUERIES = {
     "op9_near_duplicates": op9_near_duplicates,
     "op10_decontaminate": op10_decontaminate,
     "op11_whitening": op11_whitening,
+    "op12_prefix_trie": op12_prefix_trie,
 }
 
 LLM_ORACLE_SQL: dict[str, str] = {
@@ -163,4 +171,31 @@ LLM_ORACLE_SQL: dict[str, str] = {
         SELECT r.conv_id, r.call_id, r.turn, NULL, 'orphan_result', NULL, 1,
                '{"arguments":null,"id":"' || r.call_id || '","name":null,"result":' || to_json(r.text)::VARCHAR || ',"status":"orphan_result"}'
         FROM results r WHERE NOT EXISTS (SELECT 1 FROM calls c WHERE c.call_id = r.call_id)""",
+    "op12_prefix_trie": """
+        WITH t AS (
+          SELECT conv_id, h, n, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, h) AS pos FROM (
+            SELECT conv_id::BIGINT AS conv_id, turn, md5(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS h,
+              strlen(coalesce(text, ''))::BIGINT AS n FROM conversations WHERE conv_id IS NOT NULL)),
+        ids AS (
+          SELECT c, c - c % 5 AS b, (xor(list_reduce(list_concat([4294967295::UBIGINT], [ascii(x)::UBIGINT FOR x IN string_split(c::VARCHAR, '')]),
+            lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], [0::UBIGINT FOR i IN range(8)]),
+              lambda a, z: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384::UBIGINT) ELSE a >> 1 END)), 4294967295::UBIGINT) % 9)::BIGINT AS h
+          FROM (SELECT DISTINCT conv_id AS c FROM t)),
+        heads AS (SELECT c, pos AS d, t.h AS x, n FROM ids JOIN t ON t.conv_id = b WHERE pos <= ids.h),
+        taken AS (SELECT c, max(d) AS k FROM heads GROUP BY c),
+        r AS (
+          SELECT c, 0 AS d, '' AS x, 0 AS n FROM ids UNION ALL SELECT * FROM heads
+          UNION ALL SELECT ids.c, pos - ids.h + coalesce(k, 0), t.h, t.n FROM ids JOIN t ON t.conv_id = ids.c LEFT JOIN taken ON taken.c = ids.c WHERE pos > ids.h),
+        p AS (SELECT c, d, n, string_agg(x, '') OVER (PARTITION BY c ORDER BY d) AS p FROM r),
+        nodes AS (SELECT p, min(c) AS conv_id, max(d) AS depth, count(*) AS n_convs, max(n) AS n FROM p GROUP BY p),
+        kids AS (SELECT left(p, len(p) - 32) AS p, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+        sub AS (
+          SELECT left(p, 32 * i) AS p, sum(leaf)::BIGINT AS n_leaves, sum(gain)::BIGINT AS saved FROM (
+            SELECT nodes.p, unnest(range(0, depth + 1)) AS i, CASE WHEN kids.p IS NULL THEN 1 ELSE 0 END AS leaf, (n_convs - 1) * nodes.n AS gain
+            FROM nodes LEFT JOIN kids ON kids.p = nodes.p) GROUP BY ALL),
+        ends AS (SELECT p, string_agg(c::VARCHAR, ',' ORDER BY c) AS ids FROM (SELECT c, arg_max(p, d) AS p FROM p GROUP BY c) GROUP BY p)
+        SELECT nodes.conv_id, nodes.depth::BIGINT AS depth, up.conv_id AS parent_conv_id, nodes.n_convs::BIGINT AS n_convs, coalesce(kids.n, 0)::BIGINT AS n_children, n_leaves,
+          saved AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+        FROM nodes JOIN sub ON sub.p = nodes.p LEFT JOIN kids ON kids.p = nodes.p LEFT JOIN ends ON ends.p = nodes.p
+          LEFT JOIN nodes up ON nodes.depth > 0 AND up.p = left(nodes.p, len(nodes.p) - 32)""",
 }

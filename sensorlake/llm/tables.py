@@ -6,7 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from sensorlake.session import scratch_dir
 
@@ -18,6 +19,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread_join(left: DataFrame, right: DataFrame, on: list[str], hot: Column) -> DataFrame:
+    """Inner join with ``right`` (one row a key) that no key of very many left rows slows down.
+
+    ``hot`` picks the rows of ``right`` whose keys may be that frequent; the caller bounds their number, so they
+    are broadcast. All other rows are shuffled by key. ``left`` is read twice.
+    """
+    often = F.broadcast(right.filter(hot))
+    rare = left.join(F.broadcast(right.filter(hot).select(*on)), on, "left_anti").join(right.filter(~hot), on)
+    return left.join(often, on).unionByName(rare)
+
+
 def key_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[pa.Table, np.ndarray]]:
     """(table, bounds) with whole groups only, from batches sorted by the long column ``key``.
 
