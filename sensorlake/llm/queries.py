@@ -102,6 +102,13 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(documents(spark, sf_dir, "conversations"))
 
 
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprint of every whole text and groups of fingerprints within four bits."""
+    from sensorlake.llm.simhash import simhash_groups
+
+    return simhash_groups(documents(spark, sf_dir))
+
+
 LLM_QUERIES = {
     "op1_token_store": op1_token_store,
     "op2_langid": op2_langid,
@@ -115,6 +122,7 @@ LLM_QUERIES = {
     "op10_decontaminate": op10_decontaminate,
     "op11_whitening": op11_whitening,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_simhash": op13_simhash,
 }
 
 LLM_ORACLE_SQL: dict[str, str] = {
