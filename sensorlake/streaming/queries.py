@@ -124,12 +124,22 @@ def q_clean_stream_log(spark, sf_dir):
 
 
 def q_clean_stream_analytics(spark, sf_dir):
-    """Per micro-batch and sensor: readings, average and maximum of the rows it kept."""
-    stats, _ = cs.batch_analytics(spark, _clean_run(spark, sf_dir))
-    return finish(stats.select("batch_id", "sensor_id", "avg_temperature", "max_temperature", "readings"), rnd=["avg_temperature", "max_temperature"],
+    """Running statistics and activity of every sensor after every micro-batch."""
+    return finish(cs.sensor_snapshots(spark, _clean_run(spark, sf_dir)), ts=["last_event_time"], rnd=["avg_temperature", "max_temperature"],
                   longs=["batch_id", "readings"])
 
 
+def q_clean_stream_status(spark, sf_dir):
+    """Running status distribution after every micro-batch."""
+    return finish(cs.status_snapshots(spark, _clean_run(spark, sf_dir)), longs=["batch_id", "n"])
+
+
+def q_clean_stream_active(spark, sf_dir):
+    """Number and sorted list of active sensors after every micro-batch."""
+    report = cs.active_report(cs.sensor_snapshots(spark, _clean_run(spark, sf_dir)))
+    return finish(report.withColumn("active_sensors", F.array_join("active_sensors", ",")), longs=["batch_id", "n_active"])
+
+
 def _both_runs(spark, sf_dir):
     """Cleaning and windowed query side by side over one source: (folder of the cleaning tables, windowed progress)."""
     staged = stage(spark, sf_dir, late=True, delayed=True)
@@ -198,6 +208,8 @@ STREAM_QUERIES = {
     "clean_stream": q_clean_stream,
     "clean_stream_log": q_clean_stream_log,
     "clean_stream_analytics": q_clean_stream_analytics,
+    "clean_stream_status": q_clean_stream_status,
+    "clean_stream_active": q_clean_stream_active,
     "summary_table": q_summary_table,
     "run_reports": q_run_reports,
     "stream_fan_out": q_stream_fan_out,
@@ -225,6 +237,12 @@ _KEEP_LATE = """survivors AS (
   SELECT e.* FROM elig e LEFT JOIN wm ON e.batch_id = wm.batch_id
   WHERE wm.watermark IS NULL OR e.event_time > wm.watermark)"""
 
+_RUNNING = ["ids AS (SELECT DISTINCT CAST(batch_id AS BIGINT) AS batch_id FROM annot)",
+            """running AS (
+  SELECT b.batch_id, c.sensor_id, avg(c.temperature) AS avg_temperature, max(c.temperature) AS max_temperature, CAST(count(*) AS BIGINT) AS readings,
+    max(c.event_time) AS last_event_time, epoch_us(max(max(c.event_time)) OVER (PARTITION BY b.batch_id)) - epoch_us(max(c.event_time)) <= 300000000 AS active
+  FROM ids b JOIN clean c ON c.batch_id <= b.batch_id GROUP BY b.batch_id, c.sensor_id)"""]
+
 STREAM_ORACLE_SQL = {
     "window_avg_stream": O._with(_NOLATE + O.ELIG_CTES + [_EDD.format(src="elig")], _WINDOW_SELECT),
     "window_avg_late": O._with(_LATE_DAYS + O.ELIG_CTES + O.DROPS_CTES[:3] + [_KEEP_LATE, _EDD.format(src="survivors")],
@@ -238,9 +256,12 @@ FROM drops d"""),
   humidity, status, hour_of_day, day_of_week, is_weekend, temp_corrected, late_class, round(delay_s, 6) AS delay_s
 FROM clean"""),
     "clean_stream_log": O.batch_log_sql(_STREAM),
-    "clean_stream_analytics": O._with(_STREAM, """SELECT CAST(batch_id AS BIGINT) AS batch_id, sensor_id,
-  round(avg(temperature), 6) AS avg_temperature, round(max(temperature), 6) AS max_temperature, CAST(count(*) AS BIGINT) AS readings
-FROM clean GROUP BY batch_id, sensor_id"""),
+    "clean_stream_analytics": O._with(_STREAM + _RUNNING, """SELECT batch_id, sensor_id, round(avg_temperature, 6) AS avg_temperature,
+  round(max_temperature, 6) AS max_temperature, readings, last_event_time, active FROM running"""),
+    "clean_stream_status": O._with(_STREAM + _RUNNING, """SELECT b.batch_id, c.status, CAST(count(*) AS BIGINT) AS n
+FROM ids b JOIN clean c ON c.batch_id <= b.batch_id GROUP BY ALL"""),
+    "clean_stream_active": O._with(_STREAM + _RUNNING, """SELECT batch_id, CAST(count(*) FILTER (WHERE active) AS BIGINT) AS n_active,
+  coalesce(string_agg(sensor_id, ',' ORDER BY sensor_id) FILTER (WHERE active), '') AS active_sensors FROM running GROUP BY batch_id"""),
     "summary_table": O._with(_STREAM + O.ELIG_CTES + O.DROPS_CTES, O.SUMMARY_SELECT),
     "run_reports": O._with(_STREAM + O.ELIG_CTES + O.DROPS_CTES, f"""SELECT 'summary' AS report, metric AS key, 'count' AS metric, CAST(value AS DOUBLE) AS value
 FROM ({O.SUMMARY_SELECT})

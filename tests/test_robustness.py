@@ -71,8 +71,10 @@ def test_stream_keeps_earlier_batches_in_static_mode(spark, static_overwrite):
     log = {r.batch_id: (r.raw_rows, r.cleaned_rows, r.duplicates_removed) for r in cs.batch_log_table(spark, root).collect()}
     assert log == {0: (2, 2, 0), 1: (2, 2, 0), 2: (0, 0, 0), 3: (1, 0, 1)}
     assert cs.batch_durations(spark, root).where("duration_ms >= 0").count() == 4
-    stats, status = cs.batch_analytics(spark, root)
-    assert {(r.batch_id, r.avg_temperature) for r in stats.collect()} == {(0, 20.5), (1, 22.5)} and status.count() == 2
+    stats = {r.batch_id: (r.avg_temperature, r.max_temperature, r.readings, r.active) for r in cs.sensor_snapshots(spark, root).collect()}
+    assert stats == {0: (20.5, 21.0, 2, True), **{n: (21.5, 23.0, 4, True) for n in (1, 2, 3)}}       # running, and carried over batches without news
+    assert {r.batch_id: (r.status, r.n) for r in cs.status_snapshots(spark, root).collect()} == {0: ("active", 2), **{n: ("active", 4) for n in (1, 2, 3)}}
+    assert {tuple(r) for r in cs.active_report(cs.sensor_snapshots(spark, root)).selectExpr("n_active", "active_sensors[0]").collect()} == {(1, "s")}
     running = {r.batch_id: str(r.running_max) for r in spark.read.parquet(fn.log_path).collect()}
     assert running[1] == running[2] == running[3] == "2024-01-01 10:03:00"
 
