@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from sensorlake.operators.quality import DEDUP_KEYS, dedup_first, in_range_sql
 from sensorlake.schema import WATERMARK_DELAY, WINDOW_WIDTH
 
+#: state partitions that the copies of one key are spread over before they meet
+SALTS = 8
+
 
 def eligible(parsed: DataFrame) -> DataFrame:
     """Rows the windowed query aggregates: parsed time, temperature present and in range."""
@@ -19,9 +22,17 @@ def watermarked(df: DataFrame, delay: str = WATERMARK_DELAY, time_col: str = "ev
     return df.withWatermark(time_col, delay)
 
 
-def dedup_watermark(df: DataFrame, keys=DEDUP_KEYS) -> DataFrame:
-    """Drop repeated keys while the watermark still covers them (bounded state)."""
-    return df.dropDuplicatesWithinWatermark(list(keys))
+def dedup_watermark(df: DataFrame, keys=DEDUP_KEYS, salts: int = SALTS, spread: str = "event_id") -> DataFrame:
+    """Drop repeated keys while the watermark still covers them (bounded state).
+
+    A stateful operator meets all copies of a key in one state partition. So copies are dropped twice: first
+    within (key, salt of ``spread``, a column that tells copies apart), which spreads a hot key over ``salts`` partitions,
+    then by key, where each key arrives at most ``salts`` times a watermark span. ``salts=1`` keeps the one step.
+    """
+    if salts <= 1 or spread not in df.columns:
+        return df.dropDuplicatesWithinWatermark(list(keys))
+    salted = df.withColumn("_salt", F.expr(f"pmod(xxhash64(`{spread}`), {int(salts)})"))
+    return salted.dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt").dropDuplicatesWithinWatermark(list(keys))
 
 
 def tumbling_avg(df: DataFrame, width: str = WINDOW_WIDTH, key: str = "sensor_id",

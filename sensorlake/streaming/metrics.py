@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from sensorlake.functions.parse import event_time_expr
+
 PROGRESS_SCHEMA = (
     "name string, timestamp string, batchId bigint, inputRowsPerSecond double, processedRowsPerSecond double, "
     "numInputRows bigint, durationMs map<string,bigint>, "
@@ -135,6 +137,38 @@ def state_snapshot(progress: DataFrame) -> DataFrame:
         "op.numRowsDroppedByWatermark")
 
 
+def state_operators(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """(operator_id, operator, store) of a stopped or running query, from its checkpoint."""
+    return spark.read.format("state-metadata").load(checkpoint).select(
+        F.col("operatorId").alias("operator_id"), F.col("operatorName").alias("operator"), F.col("stateStoreName").alias("store")).distinct()
+
+
+def state_rows(spark: SparkSession, checkpoint: str, operator_id: int, store: str = "default") -> DataFrame:
+    """The keyed rows that one stateful operator holds after the last batch: key, value, partition_id, read from the checkpoint."""
+    return spark.read.format("statestore").option("operatorId", int(operator_id)).option("storeName", store).load(checkpoint)
+
+
+def windowed_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """What the windowed query remembers: operator (window, dedup, salted_dedup), sensor_id, at, total, n.
+
+    Open windows with their running sum and count (``at``: window start), and the keys that a repeat would
+    still be recognised by (``at``: text time of the key); a key that several salts hold is one row.
+    """
+    out = None
+    for op in state_operators(spark, checkpoint).orderBy("operator_id").take(64):     # one row a stateful operator of the plan
+        rows = state_rows(spark, checkpoint, op["operator_id"], op["store"])
+        if op["operator"] == "stateStoreSave":
+            value = F.col("value").cast("struct<total:double,n:bigint,rows:bigint>")      # by position: two fields share a name
+            part = rows.withColumn("v", value).select(F.lit("window").alias("operator"), "key.sensor_id", F.col("key.window.start").alias("at"),
+                                                      "v.total", F.col("v.rows").alias("n"))
+        else:
+            salted = "_salt" in rows.schema["key"].dataType.names
+            part = rows.select(F.lit("salted_dedup" if salted else "dedup").alias("operator"), "key.sensor_id", event_time_expr(F.col("key.timestamp")).alias("at"),
+                               F.lit(None).cast("double").alias("total"), F.lit(1).cast("long").alias("n")).distinct()
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def performance(progress: DataFrame) -> DataFrame:
     """Per query: batches, rows, median/min/max processed rate and trigger time, over every batch."""
     p = progress.withColumn("trigger_ms", F.col("durationMs")["triggerExecution"])

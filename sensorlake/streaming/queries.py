@@ -23,12 +23,14 @@ from sensorlake.sources.fixtures import planted_readings, stage_files
 from sensorlake.sources.log import SinkSpec, SourceSpec, decode_envelope, read_stream, to_envelope
 from sensorlake.streaming import clean as cs
 from sensorlake.streaming.fanout import fan_out
-from sensorlake.streaming.metrics import batch_drops, performance, recorded, state_snapshot
+from sensorlake.streaming.metrics import batch_drops, performance, recorded, state_snapshot, windowed_state
 from sensorlake.streaming.runner import run_to_end, start
 from sensorlake.streaming.windowed import current_windows, start_windowed
 
 N_FILES = 10
 FILES_PER_SET = 4
+#: added to a mean before it is rounded: readings have three decimals, so means of 2^k readings can lie just between two rounded values
+NUDGE = "1e-9"
 
 
 def _cores(spark: SparkSession) -> int:
@@ -125,8 +127,8 @@ def q_clean_stream_log(spark, sf_dir):
 
 def q_clean_stream_analytics(spark, sf_dir):
     """Running statistics and activity of every sensor after every micro-batch."""
-    return finish(cs.sensor_snapshots(spark, _clean_run(spark, sf_dir)), ts=["last_event_time"], rnd=["avg_temperature", "max_temperature"],
-                  longs=["batch_id", "readings"])
+    rows = cs.sensor_snapshots(spark, _clean_run(spark, sf_dir)).withColumn("avg_temperature", F.expr(f"avg_temperature + {NUDGE}"))
+    return finish(rows, ts=["last_event_time"], rnd=["avg_temperature", "max_temperature"], longs=["batch_id", "readings"])
 
 
 def q_clean_stream_status(spark, sf_dir):
@@ -196,6 +198,13 @@ def q_state_snapshot(spark, sf_dir):
     return state_snapshot(_windowed_progress(spark, sf_dir))
 
 
+def q_state_rows(spark, sf_dir):
+    """Open windows and remembered keys of the windowed query after its last batch, read from the state itself."""
+    staged, ckpt = stage(spark, sf_dir, late=False), scratch_dir(spark, "ckpt-windowed")
+    run_to_end(start_windowed(parsed_stream(spark, staged), scratch_dir(spark, "windows"), ckpt, state_partitions=_cores(spark)))
+    return finish(windowed_state(spark, ckpt), ts=["at"], rnd=["total"], longs=["n"])
+
+
 def q_stream_performance(spark, sf_dir):
     return performance(_windowed_progress(spark, sf_dir))
 
@@ -215,6 +224,7 @@ STREAM_QUERIES = {
     "stream_fan_out": q_stream_fan_out,
     "progress_log": q_progress_log,
     "state_snapshot": q_state_snapshot,
+    "state_rows": q_state_rows,
     "stream_performance": q_stream_performance,
 }
 
@@ -250,13 +260,19 @@ STREAM_ORACLE_SQL = {
     "stream_late_drops": O._with(_LATE_DAYS + O.ELIG_CTES + O.DROPS_CTES, """SELECT d.batch_id,
   CAST((SELECT count(*) FROM parsed p WHERE p.batch_id = d.batch_id) AS BIGINT) AS input_rows, d.dropped
 FROM drops d"""),
+    "state_rows": O._with(_NOLATE + O.ELIG_CTES + [_EDD.format(src="elig"), "last AS (SELECT max(event_time) - INTERVAL 300 SECOND AS wm FROM elig)"],
+                          """SELECT 'window' AS operator, sensor_id, make_timestamp(epoch_us(event_time) // 300000000 * 300000000) AS at,
+  round(sum(temperature), 6) AS total, CAST(count(*) AS BIGINT) AS n FROM edd, last
+WHERE make_timestamp(epoch_us(event_time) // 300000000 * 300000000 + 300000000) > wm GROUP BY ALL
+UNION ALL SELECT o.operator, sensor_id, event_time, NULL, 1 FROM edd, last, (VALUES ('dedup'), ('salted_dedup')) o(operator)
+WHERE event_time + INTERVAL 300 SECOND > wm"""),
     "dedup_watermark_stream": O._with(_NOLATE + O.ELIG_CTES,
                                       "SELECT DISTINCT sensor_id, timestamp, event_time FROM elig"),
     "clean_stream": O._with(_STREAM, """SELECT event_id, batch_id, sensor_id, event_time, round(temperature, 6) AS temperature,
   humidity, status, hour_of_day, day_of_week, is_weekend, temp_corrected, late_class, round(delay_s, 6) AS delay_s
 FROM clean"""),
     "clean_stream_log": O.batch_log_sql(_STREAM),
-    "clean_stream_analytics": O._with(_STREAM + _RUNNING, """SELECT batch_id, sensor_id, round(avg_temperature, 6) AS avg_temperature,
+    "clean_stream_analytics": O._with(_STREAM + _RUNNING, f"""SELECT batch_id, sensor_id, round(avg_temperature + {NUDGE}, 6) AS avg_temperature,
   round(max_temperature, 6) AS max_temperature, readings, last_event_time, active FROM running"""),
     "clean_stream_status": O._with(_STREAM + _RUNNING, """SELECT b.batch_id, c.status, CAST(count(*) AS BIGINT) AS n
 FROM ids b JOIN clean c ON c.batch_id <= b.batch_id GROUP BY ALL"""),

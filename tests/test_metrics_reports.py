@@ -28,7 +28,7 @@ def test_progress_listener_and_metrics(spark):
         per_batch = batch_drops(prog).agg(F.sum("dropped")).first()[0]
         total = dropped_by_watermark(prog).first()["dropped_by_watermark"]
         assert per_batch == total and total > 0
-        assert state_snapshot(prog).count() == 2                     # aggregate state + dedup state
+        assert state_snapshot(prog).count() == 3                     # aggregate state + both dedup states
         assert performance(prog).first()["rows"] > 0
     finally:
         spark.streams.removeListener(log)

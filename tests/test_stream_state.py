@@ -103,3 +103,30 @@ def test_upsert_log_reads_snapshot_and_tail(spark):
     files = log.current(spark).inputFiles()
     assert all(f"upto={mark}" in f or any(f"batch_id={b}/" in f for b in tail) for f in files)
     assert log.current(spark, 100).count() == len(want) and UpsertLog(scratch_dir(spark, "t-none"), "k string, v long", ("k",)).current(spark).count() == 0
+
+
+def test_hot_key_is_spread_before_it_is_dropped(spark, tmp_path):
+    """800 copies of one key in a batch: the same rows as one-step dedup, and no state partition meets more than its salts' copies."""
+    from sensorlake.operators.windows import dedup_watermark, watermarked
+    from sensorlake.sources.log import SinkSpec
+    from sensorlake.streaming.metrics import state_operators, state_rows
+    from sensorlake.streaming.runner import run_to_end, start
+
+    rows = [(i, "hot" if i < 800 else f"k{i % 7}", "2024-01-01 10:00:00" if i < 800 else f"2024-01-01 10:{i % 50:02d}:00", 1.0) for i in range(1000)]
+    src = str(tmp_path / "in")
+    readings(spark, rows).select("event_id", "sensor_id", "timestamp", "event_time").repartition(2).write.parquet(src)
+    stream = spark.readStream.schema("event_id long, sensor_id string, timestamp string, event_time timestamp").parquet(src)
+    got = {}
+    for salts in (1, 8):
+        out, ckpt = str(tmp_path / f"out{salts}"), str(tmp_path / f"ckpt{salts}")
+        plan = dedup_watermark(watermarked(stream), salts=salts).select("sensor_id", "timestamp")
+        run_to_end(start(plan, SinkSpec(name=f"t_dedup{salts}", checkpoint=ckpt, format="parquet", path=out), state_partitions=4))
+        got[salts] = sorted(tuple(r) for r in spark.read.parquet(out).collect())
+    assert got[1] == got[8] == sorted({(k, t) for _, k, t, _ in rows})
+    first = max(r.operator_id for r in state_operators(spark, ckpt).collect())      # the salted step comes first in the plan, last in the numbering
+    hot = state_rows(spark, ckpt, first).where("key.sensor_id = 'hot'")
+    assert hot.count() == 8 and hot.select("partition_id").distinct().count() > 1
+    salt = {i: s for i, s in spark.range(800).selectExpr("id", "pmod(xxhash64(id), 8) AS s").collect()}
+    part = {r.s: r.partition_id for r in hot.selectExpr("key._salt AS s", "partition_id").collect()}
+    load = {p: sum(part[salt[i]] == p for i in range(800)) for p in set(part.values())}
+    assert max(load.values()) < 800
