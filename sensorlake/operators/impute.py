@@ -18,12 +18,16 @@ from __future__ import annotations
 
 import math
 from collections import deque
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorlake.schema import HISTORY_SECONDS
 
+#: length of the slices in which chains of dependent fills are solved: at most one row a second after dedup
+SLICE_SECONDS = 86_400.0
+
 
 def trailing_mean(df: DataFrame, width_seconds: float = HISTORY_SECONDS, value_col: str = "temperature",
                   key_col: str = "sensor_id", time_col: str = "event_time", use_col: str | None = None,
@@ -77,21 +81,52 @@ def _trailing(df: DataFrame, measures: dict[str, str], width_seconds: float, key
     return out.where("NOT _part OR _bucket = _own").drop("_t", "_own", "_part", "_bucket")
 
 
+def solve_slice(width_us: int, pdf):
+    """Fills of one slice of an island in time order; rows that come with a fill are of the slice before and only seen.
+
+    A fill counts for rows of later times, up to ``width_us`` on. The window's sum is carried along and added up anew whenever the
+    window has turned over, so its cost does not depend on the window's length and its error does not grow.
+    """
+    pdf = pdf.sort_values("_us", kind="stable")
+    window, waiting, total, gone, fills = deque(), [], 0.0, 0, []
+    for t, s, n, old in zip(pdf["_us"].tolist(), pdf["_sum"].tolist(), pdf["_n"].tolist(), pdf["_fill"].tolist(), strict=True):
+        while waiting and waiting[0][0] < t:
+            window.append(waiting.pop(0))
+            total += window[-1][1]
+        while window and window[0][0] < t - width_us:
+            total -= window.popleft()[1]
+            gone += 1
+        if gone > len(window):
+            total, gone = math.fsum(v for _, v in window), 0
+        seen = old is not None and not math.isnan(old)
+        if seen:
+            value = old
+        else:
+            k = int(n) + len(window)
+            value = (s + total) / k if k else None
+        if value is not None:
+            waiting.append((t, value))
+        fills.append(None if seen else value)
+    new = pdf["_fill"].isna()
+    return pdf.assign(_fill=[math.nan if f is None else f for f in fills]).loc[new, [c for c in pdf.columns if c not in ("_sum", "_n")]]
+
+
 def trailing_mean_feedback(df: DataFrame, width_seconds: float = HISTORY_SECONDS, value_col: str = "temperature",
                            key_col: str = "sensor_id", time_col: str = "event_time", use_col: str | None = None,
                            need_col: str | None = None, id_col: str = "event_id", out_col: str = "imputed",
-                           bucket_seconds: float | None = None) -> DataFrame:
+                           bucket_seconds: float | None = None, slice_seconds: float = SLICE_SECONDS) -> DataFrame:
     """Trailing mean where filled values count as history for later rows (in time order, ``[t - width, t)``).
 
     A fill depends on the observed values of its window, a sum and a count that
     the bucketed windows give, and on the fills in it. Missing rows of a key that lie within
-    ``width`` of each other form an island; no fill reaches beyond its island,
-    so each island is solved in one pass over its missing rows (time, sum, count), however long
-    its chain of dependent fills; an island of one row needs no pass. Islands are numbered by their first time, a running maximum in blocks.
+    ``width`` of each other form an island; no fill reaches beyond its island. Islands are numbered by their first time, a
+    running maximum in blocks; one of a single row needs no pass. The others are cut into slices of ``slice_seconds`` from their
+    start and solved in rounds, slice after slice: a task holds one slice of an island and the fills of the last ``width`` seconds
+    before it, however long the chain of dependent fills is. Rounds = slices of the longest island; most have one.
     """
     from sensorlake.operators.prefix import inclusive_prefix
     from sensorlake.operators.quality import arrival
-    from sensorlake.session import materialize
+    from sensorlake.session import materialize, scratch_dir
 
     use = f"`{use_col}`" if use_col else f"(`{value_col}` IS NOT NULL AND `{time_col}` IS NOT NULL)"
     need = f"`{need_col}`" if need_col else f"(`{value_col}` IS NULL AND `{time_col}` IS NOT NULL)"
@@ -108,29 +143,27 @@ def trailing_mean_feedback(df: DataFrame, width_seconds: float = HISTORY_SECONDS
     starts = keyed.where("_starts").groupBy("_key", "_sec").agg(F.max("_us").alias("_island"))
     marks = keyed.select("_key", "_sec").distinct().join(starts, ["_key", "_sec"], "left").withColumn("_at", F.col("_sec") - F.lit(least))
     islands = inclusive_prefix(marks, "_at", {"_island": "max"}, group_cols=["_key"]).select("_key", "_sec", F.col("cum__island").alias("_island"))
-    width_us = int(round(width_seconds * 1_000_000))
-
-    def solve(pdf):
-        pdf = pdf.sort_values("_us", kind="stable")
-        window, total, out = deque(), 0.0, []
-        for t, s, n in zip(pdf["_us"].tolist(), pdf["_sum"].tolist(), pdf["_n"].tolist(), strict=True):
-            while window and window[0][0] < t - width_us:
-                window.popleft()
-            total = math.fsum(v for u, v in window if u < t)
-            k = n + sum(u < t for u, _ in window)
-            value = (s + total) / k if k else None
-            if value is not None:
-                window.append((t, value))
-            out.append(value)
-        return pdf.assign(_fill=out)[[*ids, "_fill"]]
-
+    width_us, slice_us = int(round(width_seconds * 1_000_000)), max(1, int(round(slice_seconds * 1_000_000)))
     kinds = dict(df.dtypes)
     placed = keyed.join(islands, ["_key", "_sec"]).select(*ids, "_key", "_island", "_us", "_sum", "_n")
-    sizes = placed.groupBy("_key", "_island").agg(F.count(F.lit(1)).alias("_rows"))
-    placed = materialize(placed.join(sizes, ["_key", "_island"]))
-    chains = placed.where("_rows > 1").groupBy("_key", "_island").applyInPandas(
-        solve, ", ".join([*[f"`{c}` {kinds[c]}" for c in ids], "_fill double"]))
+    sizes = placed.groupBy("_key", "_island").agg(F.count(F.lit(1)).alias("_rows"), F.max(F.expr(f"(_us - _island) div {slice_us}")).alias("_slices"))
+    folder = scratch_dir(df.sparkSession, "islands")
+    placed.join(sizes, ["_key", "_island"]).withColumn("_slice", F.expr(f"(_us - _island) div {slice_us}")).write.partitionBy("_slice").parquet(folder)
+    schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in ids], "_key string, _island long, _us long, _sum double, _n long, _rows long, _slices long, _slice long"])
+    placed = df.sparkSession.read.schema(schema).parquet(folder)
     alone = placed.where("_rows = 1").select(*ids, F.expr("CASE WHEN _n > 0 THEN _sum / _n END").alias("_fill"))
-    solved = chains.unionByName(alone)
+    chains = placed.where("_rows > 1")
+    last = chains.agg(F.max("_slices")).first()[0]
+    solved, carry = alone, None
+    for k in range(0 if last is None else last + 1):
+        rows = chains.where(F.col("_slice") == k).select(*ids, "_key", "_island", "_us", "_sum", "_n", "_slices", F.lit(None).cast("double").alias("_fill"))
+        if carry is not None:
+            rows = rows.unionByName(carry)
+        fills = materialize(rows.groupBy("_key", "_island").applyInPandas(
+            partial(solve_slice, width_us), ", ".join([*[f"`{c}` {kinds[c]}" for c in ids], "_key string, _island long, _us long, _slices long, _fill double"])))
+        solved = solved.unionByName(fills.select(*ids, "_fill"))
+        # what the next slice of a longer island still sees; its sums are not needed again
+        carry = fills.where(f"_slices > {k} AND _fill IS NOT NULL AND _us >= _island + {(k + 1) * slice_us} - {width_us}").select(
+            *ids, "_key", "_island", "_us", F.lit(0.0).alias("_sum"), F.lit(None).cast("long").alias("_n"), "_slices", "_fill")
     keep = [c for c in df.columns if c != out_col]
     return df.join(solved, ids, "left").select(*keep, F.col("_fill").alias(out_col))

@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,6 +118,22 @@ def test_fill_chain_of_thousands(spark):
     assert all(abs(got[i] - 10.0) < 1e-9 for i in range(1, n)) and got[0] is None and got[n] is None and got[n + 1] == 4.0
 
 
+def test_fill_chains_in_slices(spark):
+    """Chains over many slices give what one slice gives, and no group holds more than a slice and the width before it."""
+    from sensorlake.operators import impute
+
+    rng = np.random.default_rng(4)
+    rows = [(0, "k", 0, 10.0)] + [(i, "k", i, None) for i in range(1, 200)] + [(1000 + i, "g", 7 * i, float(i) if rng.random() < 0.4 else None) for i in range(60)]
+    rows += [(2000 + i, None, 3 * i, 5.0 if i in (0, 9) else None) for i in range(30)] + [(3000, "lone", 5, None)]
+    df = spark.createDataFrame(rows, "event_id long, sensor_id string, ts long, temperature double").withColumn("event_time", F.timestamp_seconds("ts"))
+    want = {r.event_id: r.imputed for r in trailing_mean_feedback(df, 20).collect()}
+    got = {r.event_id: r.imputed for r in trailing_mean_feedback(df, 20, slice_seconds=45).collect()}
+    assert got.keys() == want.keys() and all((got[i] is None) == (want[i] is None) and (got[i] is None or abs(got[i] - want[i]) < 1e-9) for i in want)
+    assert sum(v is not None for v in want.values()) > 200
+    part = pd.DataFrame({"_us": [0, 5, 30], "_sum": [0.0, 2.0, 0.0], "_n": [None, 1, 0], "_fill": [4.0, None, None]})
+    assert [None if math.isnan(v) else v for v in impute.solve_slice(20, part)["_fill"]] == [3.0, None]
+
+
 def test_median_with_infinities_and_nan(spark):
     data = {"a": [1.0, 2.0, 3.0, math.inf], "b": [-math.inf, -math.inf, 5.0, 6.0, math.inf], "c": [math.inf] * 3, "d": [1e308, -1e308, 0.5] + list(np.linspace(0, 1, 100)),
             "e": [1.0, 2.0, math.nan, math.nan, math.nan], "f": [1.0, 7.0, math.nan]}
