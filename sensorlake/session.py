@@ -72,8 +72,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = tempfile.mkdtemp(prefix="sensorlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sensorlake-ckpt-"))    # the setting itself cannot be changed at run time
+        root = spark.sparkContext.getCheckpointDir()
     return root
 
 

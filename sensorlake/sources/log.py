@@ -20,7 +20,7 @@ from sensorlake.schema import ENVELOPE_FILE, LOG_PARTITIONS, READING, READING_FI
 
 @dataclass(frozen=True)
 class SourceSpec:
-    """Where readings come from. ``format`` is ``kafka``, ``json`` or ``parquet``."""
+    """Where readings come from. ``format`` is ``kafka``, ``segments`` (a stored partitioned log), ``json`` or ``parquet``."""
 
     format: str = "kafka"
     topic: str | None = None
@@ -60,6 +60,13 @@ def source_options(spec: SourceSpec, bounded: bool = False) -> dict[str, str]:
         if bounded:
             opts["endingOffsets"] = "latest"
         opts["failOnDataLoss"] = str(spec.fail_on_data_loss).lower()
+    elif spec.format == "segments":
+        opts["path"] = spec.path or ""
+        if spec.partitions is not None:
+            opts["partitions"] = ",".join(str(p) for p in spec.partitions)
+        # bounded reads start at the beginning unless offsets are named
+        opts["startingOffsets"] = "earliest" if bounded and spec.starting_offsets == "latest" else spec.starting_offsets
+        opts["failOnDataLoss"] = str(spec.fail_on_data_loss).lower()
     elif spec.max_files_per_trigger is not None and not bounded:
         opts["maxFilesPerTrigger"] = str(spec.max_files_per_trigger)
     opts.update({k: str(v) for k, v in spec.options.items()})
@@ -78,9 +85,18 @@ def _file_envelope(df: DataFrame) -> DataFrame:
     )
 
 
+def _segments(spark: SparkSession, reader) -> DataFrame:
+    from sensorlake.sources.segments import FORMAT, register   # imports this package's operators
+
+    register(spark)
+    return reader.format(FORMAT).load()
+
+
 def read_stream(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     """Streaming DataFrame with the log envelope columns."""
     reader = spark.readStream.options(**source_options(spec))
+    if spec.format == "segments":
+        return _segments(spark, reader)
     if spec.format == "kafka":
         return reader.format("kafka").load()
     df = reader.schema(ENVELOPE_FILE).format(spec.format).load(spec.path)
@@ -91,6 +107,8 @@ def read_stream(spark: SparkSession, spec: SourceSpec) -> DataFrame:
 def read_bounded(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     """Everything in the log from the earliest record to the current end (batch)."""
     reader = spark.read.options(**source_options(spec, bounded=True))
+    if spec.format == "segments":
+        return _segments(spark, reader)
     if spec.format == "kafka":
         return reader.format("kafka").load()
     df = _file_envelope(reader.schema(ENVELOPE_FILE).format(spec.format).load(spec.path))

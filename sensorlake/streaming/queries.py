@@ -21,6 +21,7 @@ from sensorlake.plans.report import summary_table, write_json
 from sensorlake.session import configure, scratch_dir
 from sensorlake.sources.fixtures import planted_readings, stage_files
 from sensorlake.sources.log import SinkSpec, SourceSpec, decode_envelope, read_stream, to_envelope
+from sensorlake.sources.segments import append_segments, commit_ended, group_offsets
 from sensorlake.streaming import clean as cs
 from sensorlake.streaming.fanout import fan_out
 from sensorlake.streaming.metrics import batch_drops, performance, recorded, state_snapshot, windowed_state
@@ -189,6 +190,22 @@ def q_stream_fan_out(spark, sf_dir):
     return counts[0].unionByName(counts[1])
 
 
+def q_segment_log(spark, sf_dir):
+    """The log as a data source: two appends, a stream that is restarted between them, and what its reader group committed."""
+    env = to_envelope(planted_readings(configure(spark), sf_dir))
+    half = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").agg(F.max("event_id")).first()[0] // 2
+    path, out, ckpt = scratch_dir(spark, "segments"), scratch_dir(spark, "read"), scratch_dir(spark, "ckpt-segments")
+    source = SourceSpec(format="segments", path=path, starting_offsets="earliest", fail_on_data_loss=True, options={"group": "readers"})
+    for n, part in enumerate((F.col("offset") <= half, F.col("offset") > half)):
+        append_segments(env.where(part), path, n)
+        rows = decode_envelope(read_stream(spark, source), keep=("partition", "offset"))
+        commit_ended(run_to_end(start(rows, SinkSpec(name="segment_log", checkpoint=ckpt, format="parquet", path=out))), path, "readers")
+    done = spark.createDataFrame(list(group_offsets(path, "readers").items()), "partition int, next_offset long")
+    got = spark.read.parquet(out).groupBy("partition").agg(
+        F.count(F.lit(1)).alias("n"), F.count("temperature").alias("n_temperature"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"))
+    return finish(got.join(done, "partition"), longs=["partition"])
+
+
 def q_progress_log(spark, sf_dir):
     return _windowed_progress(spark, sf_dir).select("name", "batchId", "numInputRows", "inputRowsPerSecond",
                                                     "processedRowsPerSecond", "durationMs", "stateOperators")
@@ -222,6 +239,7 @@ STREAM_QUERIES = {
     "summary_table": q_summary_table,
     "run_reports": q_run_reports,
     "stream_fan_out": q_stream_fan_out,
+    "segment_log": q_segment_log,
     "progress_log": q_progress_log,
     "state_snapshot": q_state_snapshot,
     "state_rows": q_state_rows,
@@ -285,6 +303,8 @@ UNION ALL SELECT 'sensors', sensor_id, 'avg_temperature', round(avg(temperature)
 UNION ALL SELECT 'sensors', sensor_id, 'max_temperature', round(max(temperature), 3) FROM clean GROUP BY sensor_id
 UNION ALL SELECT 'sensors', sensor_id, 'readings', CAST(count(*) AS DOUBLE) FROM clean GROUP BY sensor_id
 UNION ALL SELECT 'status', status, 'rows', CAST(count(*) AS DOUBLE) FROM clean GROUP BY status"""),
+    "segment_log": O._with(O.raw_ctes(), """SELECT CAST(partition AS BIGINT) AS partition, count(*) AS n, count(temperature) AS n_temperature,
+  min(event_id) AS first_offset, max(event_id) AS last_offset, max(event_id) + 1 AS next_offset FROM raw GROUP BY partition"""),
     "stream_fan_out": O._with(O.raw_ctes(), """SELECT 'group_alpha' AS consumer, count(*) AS n FROM raw
 UNION ALL SELECT 'group_beta', count(*) FROM raw"""),
 }

@@ -13,7 +13,7 @@ def spark():
 
     s = get_session("local[4]", shuffle_partitions=8, app="sensorlake-tests")
     if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="sensorlake-test-ckpt-"))
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sensorlake-test-ckpt-"))
     yield s
     s.stop()
 
