@@ -64,8 +64,8 @@ class WordEncoder:
     """ids of a text, word by word, for tokenizers that never join or see across white space.
 
     Each distinct word is tokenized once; words of letters and marks share the
-    ids of their parts if the tokenizer keeps those apart (tried on a probe when it is loaded). The tables of known words
-    and parts are emptied when they hold ``keep`` entries, so memory stays bounded.
+    ids of their parts if the tokenizer keeps those apart (tried on a probe when it is loaded). A full table of ``keep`` known
+    words becomes the older one, from which words that come again are taken over, so memory stays bounded and frequent words stay known.
     """
 
     def __init__(self, path: str, end_id: int, keep: int = 250_000):
@@ -78,6 +78,7 @@ class WordEncoder:
         self.keep = keep
         self.code = {2: "H", 4: "I"}[self.dtype.itemsize]
         self.known: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {"": b""}
         self.letters = byte_letters()
         probes = ("Thing", ""), ("thing", ","), ("Één", "##&"), ("großÜber", "!!"), ("a", ".")
@@ -107,21 +108,23 @@ class WordEncoder:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return self.end
-        known, parts = self.known, text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        try:
-            return b"".join([known[w] for w in parts]) + self.end
-        except KeyError:
-            pass
-        if len(known) > self.keep:
-            known.clear()
-            known[""] = b""
+        if len(self.known) > self.keep:
+            self.older, self.known = self.known, {"": b""}
         if len(self.parts) > self.keep:
             self.parts.clear()
             self.parts[""] = b""
-        for w in parts:
-            if w not in known:
-                known[w] = self._word(w)
-        return b"".join([known[w] for w in parts]) + self.end
+        known, words = self.known, text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        ids = list(map(known.get, words))
+        if None in ids:
+            for i, x in enumerate(ids):
+                if x is None:
+                    w = words[i]
+                    if w not in known:
+                        x = self.older.get(w)
+                        known[w] = self._word(w) if x is None else x
+                    ids[i] = known[w]
+        ids.append(self.end)
+        return b"".join(ids)
 
 
 @lru_cache(maxsize=2)
@@ -160,13 +163,14 @@ def open_file(path: str, mode: str):
 
 
 def train_dictionary(docs: DataFrame, tokenizer_path: str, end_id: int, sample_docs: int, dict_bytes: int) -> bytes:
-    """A dictionary from the id arrays of about ``sample_docs`` documents (chosen by a hash of doc_id).
+    """A dictionary from the id arrays of about ``sample_docs`` documents (chosen by a hash of doc_id and text, so that
+    rows without an id, or with one id, are sampled like all others).
 
-    The sample is bounded and read in one task; too few samples give an empty dictionary.
+    The sample is bounded (at most twice ``sample_docs`` rows) and read in one task; too few samples give an empty dictionary.
     """
     n = docs.count()
     share = 1.0 if n <= sample_docs else sample_docs / n
-    some = docs.filter(F.expr(f"pmod(xxhash64(coalesce(doc_id, -1)), 1000000) < {int(share * 1_000_000) or 1}")).select("text")
+    some = docs.filter(F.expr(f"pmod(xxhash64(doc_id, text), 1000000) < {int(share * 1_000_000) or 1}")).select("text").limit(2 * sample_docs)
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -192,8 +196,8 @@ def write_store(docs: DataFrame, tokenizer_path: str, end_id: int, root: str | N
                 sample_docs: int = 2000, dict_bytes: int = 64 << 10, level: int = 3) -> TokenStore:
     """Encode ``docs`` (doc_id, text) into shards ordered by doc_id; returns the store.
 
-    The order is a range partitioning on (doc_id, text hash), so one hot id is
-    split too; each range becomes one shard.
+    The order is a range partitioning on (doc_id, text hash, row number), so one hot id, and
+    very many equal rows, are split too; each range becomes one shard.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
@@ -235,8 +239,8 @@ def write_store(docs: DataFrame, tokenizer_path: str, end_id: int, root: str | N
             schema=pa.schema([("part", pa.int64()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()),
                               ("bytes", pa.int64()), ("min_id", pa.int64()), ("max_id", pa.int64())]))
 
-    keyed = docs.withColumn("h", F.xxhash64("text"))
-    (keyed.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
+    keyed = docs.withColumns({"h": F.xxhash64("text"), "at": F.monotonically_increasing_id()})
+    (keyed.repartitionByRange("doc_id", "h", "at").sortWithinPartitions("doc_id", "h", "at").select("doc_id", "text")
      .mapInArrow(write, MANIFEST).write.parquet(f"{root}/manifest"))
     width = encoder(tokenizer_path, end_id).dtype.itemsize
     return TokenStore(root, dictionary, width)

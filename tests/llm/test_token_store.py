@@ -52,6 +52,20 @@ def test_shared_dictionary_and_hash(spark):
         ts.read_index(path, b"another dictionary")
 
 
+def test_rows_without_ids_are_sampled_too(spark):
+    df = spark.createDataFrame([(None, f"some words of document {i} that repeat in every short document {i % 7}") for i in range(300)], "doc_id long, text string")
+    store = ts.write_store(df, PATH, 1, dict_bytes=4096)
+    assert store.dictionary and ts.scan_store(spark, store).count() == 300
+
+
+def test_words_taken_over_from_the_older_table():
+    enc, plain = ts.WordEncoder(PATH, 1, keep=5), ts.WordEncoder(PATH, 1)
+    for i in range(60):
+        text = " ".join(f"word{(i * j) % 11}" + "abcdefghijk"[j] for j in range(8)) + f" only{i}\tthis"
+        assert enc.encode(text) == plain.encode(text)
+    assert len(enc.known) <= 20 and enc.older
+
+
 def test_query_on_documents(spark):
     from sensorlake.llm.queries import op1_token_store
 
