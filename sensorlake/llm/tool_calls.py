@@ -20,6 +20,7 @@ keys, no spaces, text unescaped where JSON allows) with the first result, by tur
 Rows: null or empty text, text that is no JSON object of those forms and unknown
 roles give nothing; null conv_id or turn are values of their own (one unnamed
 conversation, before turn 0); equal rows give equal rows;
+arguments with numbers beyond the range of doubles, or NaN, are malformed, such a result is null; lone surrogates become U+FFFD;
 an empty table gives an empty result; other columns are ignored.
 """
 
@@ -37,15 +38,28 @@ from sensorlake.llm.tables import stored
 TYPES = {"string": str, "object": dict, "array": list, "boolean": bool, "null": type(None)}
 
 
-def canonical(value) -> str:
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+def canonical(value) -> str | None:
+    """Canonical JSON; None for numbers that JSON has no form for (NaN, infinities)."""
+    try:
+        return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+    except ValueError:
+        return None
+
+
+def whole_text(value):
+    """A JSON value whose strings have lone surrogates replaced by U+FFFD."""
+    if isinstance(value, str):
+        return value.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
+    if isinstance(value, list):
+        return [whole_text(x) for x in value]
+    return {whole_text(k): whole_text(v) for k, v in value.items()} if isinstance(value, dict) else value
 
 
 def fits(value, schema: dict) -> bool:
     """Whether a JSON value meets a schema (type, enum, bounds, lengths, properties, required, items)."""
     kind = schema.get("type")
     number = isinstance(value, (int, float)) and not isinstance(value, bool)
-    if kind == "integer" and not (number and float(value).is_integer()) or kind == "number" and not number:
+    if kind == "integer" and not (number and (isinstance(value, int) or value.is_integer())) or kind == "number" and not number:
         return False
     if kind in TYPES and not isinstance(value, TYPES[kind]):
         return False
@@ -73,6 +87,8 @@ def _parse(role: str | None, text: str | None):
         return
     try:
         body = json.loads(text)
+        if "\\u" in text:
+            body = whole_text(body)
     except (ValueError, RecursionError):
         return
     if role == "tool" and "tool_call_id" in body:
@@ -82,6 +98,8 @@ def _parse(role: str | None, text: str | None):
             c = c if isinstance(c, dict) else {}
             after = c.get("after")
             name, args = c.get("name"), c.get("arguments")
+            if canonical(args) is None:
+                args = None
             yield ("call", _id(c.get("id")), name if isinstance(name, str) else None, args if isinstance(args, dict) else None,
                    [x for x in map(_id, after) if x is not None] if isinstance(after, list) else [], None)
 

@@ -75,3 +75,16 @@ def test_query_matches_sql(spark):
     want = sorted((tuple(r) for r in duckdb.sql(f"SELECT {', '.join(order)} FROM ({LLM_ORACLE_SQL['op8_tool_calls']})").fetchall()), key=str)
     got = sorted((tuple(r[c] for c in order) for r in op8_tool_calls(spark, sf).collect()), key=str)
     assert {r[4] for r in got} >= {"ok", "missing_result"} and got == want
+
+
+def test_numbers_and_surrogates_without_json_form(spark):
+    raw = lambda args: '{"tool_calls":[{"id":"a","name":"f","arguments":' + args + "}]}"
+    big = "9" * 400
+    rows = [(1, 0, "assistant", raw('{"x":' + big + "}")), (2, 0, "assistant", raw('{"x":NaN}')), (3, 0, "assistant", raw('{"x":1e999}')),
+            (4, 0, "assistant", raw('{"x":1,"s":"\\ud800-\\ud83d\\ude00"}')), (5, 0, "assistant", raw('{"x":1}').replace('"a"', '"\\udc00"')),
+            (6, 0, "assistant", raw('{"x":1.5}')), (7, 0, "assistant", raw('{"x":1}')), (7, 1, "tool", '{"tool_call_id":"a","content":[Infinity]}')]
+    got = {k[0]: (k[1], k[3], r["record"]) for k, r in run(spark, rows).items()}
+    assert got[1][1] == "missing_result" and f'{{"x":{big}}}' in got[1][2]
+    assert got[2][1] == got[3][1] == "malformed" and got[6][1] == "invalid_arguments"
+    assert got[4][1] == "missing_result" and '"s":"\ufffd-\U0001f600"' in got[4][2]
+    assert got[5][0] == "\ufffd" and got[7][1] == "ok" and '"result":null' in got[7][2]
