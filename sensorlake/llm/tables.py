@@ -19,6 +19,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_prefix(df: DataFrame, stem: str) -> str:
+    """``stem``, with underscores in front until no column of ``df`` begins with it (Spark's names ignore case)."""
+    while any(c.lower().startswith(stem.lower()) for c in df.columns):
+        stem = f"_{stem}"
+    return stem
+
+
 def spread_join(left: DataFrame, right: DataFrame, on: list[str], hot: Column) -> DataFrame:
     """Inner join with ``right`` (one row a key) that no key of very many left rows slows down.
 

@@ -82,3 +82,24 @@ def test_stages_on_awkward_rows(spark):
 
 def test_stage_names_and_oracle():
     assert [n for n, _ in cp.STAGES] == ["quality_rules", "near_duplicates", "decontamination", "pii", "packing"] and cp.ORACLE_SQL is None
+
+
+def test_clashing_columns_stay_as_they_are(spark):
+    """Columns named like the stages' own helpers pass through, and none of them brings text back."""
+    from pyspark.sql import functions as F
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    names = ["p_text", "P_spans", "p_cands", "_key", "_q_n_words", "q_n_words", "key", "root", "n"]
+    more = docs.withColumns({c: F.lit(f"own {c}") for c in names})
+    mail = docs.limit(1).withColumns({"text": F.lit("write to some.body@example.org now"), "doc_id": F.lit(10**9).cast("long")})
+    plain = {}
+    for table, extra in ((docs.unionByName(mail), []), (more.unionByName(mail, allowMissingColumns=True), names)):
+        for stage, run in cp.STAGES[:-1]:
+            out = run(spark, table, sf)
+            assert out.columns == table.columns
+            rows = out.collect()
+            got = sorted(((r.doc_id, r.text) for r in rows), key=str)
+            assert plain.setdefault(stage, got) == got
+            assert all(r[c] in (f"own {c}", None) for r in rows for c in extra)
+    assert (10**9, "write to [EMAIL] now") in plain["pii"]
