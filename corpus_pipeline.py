@@ -17,15 +17,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlake.llm import chosen_path, decontaminate, packing, pii, quality_rules
-from sensorlake.llm.tables import stored
+from sensorlake.llm.tables import free_prefix, stored
 from sensorlake.session import workers_find_package
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rule and the learned decision list."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    judged = quality_rules.judged(docs, quality_rules.fit(docs, labels), prefix="_q_")
-    return judged.filter("_q_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    p = free_prefix(docs, "_q_")
+    judged = quality_rules.judged(docs, quality_rules.fit(docs.select("doc_id", "text"), labels), prefix=p)
+    return judged.filter(f"{p}kept").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,12 +35,13 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     # equal rows first: the rows of one (doc_id, text) are copies of one document
     groups = chosen_path.near_duplicates(docs, with_key=True)
     first = stored(groups.filter("kept").groupBy("root").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("n")), "keepers")
-    keyed = docs.withColumn("_key", key)
+    k = free_prefix(docs, "_key")
+    keyed = docs.withColumn(k, key)
     # the same plan at every size: the keys grow with the documents
-    single = keyed.join(first.filter("n = 1").select(F.col("key").alias("_key")).hint("shuffle_hash"), "_key", "left_semi")
-    repeated = first.filter("n > 1").select(F.col("key").alias("_key"))
+    single = keyed.join(first.filter("n = 1").select(F.col("key").alias(k)).hint("shuffle_hash"), k, "left_semi")
+    repeated = first.filter("n > 1").select(F.col("key").alias(k))
     if not repeated.isEmpty():
-        single = single.unionByName(keyed.join(repeated, "_key", "left_semi").dropDuplicates(["_key"]))
+        single = single.unionByName(keyed.join(repeated, k, "left_semi").dropDuplicates([k]))
     return single.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
@@ -48,8 +50,9 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     key = F.xxhash64("doc_id", "text")
     hits = decontaminate.contaminated(docs.select(key.alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     # stored, so that the join is planned from the measured size of the hits
-    found = stored(hits.select(F.col("doc_id").alias("_key")).distinct(), "contaminated")
-    return docs.withColumn("_key", key).join(found, "_key", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    k = free_prefix(docs, "_key")
+    found = stored(hits.select(F.col("doc_id").alias(k)).distinct(), "contaminated")
+    return docs.withColumn(k, key).join(found, k, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
