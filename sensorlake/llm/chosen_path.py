@@ -3,15 +3,15 @@
 1. Each text becomes its set of distinct k-word shingles (64-bit hashes), a
    128-bit set key and a 64-coordinate minwise signature. Equal sets are one
    vertex from here on, so copies cost one row each, however many there are.
-2. ``trees`` independent trees branch the vertices: a node picks ``picks``
-   signature coordinates by its own hash, and a vertex goes to the children
-   named by its minwise tokens there. Nodes of one vertex end; nodes of up to
-   ``leaf`` vertices are compared exhaustively on signatures; larger ones branch again, unless half
-   of their vertices are alike to the first: such a dense node, and a node still large at ``depth``, is linked to
-   its first vertex as a whole (a superset of its similar pairs, one link per vertex).
-   A pair of similarity s survives a level of one tree unless none of its
-   picks agree, (1-s)**picks, so a tree loses it with q = ((1-s) + s*q)**picks
-   at most (0.0625 at 0.8 with two picks) and all trees with q**trees.
+2. ``trees`` independent trees branch the vertices: a node picks coordinates of the signature by its own hash, and
+   a vertex goes to the children named by its minwise tokens there. A root picks ``picks`` coordinates, every
+   further node one, and half of them a second: texts alike but below the threshold thin out from level to level.
+   Nodes of one vertex end. A node of up to ``task_vertices`` vertices goes on inside one task, down to nodes of up to ``leaf``
+   vertices, which are compared exhaustively on signatures; a node whose vertices are in one component already ends. Only larger
+   nodes branch on Spark, unless half of their vertices are alike to the first: such a dense node is linked to its first
+   vertex as a whole (a superset of its similar pairs, one link per vertex). Branching ends by size; a node still large at ``depth`` is linked as a whole too.
+   A pair of similarity s is lost by a tree with q = ((1-s) + s*r)**picks, where r = (i + i*i) / 2, i = (1-s) + s*r
+   for any number of further levels: 0.04 at 0.8 and two picks if roots end at leaves, 0.25 at most; all trees lose it with q**trees.
 3. The connected components of those candidate links are closed sets that
    hold every similar pair. Each is confirmed on full shingle sets: components that fit one task
    in one pass, larger ones against their most typical vertex first, then the rest
@@ -38,6 +38,8 @@ from sensorlake.llm.tables import Union, key_groups, matrix, stored
 from sensorlake.llm.text import mix, shingles, slices, utf8, words
 
 COORDS = 64
+#: standard deviations below the threshold at which signatures still count as alike: 34 of 64 at 0.8, missed with 3.3e-7
+DEVIATIONS = 5.5
 #: odd multipliers and offsets of the minwise functions, from one seed
 _RNG = np.random.default_rng(20240607)
 MULTIPLY = (_RNG.integers(0, 1 << 31, COORDS, np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -86,22 +88,60 @@ def features(docs: DataFrame, k: int) -> DataFrame:
         run, "doc_id long, key long, n_shingles long, sid binary, sig binary")
 
 
-def _children(rows: DataFrame, seeds: str) -> DataFrame:
-    """(node, sid, sig) -> (node, sid): one child for each coordinate that the node picks."""
-    # an odd stride from the node's own start: picks of one node differ
-    coord = f"pmod(pmod(xxhash64(node, 17), {COORDS}) + pick * (1 + 2 * pmod(xxhash64(node, 29), {COORDS // 2})), {COORDS})"
-    return rows.selectExpr("sid", "sig", f"explode({seeds}) AS s", "node").selectExpr(
-        "sid", "sig", "coalesce(node, s div 1000) AS node", "s % 1000 AS pick").selectExpr(
-        "sid", f"xxhash64(node, {coord}, substring(sig, CAST(4 * {coord} + 1 AS INT), 4)) AS node")
+def _child(node: str, coord: str) -> str:
+    return f"xxhash64({node}, {coord}, substring(sig, CAST(4 * {coord} + 1 AS INT), 4))"
 
 
-def candidate_links(vertices: DataFrame, threshold: float, trees: int, picks: int, leaf: int, depth: int) -> DataFrame:
+def _branched(rows: DataFrame) -> DataFrame:
+    """(node, sid, sig) -> (node, sid): one child for the node's coordinate, and for half of the nodes one for a second."""
+    first = f"pmod(xxhash64(node, 17), {COORDS})"
+    second = f"pmod({first} + 1 + pmod(xxhash64(node, 29), {COORDS - 1}), {COORDS})"
+    one, two = _child("node", first), _child("node", second)
+    return rows.selectExpr("sid", f"CASE WHEN xxhash64(node, 31) % 2 = 0 THEN array({one}) ELSE array({one}, {two}) END AS nodes").selectExpr(
+        "sid", "explode(nodes) AS node")
+
+
+def node_links(sig: np.ndarray, size: np.ndarray, threshold: float, slack: float, leaf: int, seed: int) -> np.ndarray:
+    """First vertex of each vertex's component among the similar pairs that branching below one node finds.
+
+    Rows of ``sig`` are the vertices' signatures, ``size`` their set sizes. Memory is a few times the node.
+    """
+    labels, rng = np.arange(len(sig)), np.random.default_rng(seed)
+
+    def link(at: np.ndarray) -> None:
+        old = np.unique(labels[at])
+        if len(old) > 1:
+            labels[np.isin(labels, old)] = old[0]
+
+    def alike(x: int, others: np.ndarray) -> np.ndarray:
+        near = (sig[others] == sig[x]).mean(axis=1) >= slack
+        return others[near & (np.minimum(size[others], size[x]) >= (threshold - 1e-9) * np.maximum(size[others], size[x]))]
+
+    todo = [np.arange(len(sig))]
+    while todo:
+        at = todo.pop()
+        for x in range(len(at) - 1 if len(at) <= leaf else 1):
+            if (labels[at] == labels[at[0]]).all():
+                break
+            near = alike(at[x], at[x + 1:])
+            if len(near):
+                link(np.append(near, at[x]))
+        if len(at) <= leaf or (labels[at] == labels[at[0]]).all():
+            continue
+        for c in rng.choice(COORDS, int(rng.integers(1, 3)), replace=False):
+            order = at[np.argsort(sig[at, c], kind="stable")]
+            parts = np.split(order, np.flatnonzero(np.diff(sig[order, c])) + 1)
+            todo += [p for p in parts if len(p) > 1]
+    return labels
+
+
+def candidate_links(vertices: DataFrame, threshold: float, trees: int, picks: int, leaf: int, depth: int, task_vertices: int) -> DataFrame:
     """Edges (u, v) whose components hold every pair of similarity ``threshold`` that a tree kept together."""
-    slack = threshold - 4.5 * (threshold * (1 - threshold) / COORDS) ** 0.5
-    tree_seeds = "array(" + ",".join(f"{1000 * (t + 1) + p}" for t in range(trees) for p in range(picks)) + ")"
-    pick_seeds = "array(" + ",".join(map(str, range(picks))) + ")"
-    rows = stored(_children(vertices.select("sid", "sig", F.lit(None).cast("long").alias("node")), tree_seeds), "paths")
-    leaves, links = [], []
+    slack = threshold - DEVIATIONS * (threshold * (1 - threshold) / COORDS) ** 0.5
+    # an odd stride: the roots' coordinates differ while there are enough
+    roots = ", ".join(_child(f"{t + 1}L", str((t * picks + p) * 37 % COORDS)) for t in range(trees) for p in range(picks))
+    rows = stored(vertices.selectExpr("sid", f"array({roots}) AS nodes").selectExpr("sid", "explode(nodes) AS node"), "paths")
+    fitting, links = [], []
 
     def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -110,12 +150,17 @@ def candidate_links(vertices: DataFrame, threshold: float, trees: int, picks: in
                 yield pa.RecordBatch.from_arrays([b.column(0), *b.columns[2:], pa.array(near)], names=["sig", "node", "sid", "near"])
 
     for level in range(depth):
-        sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
-        sized = stored(rows.join(sizes, "node"), "nodes")
-        leaves.append(sized.filter(F.col("m") <= leaf).select("node", "sid"))
-        large = sized.filter(F.col("m") > leaf)
-        if large.isEmpty():
+        sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("sid")).alias("one"),
+                                         F.bit_xor(F.xxhash64("sid", F.lit(7))).alias("two")).filter("m > 1")
+        sizes = stored(sizes, "sizes")
+        # most small nodes of near-copies hold the same vertices in many trees: each such set is compared once
+        once = sizes.filter(F.col("m") <= leaf).groupBy("m", "one", "two").agg(F.min("node").alias("node")).select("node")
+        inside = once.unionAll(sizes.filter(F.col("m").between(leaf + 1, task_vertices)).select("node"))
+        fitting.append(rows.join(inside, "node", "left_semi").select("node", "sid"))
+        over = sizes.filter(F.col("m") > task_vertices)
+        if over.isEmpty():
             break
+        large = rows.join(over.select("node"), "node", "left_semi")
         if level == depth - 1:
             first = large.groupBy("node").agg(F.min("sid").alias("v"))
             links.append(large.join(first, "node").selectExpr("sid AS u", "v"))
@@ -126,31 +171,22 @@ def candidate_links(vertices: DataFrame, threshold: float, trees: int, picks: in
                 agree, "sig binary, node long, sid binary, near boolean"), "marked")
             dense = marked.groupBy("node").agg(F.avg(F.col("near").cast("int")).alias("share"), F.min("sid").alias("v")).filter("share >= 0.5")
             links.append(marked.join(dense, "node").selectExpr("sid AS u", "v"))
-            rows = stored(_children(marked.join(dense, "node", "left_anti"), pick_seeds), "paths")
-    small = leaves[0]
-    for more in leaves[1:]:
+            rows = stored(_branched(marked.join(dense, "node", "left_anti")), "paths")
+    small = fitting[0]
+    for more in fitting[1:]:
         small = small.unionAll(more)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in key_groups(batches, "node"):
-            sid, n = table.column("sid").to_pylist(), table.column("n").to_numpy()
-            sig = matrix(table.column("sig"), "<u4", COORDS)
-            out = []
+            sid, n, node = table.column("sid").to_pylist(), table.column("n").to_numpy(), table.column("node").to_numpy()
+            sig, out = matrix(table.column("sig"), "<u4", COORDS), []
             for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
-                s, size, seen = sig[lo:hi], n[lo:hi], Union(int(hi - lo))
-                for x in range(hi - lo - 1):
-                    alike = ((s[x + 1:] == s[x]).mean(axis=1) >= slack) & (
-                        np.minimum(size[x + 1:], size[x]) >= (threshold - 1e-9) * np.maximum(size[x + 1:], size[x]))
-                    for y in np.flatnonzero(alike):
-                        seen.join(x, int(x + 1 + y))
-                out += _stars(sid[lo:hi], seen)
+                labels = node_links(sig[lo:hi], n[lo:hi], threshold, slack, leaf, int(node[lo]) % (1 << 63))
+                out += [(sid[lo + x], sid[lo + r]) for x, r in enumerate(labels.tolist()) if x != r]
             yield _pairs(out)
 
-    # most leaves of near-copies hold the same vertices in many trees: each set of vertices is compared once
-    groups = small.groupBy("node").agg(F.sort_array(F.collect_list("sid")).alias("members")).select("members").distinct()
-    small = groups.selectExpr("xxhash64(members) AS node", "explode(members) AS sid")
     found = small.join(vertices.selectExpr("sid", "n_shingles AS n", "sig"), "sid").repartition("node").sortWithinPartitions(
-        "node").select("node", "sid", "n", "sig").mapInArrow(compare, "u binary, v binary")
+        "node", "sid").select("node", "sid", "n", "sig").mapInArrow(compare, "u binary, v binary")
     for more in links:
         found = found.unionAll(more)
     return found
@@ -300,19 +336,20 @@ def _large_links(big: DataFrame, vertices: DataFrame, docs: DataFrame, k: int, p
     return found.unionAll(dealt.repartition("task").sortWithinPartitions("task").mapInArrow(confirm, "u binary, v binary"))
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, trees: int = 6, picks: int = 2, leaf: int = 64,
-                    depth: int = 4, task_shingles: int = 1_000_000, with_key: bool = False) -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, trees: int = 8, picks: int = 2, leaf: int = 64,
+                    depth: int = 40, task_vertices: int = 8192, task_shingles: int = 1_000_000, with_key: bool = False) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable), kept (doc_id = component_id).
 
     ``with_key`` adds key (hash of doc_id and text) and root (one value for each component, also for rows
     whose doc_id is null), which tell rows with a null or repeated doc_id apart.
+    ``task_vertices`` bounds the signatures that one comparing task holds for a node (256 bytes each).
     ``percent``: sets link when 100 * intersection >= percent * union. ``task_shingles`` bounds the
     shingles that one confirming task holds.
     """
     feats = stored(features(docs, k), "features")
     vertices = stored(feats.filter("sid IS NOT NULL").groupBy("sid").agg(
         F.min("doc_id").alias("doc_id"), F.coalesce(F.min_by("key", "doc_id"), F.min("key")).alias("key"), F.max("n_shingles").alias("n_shingles"), F.any_value("sig").alias("sig")), "vertices")
-    near = components(candidate_links(vertices, percent / 100, trees, picks, leaf, depth))
+    near = components(candidate_links(vertices, percent / 100, trees, picks, leaf, depth, task_vertices))
     clusters = near.selectExpr("u AS sid", "v AS c").unionAll(near.select(F.col("v").alias("sid"), F.col("v").alias("c")).distinct())
     links = confirmed_components(clusters, vertices, docs, k, percent, task_shingles)
     roots = feats.select("doc_id", "key", "n_shingles", "sid").join(links.selectExpr("u AS sid", "v AS root"), "sid", "left").withColumn(

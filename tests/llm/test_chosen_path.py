@@ -81,7 +81,66 @@ def test_random_near_copies_small_leaves_and_blocks(spark):
     want = brute(rows, 5)
     assert run(spark, rows) == want
     # tiny limits: deep branching, hub pass and block pairs all run
-    assert run(spark, rows, leaf=4, depth=2, task_shingles=400) == want
+    assert run(spark, rows, leaf=4, depth=2, task_vertices=8, task_shingles=400) == want
+    assert run(spark, rows, leaf=4, task_vertices=8) == want
+
+
+def signatures(sets):
+    low = [np.array([hash((x, 5)) & 0xFFFFFFFF for x in s], np.uint32) for s in sets]
+    return np.array([[(h * m + a).min() for m, a in zip(cp.MULTIPLY, cp.ADD, strict=True)] for h in low])
+
+
+def crowd(rng, n, shared, own):
+    """Sets that share ``shared`` members and have ``own`` of their own."""
+    return [[f"s{i}" for i in range(shared)] + [f"o{j}-{rng.randrange(10**9)}" for _ in range(own)] for j in range(n)]
+
+
+def test_branching_inside_a_task_finds_planted_pairs_in_a_crowd():
+    rng = random.Random(7)
+    lost = 0
+    for seed in range(20):
+        sets = crowd(rng, 400, 60, 90)  # similarity 0.25: the crowd stays apart
+        twin = list(sets[17])
+        twin[-8:] = [f"t{i}" for i in range(8)]  # similarity 0.9
+        sets.append(twin)
+        labels = cp.node_links(signatures(sets), np.full(401, 150), 0.8, 0.525, 16, seed)
+        lost += labels[17] != labels[400]
+        assert np.all(labels <= np.arange(401)) and np.sum(labels != np.arange(401)) < 40
+    assert lost <= 10  # one node; trees and the root's second pick repeat it
+
+
+def test_rows_of_levels_do_not_grow_with_a_crowd(spark):
+    """Texts alike but below the threshold: rows of each further level stay in proportion to the crowd."""
+    rng = random.Random(3)
+    per_vertex = []
+    for n in (400, 1600):
+        sets = crowd(rng, n, 100, 50)  # similarity 0.5
+        sigs = signatures(sets)
+        rows = [(bytes([1]) * 8 + int(i).to_bytes(8, "big"), sigs[i].tobytes()) for i in range(n)]
+        level = spark.createDataFrame(rows, "sid binary, sig binary").selectExpr("sid", "sig", "5L AS node")
+        counts = []
+        for _ in range(4):
+            paths = cp._branched(level)
+            big = paths.groupBy("node").count().filter("count > 64")
+            level = paths.join(big.select("node"), "node").join(level.select("sid", "sig").distinct(), "sid").select("sid", "sig", "node")
+            counts.append(level.count() / n)
+        per_vertex.append(max(counts))
+    assert per_vertex[1] < 2 * max(1, per_vertex[0]) and per_vertex[1] <= 4
+
+
+def test_recall_on_near_copies(spark):
+    """Links of a tenth of the texts against all, in a crowd that branches on Spark, by brute force."""
+    rng = random.Random(21)
+    shared = " ".join(f"c{i}" for i in range(30))
+    texts = []
+    for _ in range(60):
+        own = [f"w{rng.randrange(10**6)}" for _ in range(60)]
+        for _ in range(3):
+            t = list(own)
+            t[rng.randrange(60)] = f"x{rng.randrange(10**6)}"
+            texts.append(shared + " " + " ".join(t))
+    rows = list(enumerate(texts))
+    assert run(spark, rows, k=4, leaf=8, task_vertices=32) == brute(rows, 4)
 
 
 def test_equal_rows_inside_a_group(spark):
