@@ -44,8 +44,21 @@ HELD = "crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 7"
 # --- the network ---------------------------------------------------------------------------------------------------
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 + 0.5 * np.tanh(0.5 * x)
+def add_rows(table: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """table[at[i]] += rows[i] for all i, where rows of ``at`` repeat often."""
+    order = np.argsort(at, kind="stable")
+    at, rows = at[order], rows.take(order, axis=0)
+    first = np.concatenate(([0], np.flatnonzero(np.diff(at)) + 1, [len(at)]))
+    size = np.diff(first)
+    for g in np.flatnonzero(size >= 8):  # frequent tokens: one product each
+        table[at[first[g]]] += np.ones(size[g], rows.dtype) @ rows[first[g]: first[g + 1]]
+    for n in range(1, 8):  # the others by like counts, as whole blocks
+        begin = first[:-1][size == n]
+        if len(begin):
+            total = rows.take(begin, axis=0)
+            for k in range(1, n):
+                total += rows.take(begin + k, axis=0)
+            table[at[begin]] += total
 
 
 def class_bounds(mass: np.ndarray, classes: int) -> np.ndarray:
@@ -73,47 +86,76 @@ class Network:
         """One step for all lanes: x is the token's input row, h the state."""
         k = self.hidden
         hu = h @ u
-        zr = sigmoid(x[:, :2 * k] + hu[:, :2 * k])
+        zr = x[:, :2 * k] + hu[:, :2 * k]
+        zr *= -1
+        np.exp(zr, out=zr)  # a sum beyond the range of the type gives infinity, and a gate of zero
+        zr += 1
+        np.reciprocal(zr, out=zr)
         z, r = zr[:, :k], zr[:, k:]
-        new = np.tanh(x[:, 2 * k:] + r * hu[:, 2 * k:])
-        return new + z * (h - new), z, r, new, hu[:, 2 * k:]
+        new = r * hu[:, 2 * k:]
+        new += x[:, 2 * k:]
+        np.tanh(new, out=new)
+        after = h - new
+        after *= z
+        after += new
+        return after, z, r, new, hu[:, 2 * k:]
 
     def log_probs(self, h: np.ndarray, y: np.ndarray, grads: dict | None = None):
         """Natural log p(y | h) for rows of states; with ``grads`` also adds parameter gradients and returns d loss / d h."""
-        p, m = self.p, len(y)
-        logits = h @ p["c"] + p["cb"]
-        logits -= logits.max(axis=1, keepdims=True)
-        e = np.exp(logits)
-        total = e.sum(axis=1)
-        cls = self.cls[y]
-        out = logits[np.arange(m), cls] - np.log(total)
-        dh = None
+        p, cls = self.p, self.cls[y]
+        order = np.argsort(cls.astype(np.int16), kind="stable")  # rows of one class side by side
+        h, y = h.take(order, axis=0), y[order]
+        edge = np.searchsorted(cls[order], np.arange(len(self.bounds)))
+        out, dh = np.zeros(len(y), h.dtype), None
+        # |h| < 1 bounds the logits; while they are far from overflow, no maximum is taken out
+        far = max(float(np.abs(p["c"]).sum(axis=0).max() + np.abs(p["cb"]).max()),
+                  float((np.abs(p["w"]) @ np.ones(self.hidden, p["w"].dtype)).max() + np.abs(p["wb"]).max())) > 60
+
+        def softmax(logits: np.ndarray) -> np.ndarray:
+            """Exponentials in place; returns their sums by row."""
+            if far:
+                logits -= logits.max(axis=1, keepdims=True)
+            np.exp(logits, out=logits)
+            return logits @ np.ones(logits.shape[1], logits.dtype)
+
+        d = h @ p["c"]
+        d += p["cb"]
+        if far:
+            d -= d.max(axis=1, keepdims=True)
+        runs = [(k, slice(edge[k], edge[k + 1])) for k in range(len(self.bounds) - 1) if edge[k] < edge[k + 1]]
+        for k, rows in runs:
+            out[rows] = d[rows, k]
+        total = softmax(d)
+        out -= np.log(total)
         if grads is not None:
-            d = e / total[:, None]
-            d[np.arange(m), cls] -= 1
+            d *= (1 / total)[:, None]
+            for k, rows in runs:
+                d[rows, k] -= 1
             grads["c"] += h.T @ d
-            grads["cb"] += d.sum(axis=0)
+            grads["cb"] += np.ones(len(d), d.dtype) @ d
             dh = d @ p["c"].T
-        order = np.argsort(cls, kind="stable")
-        edge = np.searchsorted(cls[order], np.arange(len(self.bounds)))
-        for k in range(len(self.bounds) - 1):
-            rows = order[edge[k]: edge[k + 1]]
+        for k, rows in runs:
             lo, hi = int(self.bounds[k]), int(self.bounds[k + 1])
-            if not len(rows) or hi - lo == 1:
+            if hi - lo == 1:
                 continue
-            logits = h[rows] @ p["w"][lo:hi].T + p["wb"][lo:hi]
-            logits -= logits.max(axis=1, keepdims=True)
-            e = np.exp(logits)
-            total = e.sum(axis=1)
-            at = y[rows] - lo
-            out[rows] += logits[np.arange(len(rows)), at] - np.log(total)
+            part, w = h[rows], p["w"][lo:hi]
+            d = part @ w.T
+            d += p["wb"][lo:hi]
+            if far:
+                d -= d.max(axis=1, keepdims=True)
+            at = (np.arange(len(part)), y[rows] - lo)
+            hit = d[at]
+            total = softmax(d)
+            out[rows] += hit - np.log(total)
             if grads is not None:
-                d = e / total[:, None]
-                d[np.arange(len(rows)), at] -= 1
-                grads["w"][lo:hi] += d.T @ h[rows]
-                grads["wb"][lo:hi] += d.sum(axis=0)
-                dh[rows] += d @ p["w"][lo:hi]
-        return out, dh
+                d *= (1 / total)[:, None]
+                d[at] -= 1
+                grads["w"][lo:hi] += d.T @ part
+                grads["wb"][lo:hi] += np.ones(len(d), d.dtype) @ d
+                dh[rows] += d @ w
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        return out[back], None if dh is None else dh.take(back, axis=0)
 
     def window(self, x: np.ndarray, y: np.ndarray, reset: np.ndarray, h: np.ndarray, grads: dict | None = None):
         """(loss, gradients, state after) of one truncated window: inputs, targets and state resets are (steps, lanes).
@@ -122,30 +164,34 @@ class Network:
         """
         k, p = self.hidden, self.p
         grads = {name: np.zeros_like(v) for name, v in p.items()} if grads is None else grads
-        held, states = [], []
+        held = []
+        befores, states = (np.empty((*x.shape, k), h.dtype) for _ in range(2))
         for t in range(len(x)):
-            before = np.where(reset[t][:, None], np.float32(0), h)
-            h, z, r, new, hn = self.step(p["x"][x[t]], before, p["u"])
-            held.append((before, z, r, new, hn))
-            states.append(h)
-        out, dh_out = self.log_probs(np.concatenate(states), y.reshape(-1), grads)
+            befores[t] = h
+            befores[t][reset[t]] = 0
+            h, *gates = self.step(p["x"].take(x[t], axis=0), befores[t], p["u"])
+            held.append(gates)
+            states[t] = h
+        out, dh_out = self.log_probs(states.reshape(-1, k), y.reshape(-1), grads)
         dh_out = dh_out.reshape(len(x), -1, k)
         carry = np.zeros_like(h)
-        inputs = np.empty((*x.shape, 3 * k), h.dtype)
+        inputs, dhus = (np.empty((*x.shape, 3 * k), h.dtype) for _ in range(2))
         for t in range(len(x) - 1, -1, -1):
-            before, z, r, new, hn = held[t]
-            dh = dh_out[t] + carry
-            dz, dn = dh * (before - new), dh * (1 - z)
-            dpre_n = dn * (1 - new * new)
-            dr = dpre_n * hn
-            dpre = inputs[t]
-            dpre[:, :k], dpre[:, k:2 * k], dpre[:, 2 * k:] = dz * z * (1 - z), dr * r * (1 - r), dpre_n
-            dhu = np.concatenate((dpre[:, :2 * k], dpre_n * r), axis=1)
-            grads["u"] += before.T @ dhu
-            carry = (dh * z + dhu @ p["u"].T) * ~reset[t][:, None]
-        order = np.argsort(x.reshape(-1), kind="stable")
-        rows, first = np.unique(x.reshape(-1)[order], return_index=True)
-        grads["x"][rows] += np.add.reduceat(inputs.reshape(-1, 3 * k)[order], first)
+            z, r, new, hn = held[t]
+            dh = dh_out[t]
+            dh += carry
+            dpre, dhu, kept = inputs[t], dhus[t], dh * z
+            dpre_n = (dh - kept) * (1 - new * new)
+            dpre[:, :k] = kept * (1 - z) * (befores[t] - new)
+            dhu[:, 2 * k:] = dpre_n * r
+            dpre[:, k:2 * k] = dhu[:, 2 * k:] * hn * (1 - r)
+            dpre[:, 2 * k:] = dpre_n
+            dhu[:, :2 * k] = dpre[:, :2 * k]
+            carry = dhu @ p["u"].T
+            carry += kept
+            carry[reset[t]] = 0
+        grads["u"] += befores.reshape(-1, k).T @ dhus.reshape(-1, 3 * k)
+        add_rows(grads["x"], x.reshape(-1), inputs.reshape(-1, 3 * k))
         return -float(out.sum()), grads, h
 
     def start(self, mass: np.ndarray) -> Network:
@@ -176,7 +222,8 @@ class Network:
                 xs, ys = x[t: t + steps], y[t: t + steps]
                 _, _, h = self.window(xs, ys, xs == END, h, grads)
                 inputs, hit = np.unique(xs), np.unique(self.cls[ys])
-                words = np.concatenate([np.arange(self.bounds[c], self.bounds[c + 1]) for c in hit])
+                words = slice(None) if len(hit) == len(self.bounds) - 1 else np.concatenate(
+                    [np.arange(self.bounds[c], self.bounds[c + 1]) for c in hit])
                 rows = {"x": inputs, "w": words, "wb": words}
                 part = {name: g[rows[name]] if name in rows else g for name, g in grads.items()}
                 scale = 1.0 / ys.size
@@ -193,7 +240,7 @@ class Network:
                 self.met_class += np.bincount(self.cls[ys].reshape(-1), minlength=len(self.met_class))
         return self
 
-    def score(self, docs: list[np.ndarray], lanes: int = 512, steps: int = 32) -> np.ndarray:
+    def score(self, docs: list[np.ndarray], lanes: int = 1024, steps: int = 32) -> np.ndarray:
         """Natural log probability of each document (tokens with the end mark), state carried over windows."""
         out = np.zeros(len(docs))
         order = np.argsort([-len(d) for d in docs], kind="stable")
@@ -202,18 +249,19 @@ class Network:
             rows = order[g: g + lanes]
             size = np.array([len(docs[r]) for r in rows])
             h = np.zeros((len(rows), self.hidden), np.float32)
+            ids = np.concatenate([*(docs[r] for r in rows), np.full(steps, END)])
+            begin = np.cumsum(size) - size
             last = np.full(len(rows), END)
             for t in range(0, int(size[0]), steps):
                 n = int((size > t).sum())  # lanes are sorted by length: the first n go on
                 x = np.full((steps + 1, n), END)
                 x[0] = last[:n]
-                for k in range(n):
-                    part = docs[rows[k]][t: t + steps]
-                    x[1: len(part) + 1, k] = part
+                # behind the end of a text stand tokens of the next one, which no score uses
+                x[1:] = ids.take(begin[None, :n] + t + np.arange(steps)[:, None], mode="clip")
                 h = h[:n]
                 states, live = [], []
                 for s in range(min(steps, int(size[0]) - t)):
-                    h = self.step(p["x"][x[s]], h, u)[0]
+                    h = self.step(p["x"].take(x[s], axis=0), h, u)[0]
                     m = int((size[:n] > t + s).sum())
                     states.append(h[:m])
                     live.append(m)
@@ -374,9 +422,9 @@ def score_documents(docs: DataFrame, vocabulary: int = 4094, classes: int = 64,
                     seen += more
                     waiting += sum(map(len, more))
                     if waiting >= 1_000_000:
-                        now.train(seen, lanes=256, epochs=1)
+                        now.train(seen, lanes=512, epochs=1)
                         seen, waiting = [], 0
-            now.train(seen, lanes=min(256, max(32, waiting // 1024)), epochs=1)
+            now.train(seen, lanes=min(512, max(32, waiting // 1024)), epochs=1)
             if now.met.any():
                 part = TaskContext.get().partitionId()
                 for block, data in now.changes(before):
