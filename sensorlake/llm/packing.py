@@ -1,8 +1,9 @@
 """Length buckets with least padding, and token-budget batches inside them.
 
-The histogram of all lengths is aggregated by Spark (lengths up to 2048 exactly, longer ones on a
-grid of 1024 steps per power of two, so its size is bounded whatever the
-data); dynamic programming over it finds the ``buckets`` boundaries of least total padding.
+The histogram of all lengths is aggregated by Spark (lengths up to 2048 exactly, longer ones in
+1024 cells per power of two, so its size is bounded whatever the
+data); dynamic programming over it finds the ``buckets`` boundaries of least total padding
+among the greatest lengths of the cells, which are lengths that occur.
 Every document is padded to its bucket's boundary, and batches take consecutive
 documents of a bucket, by doc_id, as many as fit the token budget. Ranks come
 from a range partitioning with per-range offsets, so a bucket with most of the
@@ -10,7 +11,7 @@ rows is spread over tasks.
 
 Rows: a null or empty text is one token (the end mark); a document longer than
 the budget is a batch of its own; a null doc_id sorts first; equal rows and repeated
-ids are separate documents, ordered by text hash; an empty table gives an empty
+ids are separate documents, ordered by text hash and row number, which splits any number of equal rows; an empty table gives an empty
 result. Columns other than doc_id and text are ignored.
 """
 
@@ -74,18 +75,18 @@ def pack(docs: DataFrame, buckets: int = 16, budget: int = 8192) -> DataFrame:
     """doc_id, n_tokens (words and an end mark), bucket, bucket_len, batch (within the bucket), slot, padding."""
     words = r"regexp_count(text, '[^\\x20\\x09-\\x0D]+')"
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).selectExpr(
-        "doc_id", f"CAST(coalesce({words}, 0) + 1 AS LONG) AS n_tokens", "xxhash64(text) AS h")
+        "doc_id", f"CAST(coalesce({words}, 0) + 1 AS LONG) AS n_tokens", "xxhash64(text) AS h", "monotonically_increasing_id() AS nth")
     rows = stored(rows, "lengths")
     step = f"CAST(shiftleft(1L, CAST(floor(log2(n_tokens)) AS INT) - {STEPS.bit_length() - 1}) AS LONG)"
     grid = f"CASE WHEN n_tokens <= {EXACT} THEN n_tokens ELSE CAST(ceil(n_tokens / {step}) AS LONG) * {step} END"
-    hist = rows.groupBy(F.expr(grid).alias("length")).agg(F.count(F.lit(1)).alias("docs"), F.sum("n_tokens").alias("tokens"))
+    hist = rows.groupBy(F.expr(grid).alias("cell")).agg(F.max("n_tokens").alias("length"), F.count(F.lit(1)).alias("docs"), F.sum("n_tokens").alias("tokens"))
     bounds = boundaries(sorted((r["length"], r["docs"], r["tokens"]) for r in hist.take(MOST_BINS + 1)), buckets)
     if not bounds:
         return rows.selectExpr("doc_id", "n_tokens", "0 AS bucket", "0L AS bucket_len", "0L AS batch", "0 AS slot", "0L AS padding")
     case = " ".join(f"WHEN n_tokens <= {b} THEN {i}" for i, b in enumerate(bounds))
     lens = ", ".join(f"{b}L" for b in bounds)
-    dealt = rows.selectExpr("doc_id", "n_tokens", "h", f"CASE {case} END AS bucket").repartitionByRange(
-        "bucket", "doc_id", "h").sortWithinPartitions("bucket", "doc_id", "h").selectExpr(
+    dealt = rows.selectExpr("doc_id", "n_tokens", "h", "nth", f"CASE {case} END AS bucket").repartitionByRange(
+        "bucket", "doc_id", "h", "nth").sortWithinPartitions("bucket", "doc_id", "h", "nth").selectExpr(
         "doc_id", "n_tokens", "bucket", "CAST(spark_partition_id() AS LONG) AS part", "monotonically_increasing_id() & 8589934591 AS at")
     dealt = stored(dealt, "dealt")
     ranges = dealt.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))

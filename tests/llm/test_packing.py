@@ -58,6 +58,18 @@ def test_many_rows_in_one_bucket(spark):
     run(spark, rows)
 
 
+def test_boundaries_of_long_documents_are_lengths_that_occur(spark):
+    sizes = [2300, 2301, 5003, 70_001, 70_013, 70_013]
+    got = run(spark, [(i, "w " * (n - 1)) for i, n in enumerate(sizes)], buckets=4)
+    assert sorted(r["bucket_len"] for r in got) == [2300, 2301, 5003, 70_013, 70_013, 70_013]
+
+
+def test_equal_rows_are_spread(spark):
+    rows = [(None, "a b c")] * 4000 + [(7, "a b c")] * 4000
+    got = run(spark, rows, buckets=2, budget=16)
+    assert len({(r["bucket"], r["batch"], r["slot"]) for r in got}) == len(rows)
+
+
 def test_query_on_documents(spark):
     from sensorlake.llm.queries import op7_packing
 
@@ -67,4 +79,5 @@ def test_query_on_documents(spark):
     check(rows, got, 16, 8192)
     lengths = sorted(r["n_tokens"] for r in got)
     hist = [(n, d := lengths.count(n), n * d) for n in sorted(set(lengths))]
+    assert {r["bucket_len"] for r in got} <= set(lengths)
     assert max(lengths) > pk.EXACT or sum(r["padding"] for r in got) == padding(hist, pk.boundaries(hist, 16))
