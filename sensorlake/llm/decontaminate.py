@@ -1,8 +1,9 @@
 """Benchmark decontamination: BM25 inverted index of test items, searched with block-max WAND.
 
 Test items are indexed in chunks of bounded size; each chunk is one small index
-(postings with BM25 impacts, per-block maxima) that is broadcast after a check
-of its size. Every text is cut into passages of two adjacent windows, each as
+(postings with BM25 impacts, per-block maxima); a chunk whose index is larger than the bound is halved
+until its parts fit or hold one item. Indexes are broadcast in groups of bounded size, and a group is searched
+in one pass over the documents. Every text is cut into passages of two adjacent windows, each as
 long as the chunk's longest item, so an item that occurs lies whole inside one.
 Block maxima summed over a passage's distinct terms bound its score in a block
 of items; where the bound reaches the block's lowest threshold, WAND walks
@@ -192,14 +193,26 @@ class Index:
         return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def build_indexes(items: DataFrame, id_col: str, share: float, chunk_items: int, chunk_words: int) -> list[bytes]:
-    """One pickled index for each chunk; a chunk's items and words are bounded by the parameters on average."""
+def parts_of(ids: list, texts: list[str], share: float, most: int) -> Iterator[bytes]:
+    """Pickled indexes of at most ``most`` bytes each, or of one item."""
+    todo = [(ids, texts)]
+    while todo:
+        ids, texts = todo.pop()
+        blob = pickle.dumps(Index(ids, texts, share))
+        if len(blob) <= most or len(ids) < 2:
+            yield blob
+            continue
+        half = len(ids) // 2
+        todo += [(ids[half:], texts[half:]), (ids[:half], texts[:half])]
+
+
+def build_indexes(items: DataFrame, id_col: str, share: float, chunk_items: int, chunk_words: int, most: int) -> Iterator[bytes]:
+    """Pickled indexes, chunk by chunk; a chunk's items and words are bounded by the parameters on average."""
     rows = items.select(F.col(id_col).alias("id"), F.lower(F.col("text").cast("string")).alias("text")).filter("text IS NOT NULL").withColumn(
         "n", F.size(F.split("text", r"\s+")))
     # items of like length share a chunk, so that one long item doesn't widen the passages of all
     rows = rows.withColumn("class", F.expr("CASE WHEN n <= 512 THEN 0 ELSE CAST(log2(n) AS INT) END"))
     sizes = rows.groupBy("class").agg(F.count(F.lit(1)).alias("items"), F.sum("n").alias("words")).take(64)
-    out = []
     for size in sorted(sizes):
         chunks = max(1, -(-size["items"] // chunk_items), -(-size["words"] // chunk_words))
 
@@ -209,37 +222,53 @@ def build_indexes(items: DataFrame, id_col: str, share: float, chunk_items: int,
                 ids += b.column(0).to_pylist()
                 texts += b.column(1).to_pylist()
             if ids:
-                yield pa.record_batch([pa.array([pickle.dumps(Index(ids, texts, share))], pa.binary())], names=["index"])
+                for blob in parts_of(ids, texts, share, most):
+                    yield pa.record_batch([pa.array([blob], pa.binary())], names=["index"])
 
         for c in range(chunks):
             some = rows.filter(F.col("class") == size["class"]).filter(F.expr(f"pmod(xxhash64(id, text), {chunks}) = {c}"))
-            row = some.select("id", "text").repartition(1).mapInArrow(build, "index binary").first()
-            if row:
-                out.append(bytes(row["index"]))
-    return out
+            # a part holds at least one item
+            for row in some.select("id", "text").repartition(1).mapInArrow(build, "index binary").take(size["items"]):
+                yield bytes(row["index"])
+
+
+def groups_of(blobs: Iterator[bytes], most: int) -> Iterator[list[bytes]]:
+    """Runs of blobs that take at most ``most`` bytes together, or of one."""
+    held, total = [], 0
+    for blob in blobs:
+        if held and total + len(blob) > most:
+            yield held
+            held, total = [], 0
+        held.append(blob)
+        total += len(blob)
+    if held:
+        yield held
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "item_id", share: float = 0.5, overlap: float = 0.8,
                  answer_overlap: float = 0.5, chunk_items: int = 1000, chunk_words: int = 100_000,
                  max_broadcast: int = 64 << 20) -> DataFrame:
-    """doc_id, item_id, score (BM25), question_overlap, answer_overlap: every verified pair, once."""
+    """doc_id, item_id, score (BM25), question_overlap, answer_overlap: every verified pair, once.
+
+    An index takes at most ``max_broadcast`` bytes (or holds one item); as many as fit twice that share a pass over ``docs``.
+    """
     spark, hits = docs.sparkSession, None
     kind = dict(items.dtypes)[id_col]
-    for blob in build_indexes(items, id_col, share, chunk_items, chunk_words):
-        if len(blob) > max_broadcast:
-            raise ValueError(f"an index chunk takes {len(blob)} bytes, more than {max_broadcast}: lower chunk_items or chunk_words")
-        held = spark.sparkContext.broadcast(blob)
+    for blobs in groups_of(build_indexes(items, id_col, share, chunk_items, chunk_words, max_broadcast), 2 * max_broadcast):
+        held = [spark.sparkContext.broadcast(blob) for blob in blobs]
 
         def search(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            index = pickle.loads(held.value)
+            indexes = [pickle.loads(h.value) for h in held]
             for b in batches:
                 data, at = tx.utf8(b.column(1))
                 found = []
                 for i, j in tx.slices(at):
-                    found += [x for x in index.search(*word_hashes(data, at, i, j)) if x[3] >= overlap and x[4] >= answer_overlap]
+                    h, row = word_hashes(data, at, i, j)
+                    for index in indexes:
+                        found += [(x[0], index.ids[x[1]], *x[2:]) for x in index.search(h, row) if x[3] >= overlap and x[4] >= answer_overlap]
                 if found:
                     yield pa.RecordBatch.from_arrays([
-                        b.column(0).take(pa.array([x[0] for x in found], pa.int64())), pa.array([index.ids[x[1]] for x in found]),
+                        b.column(0).take(pa.array([x[0] for x in found], pa.int64())), pa.array([x[1] for x in found]),
                         *[pa.array([float(x[c]) for x in found]) for c in (2, 3, 4)]],
                         names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
 

@@ -63,6 +63,18 @@ def test_finds_all_contained_items(spark):
     assert len(want) >= 30
     assert run(spark, docs, items) == want
     assert run(spark, docs, items, chunk_items=20) == want
+    assert run(spark, docs, items, max_broadcast=300_000) == want  # halved chunks, several passes
+
+
+def test_large_chunks_are_halved_and_grouped():
+    _, items = corpus(3)
+    ids, texts = [i for i, _ in items], [t for _, t in items]
+    whole = len(dc.pickle.dumps(dc.Index(ids, texts, 0.5)))
+    parts = list(dc.parts_of(ids, texts, 0.5, whole - 1))
+    assert len(parts) == 2 and sorted(i for p in parts for i in dc.pickle.loads(p).ids) == ids
+    assert len(list(dc.parts_of(ids, texts, 0.5, 1))) == len(ids)  # an item of any size is searched
+    assert list(dc.groups_of(iter([b"aa", b"b", b"cccc", b"d"]), 3)) == [[b"aa", b"b"], [b"cccc"], [b"d"]]
+    assert list(dc.groups_of(iter([]), 3)) == []
 
 
 def test_wand_equals_full_scoring():
