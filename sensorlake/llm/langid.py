@@ -3,9 +3,10 @@
 Features are the character bigrams and trigrams of the whole lower-cased text,
 hashed into a fixed number of columns. Document frequencies are counted over all
 training texts. The classifier is fitted with follow-the-regularised-leader
-(per-coordinate rates, L1 and L2 penalties) on a bounded sample: about ``per_lang`` texts of
-each language, at most ``max_langs`` languages, the most frequent ones. A part of
-the sample that the fit does not see sets the temperature of the softmax.
+(per-coordinate rates, L1 and L2 penalties) on a bounded sample: about ``per_lang`` different texts of
+each language. Languages are dealt by hash to blocks of about ``max_langs``; each block is one model, fitted in a task of its own, in
+which texts of other blocks are one further class, and the likeliest language of all blocks is predicted (a single block has no such class). A part of
+the sample that the fit does not see sets the temperature of a block's softmax.
 
 Training uses texts whose crc32(doc_id as text) mod 3 is not 1, with a language.
 Only the text is an input of a prediction.
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorlake.llm.tables import key_groups
+from sensorlake.llm.tables import key_groups, stored
 
 BITS = 15
 WIDTH = 1 << BITS
@@ -117,42 +118,73 @@ def temperature(logits: np.ndarray, y: np.ndarray) -> float:
 
 
 def fit(docs: DataFrame, per_lang: int = 600, max_langs: int = 256) -> dict | None:
-    """{langs, table (columns x langs, IDF included), bias, temperature}; None if no row can teach."""
+    """{idf, blocks: [{langs, other, at, w, bias, t}]}; None if no row can teach.
+
+    ``w`` holds the rows of the columns ``at`` that have a weight, IDF included; with ``other``, class 0 is "none of this block".
+    """
     train = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string")).filter(
         "text IS NOT NULL AND lang IS NOT NULL AND crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 3 != 1")
-    langs = train.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").take(max_langs)
-    if not langs:
+    key = "xxhash64(doc_id, text)"
+    langs = stored(train.groupBy("lang").agg(F.expr(f"approx_count_distinct({key})").alias("n")), "langs")
+    n_langs = langs.count()
+    if not n_langs:
         return None
     df, n = frequencies(train)
     idf = np.log((1.0 + n) / (1.0 + df)) + 1.0
-    share = {r["lang"]: min(1_000_000, max(1, 1_000_000 * per_lang // r["n"])) for r in langs}
-    shares = F.create_map(*[F.lit(x) for kv in share.items() for x in kv])
-    some = train.filter(F.expr("pmod(xxhash64(doc_id), 1000000)") < F.element_at(shares, F.col("lang")))
+    blocks = -(-n_langs // max_langs)
+    dealt = langs.selectExpr("lang", f"least(1000000, greatest(1, {1_000_000 * per_lang} div n)) AS share", f"pmod(xxhash64(lang), {blocks}) AS block")
+    # equal rows of an id are one
+    some = train.join(dealt, "lang").filter(f"pmod({key}, 1000000) < share").dropDuplicates(["doc_id", "text", "lang"])
+    # a block also sees about four languages' worth of the other blocks' texts
+    others = min(1_000_000, 4_000_000 // n_langs)
+    some = some.selectExpr("lang", "text", "doc_id", "block AS own", f"explode(filter(sequence(0L, {blocks - 1}L), b -> b = block "
+                           f"OR pmod(xxhash64(doc_id, text, b), 1000000) < {others})) AS block").selectExpr(
+        "block", "CASE WHEN own = block THEN lang END AS lang", "text", "doc_id")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, bounds in key_groups(batches, "block"):
+            for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
+                yield pa.record_batch([pa.array([one(table.slice(int(lo), int(hi - lo)))], pa.binary())], names=["model"])
+
+    def one(table: pa.Table) -> bytes:
         seen = []
-        for b in batches:
-            for text, lang, i in zip(b.column(0), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                at, x = features(text.as_py(), idf)
-                seen.append((i, lang, at.astype(np.int32), x.astype(np.float32)))
-        if not seen:
-            return
-        seen.sort(key=lambda r: (r[0], r[1], len(r[2])))
-        names = sorted({r[1] for r in seen})
-        rows = [(at, x, names.index(lang)) for _, lang, at, x in seen]
+        for text, lang, i in zip(table.column("text"), table.column("lang").to_pylist(), table.column("doc_id").to_pylist(), strict=True):
+            at, x = features(text.as_py(), idf)
+            seen.append((i, lang, at.astype(np.int32), x.astype(np.float32)))
+        seen.sort(key=lambda r: (r[0], r[1] or "", len(r[2])))
+        other = any(r[1] is None for r in seen)
+        names = sorted({r[1] for r in seen if r[1] is not None})
+        number = {None: 0} | {lang: k + other for k, lang in enumerate(names)}
+        rows = [(at, x, number[lang]) for _, lang, at, x in seen]
         held = [r for k, r in enumerate(rows) if k % 5 == 4]
-        w, bias = ftrl([r for k, r in enumerate(rows) if k % 5 != 4], len(names))
+        w, bias = ftrl([r for k, r in enumerate(rows) if k % 5 != 4], len(names) + other)
         logits = np.array([x @ w[at] + bias for at, x, _ in held])
         t = temperature(logits, np.array([y for _, _, y in held], int))
+        at = np.flatnonzero(w.any(axis=1))
         out = io.BytesIO()
-        np.savez(out, names=np.array(names), w=w.astype(np.float32), bias=bias, t=t)
-        yield pa.record_batch([pa.array([out.getvalue()], pa.binary())], names=["model"])
+        np.savez(out, names=np.array(names, str), other=other, at=at, w=w[at].astype(np.float32), bias=bias, t=t)
+        return out.getvalue()
 
-    row = some.select("text", "lang", "doc_id").repartition(1).mapInArrow(learn, "model binary").first()
-    if row is None:
-        return None
-    got = np.load(io.BytesIO(bytes(row["model"])))
-    return {"langs": got["names"].tolist(), "w": got["w"], "idf": idf, "bias": got["bias"], "t": float(got["t"])}
+    rows = some.repartition("block").sortWithinPartitions("block").mapInArrow(learn, "model binary").take(blocks)
+    got = [np.load(io.BytesIO(bytes(r["model"]))) for r in rows]
+    models = [{"langs": g["names"].tolist(), "other": bool(g["other"]), "at": g["at"], "w": g["w"], "bias": g["bias"], "t": float(g["t"])} for g in got]
+    models = [m for m in models if m["langs"]]
+    return {"idf": idf, "blocks": models} if models else None
+
+
+class Block:
+    """One block's classes, ready to score."""
+
+    def __init__(self, model: dict):
+        self.langs, self.skip, self.bias, self.t = model["langs"], int(model["other"]), model["bias"], model["t"]
+        self.place = np.full(WIDTH, len(model["at"]))
+        self.place[model["at"]] = np.arange(len(model["at"]))
+        self.w = np.concatenate((model["w"], np.zeros((1, len(self.bias)), np.float32)))
+
+    def best(self, at: np.ndarray, x: np.ndarray) -> tuple[float, str]:
+        p = softmax((x @ self.w[self.place[at]] + self.bias) / self.t)[self.skip:]
+        k = int(p.argmax())
+        return float(p[k]), self.langs[k]
 
 
 def features(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -167,20 +199,19 @@ def identify(docs: DataFrame, per_lang: int = 600, max_langs: int = 256) -> Data
     """doc_id, held_out, lang_pred, score (calibrated probability of that language)."""
     model = fit(docs, per_lang, max_langs)
     spark = docs.sparkSession
-    held = spark.sparkContext.broadcast(model)  # WIDTH x max_langs floats at most
+    idf = model["idf"] if model else None
+    held = [spark.sparkContext.broadcast(m) for m in model["blocks"]] if model else []  # each WIDTH x (about max_langs) floats at most
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = held.value
+        blocks = [Block(h.value) for h in held]
         for b in batches:
             langs, scores = [UNDETERMINED] * b.num_rows, [0.0] * b.num_rows
-            for k, cell in enumerate(b.column(1)) if m else ():
+            for k, cell in enumerate(b.column(1)) if blocks else ():
                 text = cell.as_py()
                 if text is None or not any(map(str.isalpha, text)):
                     continue
-                at, x = features(text, m["idf"])
-                p = softmax((x @ m["w"][at] + m["bias"]) / m["t"])
-                best = int(p.argmax())
-                langs[k], scores[k] = m["langs"][best], float(p[best])
+                at, x = features(text, idf)
+                scores[k], langs[k] = max(block.best(at, x) for block in blocks)
             yield pa.record_batch([b.column(0), b.column(2), pa.array(langs, pa.string()), pa.array(scores)],
                                   names=["doc_id", "held_out", "lang_pred", "score"])
 

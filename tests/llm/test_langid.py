@@ -62,3 +62,27 @@ def test_ftrl_is_sparse_and_temperature_calibrates():
     logits = rng.normal(size=(4000, 3)) * 2
     y = np.array([rng.choice(3, p=li.softmax(x)) for x in logits])
     assert abs(li.temperature(logits * 3, y) - 3) < 0.4 and li.temperature(np.zeros((0, 3)), np.zeros(0, int)) == 1.0
+
+
+def test_languages_in_several_blocks(spark):
+    rng = np.random.default_rng(3)
+    langs = [f"l{k:02}" for k in range(12)]
+    rows = []
+    for k, lang in enumerate(langs):  # an alphabet of its own for each
+        letters = [chr(0x4E00 + 40 * k + c) for c in range(12)]
+        rows += [(len(rows) + i, " ".join("".join(rng.choice(letters, 4)) for _ in range(12)), lang) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = li.fit(df, max_langs=5)
+    assert len(model["blocks"]) == 3 and all(m["other"] for m in model["blocks"])
+    assert sorted(x for m in model["blocks"] for x in m["langs"]) == langs
+    want = {i: lang for i, _, lang in rows}
+    for size in (5, 256):
+        got = li.identify(df, max_langs=size).collect()
+        held = [r["lang_pred"] == want[r["doc_id"]] for r in got if r["held_out"]]
+        assert np.mean(held) > 0.95 and all(0 <= r["score"] <= 1 for r in got)
+
+
+def test_repeated_rows_do_not_crowd_the_sample(spark):
+    rows = [(3, "der schnelle Haus", "de")] * 3000 + [(i, f"the quick house {i}", "en") for i in range(10, 60)]
+    got = li.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_lang=20).collect()
+    assert {r["lang_pred"] for r in got if r["doc_id"] == 3} <= {"de", "en"} and len(got) == len(rows)
