@@ -2,18 +2,19 @@
 
 Base spans (e-mail, IP, card, phone) come from fixed patterns with their checks
 and always stay. Wider generators propose more, overlapping spans; boosted
-trees, trained on the candidates of a bounded sample of texts, score them by format and context, and
+trees, trained on the candidates of all texts, score them by format and context, and
 those above a threshold that holds ``precision`` on the calibration part are added if they are valid in plain form.
 Labels come from what the features do not show. Valid for training are base spans and proposals whose plain form passes its check: an
 e-mail with (at) and (dot) undone whose last label is a word, an address with its marks undone, a card with its check digit, a phone
 equal to the national part of a valid one. Wrong are those that fail the checks, names with @ but no domain, and plain or dotted numbers;
 other local phones are not trained on. The check itself is no feature: a number that passes it by chance among others
 of its format and context that fail is refused. Context are the characters beside a candidate and its cue: the summed log odds
-of up to four words between the last digit and it, learned from the sample.
-A kind of which the sample holds nothing wrong has a model without splits, which admits what is valid in plain form.
+of up to four words between the last digit and it, learned from the candidates.
+A kind of which the texts hold nothing wrong has a model without splits, which admits what is valid in plain form.
 
-Training reads candidates grouped by their (binned, bounded) features, so the
-driver sees a table of bounded size; the model becomes a sum of CASE expressions.
+Training counts all candidates by their (binned) features. In each round Spark adds up the gradients by every two
+features; the driver sees these sums, whose number the bins bound, and picks the splits. Thresholds come from counts by score,
+on a grid. The model becomes a sum of CASE expressions.
 
 Patterns use possessive loops, which match the same spans as the plain form
 here and neither recurse nor backtrack on very long texts. Numbers are looked for only in
@@ -27,8 +28,10 @@ results are not read by ``find``; ``redact`` keeps every other column as it is.
 from __future__ import annotations
 
 import math
+from itertools import combinations
 from typing import NamedTuple
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -154,59 +157,66 @@ class Trees:
     """Depth-2 trees on binned features, fitted to counts of (features, label) by logistic loss.
 
     Every round leaves out a third of the features in turn, so that several that tell the same all have a say.
+    A round needs its gradients only as sums by the bins of every two features.
     """
 
     def __init__(self, rounds: int = 30, rate: float = 0.3, least: float = 5.0):
         self.rounds, self.rate, self.least = rounds, rate, least
         self.bias, self.trees = 0.0, []
 
+    @staticmethod
+    def used(r: int) -> list[str]:
+        """The features of round ``r``; of several that split alike the first is taken, so they take turns."""
+        names = list(BINS)
+        return [names[i % len(names)] for i in range(r, r + len(names)) if (i % len(names) + r) % 3]
+
+    def start(self, pos: float, neg: float) -> Trees:
+        self.bias = math.log((pos + 1) / (neg + 1))
+        return self
+
     def fit(self, rows: list[tuple[dict, int, int]]) -> Trees:
-        pos = sum(n for _, y, n in rows if y) + 1
-        neg = sum(n for _, y, n in rows if not y) + 1
-        self.bias = math.log(pos / neg)
-        score = [self.bias] * len(rows)
+        """Fits to rows at hand: (features, label, count)."""
+        x = {f: np.array([row[f] for row, _, _ in rows], int) for f in BINS}
+        y, n = (np.array([row[i] for row in rows], float) for i in (1, 2))
+        self.start(n[y == 1].sum(), n[y == 0].sum())
         for r in range(self.rounds):
-            use = [f for i, f in enumerate(BINS) if (i + r) % 3]
-            g = []
-            for (_, y, n), s in zip(rows, score, strict=True):
-                p = 1 / (1 + math.exp(-max(-30.0, min(30.0, s))))
-                g.append((n * (y - p), n * p * (1 - p) + 1e-9))
-            top = self._split(range(len(rows)), rows, g, use)
-            if top is None:
-                continue
-            f, t = top
-            sides = [[i for i in range(len(rows)) if rows[i][0][f] <= t], [i for i in range(len(rows)) if rows[i][0][f] > t]]
-            tree = (f, t, [])
-            for side in sides:
-                low = self._split(side, rows, g, use)
-                leaves = [side] if low is None else [[i for i in side if rows[i][0][low[0]] <= low[1]], [i for i in side if rows[i][0][low[0]] > low[1]]]
-                values = [self.rate * sum(g[i][0] for i in leaf) / (sum(g[i][1] for i in leaf) + 1.0) for leaf in leaves]
-                for leaf, v in zip(leaves, values, strict=True):
-                    for i in leaf:
-                        score[i] += v
-                tree[2].append((low, values))
-            self.trees.append(tree)
+            p = 1 / (1 + np.exp(-np.clip([self.score(row) for row, _, _ in rows], -30, 30)))
+            sums = {}
+            for a, b in combinations(self.used(r), 2):
+                sums[a, b] = np.zeros((BINS[a], BINS[b], 3))
+                np.add.at(sums[a, b], (x[a], x[b]), np.stack([n * np.round(y - p, 6), n * np.round(p * (1 - p), 6), n], axis=1))
+            self.grow(r, sums)
         return self
 
-    def _split(self, inside, rows, g, use):
-        inside = list(inside)
-        total = sum(g[i][0] for i in inside), sum(g[i][1] for i in inside)
+    def grow(self, r: int, sums: dict[tuple[str, str], np.ndarray]) -> bool:
+        """Adds the tree of round ``r``, if there is a split, from (gradient, curvature, count) by the bins of every two features."""
+        use = self.used(r)
+        pair = lambda a, b: sums[a, b] if (a, b) in sums else sums[b, a].swapaxes(0, 1)
+        alone = {f: pair(f, next(o for o in use if o != f)).sum(axis=1) for f in use}
+        top = self._split(alone)
+        if top is None:
+            return False
+        f, t = top
+        tree = (f, t, [])
+        for side in (np.arange(BINS[f]) <= t, np.arange(BINS[f]) > t):
+            part = {o: alone[f] * side[:, None] if o == f else pair(f, o)[side].sum(axis=0) for o in use}
+            low = self._split(part)
+            leaves = [part[f].sum(axis=0)] if low is None else [part[low[0]][:low[1] + 1].sum(axis=0), part[low[0]][low[1] + 1:].sum(axis=0)]
+            tree[2].append((low, [float(self.rate * g / (h + 1.0)) for g, h, _ in leaves]))
+        self.trees.append(tree)
+        return True
+
+    def _split(self, sums: dict[str, np.ndarray]) -> tuple[str, int] | None:
         best, at = 1e-6, None
-        for f in use:
-            hist = [[0.0, 0.0, 0] for _ in range(BINS[f])]
-            for i in inside:
-                h = hist[rows[i][0][f]]
-                h[0] += g[i][0]
-                h[1] += g[i][1]
-                h[2] += rows[i][2]
-            a = b = 0.0
-            n, whole = 0, sum(h[2] for h in hist)
-            for t in range(BINS[f] - 1):
-                a, b, n = a + hist[t][0], b + hist[t][1], n + hist[t][2]
-                if n >= self.least and whole - n >= self.least:
-                    gain = a * a / (b + 1) + (total[0] - a) ** 2 / (total[1] - b + 1) - total[0] ** 2 / (total[1] + 1)
-                    if gain > best:
-                        best, at = gain, (f, t)
+        for f, by_bin in sums.items():
+            low = by_bin.cumsum(axis=0)
+            g, h, n = low[-1]
+            a, b, k = low[:-1].T
+            gain = a * a / (b + 1) + (g - a) ** 2 / (h - b + 1) - g ** 2 / (h + 1)
+            gain[(k < self.least) | (n - k < self.least)] = 0
+            t = int(gain.argmax())
+            if gain[t] > best:
+                best, at = gain[t], (f, t)
         return at
 
     def score(self, row: dict) -> float:
@@ -216,13 +226,18 @@ class Trees:
             s += values[0] if low is None else values[row[low[0]] > low[1]]
         return s
 
-    def sql(self) -> str:
+    def sum_sql(self) -> str:
+        """SQL: the sum of the trees for features ``f``."""
         out = [f"{self.bias!r}D"]
         for f, t, sides in self.trees:
             leaf = [f"{v[0]!r}D" if low is None else f"CASE WHEN f.{low[0]} <= {low[1]} THEN {v[0]!r}D ELSE {v[1]!r}D END" for low, v in sides]
             out.append(f"CASE WHEN f.{f} <= {t} THEN {leaf[0]} ELSE {leaf[1]} END")
         return " + ".join(out)
 
+    def sql(self) -> str:
+        """SQL: that sum on a grid, so that there are as many scores as grid points at most."""
+        return f"round(greatest(-30D, least(30D, {self.sum_sql()})), 3)"
+
 
 class Scorer(NamedTuple):
     """Trees of one kind, the least score of an added span, and the log odds of context words."""
@@ -254,15 +269,51 @@ def log_odds(counts: list[tuple[str, int, int]]) -> dict[str, float]:
     return {w: round(max(-3.0, min(3.0, v)), 3) for w, v in sorted(odds.items()) if abs(v) >= 0.2}
 
 
-def fit(docs: DataFrame, sample_docs: int = 20_000, precision: float = 0.98, max_rows: int = 100_000, max_words: int = 1000) -> dict[str, Scorer]:
-    """kind -> scorer, from about ``sample_docs`` documents (by a hash of doc_id and text).
+def _by_kind(kinds: dict[str, str], kind: str, features: str) -> str:
+    """SQL: the expression over features ``f`` that ``kinds`` has for ``kind``; evaluated in place, as it differs by round."""
+    cases = " ".join(f"WHEN '{k}' THEN {e}" for k, e in kinds.items())
+    return f"aggregate(array({features}), CAST(NULL AS DOUBLE), (acc, f) -> CASE {kind} {cases} END)"
+
+
+def fit_trees(vectors: DataFrame) -> dict[str, Trees]:
+    """kind -> trees, from all of ``vectors`` (kind, ok, f: features, w: count in quarters): one aggregation a round for all kinds."""
+    total = {(r["kind"], r["ok"]): r["w"] / 4 for r in vectors.groupBy("kind", "ok").agg(F.sum("w").alias("w")).collect()}
+    out = {k: Trees().start(total.get((k, True), 0), total.get((k, False), 0)) for k in KINDS if (k, True) in total or (k, False) in total}
+    idle = 0
+    for r in range(Trees().rounds):
+        # three rounds without a split leave out each feature once: no later round has one
+        if idle == 3 or not any(total.get((k, True), 0) + total.get((k, False), 0) >= 2 * t.least for k, t in out.items()):
+            break
+        pairs = list(combinations(Trees.used(r), 2))
+        cells = ", ".join(f"struct({i} AS pair, f.{a} AS a, f.{b} AS b)" for i, (a, b) in enumerate(pairs))
+        # gradients as whole numbers: their sums do not depend on the order
+        p = "(1 / (1 + exp(-greatest(-30D, least(30D, s)))))"
+        found = vectors.withColumn("s", F.expr(_by_kind({k: t.sum_sql() for k, t in out.items()}, "kind", "f"))).selectExpr(
+            "kind", "w", f"w * CAST(round(1000000 * (CAST(ok AS INT) - {p})) AS LONG) AS g", f"w * CAST(round(1000000 * {p} * (1 - {p})) AS LONG) AS h",
+            f"inline(array({cells}))").groupBy("kind", "pair", "a", "b").agg(*[F.sum(c).alias(c) for c in ("g", "h", "w")]).toArrow()
+        kind, pair, a, b, g, h, w = (found.column(c).to_numpy() for c in ("kind", "pair", "a", "b", "g", "h", "w"))
+        values, grown = np.stack([g / 4e6, h / 4e6, w / 4], axis=1), False
+        for k, trees in out.items():
+            sums = {}
+            for i, names in enumerate(pairs):
+                rows = (kind == k) & (pair == i)
+                sums[names] = np.zeros((BINS[names[0]], BINS[names[1]], 3))
+                sums[names][a[rows], b[rows]] = values[rows]
+            grown |= trees.grow(r, sums)
+        idle = 0 if grown else idle + 1
+    return out
+
 
-    The rows that reach the driver are distinct feature vectors, at most ``max_rows``, and context words that
-    precede five candidates or more, at most ``max_words``, the most frequent ones.
+def fit(docs: DataFrame, sample_docs: int | None = None, precision: float = 0.98, max_words: int = 1000) -> dict[str, Scorer]:
+    """kind -> scorer, from the candidates of all documents; with ``sample_docs`` from about so many, by a hash of doc_id and text.
+
+    The rows that reach the driver are sums by the bins of two features, counts by score, and context words that
+    precede five candidates or more: the model holds at most ``max_words`` of them, the most frequent ones.
     """
-    n = docs.count()
-    share = 1_000_000 if n <= sample_docs else max(1, 1_000_000 * sample_docs // n)
-    some = docs.select("doc_id", "text").filter(F.expr(f"pmod(xxhash64(coalesce(doc_id, -1), text), 1000000) < {share}"))
+    some = docs.select("doc_id", "text")
+    if sample_docs is not None:
+        share = max(1, 1_000_000 * sample_docs // max(1, docs.count()))
+        some = some.filter(F.expr(f"pmod(xxhash64(coalesce(doc_id, -1), text), 1000000) < {share}"))
     # a proposal over a valid base span says nothing, and a wrong one over a proposal that may be valid neither
     told = ("filter(p_cands, c -> c.base OR NOT exists(p_cands, y -> (y.base OR y.ok AND NOT c.ok) AND y.s < c.e AND c.s < y.e))")
     digits = "regexp_replace(c.m, '[^0-9]', '')"
@@ -270,33 +321,39 @@ def fit(docs: DataFrame, sample_docs: int = 20_000, precision: float = 0.98, max
         # a plain number is wrong as a phone too
         "held", "c", "explode(CASE WHEN c.wide = 'number' THEN array_distinct(array(c.kind, 'phone')) ELSE array(c.kind) END) AS kind").withColumn(
         "national", F.expr(f"CASE WHEN kind = 'phone' AND (c.ok OR c.wide = 'number') THEN right({digits}, 10) END"))
+    keys = ["held", "kind", "base", "wide", "ok", "national", "words", *FEATURES]
     cands = stored(cands.selectExpr("held", "kind", "c.base AS base", "c.wide AS wide", "c.ok AS ok", "national", f"{_words('c.l')} AS words",
-                                    *[f"{e} AS {f}" for f, (e, _) in FEATURES.items()]), "pii_sample")
+                                    *[f"{e} AS {f}" for f, (e, _) in FEATURES.items()]).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), "pii_candidates")
     # local phones are told valid by the national parts of valid ones, of the same texts; a plain number equal to one is not told wrong
+    asked = "kind = 'phone' AND (wide = 'number' OR wide = 'local' AND ok)"
     valid = cands.filter("base AND national IS NOT NULL").select("national", F.lit(True).alias("known")).distinct()
-    cands = cands.join(valid, "national", "left").filter(
-        "CASE WHEN kind != 'phone' THEN true WHEN wide = 'local' THEN NOT ok OR known WHEN wide = 'number' THEN known IS NULL ELSE true END")
-    words = cands.filter("NOT held").selectExpr("kind", "ok", "explode(concat(array(''), array_distinct(words))) AS word").groupBy("kind", "word").agg(
-        F.expr("count_if(ok)").alias("good"), F.expr("count_if(NOT ok)").alias("bad")).filter("good + bad >= 5").orderBy(
-        F.expr("word != ''"), F.expr("good + bad").desc(), "kind", "word").take(max_words)
+    looked = cands.filter(asked).join(valid, "national", "left").filter("(wide = 'local') = (known IS NOT NULL)")
+    cands = cands.filter(f"NOT ({asked})").unionByName(looked.drop("known"))
+    words = cands.filter("NOT held").selectExpr("kind", "ok", "n", "explode(concat(array(''), array_distinct(words))) AS word").groupBy("kind", "word").agg(
+        F.expr("sum(n) FILTER (WHERE ok)").alias("good"), F.expr("sum(n) FILTER (WHERE NOT ok)").alias("bad")).fillna(0).filter(
+        "good + bad >= 5").orderBy(F.expr("word != ''"), F.expr("good + bad").desc(), "kind", "word").take(max_words)
     odds = {kind: log_odds([(r["word"], r["good"], r["bad"]) for r in words if r["kind"] == kind]) for kind in KINDS}
-    names = ["kind", "held", "ok", "proposed", *BINS]
-    counts = cands.selectExpr("kind", "held", "ok", "wide IN ('masked', 'marked', 'loose', 'local') AS proposed", *FEATURES, f"{_cue('kind', 'words', odds)} AS cue").groupBy(
-        *names).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), *names).take(max_rows)
+    features = "struct(" + ", ".join(BINS) + ") AS f"
+    counts = stored(cands.selectExpr("kind", "held", "ok", "wide IN ('masked', 'marked', 'loose', 'local') AS proposed", *FEATURES, f"{_cue('kind', 'words', odds)} AS cue", "n").groupBy(
+        "kind", "held", "ok", "proposed", *BINS).agg(F.sum("n").alias("n")), "pii_counts")
+    # a quarter again without context, so that words never met leave the verdict to the format
+    trees = fit_trees(stored(counts.filter("NOT held").selectExpr("kind", "ok", *FEATURES, f"inline(array(struct(cue, 4 * n AS w), struct({CUES // 2} AS cue, n AS w)))").selectExpr(
+        "kind", "ok", features, "w"), "pii_vectors"))
+    if not trees:
+        return {}
+    level = _by_kind({k: t.sql() for k, t in trees.items()}, "kind", "f")
+    checked = counts.filter("held").selectExpr("kind", "ok", "proposed", features, "n").selectExpr("kind", "ok", "proposed", f"{level} AS s", "n").filter(
+        "s IS NOT NULL").groupBy("kind", "ok", "proposed", "s").agg(F.sum("n").alias("n")).collect()
     out = {}
-    for kind in KINDS:
-        rows = [({f: r[f] for f in BINS}, int(r["ok"]), r["n"], r["held"], r["proposed"]) for r in counts if r["kind"] == kind]
-        told = [(x, y, k) for x, y, k, held, _ in rows if not held]
-        # a quarter again without context, so that words never met leave the verdict to the format
-        trees = Trees().fit(told + [(x | {"cue": CUES // 2}, y, k / 4) for x, y, k in told])
-        checked = [(trees.score(x), y, k, proposed) for x, y, k, held, proposed in rows if held]
+    for kind, of in trees.items():
+        scored = [(r["s"], int(r["ok"]), r["n"], r["proposed"]) for r in checked if r["kind"] == kind]
         # proposals must hold the precision among themselves too: base spans alone do not vouch for them
-        levels = [threshold([t[:3] for t in checked], precision)]
-        if any(t[3] and t[1] for t in checked):
-            levels.append(threshold([t[:3] for t in checked if t[3]], precision))
+        levels = [threshold([t[:3] for t in scored], precision)]
+        if any(t[3] and t[1] for t in scored):
+            levels.append(threshold([t[:3] for t in scored if t[3]], precision))
         if None not in levels:
             level = max(levels)  # half way to what is refused
-            out[kind] = Scorer(trees, (level + max((t[0] for t in checked if t[0] < level), default=level)) / 2, odds[kind])
+            out[kind] = Scorer(of, (level + max((t[0] for t in scored if t[0] < level), default=level)) / 2, odds[kind])
     return out
 
 
@@ -342,7 +399,7 @@ def _joined(spans: str) -> str:
     return f"array_join(transform({spans}, x -> concat(element_at(array({names}), x.k + 1), ':', x.s, ':', x.e)), ',')"
 
 
-def find(docs: DataFrame, sample_docs: int = 20_000, precision: float = 0.98) -> DataFrame:
+def find(docs: DataFrame, sample_docs: int | None = None, precision: float = 0.98) -> DataFrame:
     """doc_id, base counts by kind, base_sha256 of the base spans, all spans as text."""
     docs = docs.select("doc_id", "text")
     df = with_spans(docs, fit(docs, sample_docs, precision))
@@ -351,7 +408,7 @@ def find(docs: DataFrame, sample_docs: int = 20_000, precision: float = 0.98) ->
                      F.expr(_joined("p_spans")).alias("spans"))
 
 
-def redact(docs: DataFrame, sample_docs: int = 20_000, precision: float = 0.98) -> DataFrame:
+def redact(docs: DataFrame, sample_docs: int | None = None, precision: float = 0.98) -> DataFrame:
     """``docs`` with every span of ``text`` replaced by its kind in brackets; overlapping spans become one mark."""
     p = free_prefix(docs, "p_")
     df = with_spans(docs, fit(docs.select("doc_id", "text"), sample_docs, precision), prefix=p)

@@ -175,3 +175,36 @@ def test_null_ids_teach_too(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert "email" in pii.fit(df, sample_docs=100)
     assert all(r["spans"].count("email") == 2 for r in pii.find(df, sample_docs=100).collect())
+
+
+def test_every_text_teaches(spark):
+    """Masked e-mails that a sample of 20,000 texts by that hash would not meet are learned and found."""
+    n, some = 30_000, "concat('write to ann', id, '@mail.com or ann', id, ' (at) mail (dot) com')"
+    outside = f"pmod(xxhash64(id, {some}), 1000000) >= {1_000_000 * 20_000 // n} AND id % 40 = 0"
+    df = spark.range(n).selectExpr("id AS doc_id", f"CASE WHEN {outside} THEN {some} ELSE 'nothing here' END AS text")
+    got = pii.find(df).filter("spans != ''").collect()
+    assert len(got) > 150 and all(r["spans"].count("email") == 2 for r in got)
+
+
+def test_trees_from_sums_equal_those_from_rows(spark):
+    told = [({f: (i * (j + 3) + i // 7) % b for j, (f, b) in enumerate(pii.BINS.items())}, int(i * 13 % 50 < 20 + i % 24), 1 + i % 3) for i in range(400)]
+    names = ", ".join(pii.BINS)
+    flat = spark.createDataFrame([("card", bool(y), 4 * n, *x.values()) for x, y, n in told],
+                                 "kind string, ok boolean, w long, " + ", ".join(f"{f} int" for f in pii.BINS))
+    got = pii.fit_trees(flat.selectExpr("kind", "ok", f"struct({names}) AS f", "w"))
+    want = pii.Trees().fit(told)
+    assert set(got) == {"card"} and len(want.trees) > 10
+    assert all(abs(got["card"].score(x) - want.score(x)) < 1e-4 for x, _, _ in told)
+
+
+def test_repeated_candidates_and_many_forms_all_count(spark, monkeypatch):
+    """Every candidate counts once, however often its features or its number occur."""
+    seen = []
+    trees = pii.fit_trees
+    monkeypatch.setattr(pii, "fit_trees", lambda v: seen.append(v.selectExpr("sum(w) / 4").first()[0]) or trees(v))
+    rows = [(i, f"ip 10.0.0.{i % 250} x") for i in range(400)] + [(7, "call +1 743 555 3824 or 743 555 3824")] * 300
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    pii.fit(df)
+    held = {r["n"]: r["k"] for r in df.selectExpr("pmod(xxhash64(coalesce(doc_id, -1), text, 5), 4) = 0 AS h", "text").groupBy("h").agg(
+        pii.F.expr("struct(count_if(text LIKE 'ip%') AS a, count_if(text LIKE 'call%') AS b)").alias("k")).selectExpr("h AS n", "k").collect()}
+    assert seen == [1.25 * (held[False]["a"] + 2 * held[False]["b"])]
