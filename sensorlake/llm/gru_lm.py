@@ -38,6 +38,8 @@ from sensorlake.llm.text import slices, utf8, words
 
 END, OTHER = 0, 1
 BLOCK = 32
+#: rows of class probabilities at a time, which stay in the cache
+ROWS = 2048
 HELD = "crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 7"
 
 
@@ -45,9 +47,7 @@ HELD = "crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 7"
 
 
 def add_rows(table: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
-    """table[at[i]] += rows[i] for all i, where rows of ``at`` repeat often."""
-    order = np.argsort(at, kind="stable")
-    at, rows = at[order], rows.take(order, axis=0)
+    """table[at[i]] += rows[i] for all i, where ``at`` ascends and often repeats."""
     first = np.concatenate(([0], np.flatnonzero(np.diff(at)) + 1, [len(at)]))
     size = np.diff(first)
     for g in np.flatnonzero(size >= 8):  # frequent tokens: one product each
@@ -81,81 +81,108 @@ class Network:
         # sums of squared gradients (one a row for the tables by token), and how often training met a token and a class
         self.seen = {name: np.zeros(v.shape[:1] if name in ("x", "w") else v.shape, np.float32) for name, v in self.p.items()}
         self.met, self.met_class = np.zeros(n, np.int64), np.zeros(c, np.int64)
-
-    def step(self, x: np.ndarray, h: np.ndarray, u: np.ndarray):
-        """One step for all lanes: x is the token's input row, h the state."""
-        k = self.hidden
-        hu = h @ u
-        zr = x[:, :2 * k] + hu[:, :2 * k]
-        zr *= -1
+        self.kept: dict[str, np.ndarray] = {}
+
+    def _room(self, name: str, like: np.ndarray, *shape: int) -> np.ndarray:
+        """An array to fill, in memory kept from window to window: fresh pages cost as much as the arithmetic."""
+        size = int(np.prod(shape))
+        if name not in self.kept or self.kept[name].size < size or self.kept[name].dtype != like.dtype:
+            self.kept[name] = np.empty(size, like.dtype)
+        return self.kept[name][:size].reshape(shape)
+
+    # gates lie one after the other, (3, lanes, hidden): operations on one of them run through memory without gaps
+
+    def _inputs(self, x: np.ndarray) -> np.ndarray:
+        """Rows of the input table seen as (tokens * 3, hidden) that hold the gates of tokens ``x`` (steps, lanes): (steps, 3, lanes)."""
+        return 3 * x[:, None, :] + np.arange(3)[None, :, None]
+
+    def _by_gate(self, u: np.ndarray) -> np.ndarray:
+        """Recurrent weights by gate, those of the sigmoid gates with the other sign, as their exponent needs it."""
+        u = np.ascontiguousarray(u.reshape(self.hidden, 3, self.hidden).transpose(1, 0, 2))
+        u[:2] *= -1
+        return u
+
+    @staticmethod
+    def _step(gates: np.ndarray, h: np.ndarray, u: np.ndarray, hu: np.ndarray | None = None):
+        """(state after, recurrent part of the new state); ``gates`` holds the inputs and becomes z, r and the new state."""
+        hu = np.matmul(h, u, out=hu)
+        zr, new = gates[:2], gates[2]
+        np.subtract(hu[:2], zr, out=zr)
         np.exp(zr, out=zr)  # a sum beyond the range of the type gives infinity, and a gate of zero
         zr += 1
         np.reciprocal(zr, out=zr)
-        z, r = zr[:, :k], zr[:, k:]
-        new = r * hu[:, 2 * k:]
-        new += x[:, 2 * k:]
+        new += gates[1] * hu[2]
         np.tanh(new, out=new)
         after = h - new
-        after *= z
+        after *= gates[0]
         after += new
-        return after, z, r, new, hu[:, 2 * k:]
+        return after, hu[2]
+
+    def step(self, x: np.ndarray, h: np.ndarray, u: np.ndarray):
+        """One step for all lanes: x is the token's input row, h the state."""
+        gates = np.ascontiguousarray(x.reshape(-1, 3, self.hidden).transpose(1, 0, 2))
+        after, hn = self._step(gates, h, self._by_gate(u))
+        return after, *gates, hn
 
     def log_probs(self, h: np.ndarray, y: np.ndarray, grads: dict | None = None):
-        """Natural log p(y | h) for rows of states; with ``grads`` also adds parameter gradients and returns d loss / d h."""
+        """Natural log p(y | h) for rows of states; with ``grads`` also adds parameter gradients and returns d loss / d h, kept until the next call."""
         p, cls = self.p, self.cls[y]
         order = np.argsort(cls.astype(np.int16), kind="stable")  # rows of one class side by side
-        h, y = h.take(order, axis=0), y[order]
-        edge = np.searchsorted(cls[order], np.arange(len(self.bounds)))
-        out, dh = np.zeros(len(y), h.dtype), None
+        h, y, cls = np.take(h, order, axis=0, out=self._room("sorted", h, *h.shape), mode="clip"), y[order], cls[order]
+        edge = np.searchsorted(cls, np.arange(len(self.bounds)))
+        out, dh = np.empty(len(y), h.dtype), None if grads is None else self._room("dh", h, *h.shape)
         # |h| < 1 bounds the logits; while they are far from overflow, no maximum is taken out
         far = max(float(np.abs(p["c"]).sum(axis=0).max() + np.abs(p["cb"]).max()),
                   float((np.abs(p["w"]) @ np.ones(self.hidden, p["w"].dtype)).max() + np.abs(p["wb"]).max())) > 60
-
-        def softmax(logits: np.ndarray) -> np.ndarray:
-            """Exponentials in place; returns their sums by row."""
+        # the class biases are factors of the exponentials, applied to sums over rows instead of each
+        bias = np.zeros_like(p["cb"]) if far else p["cb"]
+        factor = np.exp(bias)
+        weights = np.ascontiguousarray((p["c"] * factor).T)
+        sums = np.zeros_like(p["c"]), np.zeros_like(p["cb"])
+        for lo in range(0, len(y), ROWS):
+            rows = slice(lo, lo + ROWS)
+            part, k = h[rows], cls[rows]
+            hit, d = (np.arange(len(k)), k), np.matmul(part, p["c"], out=self._room("classes", h, len(k), len(bias)))
             if far:
-                logits -= logits.max(axis=1, keepdims=True)
-            np.exp(logits, out=logits)
-            return logits @ np.ones(logits.shape[1], logits.dtype)
-
-        d = h @ p["c"]
-        d += p["cb"]
-        if far:
-            d -= d.max(axis=1, keepdims=True)
-        runs = [(k, slice(edge[k], edge[k + 1])) for k in range(len(self.bounds) - 1) if edge[k] < edge[k + 1]]
-        for k, rows in runs:
-            out[rows] = d[rows, k]
-        total = softmax(d)
-        out -= np.log(total)
+                d += p["cb"]
+                d -= d.max(axis=1, keepdims=True)
+            out[rows] = d[hit]
+            np.exp(d, out=d)
+            total = d @ factor
+            out[rows] += bias[k] - np.log(total)
+            if grads is not None:
+                d *= (1 / total)[:, None]
+                d[hit] -= 1 / factor[k]
+                sums[0][:] += part.T @ d
+                sums[1][:] += np.ones(len(d), d.dtype) @ d
+                np.matmul(d, weights, out=dh[rows])
         if grads is not None:
-            d *= (1 / total)[:, None]
-            for k, rows in runs:
-                d[rows, k] -= 1
-            grads["c"] += h.T @ d
-            grads["cb"] += np.ones(len(d), d.dtype) @ d
-            dh = d @ p["c"].T
-        for k, rows in runs:
-            lo, hi = int(self.bounds[k]), int(self.bounds[k + 1])
-            if hi - lo == 1:
-                continue
-            part, w = h[rows], p["w"][lo:hi]
+            grads["c"] += sums[0] * factor
+            grads["cb"] += sums[1] * factor
+        # within the classes
+        place, each, total = y - self.bounds[cls], np.zeros(len(y), h.dtype), np.ones(len(y), h.dtype)
+        numbers, ones = np.arange(len(y)), np.ones(max(len(y), len(self.cls)), h.dtype)
+        for k in np.flatnonzero((np.diff(edge) > 0) & (np.diff(self.bounds) > 1)).tolist():
+            rows, words = slice(edge[k], edge[k + 1]), slice(self.bounds[k], self.bounds[k + 1])
+            part, w = h[rows], p["w"][words]
             d = part @ w.T
-            d += p["wb"][lo:hi]
+            d += p["wb"][words]
             if far:
                 d -= d.max(axis=1, keepdims=True)
-            at = (np.arange(len(part)), y[rows] - lo)
-            hit = d[at]
-            total = softmax(d)
-            out[rows] += hit - np.log(total)
+            hit = numbers[:len(d)], place[rows]
+            each[rows] = d[hit]
+            np.exp(d, out=d)
+            total[rows] = d @ ones[:d.shape[1]]
             if grads is not None:
-                d *= (1 / total)[:, None]
-                d[at] -= 1
-                grads["w"][lo:hi] += d.T @ part
-                grads["wb"][lo:hi] += np.ones(len(d), d.dtype) @ d
+                d *= (1 / total[rows])[:, None]
+                d[hit] -= 1
+                grads["w"][words] += d.T @ part
+                grads["wb"][words] += ones[:len(d)] @ d
                 dh[rows] += d @ w
+        out += each - np.log(total)
         back = np.empty(len(order), np.int64)
-        back[order] = np.arange(len(order))
-        return out[back], None if dh is None else dh.take(back, axis=0)
+        back[order] = numbers
+        return out[back], None if dh is None else np.take(dh, back, axis=0, out=self._room("dh_back", h, *h.shape), mode="clip")
 
     def window(self, x: np.ndarray, y: np.ndarray, reset: np.ndarray, h: np.ndarray, grads: dict | None = None):
         """(loss, gradients, state after) of one truncated window: inputs, targets and state resets are (steps, lanes).
@@ -164,34 +191,51 @@ class Network:
         """
         k, p = self.hidden, self.p
         grads = {name: np.zeros_like(v) for name, v in p.items()} if grads is None else grads
-        held = []
-        befores, states = (np.empty((*x.shape, k), h.dtype) for _ in range(2))
+        table, at, u = p["x"].reshape(-1, k), self._inputs(x), self._by_gate(p["u"])
+        gates, hus = (self._room(name, h, len(x), 3, x.shape[1], k) for name in ("gates", "hus"))
+        befores, states = (self._room(name, h, *x.shape, k) for name in ("befores", "states"))
+        resets = [np.flatnonzero(r) for r in reset]
         for t in range(len(x)):
             befores[t] = h
-            befores[t][reset[t]] = 0
-            h, *gates = self.step(p["x"].take(x[t], axis=0), befores[t], p["u"])
-            held.append(gates)
+            befores[t][resets[t]] = 0
+            np.take(table, at[t], axis=0, out=gates[t], mode="clip")
+            h, _ = self._step(gates[t], befores[t], u, hus[t])
             states[t] = h
         out, dh_out = self.log_probs(states.reshape(-1, k), y.reshape(-1), grads)
         dh_out = dh_out.reshape(len(x), -1, k)
         carry = np.zeros_like(h)
-        inputs, dhus = (np.empty((*x.shape, 3 * k), h.dtype) for _ in range(2))
+        back = np.ascontiguousarray(p["u"].reshape(k, 3, k).transpose(1, 2, 0))
+        # of z, r and the recurrent part of the new state; and of its input
+        dhus, inputs = self._room("dhus", h, 3, *x.shape, k), self._room("inputs", h, *x.shape, k)
         for t in range(len(x) - 1, -1, -1):
-            z, r, new, hn = held[t]
+            z, r, new, hn = *gates[t], hus[t, 2]
+            dz, dr, dn, dpre = dhus[0, t], dhus[1, t], dhus[2, t], inputs[t]
             dh = dh_out[t]
             dh += carry
-            dpre, dhu, kept = inputs[t], dhus[t], dh * z
-            dpre_n = (dh - kept) * (1 - new * new)
-            dpre[:, :k] = kept * (1 - z) * (befores[t] - new)
-            dhu[:, 2 * k:] = dpre_n * r
-            dpre[:, k:2 * k] = dhu[:, 2 * k:] * hn * (1 - r)
-            dpre[:, 2 * k:] = dpre_n
-            dhu[:, :2 * k] = dpre[:, :2 * k]
-            carry = dhu @ p["u"].T
+            kept = dh * z
+            np.subtract(dh, kept, out=dpre)
+            np.subtract(befores[t], new, out=dz)
+            dz *= kept
+            np.subtract(1, z, out=z)
+            dz *= z
+            new *= new
+            np.subtract(1, new, out=new)
+            dpre *= new
+            np.multiply(dpre, r, out=dn)
+            np.subtract(1, r, out=r)
+            np.multiply(dn, hn, out=dr)
+            dr *= r
+            carry, more, last = np.matmul(dhus[:, t], back)
+            carry += more
+            carry += last
             carry += kept
-            carry[reset[t]] = 0
-        grads["u"] += befores.reshape(-1, k).T @ dhus.reshape(-1, 3 * k)
-        add_rows(grads["x"], x.reshape(-1), inputs.reshape(-1, 3 * k))
+            carry[resets[t]] = 0
+        by_gate = np.matmul(befores.reshape(-1, k).T, dhus.reshape(3, -1, k))
+        grads["u"] += by_gate.transpose(1, 0, 2).reshape(k, 3 * k)
+        order = np.argsort(x.reshape(-1).astype(np.int32), kind="stable")
+        dhus[2] = inputs
+        rows = np.take(dhus.reshape(-1, k), order[:, None] + x.size * np.arange(3), axis=0, out=self._room("rows", h, x.size, 3, k), mode="clip")
+        add_rows(grads["x"], x.reshape(-1)[order], rows.reshape(-1, 3 * k))
         return -float(out.sum()), grads, h
 
     def start(self, mass: np.ndarray) -> Network:
@@ -221,30 +265,33 @@ class Network:
             for t in range(0, size, steps):
                 xs, ys = x[t: t + steps], y[t: t + steps]
                 _, _, h = self.window(xs, ys, xs == END, h, grads)
-                inputs, hit = np.unique(xs), np.unique(self.cls[ys])
-                words = slice(None) if len(hit) == len(self.bounds) - 1 else np.concatenate(
+                met = np.bincount(xs.reshape(-1), minlength=len(self.met))
+                met_class = np.bincount(self.cls[ys].reshape(-1), minlength=len(self.met_class))
+                self.met += met
+                self.met_class += met_class
+                inputs, hit = np.flatnonzero(met), np.flatnonzero(met_class)
+                # where most are met, all take part: the others have gradients of zero
+                words = slice(None) if 2 * np.diff(self.bounds)[hit].sum() >= len(met) else np.concatenate(
                     [np.arange(self.bounds[c], self.bounds[c + 1]) for c in hit])
                 rows = {"x": inputs, "w": words, "wb": words}
                 part = {name: g[rows[name]] if name in rows else g for name, g in grads.items()}
                 scale = 1.0 / ys.size
-                norm = scale * float(sum((g * g).sum() for g in part.values())) ** 0.5
+                squares = {name: np.einsum("ij,ij->i", g, g) if name in ("x", "w") else g * g for name, g in part.items()}
+                norm = scale * float(sum(q.sum() for q in squares.values())) ** 0.5
                 scale *= min(1.0, clip / (norm + 1e-9))
                 for name, g in part.items():
-                    at_rows, g = rows.get(name, slice(None)), g * np.float32(scale)
-                    square = (g * g).mean(axis=1) if name in ("x", "w") else g * g
-                    self.seen[name][at_rows] += square
-                    size_of = np.sqrt(self.seen[name][at_rows]) + np.float32(1e-8)
-                    self.p[name][at_rows] -= np.float32(rate) * g / (size_of[:, None] if name in ("x", "w") else size_of)
+                    at_rows, by_row = rows.get(name, slice(None)), name in ("x", "w")
+                    self.seen[name][at_rows] += squares[name] * np.float32(scale * scale / (g.shape[1] if by_row else 1))
+                    change = np.float32(rate * scale) / (np.sqrt(self.seen[name][at_rows]) + np.float32(1e-8))
+                    self.p[name][at_rows] -= g * (change[:, None] if by_row else change)
                     grads[name][at_rows] = 0
-                self.met += np.bincount(xs.reshape(-1), minlength=len(self.met))
-                self.met_class += np.bincount(self.cls[ys].reshape(-1), minlength=len(self.met_class))
         return self
 
     def score(self, docs: list[np.ndarray], lanes: int = 1024, steps: int = 32) -> np.ndarray:
         """Natural log probability of each document (tokens with the end mark), state carried over windows."""
         out = np.zeros(len(docs))
         order = np.argsort([-len(d) for d in docs], kind="stable")
-        u, p = self.p["u"], self.p
+        u, table = self._by_gate(self.p["u"]), self.p["x"].reshape(-1, self.hidden)
         for g in range(0, len(order), lanes):
             rows = order[g: g + lanes]
             size = np.array([len(docs[r]) for r in rows])
@@ -258,16 +305,18 @@ class Network:
                 x[0] = last[:n]
                 # behind the end of a text stand tokens of the next one, which no score uses
                 x[1:] = ids.take(begin[None, :n] + t + np.arange(steps)[:, None], mode="clip")
-                h = h[:n]
+                h, at = h[:n], self._inputs(x)
                 states, live = [], []
                 for s in range(min(steps, int(size[0]) - t)):
-                    h = self.step(p["x"].take(x[s], axis=0), h, u)[0]
+                    gates = np.take(table, at[s], axis=0, out=self._room("gates", table, 3, n, self.hidden), mode="clip")
+                    h = self._step(gates, h, u, self._room("hus", table, 3, n, self.hidden))[0]
                     m = int((size[:n] > t + s).sum())
                     states.append(h[:m])
                     live.append(m)
                 y = np.concatenate([x[s + 1, :m] for s, m in enumerate(live)])
                 lane = np.concatenate([np.arange(m) for m in live])
-                out[rows[:n]] += np.bincount(lane, self.log_probs(np.concatenate(states), y)[0].astype(float), minlength=n)
+                out[rows[:n]] += np.bincount(lane, self.log_probs(
+                    np.concatenate(states, out=self._room("states", table, len(y), self.hidden)), y)[0].astype(float), minlength=n)
                 last = x[-1]
         return out
 

@@ -123,3 +123,25 @@ def test_vocabulary_and_changes(spark, monkeypatch):
     lm.score_documents(df, vocabulary=3, shard_tokens=1000).collect()
     assert sizes == [2 + 8]  # each word occurs ``often`` times or more
     assert sum(trained) >= 9 * train  # every token of every training text
+
+
+def test_windows_reuse_memory_and_do_not_disturb_each_other():
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    net, fresh = (lm.Network(np.array([0, 1, *range(20, 401, 20)]), hidden=32) for _ in range(2))
+    x, y = rng.integers(0, 400, (2, 16, 256))
+    h = np.zeros((256, 32), np.float32)
+    _, first, after = net.window(x, y, x == 0, h)
+    held = after.copy()
+    tracemalloc.start()
+    loss, again, _ = net.window(y, x, y == 0, after)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3_500_000  # 4096 tokens: the states, gates and gradients of a window alone are 4.7 MB
+    assert (after == held).all()
+    want_loss, want, _ = fresh.window(y, x, y == 0, held)
+    assert loss == want_loss and all((again[k] == want[k]).all() for k in want)
+    assert any((first[k] != again[k]).any() for k in want)
+    docs = [np.append(rng.integers(1, 400, n), 0) for n in (3, 50, 7, 64)]
+    assert np.array_equal(net.score(docs), fresh.score(docs))
