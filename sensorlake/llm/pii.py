@@ -72,6 +72,8 @@ FEATURES = {
 }
 #: code points of context before a candidate, words of it, and the bins of their summed log odds
 CONTEXT, WORDS, CUES = 40, 4, 9
+#: points of the grid of scores, -30 to 30 in thousandths
+GRID = 60_001
 BINS = {f: bins for f, (_, bins) in FEATURES.items()} | {"cue": CUES}
 
 
@@ -236,7 +238,7 @@ class Trees:
 
     def sql(self) -> str:
         """SQL: that sum on a grid, so that there are as many scores as grid points at most."""
-        return f"round(greatest(-30D, least(30D, {self.sum_sql()})), 3)"
+        return f"round(greatest(-30D, least(30D, {self.sum_sql()})), 3) + 0D"  # one zero: -0.0 becomes 0.0
 
 
 class Scorer(NamedTuple):
@@ -277,7 +279,7 @@ def _by_kind(kinds: dict[str, str], kind: str, features: str) -> str:
 
 def fit_trees(vectors: DataFrame) -> dict[str, Trees]:
     """kind -> trees, from all of ``vectors`` (kind, ok, f: features, w: count in quarters): one aggregation a round for all kinds."""
-    total = {(r["kind"], r["ok"]): r["w"] / 4 for r in vectors.groupBy("kind", "ok").agg(F.sum("w").alias("w")).collect()}
+    total = {(r["kind"], r["ok"]): r["w"] / 4 for r in vectors.groupBy("kind", "ok").agg(F.sum("w").alias("w")).take(2 * len(KINDS))}
     out = {k: Trees().start(total.get((k, True), 0), total.get((k, False), 0)) for k in KINDS if (k, True) in total or (k, False) in total}
     idle = 0
     for r in range(Trees().rounds):
@@ -343,7 +345,7 @@ def fit(docs: DataFrame, sample_docs: int | None = None, precision: float = 0.98
         return {}
     level = _by_kind({k: t.sql() for k, t in trees.items()}, "kind", "f")
     checked = counts.filter("held").selectExpr("kind", "ok", "proposed", features, "n").selectExpr("kind", "ok", "proposed", f"{level} AS s", "n").filter(
-        "s IS NOT NULL").groupBy("kind", "ok", "proposed", "s").agg(F.sum("n").alias("n")).collect()
+        "s IS NOT NULL").groupBy("kind", "ok", "proposed", "s").agg(F.sum("n").alias("n")).take(4 * len(KINDS) * GRID)  # all: the grid bounds them
     out = {}
     for kind, of in trees.items():
         scored = [(r["s"], int(r["ok"]), r["n"], r["proposed"]) for r in checked if r["kind"] == kind]
