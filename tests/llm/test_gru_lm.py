@@ -145,3 +145,58 @@ def test_windows_reuse_memory_and_do_not_disturb_each_other():
     assert any((first[k] != again[k]).any() for k in want)
     docs = [np.append(rng.integers(1, 400, n), 0) for n in (3, 50, 7, 64)]
     assert np.array_equal(net.score(docs), fresh.score(docs))
+
+
+def test_texts_are_split_into_tokens_once(spark, monkeypatch):
+    """Training and scoring read the stored tokens of whole texts, not the texts again."""
+    kept, store = {}, lm.stored
+    monkeypatch.setattr(lm, "stored", lambda df, name: kept.setdefault(name, store(df, name)))
+    rows = [(i, "b a a  c\nA" if i % 2 else "a b rare%d" % i) for i in range(50)] + [(50, None), (51, " "), (None, "c z a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = lm.score_documents(df, vocabulary=3, often=10**9).collect()
+    check(rows, got)
+    token = {w: k for k, w in enumerate([None, ..., "a", "b", "c"])}
+    want = sorted((str(i), [token.get(w, lm.OTHER) for w in toks(t)]) for i, t in rows)
+    found = kept["tokens"].collect()
+    assert sorted((str(r["doc_id"]), np.frombuffer(r["ids"], "<u2").tolist()) for r in found) == want
+    assert "text" not in kept["tokens"].columns and len({r["rid"] for r in found}) == len(rows)
+
+
+def test_places_of_hashes():
+    rng = np.random.default_rng(6)
+    for n, most in ((0, 9), (1, 9), (2, 2**64 - 1), (700, 2**64 - 1), (700, 2**20)):  # the last: all begin with the same bits
+        known = np.unique(np.append(rng.integers(0, most, n, np.uint64, endpoint=True), np.uint64([0, 2**64 - 1][:n])))
+        h = np.concatenate([known, known + np.uint64(1), rng.integers(0, 2**64 - 1, 500, np.uint64, endpoint=True)])
+        at = {int(x): k for k, x in enumerate(known)}
+        assert lm.places(known, lm.starts(known), h).tolist() == [at.get(int(x), -1) for x in h]
+
+
+def test_rows_are_added_up_by_token():
+    rng = np.random.default_rng(7)
+    at = np.sort(np.concatenate([rng.integers(0, 60, 90), np.full(40, 7), np.full(300, 61)]))
+    rows, order = rng.normal(size=(2 * len(at), 5)), rng.permutation(len(at))[:, None] * 2 + [1, 0]
+    want = np.zeros((62, 10))
+    np.add.at(want, at, rows[order].reshape(len(at), -1))
+    tokens, sums = lm.add_up_rows(at, rows, order)
+    assert (tokens == np.unique(at)).all() and np.allclose(sums, want[tokens])
+
+
+def test_logits_far_from_zero_and_split_classes(monkeypatch):
+    rng = np.random.default_rng(9)
+    net = lm.Network(np.array([0, 1, 3, 8]), hidden=4)
+    h, y = rng.uniform(-1, 1, (40, 4)).astype(np.float32), rng.integers(0, 8, 40)
+    for size in (1, 300):  # beyond 88, exponentials of the type are infinite
+        net.p = {k: (v + rng.normal(size=v.shape) * size).astype(np.float32) for k, v in net.p.items()}
+        wide = {k: v.astype(float) for k, v in net.p.items()}
+        logits = [h @ wide["c"] + wide["cb"], h @ wide["w"].T + wide["wb"]]
+        logits[1] = np.where(net.cls[None, :] == net.cls[y][:, None], logits[1], -np.inf)
+        want = sum(x[np.arange(40), at] - np.logaddexp.reduce(x, axis=1) for x, at in zip(logits, (net.cls[y], y), strict=True))
+        found = []
+        for cells in (1 << 19, 7):  # all rows of a class at once, and one or a few
+            monkeypatch.setattr(lm, "CELLS", cells)
+            grads = {k: np.zeros_like(v) for k, v in net.p.items()}
+            out, dh = net.log_probs(h, y, grads)
+            assert np.allclose(out, want, rtol=1e-4, atol=1e-3)
+            found.append([dh.copy(), *grads.values()])
+        for a, b in zip(*found, strict=True):
+            assert np.isfinite(a).all() and np.allclose(a, b, rtol=1e-4, atol=1e-3 * size)
